@@ -1 +1,150 @@
-"""placeholder"""
+"""Source-reader driver queries: the adapter encodes the given
+tables as raw text with Spark, the readers parse it back; the SQL twin
+computes the same fields straight from the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from histmart.functions.clean import VALID_SP_RATINGS
+from histmart.plans import adapter as A
+from histmart.plans.registry import query
+from histmart.sources import readers as R
+from histmart.sources.schemas import FINWIRE_LAYOUTS  # noqa: F401
+
+_RATINGS_SQL = "[" + ", ".join(f"'{r}'" for r in A.RATING_CYCLE) + "]"
+_VALID_SQL = "(" + ", ".join(f"'{r}'" for r in VALID_SP_RATINGS) + ")"
+
+# Company records of the adapter, in SQL.
+CMP_SQL = f"""
+yrs AS (SELECT min(year(o_orderdate)) AS lo, max(year(o_orderdate)) AS hi FROM orders),
+cmp0 AS (
+  SELECT s.*, unnest(range(yrs.lo, yrs.hi + 1)) AS year, 0 AS seq FROM supplier s, yrs
+  UNION ALL SELECT s.*, 1998 AS year, 1 AS seq FROM supplier s WHERE s_suppkey % 7 = 0),
+cmp AS (
+  SELECT s_suppkey, year, seq,
+    make_timestamp(year, 1, 1, 0, 0, 0) + to_days(CAST(s_suppkey % 90 AS INTEGER))
+      + to_hours(CAST(s_suppkey % 20 + seq AS INTEGER)) AS pts,
+    s_name AS CompanyName, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS CIK,
+    CASE WHEN seq = 1 THEN 'INAC' ELSE 'ACTV' END AS Status,
+    lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS IndustryID,
+    list_element({_RATINGS_SQL}, CAST((s_suppkey + (year - (SELECT lo FROM yrs)) // 2) % 25 + 1 AS INTEGER)) AS SPrating,
+    CASE WHEN s_suppkey % 5 = 0 THEN NULL
+         ELSE DATE '1970-01-01' + CAST((s_suppkey * 11) % 9000 AS INTEGER) END AS FoundingDate,
+    'Street ' || CAST(s_nationkey AS VARCHAR) AS AddrLine1,
+    lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS PostalCode,
+    'City ' || CAST(s_nationkey AS VARCHAR) AS City,
+    'CEO of ' || s_name AS CEOname,
+    'Company ' || CAST(s_suppkey AS VARCHAR) || CASE WHEN year >= 2000 THEN ' (renamed)' ELSE '' END AS Description
+  FROM cmp0)"""
+
+FIN_SQL = """
+finq AS (
+  SELECT l_suppkey, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS qstart,
+         sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS rev,
+         sum(CAST(l_extendedprice * l_discount AS DECIMAL(15,2))) AS earn
+  FROM lineitem GROUP BY 1, 2),
+fin AS (
+  SELECT f.l_suppkey, f.qstart, f.rev, f.earn, s.s_name,
+         CAST(f.qstart + INTERVAL 3 MONTH AS DATE) + CAST(f.l_suppkey % 20 AS INTEGER) AS posting,
+         CASE WHEN (f.l_suppkey + quarter(f.qstart)) % 2 = 0 THEN lpad(CAST(f.l_suppkey AS VARCHAR), 10, '0')
+              ELSE s.s_name END AS CoNameOrCIK
+  FROM finq f JOIN supplier s ON f.l_suppkey = s.s_suppkey)"""
+
+SEC_SQL = """
+nsup AS (SELECT max(s_suppkey) + 1 AS n FROM supplier),
+sec0 AS (SELECT p.*, 0 AS seq FROM part p UNION ALL SELECT p.*, 1 FROM part p WHERE p_partkey % 9 = 0),
+sec AS (
+  SELECT p_partkey, seq, p_partkey % (SELECT n FROM nsup) AS company,
+    make_timestamp(1996, 1, 1, 9, 30, 0) + to_days(CAST(p_partkey % 700 + seq * 400 AS INTEGER)) AS pts,
+    'S' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS Symbol,
+    CASE WHEN seq = 1 THEN 'INAC' ELSE 'ACTV' END AS Status, p_name AS Name,
+    CAST(round(p_retailprice / 100, 2) AS DECIMAL(10,2)) AS Dividend,
+    CASE WHEN p_partkey % 2 = 0 THEN lpad(CAST(p_partkey % (SELECT n FROM nsup) AS VARCHAR), 10, '0')
+         ELSE s.s_name END AS CoNameOrCIK
+  FROM sec0 JOIN supplier s ON s.s_suppkey = sec0.p_partkey % (SELECT n FROM nsup))"""
+
+
+# --- S1-S3: delimited -------------------------------------------------------------
+
+@query("scan_delimited", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(15,2)) AS o_totalprice,
+       o_orderdate, o_orderpriority FROM orders""")
+def q_scan_delimited(spark, sf_dir):
+    """Orders written as pipe-separated text, parsed back with the typed
+    delimited reader's options (``from_csv``)."""
+    text = A.orders_text(spark, sf_dir)
+    return text.select(F.from_csv("value", A.ORDERS_TEXT_SCHEMA,
+                                  {"sep": "|", "timestampFormat": R.TS_FORMAT}).alias("r")).select("r.*")
+
+
+# --- S4-S7: fixed width -----------------------------------------------------------
+
+@query("fixed_width_records", "WITH " + CMP_SQL + "," + FIN_SQL + "," + SEC_SQL + """
+SELECT 'CMP' AS rec_type, pts, CIK AS ref, CompanyName AS name FROM cmp
+UNION ALL
+SELECT 'FIN', make_timestamp(year(posting), month(posting), day(posting), 6, 0, 0),
+       CoNameOrCIK, CAST(year(qstart) AS VARCHAR) || 'Q' || CAST(quarter(qstart) AS VARCHAR) FROM fin
+UNION ALL
+SELECT 'SEC', pts, Symbol, Name FROM sec""")
+def q_fixed_width_records(spark, sf_dir):
+    """FINWIRE text parsed once (posting time and record type split off),
+    then branched into the three layouts."""
+    parsed = R.parse_fixed_width(A.finwire_lines(spark, sf_dir))
+    cmp_ = R.fixed_width_records(parsed, "CMP").select(
+        F.lit("CMP").alias("rec_type"), "PTS", F.col("CIK").alias("ref"), F.col("CompanyName").alias("name"))
+    fin = R.fixed_width_records(parsed, "FIN").select(
+        F.lit("FIN").alias("rec_type"), "PTS", F.col("CoNameOrCIK").alias("ref"),
+        F.concat("Year", F.lit("Q"), "Quarter").alias("name"))
+    sec = R.fixed_width_records(parsed, "SEC").select(
+        F.lit("SEC").alias("rec_type"), "PTS", F.col("Symbol").alias("ref"), F.col("Name").alias("name"))
+    return (cmp_.unionByName(fin).unionByName(sec)
+            .select("rec_type", F.col("PTS").cast("timestamp_ntz").alias("pts"), "ref", "name"))
+
+
+# --- S8 / S9: XML actions and their account lists -------------------------------
+
+_ACTIONS_SQL = """
+firsts AS (SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_key
+           FROM orders GROUP BY o_custkey),
+act AS (
+  SELECT CASE WHEN o.o_orderkey = f.first_key THEN 'NEW' ELSE 'UPDCUST' END AS action_type,
+         o.o_orderdate AS action_ts, o.o_orderkey, o.o_custkey, c.c_nationkey,
+         CASE WHEN o.o_orderkey = f.first_key OR o.o_orderkey % 3 = 0 THEN CAST(c.c_custkey % 5 AS INTEGER) END AS tier,
+         CASE WHEN o.o_orderkey = f.first_key OR o.o_orderkey % 2 = 0 THEN c.c_name END AS l_name,
+         CASE WHEN o.o_orderkey % 4 = 0 THEN ''
+              ELSE 'c' || CAST(c.c_custkey AS VARCHAR) || '@' || lower(substr(o.o_orderpriority, 3, 20)) || '.com'
+         END AS email,
+         o.o_orderkey = f.first_key AS is_new
+  FROM orders o JOIN firsts f ON o.o_custkey = f.o_custkey JOIN customer c ON o.o_custkey = c.c_custkey)"""
+
+
+@query("xml_actions", "WITH " + _ACTIONS_SQL + """
+SELECT action_type, action_ts, o_custkey AS c_id, tier, l_name, email,
+       CAST(o_orderkey AS VARCHAR) AS tax_id, CASE WHEN is_new THEN 2 ELSE 0 END AS n_accounts
+FROM act""")
+def q_xml_actions(spark, sf_dir):
+    """Customer actions as XML elements parsed with ``from_xml`` and the
+    action schema: attributes, nested structs, absent vs empty elements."""
+    a = R.parse_actions(A.action_xml(spark, sf_dir), "value")
+    acct = F.col("Customer.Account")
+    return a.select(
+        F.col("_ActionType").alias("action_type"), F.col("_ActionTS").cast("timestamp_ntz").alias("action_ts"),
+        F.col("Customer._C_ID").alias("c_id"), F.col("Customer._C_TIER").alias("tier"),
+        F.col("Customer.Name.C_L_NAME").alias("l_name"),
+        F.col("Customer.ContactInfo.C_PRIM_EMAIL").alias("email"),
+        F.col("Customer.TaxInfo.C_LCL_TX_ID").alias("tax_id"),
+        F.when(acct.isNull(), F.lit(0)).otherwise(F.size(acct)).alias("n_accounts"))
+
+
+@query("explode_children", "WITH " + _ACTIONS_SQL + """
+SELECT act.o_custkey AS c_id, act.o_custkey * 2 + i AS ca_id, CAST(i + 1 AS INTEGER) AS ca_tax_st,
+       CAST(act.c_nationkey AS BIGINT) AS ca_b_id, 'Account ' || CAST(i AS VARCHAR) AS ca_name,
+       act.action_ts
+FROM act, (VALUES (0), (1)) t(i) WHERE act.is_new""")
+def q_explode_children(spark, sf_dir):
+    a = R.parse_actions(A.action_xml(spark, sf_dir), "value")
+    e = R.explode_accounts(a)
+    return e.select(F.col("C_ID").alias("c_id"), F.col("CA_ID").alias("ca_id"),
+                    F.col("CA_TAX_ST").alias("ca_tax_st"), F.col("CA_B_ID").alias("ca_b_id"),
+                    F.col("CA_NAME").alias("ca_name"), F.col("_ActionTS").cast("timestamp_ntz").alias("action_ts"))
