@@ -118,7 +118,7 @@ def q_trailing_4q(spark, sf_dir):
 
 @query("range_join_ratio", "WITH " + _QTR_SQL + """
 SELECT o.o_orderkey, o.o_custkey, t4.qtr, t4.trailing_4q,
-       round(CAST(o.o_totalprice AS DOUBLE) / NULLIF(CAST(t4.trailing_4q AS DOUBLE), 0), 6) AS ratio
+       CAST(o.o_totalprice AS DOUBLE) / NULLIF(CAST(t4.trailing_4q AS DOUBLE), 0) AS ratio
 FROM orders o LEFT JOIN t4 ON o.o_custkey = t4.o_custkey
   AND t4.qtr >= CAST(o.o_orderdate AS DATE) - INTERVAL 3 MONTH
   AND t4.qtr < CAST(o.o_orderdate AS DATE)""")
@@ -133,8 +133,7 @@ def q_range_join_ratio(spark, sf_dir):
     t4 = _quarters(spark, sf_dir).select(F.col("o_custkey").alias("__c"), "qtr", "trailing_4q")
     j = o.join(t4, (o.o_custkey == t4.__c) & (o.__q == t4.qtr), "left")
     return j.select("o_orderkey", "o_custkey", "qtr", "trailing_4q",
-                    F.round(F.try_divide(F.col("o_totalprice"), F.col("trailing_4q").cast("double")), 6)
-                    .alias("ratio"))
+                    F.try_divide(F.col("o_totalprice"), F.col("trailing_4q").cast("double")).alias("ratio"))
 
 
 # --- G5 / G6 per-column last and first non-null ------------------------------
