@@ -1,0 +1 @@
+"""Readers for the raw extracts and sinks for versioned tables."""
