@@ -131,6 +131,15 @@ def scd2_apply(target: DataFrame, changes: DataFrame, key, attrs: Sequence[str],
     merged = merged.drop("__eff", "__src", *order)
 
     if sk_col:
+        # a change on the start day of the current version overwrites that
+        # version in place (D15) and keeps its surrogate, so facts keyed to
+        # it stay resolvable; at most one current version per key
+        same_day = touched.select(*[F.col(k).alias(f"__sd_{k}") for k in key],
+                                  F.col(eff_col).alias("__d"), F.col(sk_col).alias("__old_sk"))
+        on = [F.col(k) == F.col(f"__sd_{k}") for k in key] + [F.col(eff_col) == F.col("__d")]
+        merged = (merged.join(same_day, on, "left")
+                        .withColumn(sk_col, F.coalesce(F.col(sk_col), F.col("__old_sk")))
+                        .drop(*[f"__sd_{k}" for k in key], "__d", "__old_sk"))
         kept = merged.where(F.col(sk_col).isNotNull())
         fresh = merged.where(F.col(sk_col).isNull()).drop(sk_col)
         # highest existing key: one driver-side scalar

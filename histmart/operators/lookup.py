@@ -156,12 +156,13 @@ def match_person(people: DataFrame, candidates: DataFrame, pairs: Sequence[tuple
                              F.col(cand_id).alias("__cid"), F.col(priority).alias("__pri"))
     best = cand.groupBy(*keys).agg(
         F.max_by("__cid", F.struct("__pri", "__cid")).alias(out_col))
+    best = best.select(*[F.col(k).alias(f"__b{i}") for i, k in enumerate(keys)], out_col)
     p = people.withColumns({k: F.upper(F.col(lc)) for (lc, _), k in zip(pairs, keys)})
     cond = None
-    for k in keys:
-        c = p[k].eqNullSafe(best[k])
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"__b{i}"))
         cond = c if cond is None else cond & c
-    return p.join(best, cond, "left").drop(*[p[k] for k in keys]).drop(*[best[k] for k in keys])
+    return p.join(best, cond, "left").drop(*keys, *[f"__b{i}" for i in range(len(keys))])
 
 
 def semi_anti(left: DataFrame, right: DataFrame, on) -> tuple[DataFrame, DataFrame]:
