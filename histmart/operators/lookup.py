@@ -76,19 +76,24 @@ def asof_dual_key(fact: DataFrame, ref_col: str, ts: str, dim: DataFrame,
     """Point-in-time lookup by id *or* name.
 
     A reference of trimmed length ``id_width`` is an id, otherwise a name.
-    Two equi-join branches, unioned; never an OR join condition (which
-    would fall back to a nested loop).
+    The dimension is emitted twice, keyed once by id and once by name, and
+    the fact side carries (kind, key): one equi join with the range as
+    residual.  The fact side is scanned and shuffled once, and there is
+    never an OR join condition (which would fall back to a nested loop).
     """
     trimmed = F.trim(F.col(ref_col))
-    by_id = fact.where(F.length(trimmed) == id_width).withColumn(
-        "__ref_id", trimmed.try_cast("long"))
-    by_name = fact.where(F.length(trimmed) != id_width).withColumn("__ref_name", trimmed)
+    is_id = F.length(trimmed) == id_width
+    f = fact.withColumns({
+        "__kind": F.when(is_id, F.lit("id")).otherwise(F.lit("name")),
+        "__key": F.when(is_id, trimmed.try_cast("long").cast("string")).otherwise(trimmed)})
     cols = list(dim_cols) if dim_cols is not None else [c for c in dim.columns]
-    a = asof_lookup(by_id, dim.withColumn("__id", F.col(id_col)), "__ref_id", "__id", ts,
-                    eff, end, dim_cols=cols).drop("__ref_id")
-    b = asof_lookup(by_name, dim.withColumn("__nm", F.col(name_col)), "__ref_name", "__nm", ts,
-                    eff, end, dim_cols=cols).drop("__ref_name")
-    return a.unionByName(b)
+    by_id = dim.select(F.lit("id").alias("__dkind"), F.col(id_col).cast("string").alias("__dk"), *cols)
+    by_name = dim.select(F.lit("name").alias("__dkind"), F.col(name_col).cast("string").alias("__dk"), *cols)
+    d = by_id.unionByName(by_name)
+    t = F.col(ts)
+    cond = ((F.col("__kind") == F.col("__dkind")) & (F.col("__key") == F.col("__dk"))
+            & (t >= F.col(eff)) & (F.to_date(t) < F.col(end)))
+    return f.join(d, cond, "inner").drop("__kind", "__key", "__dkind", "__dk")
 
 
 def lookup_code(df: DataFrame, codes: DataFrame, left_on: str, right_on: str,
