@@ -90,7 +90,6 @@ def read_actions(spark: SparkSession, path: str, row_tag: str = "tpcdi:Action")
     """
     return (spark.read.format("xml").option("rowTag", row_tag)
             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss")
-            .option("ignoreNamespace", "true")
             .schema(S.ACTION).load(path))
 
 

@@ -25,9 +25,15 @@ from histmart.sources.readers import TS_FORMAT
 Merge = Callable[[DataFrame | None, DataFrame, int], DataFrame]
 
 
-def cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, sep: str = "|") -> DataFrame:
-    """Streaming DataFrame over CDC text files (flag and DSN lead each row)."""
+def cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, sep: str = "|",
+               files_per_batch: int = 1) -> DataFrame:
+    """Streaming DataFrame over CDC text files (flag and DSN lead each row).
+
+    One change file per batch: ``maxFilesPerTrigger`` makes every file its
+    own micro-batch, taken in file modification order.
+    """
     return (spark.readStream.schema(schema).option("sep", sep).option("header", "false")
+            .option("maxFilesPerTrigger", files_per_batch)
             .option("timestampFormat", TS_FORMAT).option("dateFormat", "yyyy-MM-dd")
             .option("nullValue", "").csv(source_dir)
             .withColumn("_source_file", F.input_file_name()))
@@ -59,7 +65,6 @@ def apply_change_batches(spark: SparkSession, source_dir: str, schema: StructTyp
 
     q = (cdc_stream(spark, source_dir, schema).writeStream
          .option("checkpointLocation", ckpt)
-         .option("maxFilesPerTrigger", 1)
          .trigger(availableNow=True)
          .foreachBatch(run)
          .queryName(query_name)
