@@ -55,14 +55,16 @@ def company_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = table(spark, sf_dir, "orders").agg(
         F.min(F.year("o_orderdate")).alias("lo"), F.max(F.year("o_orderdate")).alias("hi"))
     lo, hi = years.select("lo").scalar(), years.select("hi").scalar()
-    rec = s.select("*", F.explode(F.sequence(lo, hi)).alias("year"))
+    # one year before the first order, so securities and trades of the first
+    # year find a company version
+    rec = s.select("*", F.explode(F.sequence(lo - 1, hi)).alias("year"))
     extra = s.where((F.col("s_suppkey") % 7) == 0).select("*", F.lit(1998).alias("year"))
     rec = rec.withColumn("seq", F.lit(0)).unionByName(extra.withColumn("seq", F.lit(1)))
     day = F.date_add(F.make_date(F.col("year"), F.lit(1), F.lit(1)), (F.col("s_suppkey") % 90).cast("int"))
     ts = F.make_timestamp(F.year(day), F.month(day), F.dayofmonth(day),
                           (F.col("s_suppkey") % 20).cast("int") + F.col("seq"), F.lit(0), F.lit(0))
     ratings = F.array(*[F.lit(r) for r in RATING_CYCLE])
-    rating_ix = ((F.col("s_suppkey") + F.floor((F.col("year") - F.lit(lo)) / 2)) % len(RATING_CYCLE)) + 1
+    rating_ix = ((F.col("s_suppkey") + F.floor((F.col("year") - F.lit(lo) + 1) / 2)) % len(RATING_CYCLE)) + 1
     return rec.select(
         "s_suppkey", "year", "seq", ts.cast("timestamp_ntz").alias("pts"),
         F.col("s_name").alias("CompanyName"), cik("s_suppkey").alias("CIK"),
@@ -92,13 +94,30 @@ def cmp_lines(spark, sf_dir) -> DataFrame:
 
 # --- financials (FIN) -------------------------------------------------------------
 
+def _half_up(num: Column, den) -> Column:
+    """``num / den`` rounded half up to whole cents, as text with 2 decimals.
+
+    Exact integer arithmetic on non-negative inputs: ``a - pmod(a, b)`` is a
+    multiple of ``b``, so the division is exact.
+    """
+    den = den if isinstance(den, Column) else F.lit(den).cast("long")
+    a, b = (num * 2 + den).cast("long"), (den * 2).cast("long")
+    cents = ((a - F.pmod(a, b)) / b).cast("long")
+    return (cents.cast("decimal(18,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("string")
+
+
+def _cents_ratio(cents: Column, den: int) -> Column:
+    return _half_up(cents, den)
+
+
 def financial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     q = li.groupBy("l_suppkey", F.trunc(F.col("l_shipdate").cast("date"), "quarter").alias("qstart")).agg(
         F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).alias("rev"),
         F.sum((F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(15,2)")).alias("earn"))
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    q = q.join(s, q.l_suppkey == s.s_suppkey, "inner")
+    q = q.join(s, q.l_suppkey == s.s_suppkey, "inner").withColumns({
+        "earn_c": (F.col("earn") * 100).cast("long"), "rev_c": (F.col("rev") * 100).cast("long")})
     posting = F.date_add(F.add_months(F.col("qstart"), 3), (F.col("l_suppkey") % 20).cast("int"))
     quarter = F.quarter("qstart")
     return q.select(
@@ -109,9 +128,9 @@ def financial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("qstart", "yyyyMMdd").alias("QtrStartDate"),
         F.date_format(posting, "yyyyMMdd").alias("PostingDate"),
         F.col("rev").cast("string").alias("Revenue"), F.col("earn").cast("string").alias("Earnings"),
-        F.round(F.col("earn") / 1000, 2).cast("decimal(10,2)").cast("string").alias("EPS"),
-        F.round(F.col("earn") / 1100, 2).cast("decimal(10,2)").cast("string").alias("DilutedEPS"),
-        F.round(F.try_divide(F.col("earn"), F.col("rev")), 2).cast("decimal(10,2)").cast("string").alias("Margin"),
+        _cents_ratio(F.col("earn_c"), 1000).alias("EPS"),
+        _cents_ratio(F.col("earn_c"), 1100).alias("DilutedEPS"),
+        F.when(F.col("rev_c") != 0, _half_up(F.col("earn_c") * 100, F.col("rev_c"))).alias("Margin"),
         F.lit("0").alias("Inventory"), F.col("rev").cast("string").alias("Assets"),
         F.col("earn").cast("string").alias("Liabilities"),
         F.lit("1000").alias("ShOut"), F.lit("1100").alias("DilutedShOut"),
@@ -137,8 +156,8 @@ def security_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         p.where(F.col("p_partkey") % 9 == 0).withColumn("seq", F.lit(1)))
     base = base.withColumn("company", F.pmod(F.col("p_partkey"), n_supp))
     base = base.join(s.select("s_suppkey", "s_name"), F.col("company") == F.col("s_suppkey"), "inner")
-    day = F.date_add(F.lit("1996-01-01").cast("date"),
-                     ((F.col("p_partkey") % 700) + F.col("seq") * 400).cast("int"))
+    day = F.date_add(F.lit("1994-06-01").cast("date"),
+                     ((F.col("p_partkey") % 180) + F.col("seq") * 600).cast("int"))
     return base.select(
         "p_partkey", "seq", "company",
         F.make_timestamp(F.year(day), F.month(day), F.dayofmonth(day), F.lit(9), F.lit(30), F.lit(0))
@@ -168,17 +187,21 @@ def finwire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def action_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One action per order: NEW at the customer's first order (listing two
-    accounts), UPDCUST otherwise.  Updates send only some fields: the
+    accounts), INACT at a later last order that is finished, UPDCUST
+    otherwise.  Updates send only some fields: the
     name is absent on odd order keys, the e-mail element is empty when the
     order key is divisible by 4."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
-    first = o.groupBy("o_custkey").agg(F.min(F.struct("o_orderdate", "o_orderkey")).alias("__f"))
-    j = (o.join(first, "o_custkey")
+    ends = o.groupBy("o_custkey").agg(F.min(F.struct("o_orderdate", "o_orderkey")).alias("__f"),
+                                      F.max(F.struct("o_orderdate", "o_orderkey")).alias("__l"))
+    j = (o.join(ends, "o_custkey")
           .join(c, o.o_custkey == c.c_custkey, "inner"))
     is_new = (F.col("o_orderkey") == F.col("__f.o_orderkey"))
+    is_inact = (~is_new & (F.col("o_orderkey") == F.col("__l.o_orderkey")) & (F.col("o_orderstatus") == "F"))
     return j.select(
-        F.when(is_new, F.lit("NEW")).otherwise(F.lit("UPDCUST")).alias("action_type"),
+        F.when(is_new, F.lit("NEW")).when(is_inact, F.lit("INACT")).otherwise(F.lit("UPDCUST"))
+         .alias("action_type"),
         F.col("o_orderdate").alias("action_ts"), "o_orderkey", "o_custkey",
         F.when(is_new | (F.col("o_orderkey") % 3 == 0),
                (F.col("c_custkey") % 5).cast("int")).alias("tier"),
@@ -213,6 +236,9 @@ def action_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         _attr("C_TIER", F.col("tier")), F.lit(">"),
         F.when(F.col("l_name").isNotNull(), F.concat(F.lit("<Name>"), _elem("C_L_NAME", F.col("l_name")),
                                                      F.lit("</Name>"))).otherwise(F.lit("")),
+        F.when(F.col("is_new"), F.concat(F.lit("<Address><C_ZIPCODE>"),
+                                         F.lpad(F.col("c_nationkey").cast("string"), 5, "0"),
+                                         F.lit("</C_ZIPCODE></Address>"))).otherwise(F.lit("")),
         F.lit("<ContactInfo>"), F.concat(F.lit("<C_PRIM_EMAIL>"), F.col("email"), F.lit("</C_PRIM_EMAIL>")),
         F.lit("</ContactInfo>"),
         F.lit("<TaxInfo><C_LCL_TX_ID>"), F.col("o_orderkey").cast("string"), F.lit("</C_LCL_TX_ID></TaxInfo>"),
@@ -237,3 +263,150 @@ def orders_text(spark: SparkSession, sf_dir: str, cdc: bool = False) -> DataFram
 
 ORDERS_TEXT_SCHEMA = ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice decimal(15,2), "
                       "o_orderdate timestamp_ntz, o_orderpriority string")
+
+
+# --- code tables ------------------------------------------------------------------
+
+def industries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Industry code table: one code per nation (bounded by the nation table)."""
+    n = table(spark, sf_dir, "nation")
+    return n.select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("IN_ID"),
+                    F.concat(F.lit("Industry "), F.col("n_name")).alias("IN_NAME"),
+                    F.lit("SC").alias("IN_SC_ID"))
+
+
+# --- HR.csv -----------------------------------------------------------------------------
+
+def hr_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One employee per nation, written as comma-separated text and parsed
+    back with the HR schema; nations of region 0 have another job code."""
+    from histmart.sources.readers import parse_delimited
+
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    j = n.join(r, n.n_regionkey == r.r_regionkey, "inner")
+    text = j.select(F.concat_ws(
+        ",", F.col("n_nationkey").cast("string"), F.col("n_regionkey").cast("string"), F.col("n_name"),
+        F.col("r_name"), F.lit(""),
+        F.when(F.col("n_regionkey") == 0, F.lit("315")).otherwise(F.lit("314")),
+        F.concat(F.lit("Branch "), F.col("n_regionkey").cast("string")),
+        F.concat(F.lit("Office "), F.col("n_nationkey").cast("string")),
+        F.concat(F.lit("555-"), F.lpad(F.col("n_nationkey").cast("string"), 4, "0"))).alias("value"))
+    return parse_delimited(text, "value", S.HR, sep=",")
+
+
+# --- Prospect.csv -----------------------------------------------------------------------
+
+def prospect_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One prospect per customer; every sixth one under a changed last name."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return c.select(
+        F.concat(F.lit("P"), k.cast("string")).alias("AgencyID"),
+        F.when(k % 6 == 0, F.concat(F.col("c_name"), F.lit(" Jr"))).otherwise(F.col("c_name")).alias("LastName"),
+        F.concat(F.lit("F"), F.col("c_nationkey").cast("string")).alias("FirstName"),
+        F.lit(None).cast("string").alias("MiddleInitial"),
+        F.element_at(F.array(F.lit("m"), F.lit("F"), F.lit("x"), F.lit(""), F.lit(None).cast("string")),
+                     (k % 5 + 1).cast("int")).alias("Gender"),
+        F.concat(F.lit("Street "), F.col("c_nationkey").cast("string")).alias("AddressLine1"),
+        F.lit(None).cast("string").alias("AddressLine2"),
+        F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("PostalCode"),
+        F.lit("City").alias("City"), F.lit("ST").alias("State"), F.lit("Country").alias("Country"),
+        F.lit(None).cast("string").alias("Phone"),
+        F.when(k % 13 == 0, F.lit(None)).otherwise((k * 104729) % 300001).cast("long").alias("Income"),
+        (F.floor(k / 7) % 6).cast("int").alias("NumberCars"), (k % 6).cast("int").alias("NumberChildren"),
+        F.element_at(F.array(*[F.lit(x) for x in ("s", "M", "d", "W", "q", "w")]), (k % 6 + 1).cast("int"))
+         .alias("MaritalStatus"),
+        (18 + k % 70).cast("int").alias("Age"), (300 + (k * 13) % 550).cast("int").alias("CreditRating"),
+        F.element_at(F.array(*[F.lit(x) for x in ("o", "R", "x")]), (k % 3 + 1).cast("int")).alias("OwnOrRentFlag"),
+        F.lit(None).cast("string").alias("Employer"),
+        F.when(k % 17 == 0, F.lit(None)).otherwise((F.floor(k / 3) % 9)).cast("int").alias("NumberCreditCards"),
+        F.when(k % 10 == 0, F.lit(None)).otherwise((k * 7919) % 2000001).cast("long").alias("NetWorth"))
+
+
+# --- trades and their history -----------------------------------------------------------
+
+def _order_lines(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice").cast("decimal(15,2)")
+    return li.groupBy("l_orderkey").agg(
+        F.sum("l_quantity").cast("int").alias("qty"), F.min("l_partkey").alias("part"),
+        F.max("l_shipdate").alias("max_ship"),
+        F.sum(price * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(18,4)").alias("comm"),
+        F.sum(price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(18,4)").alias("tax"))
+
+
+def trade_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trade rows (Trade.txt shape): one per order that has lines."""
+    o = table(spark, sf_dir, "orders")
+    agg = _order_lines(spark, sf_dir)
+    t = o.join(agg, o.o_orderkey == agg.l_orderkey, "inner")
+    k = F.col("o_orderkey")
+    status = (F.when(F.col("o_orderstatus") == "F", F.lit("CMPT"))
+              .when(F.col("o_orderstatus") == "P", F.lit("CNCL")).otherwise(F.lit("SBMT")))
+    price = F.col("o_totalprice").cast("decimal(10,2)")
+    return t.select(
+        k.alias("T_ID"), F.col("o_orderdate").alias("T_DTS"), status.alias("T_ST_ID"),
+        F.element_at(F.array(*[F.lit(x) for x in ("TLB", "TLS", "TMB", "TMS")]), (k % 4 + 1).cast("int"))
+         .alias("T_TT_ID"),
+        (k % 3 != 0).alias("T_IS_CASH"),
+        F.concat(F.lit("S"), F.lpad(F.col("part").cast("string"), 9, "0")).alias("T_S_SYMB"),
+        F.col("qty").alias("T_QTY"), price.alias("T_BID_PRICE"),
+        (F.col("o_custkey") * 2 + k % 2).alias("T_CA_ID"),
+        F.concat(F.lit("exec "), (k % 10).cast("string")).alias("T_EXEC_NAME"),
+        F.when(F.col("o_orderstatus") == "F", price).alias("T_TRADE_PRICE"),
+        F.col("qty").cast("decimal(10,2)").alias("T_CHRG"), F.col("comm").alias("T_COMM"),
+        F.col("tax").alias("T_TAX"))
+
+
+def trade_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History rows (TradeHistory.txt shape): opened at the order date
+    (pending or submitted), closed 12 hours after the later of the last ship
+    date and the order date when finished (completed) or pending (canceled)."""
+    o = table(spark, sf_dir, "orders")
+    agg = _order_lines(spark, sf_dir).select("l_orderkey", "max_ship")
+    t = o.join(agg, o.o_orderkey == agg.l_orderkey, "inner")
+    k = F.col("o_orderkey")
+    opened = t.select(k.alias("TH_T_ID"), F.col("o_orderdate").alias("TH_DTS"),
+                      F.when(k % 2 == 0, F.lit("PNDG")).otherwise(F.lit("SBMT")).alias("TH_ST_ID"))
+    closed = t.where(F.col("o_orderstatus").isin("F", "P")).select(
+        k.alias("TH_T_ID"),
+        (F.greatest("max_ship", "o_orderdate") + F.expr("INTERVAL 12 HOURS")).alias("TH_DTS"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("CMPT")).otherwise(F.lit("CNCL")).alias("TH_ST_ID"))
+    return opened.unionByName(closed)
+
+
+def cash_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cash transactions from events: purchases debit, everything else credits."""
+    e = table(spark, sf_dir, "events")
+    amt = F.col("value").cast("decimal(15,2)")
+    return e.select((F.col("user_id") * 2 + F.col("event_id") % 2).alias("CT_CA_ID"), F.col("ts").alias("CT_DTS"),
+                    F.when(F.col("event_type") == "purchase", -amt).otherwise(amt).alias("CT_AMT"),
+                    F.col("event_type").alias("CT_NAME"))
+
+
+def holding_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").alias("HH_H_T_ID"), F.col("l_orderkey").alias("HH_T_ID"),
+                     F.lit(0).alias("HH_BEFORE_QTY"), F.col("l_quantity").cast("int").alias("HH_AFTER_QTY"))
+
+
+def market_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily market rows per part and ship day (DailyMarket.txt shape)."""
+    li = table(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice").cast("decimal(15,2)")
+    d = li.groupBy("l_partkey", F.col("l_shipdate").cast("date").alias("DM_DATE")).agg(
+        F.max_by(price, F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("DM_CLOSE"),
+        F.max(price).alias("DM_HIGH"), F.min(price).alias("DM_LOW"),
+        F.sum("l_quantity").cast("long").alias("DM_VOL"))
+    return d.select("DM_DATE", F.concat(F.lit("S"), F.lpad(F.col("l_partkey").cast("string"), 9, "0"))
+                    .alias("DM_S_SYMB"), "DM_CLOSE", "DM_HIGH", "DM_LOW", "DM_VOL")
+
+
+def watch_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watch actions from events: a click places, an error cancels."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "error"))
+    sym = F.get_json_object("props", "$.k").cast("int") % 50
+    return e.select(F.col("user_id").alias("W_C_ID"),
+                    F.concat(F.lit("S"), F.lpad(sym.cast("string"), 9, "0")).alias("W_S_SYMB"),
+                    F.col("ts").alias("W_DTS"),
+                    F.when(F.col("event_type") == "click", F.lit("ACTV")).otherwise(F.lit("CNCL")).alias("W_ACTION"))

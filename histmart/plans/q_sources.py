@@ -19,7 +19,7 @@ _VALID_SQL = "(" + ", ".join(f"'{r}'" for r in VALID_SP_RATINGS) + ")"
 CMP_SQL = f"""
 yrs AS (SELECT min(year(o_orderdate)) AS lo, max(year(o_orderdate)) AS hi FROM orders),
 cmp0 AS (
-  SELECT s.*, unnest(range(yrs.lo, yrs.hi + 1)) AS year, 0 AS seq FROM supplier s, yrs
+  SELECT s.*, unnest(range(yrs.lo - 1, yrs.hi + 1)) AS year, 0 AS seq FROM supplier s, yrs
   UNION ALL SELECT s.*, 1998 AS year, 1 AS seq FROM supplier s WHERE s_suppkey % 7 = 0),
 cmp AS (
   SELECT s_suppkey, year, seq,
@@ -28,7 +28,7 @@ cmp AS (
     s_name AS CompanyName, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS CIK,
     CASE WHEN seq = 1 THEN 'INAC' ELSE 'ACTV' END AS Status,
     lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS IndustryID,
-    list_element({_RATINGS_SQL}, CAST((s_suppkey + (year - (SELECT lo FROM yrs)) // 2) % 25 + 1 AS INTEGER)) AS SPrating,
+    list_element({_RATINGS_SQL}, CAST((s_suppkey + (year - (SELECT lo FROM yrs) + 1) // 2) % 25 + 1 AS INTEGER)) AS SPrating,
     CASE WHEN s_suppkey % 5 = 0 THEN NULL
          ELSE DATE '1970-01-01' + CAST((s_suppkey * 11) % 9000 AS INTEGER) END AS FoundingDate,
     'Street ' || CAST(s_nationkey AS VARCHAR) AS AddrLine1,
@@ -56,7 +56,7 @@ nsup AS (SELECT max(s_suppkey) + 1 AS n FROM supplier),
 sec0 AS (SELECT p.*, 0 AS seq FROM part p UNION ALL SELECT p.*, 1 FROM part p WHERE p_partkey % 9 = 0),
 sec AS (
   SELECT p_partkey, seq, p_partkey % (SELECT n FROM nsup) AS company,
-    make_timestamp(1996, 1, 1, 9, 30, 0) + to_days(CAST(p_partkey % 700 + seq * 400 AS INTEGER)) AS pts,
+    make_timestamp(1994, 6, 1, 9, 30, 0) + to_days(CAST(p_partkey % 180 + seq * 600 AS INTEGER)) AS pts,
     'S' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS Symbol,
     CASE WHEN seq = 1 THEN 'INAC' ELSE 'ACTV' END AS Status, p_name AS Name,
     CAST(round(p_retailprice / 100, 2) AS DECIMAL(10,2)) AS Dividend,
@@ -105,10 +105,13 @@ def q_fixed_width_records(spark, sf_dir):
 # --- S8 / S9: XML actions and their account lists -------------------------------
 
 _ACTIONS_SQL = """
-firsts AS (SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_key
+firsts AS (SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_key,
+                  arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_key
            FROM orders GROUP BY o_custkey),
 act AS (
-  SELECT CASE WHEN o.o_orderkey = f.first_key THEN 'NEW' ELSE 'UPDCUST' END AS action_type,
+  SELECT CASE WHEN o.o_orderkey = f.first_key THEN 'NEW'
+              WHEN o.o_orderkey = f.last_key AND o.o_orderstatus = 'F' THEN 'INACT'
+              ELSE 'UPDCUST' END AS action_type,
          o.o_orderdate AS action_ts, o.o_orderkey, o.o_custkey, c.c_nationkey,
          CASE WHEN o.o_orderkey = f.first_key OR o.o_orderkey % 3 = 0 THEN CAST(c.c_custkey % 5 AS INTEGER) END AS tier,
          CASE WHEN o.o_orderkey = f.first_key OR o.o_orderkey % 2 = 0 THEN c.c_name END AS l_name,
