@@ -106,18 +106,15 @@ def _half_up(num: Column, den) -> Column:
     return (cents.cast("decimal(18,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("string")
 
 
-def _cents_ratio(cents: Column, den: int) -> Column:
-    return _half_up(cents, den)
-
-
 def financial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     q = li.groupBy("l_suppkey", F.trunc(F.col("l_shipdate").cast("date"), "quarter").alias("qstart")).agg(
         F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).alias("rev"),
-        F.sum((F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(15,2)")).alias("earn"))
+        F.sum(F.col("l_extendedprice").cast("decimal(15,2)") * F.col("l_discount").cast("decimal(4,2)"))
+        .alias("earn"))
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     q = q.join(s, q.l_suppkey == s.s_suppkey, "inner").withColumns({
-        "earn_c": (F.col("earn") * 100).cast("long"), "rev_c": (F.col("rev") * 100).cast("long")})
+        "earn4": (F.col("earn") * 10000).cast("long"), "rev_c": (F.col("rev") * 100).cast("long")})
     posting = F.date_add(F.add_months(F.col("qstart"), 3), (F.col("l_suppkey") % 20).cast("int"))
     quarter = F.quarter("qstart")
     return q.select(
@@ -127,12 +124,12 @@ def financial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("qstart").cast("string").alias("Year"), quarter.cast("string").alias("Quarter"),
         F.date_format("qstart", "yyyyMMdd").alias("QtrStartDate"),
         F.date_format(posting, "yyyyMMdd").alias("PostingDate"),
-        F.col("rev").cast("string").alias("Revenue"), F.col("earn").cast("string").alias("Earnings"),
-        _cents_ratio(F.col("earn_c"), 1000).alias("EPS"),
-        _cents_ratio(F.col("earn_c"), 1100).alias("DilutedEPS"),
-        F.when(F.col("rev_c") != 0, _half_up(F.col("earn_c") * 100, F.col("rev_c"))).alias("Margin"),
+        F.col("rev").cast("string").alias("Revenue"), F.col("earn").cast("decimal(18,4)").cast("string").alias("Earnings"),
+        _half_up(F.col("earn4"), 100000).alias("EPS"),
+        _half_up(F.col("earn4"), 110000).alias("DilutedEPS"),
+        F.when(F.col("rev_c") != 0, _half_up(F.col("earn4"), F.col("rev_c"))).alias("Margin"),
         F.lit("0").alias("Inventory"), F.col("rev").cast("string").alias("Assets"),
-        F.col("earn").cast("string").alias("Liabilities"),
+        F.col("earn").cast("decimal(18,4)").cast("string").alias("Liabilities"),
         F.lit("1000").alias("ShOut"), F.lit("1100").alias("DilutedShOut"),
         F.when(((F.col("l_suppkey") + quarter) % 2) == 0, cik("l_suppkey"))
          .otherwise(F.col("s_name")).alias("CoNameOrCIK"))
@@ -168,7 +165,8 @@ def security_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("Name"), F.lit("NYSE").alias("ExID"),
         (F.col("p_size") * 1000).cast("string").alias("ShOut"),
         F.lit("19950101").alias("FirstTradeDate"), F.lit("19950101").alias("FirstTradeExchg"),
-        F.round(F.col("p_retailprice") / 100, 2).cast("decimal(10,2)").cast("string").alias("Dividend"),
+        (F.col("p_retailprice").cast("decimal(15,2)") * F.lit(0.01).cast("decimal(3,2)"))
+        .cast("decimal(12,4)").cast("string").alias("Dividend"),
         F.when(F.col("p_partkey") % 2 == 0, cik("company")).otherwise(F.col("s_name")).alias("CoNameOrCIK"))
 
 

@@ -42,7 +42,7 @@ FIN_SQL = """
 finq AS (
   SELECT l_suppkey, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS qstart,
          sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS rev,
-         sum(CAST(l_extendedprice * l_discount AS DECIMAL(15,2))) AS earn
+         sum(CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_discount AS DECIMAL(4,2))) AS earn
   FROM lineitem GROUP BY 1, 2),
 fin AS (
   SELECT f.l_suppkey, f.qstart, f.rev, f.earn, s.s_name,
@@ -59,7 +59,7 @@ sec AS (
     make_timestamp(1994, 6, 1, 9, 30, 0) + to_days(CAST(p_partkey % 180 + seq * 600 AS INTEGER)) AS pts,
     'S' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS Symbol,
     CASE WHEN seq = 1 THEN 'INAC' ELSE 'ACTV' END AS Status, p_name AS Name,
-    CAST(round(p_retailprice / 100, 2) AS DECIMAL(10,2)) AS Dividend,
+    CAST(CAST(p_retailprice AS DECIMAL(15,2)) * 0.01 AS DECIMAL(12,4)) AS Dividend,
     CASE WHEN p_partkey % 2 = 0 THEN lpad(CAST(p_partkey % (SELECT n FROM nsup) AS VARCHAR), 10, '0')
          ELSE s.s_name END AS CoNameOrCIK
   FROM sec0 JOIN supplier s ON s.s_suppkey = sec0.p_partkey % (SELECT n FROM nsup))"""

@@ -1 +1,212 @@
-"""placeholder"""
+"""Warehouse driver queries (T1-T17) through the shape adapter.
+
+Each builder runs the real transform of ``histmart.plans.warehouse`` on the
+raw-shaped extracts the adapter derives from the given tables; each SQL twin
+computes the same table straight from the tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from histmart.plans import adapter as A
+from histmart.plans import warehouse as W
+from histmart.plans.q_sources import _ACTIONS_SQL, _VALID_SQL, CMP_SQL, FIN_SQL, SEC_SQL
+from histmart.plans.registry import query, table
+from histmart.sources import readers as R
+
+BATCH_DATE = "2000-01-01"
+
+# --- shared builders ----------------------------------------------------------------------
+
+
+def _first_day(spark, sf_dir):
+    return table(spark, sf_dir, "orders").agg(F.min(F.col("o_orderdate").cast("date"))).scalar()
+
+
+def _finwire(spark, sf_dir):
+    return R.parse_fixed_width(A.finwire_lines(spark, sf_dir))
+
+
+def build_company(spark, sf_dir, parsed=None):
+    parsed = parsed if parsed is not None else _finwire(spark, sf_dir)
+    return W.dim_company(R.fixed_width_records(parsed, "CMP"), W.status_types(spark), A.industries(spark, sf_dir))
+
+
+def build_security(spark, sf_dir, company=None, parsed=None):
+    parsed = parsed if parsed is not None else _finwire(spark, sf_dir)
+    company = company if company is not None else build_company(spark, sf_dir, parsed)
+    return W.dim_security(R.fixed_width_records(parsed, "SEC"), company, W.status_types(spark))
+
+
+def build_financial(spark, sf_dir, company=None, parsed=None):
+    parsed = parsed if parsed is not None else _finwire(spark, sf_dir)
+    company = company if company is not None else build_company(spark, sf_dir, parsed)
+    return W.fact_financial(R.fixed_width_records(parsed, "FIN"), company)
+
+
+def _actions(spark, sf_dir):
+    return R.parse_actions(A.action_xml(spark, sf_dir), "value")
+
+
+def build_customer(spark, sf_dir, actions=None):
+    return W.dim_customer(actions if actions is not None else _actions(spark, sf_dir))
+
+
+def build_broker(spark, sf_dir):
+    return W.dim_broker(A.hr_records(spark, sf_dir), _first_day(spark, sf_dir))
+
+
+def build_account(spark, sf_dir, actions=None, customer=None):
+    actions = actions if actions is not None else _actions(spark, sf_dir)
+    customer = customer if customer is not None else build_customer(spark, sf_dir, actions)
+    return W.dim_account(actions, customer, build_broker(spark, sf_dir))
+
+
+def build_trade(spark, sf_dir):
+    parsed = _finwire(spark, sf_dir)
+    company = build_company(spark, sf_dir, parsed)
+    security = build_security(spark, sf_dir, company, parsed)
+    account = build_account(spark, sf_dir)
+    return W.dim_trade(A.trade_records(spark, sf_dir), A.trade_history(spark, sf_dir), security, account,
+                       W.status_types(spark), W.trade_types(spark))
+
+
+# --- shared SQL -------------------------------------------------------------------------------
+
+DATE_KEY = "CAST(strftime({0}, '%Y%m%d') AS INTEGER)"
+
+COMPANY_SQL = CMP_SQL + f""",
+c1 AS (
+  SELECT CAST(s_suppkey AS BIGINT) AS company_id, pts, CompanyName AS name,
+    CASE Status WHEN 'ACTV' THEN 'Active' WHEN 'INAC' THEN 'Inactive' END AS status,
+    'Industry ' || n.n_name AS industry,
+    CASE WHEN SPrating IN {_VALID_SQL} THEN SPrating END AS sp_rating,
+    CASE WHEN SPrating IN {_VALID_SQL} THEN NOT (SPrating LIKE 'A%' OR SPrating LIKE 'BBB%') END AS is_lowgrade,
+    CEOname AS ceo, AddrLine1 AS address_line1, CAST(NULL AS VARCHAR) AS address_line2,
+    PostalCode AS postal_code, City AS city, 'ST' AS state_prov, 'Country' AS country,
+    Description AS description, CAST(FoundingDate AS DATE) AS founding_date
+  FROM cmp LEFT JOIN nation n ON cmp.IndustryID = lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0')),
+c2 AS (SELECT *, LEAD(CAST(pts AS DATE)) OVER (PARTITION BY company_id ORDER BY pts) AS nd FROM c1),
+c3 AS (SELECT *, CAST(pts AS DATE) AS effective_date FROM c2 WHERE nd IS NULL OR nd > CAST(pts AS DATE)),
+c4 AS (SELECT *, ROW(name, status, industry, sp_rating, is_lowgrade, ceo, address_line1, address_line2,
+                      postal_code, city, state_prov, country, description, founding_date) AS attrs FROM c3),
+c5 AS (SELECT * FROM (SELECT *, attrs IS DISTINCT FROM LAG(attrs) OVER (PARTITION BY company_id
+                       ORDER BY effective_date) AS changed FROM c4) WHERE changed),
+company AS (
+  SELECT company_id, name, status, industry, sp_rating, is_lowgrade, ceo, address_line1, address_line2,
+    postal_code, city, state_prov, country, description, founding_date, effective_date,
+    COALESCE(LEAD(effective_date) OVER (PARTITION BY company_id ORDER BY effective_date), DATE '9999-12-31') AS end_date,
+    1 AS batch_id, row_number() OVER (ORDER BY company_id, effective_date) AS sk_companyid
+  FROM c5)"""
+
+_COMPANY_COLS = ("sk_companyid, company_id, name, status, industry, sp_rating, is_lowgrade, ceo, address_line1, "
+                 "address_line2, postal_code, city, state_prov, country, description, founding_date, "
+                 "end_date = DATE '9999-12-31' AS is_current, batch_id, effective_date, end_date")
+
+FINANCIAL_SQL = COMPANY_SQL + "," + FIN_SQL + """,
+financial AS (
+  SELECT c.sk_companyid, CAST(year(f.qstart) AS INTEGER) AS fi_year, CAST(quarter(f.qstart) AS INTEGER) AS fi_qtr,
+    f.qstart AS fi_qtr_start_date, CAST(f.rev AS DECIMAL(15,2)) AS fi_revenue,
+    CAST(f.earn AS DECIMAL(18,4)) AS fi_net_earn,
+    CAST(CAST((CAST(f.earn * 10000 AS BIGINT) * 2 + 100000) // 200000 AS DECIMAL(18,0)) * 0.01 AS DECIMAL(10,2)) AS fi_basic_eps,
+    CAST(CAST((CAST(f.earn * 10000 AS BIGINT) * 2 + 110000) // 220000 AS DECIMAL(18,0)) * 0.01 AS DECIMAL(10,2)) AS fi_dilut_eps,
+    CASE WHEN f.rev <> 0 THEN CAST(CAST((CAST(f.earn * 10000 AS BIGINT) * 2 + CAST(f.rev * 100 AS BIGINT))
+         // (CAST(f.rev * 100 AS BIGINT) * 2) AS DECIMAL(18,0)) * 0.01 AS DECIMAL(10,2)) END AS fi_margin,
+    CAST(0 AS DECIMAL(15,2)) AS fi_inventory, CAST(f.rev AS DECIMAL(15,2)) AS fi_assets,
+    CAST(f.earn AS DECIMAL(18,4)) AS fi_liability, CAST(1000 AS BIGINT) AS fi_out_basic,
+    CAST(1100 AS BIGINT) AS fi_out_dilut
+  FROM fin f JOIN company c
+    ON ((length(f.CoNameOrCIK) = 10 AND CAST(f.CoNameOrCIK AS BIGINT) = c.company_id)
+        OR (length(f.CoNameOrCIK) <> 10 AND f.CoNameOrCIK = c.name))
+   AND f.posting >= c.effective_date AND f.posting < c.end_date)"""
+
+SECURITY_SQL = COMPANY_SQL + "," + SEC_SQL + """,
+s1 AS (
+  SELECT sec.Symbol AS symbol, sec.pts, 'COMMON' AS issue,
+    CASE sec.Status WHEN 'ACTV' THEN 'Active' WHEN 'INAC' THEN 'Inactive' END AS status, sec.Name AS name,
+    'NYSE' AS exchange_id, c.sk_companyid, CAST(p.p_size * 1000 AS BIGINT) AS shares_outstanding,
+    DATE '1995-01-01' AS first_trade, DATE '1995-01-01' AS first_trade_on_exchange, sec.Dividend AS dividend
+  FROM sec JOIN part p ON p.p_partkey = sec.p_partkey JOIN company c
+    ON ((length(sec.CoNameOrCIK) = 10 AND CAST(sec.CoNameOrCIK AS BIGINT) = c.company_id)
+        OR (length(sec.CoNameOrCIK) <> 10 AND sec.CoNameOrCIK = c.name))
+   AND CAST(sec.pts AS DATE) >= c.effective_date AND CAST(sec.pts AS DATE) < c.end_date),
+s2 AS (SELECT *, LEAD(CAST(pts AS DATE)) OVER (PARTITION BY symbol ORDER BY pts) AS nd FROM s1),
+security AS (
+  SELECT symbol, issue, status, name, exchange_id, sk_companyid, shares_outstanding, first_trade,
+    first_trade_on_exchange, dividend, CAST(pts AS DATE) AS effective_date,
+    COALESCE(LEAD(CAST(pts AS DATE)) OVER (PARTITION BY symbol ORDER BY pts), DATE '9999-12-31') AS end_date,
+    1 AS batch_id, row_number() OVER (ORDER BY symbol, CAST(pts AS DATE)) AS sk_securityid
+  FROM s2 WHERE nd IS NULL OR nd > CAST(pts AS DATE))"""
+
+
+# --- T1 ---------------------------------------------------------------------------------------
+
+@query("load_reference", """
+WITH span AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
+dd AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM span)
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS sk_dateid, d AS date_value,
+  strftime(d, '%B %-d, %Y') AS date_desc, CAST(year(d) AS INTEGER) AS calendar_year_id,
+  CAST(year(d) * 10 + quarter(d) AS INTEGER) AS calendar_qtr_id,
+  CAST(year(d) * 100 + month(d) AS INTEGER) AS calendar_month_id, monthname(d) AS calendar_month_desc,
+  CAST(year(d) * 100 + weekofyear(d) AS INTEGER) AS calendar_week_id,
+  CAST(isodow(d) AS INTEGER) AS day_of_week_num, dayname(d) AS day_of_week_desc,
+  CAST(year(d + INTERVAL 6 MONTH) AS INTEGER) AS fiscal_year_id,
+  CAST(year(d + INTERVAL 6 MONTH) * 10 + quarter(d + INTERVAL 6 MONTH) AS INTEGER) AS fiscal_qtr_id,
+  (month(d) = 1 AND day(d) = 1) OR (month(d) = 12 AND day(d) = 25) AS holiday_flag
+FROM dd""")
+def q_load_reference(spark, sf_dir):
+    """Calendar dimension over the span of the order dates."""
+    span = table(spark, sf_dir, "orders").agg(F.min(F.col("o_orderdate").cast("date")).alias("lo"),
+                                              F.max(F.col("o_orderdate").cast("date")).alias("hi"))
+    return W.dim_date("lo", "hi", span)
+
+
+# --- T2 ---------------------------------------------------------------------------------------
+
+@query("dim_broker", """
+SELECT row_number() OVER (ORDER BY n.n_nationkey) AS sk_brokerid, CAST(n.n_nationkey AS BIGINT) AS broker_id,
+  CAST(n.n_regionkey AS BIGINT) AS manager_id, n.n_name AS first_name, r.r_name AS last_name,
+  CAST(NULL AS VARCHAR) AS middle_initial, 'Branch ' || CAST(n.n_regionkey AS VARCHAR) AS branch,
+  'Office ' || CAST(n.n_nationkey AS VARCHAR) AS office, '555-' || lpad(CAST(n.n_nationkey AS VARCHAR), 4, '0') AS phone,
+  true AS is_current, 1 AS batch_id, (SELECT CAST(min(o_orderdate) AS DATE) FROM orders) AS effective_date,
+  DATE '9999-12-31' AS end_date
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE n.n_regionkey <> 0""")
+def q_dim_broker(spark, sf_dir):
+    """HR rows parsed from comma-separated text; job code 314 only; one
+    version from the first calendar day."""
+    return build_broker(spark, sf_dir)
+
+
+# --- T3 ---------------------------------------------------------------------------------------
+
+@query("dim_company", "WITH " + COMPANY_SQL + f" SELECT {_COMPANY_COLS} FROM company")
+def q_dim_company(spark, sf_dir):
+    """CMP records parsed from fixed width -> versioned company dimension."""
+    return build_company(spark, sf_dir).select(*[c.strip().split(" AS ")[-1].split(" ")[-1]
+                                                 for c in _COMPANY_COLS.split(",")])
+
+
+# --- T4 ---------------------------------------------------------------------------------------
+
+_FIN_COLS = ("sk_companyid, fi_year, fi_qtr, fi_qtr_start_date, fi_revenue, fi_net_earn, fi_basic_eps, "
+             "fi_dilut_eps, fi_margin, fi_inventory, fi_assets, fi_liability, fi_out_basic, fi_out_dilut")
+
+
+@query("fact_financial", "WITH " + FINANCIAL_SQL + f" SELECT {_FIN_COLS} FROM financial")
+def q_fact_financial(spark, sf_dir):
+    """FIN records tied to the company version at their posting date by id or name."""
+    return build_financial(spark, sf_dir).select(*[c.strip() for c in _FIN_COLS.split(",")])
+
+
+# --- T5 ---------------------------------------------------------------------------------------
+
+_SEC_COLS = ("sk_securityid, symbol, issue, status, name, exchange_id, sk_companyid, shares_outstanding, "
+             "first_trade, first_trade_on_exchange, dividend, batch_id, effective_date, end_date")
+
+
+@query("dim_security", "WITH " + SECURITY_SQL + f"""
+SELECT {_SEC_COLS}, end_date = DATE '9999-12-31' AS is_current FROM security""")
+def q_dim_security(spark, sf_dir):
+    """SEC records -> versioned security dimension, company at record date."""
+    return build_security(spark, sf_dir).select(*[c.strip() for c in _SEC_COLS.split(",")], "is_current")

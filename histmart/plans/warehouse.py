@@ -133,10 +133,10 @@ def fact_financial(fin_records: DataFrame, company: DataFrame) -> DataFrame:
     return hit.select(
         "sk_companyid", F.col("Year").cast("int").alias("fi_year"), F.col("Quarter").cast("int").alias("fi_qtr"),
         CL.parse_yyyymmdd("QtrStartDate").alias("fi_qtr_start_date"),
-        CL.to_decimal("Revenue", 15, 2).alias("fi_revenue"), CL.to_decimal("Earnings", 15, 2).alias("fi_net_earn"),
+        CL.to_decimal("Revenue", 15, 2).alias("fi_revenue"), CL.to_decimal("Earnings", 18, 4).alias("fi_net_earn"),
         CL.to_decimal("EPS", 10, 2).alias("fi_basic_eps"), CL.to_decimal("DilutedEPS", 10, 2).alias("fi_dilut_eps"),
         CL.to_decimal("Margin", 10, 2).alias("fi_margin"), CL.to_decimal("Inventory", 15, 2).alias("fi_inventory"),
-        CL.to_decimal("Assets", 15, 2).alias("fi_assets"), CL.to_decimal("Liabilities", 15, 2).alias("fi_liability"),
+        CL.to_decimal("Assets", 15, 2).alias("fi_assets"), CL.to_decimal("Liabilities", 18, 4).alias("fi_liability"),
         F.col("ShOut").try_cast("long").alias("fi_out_basic"),
         F.col("DilutedShOut").try_cast("long").alias("fi_out_dilut"))
 
@@ -155,7 +155,7 @@ def dim_security(sec_records: DataFrame, company: DataFrame, statuses: DataFrame
         F.col("ShOut").try_cast("long").alias("shares_outstanding"),
         CL.parse_yyyymmdd("FirstTradeDate").alias("first_trade"),
         CL.parse_yyyymmdd("FirstTradeExchg").alias("first_trade_on_exchange"),
-        CL.to_decimal("Dividend", 10, 2).alias("dividend"))
+        CL.to_decimal("Dividend", 12, 4).alias("dividend"))
     v = H.scd2_intervals(sec, "symbol", "PTS").drop("PTS").withColumn("batch_id", F.lit(1))
     return assign_keys(v, ["symbol", "effective_date"], "sk_securityid")
 
