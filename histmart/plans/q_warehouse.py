@@ -210,3 +210,114 @@ SELECT {_SEC_COLS}, end_date = DATE '9999-12-31' AS is_current FROM security""")
 def q_dim_security(spark, sf_dir):
     """SEC records -> versioned security dimension, company at record date."""
     return build_security(spark, sf_dir).select(*[c.strip() for c in _SEC_COLS.split(",")], "is_current")
+
+
+# --- T7 customer ------------------------------------------------------------------------------
+
+CUSTOMER_SQL = _ACTIONS_SQL + """,
+cs AS (
+  SELECT o_custkey AS customer_id, action_ts AS ts, o_orderkey AS seq, CAST(o_orderkey AS VARCHAR) AS tax_id,
+    last_value(tier IGNORE NULLS) OVER w AS tier,
+    last_value(l_name IGNORE NULLS) OVER w AS last_name,
+    last_value(email IGNORE NULLS) OVER w AS email_raw,
+    last_value(CASE action_type WHEN 'INACT' THEN 'INACTIVE' WHEN 'NEW' THEN 'ACTIVE' END IGNORE NULLS) OVER w AS status,
+    last_value(CASE WHEN is_new THEN lpad(CAST(c_nationkey AS VARCHAR), 5, '0') END IGNORE NULLS) OVER w AS postal_code
+  FROM act
+  WINDOW w AS (PARTITION BY o_custkey ORDER BY action_ts, o_orderkey
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+cs2 AS (SELECT *, LEAD(CAST(ts AS DATE)) OVER (PARTITION BY customer_id ORDER BY ts, seq) AS nd FROM cs),
+customer_v AS (
+  SELECT customer_id, tax_id, status, last_name,
+    CASE WHEN trim(email_raw) = '' THEN NULL ELSE email_raw END AS email1, tier, postal_code,
+    CAST(ts AS DATE) AS effective_date,
+    COALESCE(LEAD(CAST(ts AS DATE)) OVER (PARTITION BY customer_id ORDER BY ts, seq), DATE '9999-12-31') AS end_date,
+    1 AS batch_id, row_number() OVER (ORDER BY customer_id, CAST(ts AS DATE)) AS sk_customerid
+  FROM cs2 WHERE nd IS NULL OR nd > CAST(ts AS DATE))"""
+
+_CUSTOMER_COLS = ("sk_customerid, customer_id, tax_id, status, last_name, email1, tier, postal_code, "
+                  "batch_id, effective_date, end_date")
+
+
+@query("dim_customer", "WITH " + CUSTOMER_SQL + f"""
+SELECT {_CUSTOMER_COLS}, end_date = DATE '9999-12-31' AS is_current FROM customer_v""")
+def q_dim_customer(spark, sf_dir):
+    """Customer actions parsed from XML, forward-filled in time order (absent
+    fields take the running state, empty ones are values), one version per
+    action day."""
+    return build_customer(spark, sf_dir).select(*[c.strip() for c in _CUSTOMER_COLS.split(",")], "is_current")
+
+
+# --- T10 account ------------------------------------------------------------------------------
+
+ACCOUNT_SQL = CUSTOMER_SQL + """,
+acc AS (SELECT CAST(o_custkey * 2 + i AS BIGINT) AS account_id, o_custkey AS customer_id,
+               CAST(c_nationkey AS BIGINT) AS broker_id, 'Account ' || CAST(i AS VARCHAR) AS account_desc,
+               CAST(i + 1 AS INTEGER) AS tax_status
+        FROM act, (VALUES (0), (1)) t(i) WHERE is_new),
+broker AS (SELECT row_number() OVER (ORDER BY n_nationkey) AS sk_brokerid, CAST(n_nationkey AS BIGINT) AS broker_id,
+                  (SELECT CAST(min(o_orderdate) AS DATE) FROM orders) AS effective_date,
+                  DATE '9999-12-31' AS end_date
+           FROM nation WHERE n_regionkey <> 0),
+account_v AS (
+  SELECT a.account_id, b.sk_brokerid, c.sk_customerid, c.status, a.account_desc, a.tax_status,
+    1 AS batch_id, c.effective_date, c.end_date,
+    row_number() OVER (ORDER BY a.account_id, c.effective_date) AS sk_accountid
+  FROM acc a JOIN customer_v c ON a.customer_id = c.customer_id
+  LEFT JOIN broker b ON a.broker_id = b.broker_id AND c.effective_date >= b.effective_date
+   AND c.effective_date < b.end_date)"""
+
+_ACCOUNT_COLS = ("sk_accountid, account_id, sk_brokerid, sk_customerid, status, account_desc, tax_status, "
+                 "batch_id, effective_date, end_date")
+
+
+@query("dim_account", "WITH " + ACCOUNT_SQL + f"""
+SELECT {_ACCOUNT_COLS}, end_date = DATE '9999-12-31' AS is_current FROM account_v""")
+def q_dim_account(spark, sf_dir):
+    """Accounts listed in NEW actions (explode); every customer version opens
+    a version of each of its accounts (cascade); broker as of the start."""
+    return build_account(spark, sf_dir).select(*[c.strip() for c in _ACCOUNT_COLS.split(",")], "is_current")
+
+
+# --- T6 prospect ------------------------------------------------------------------------------
+
+@query("prospect_load", "WITH " + CUSTOMER_SQL + """,
+pr AS (
+  SELECT 'P' || CAST(c_custkey AS VARCHAR) AS agency_id,
+    CASE WHEN c_custkey % 6 = 0 THEN c_name || ' Jr' ELSE c_name END AS ln,
+    'F' || CAST(c_nationkey AS VARCHAR) AS fn,
+    list_element(['m', 'F', 'x', '', NULL], CAST(c_custkey % 5 + 1 AS INTEGER)) AS g,
+    list_element(['s', 'M', 'd', 'W', 'q', 'w'], CAST(c_custkey % 6 + 1 AS INTEGER)) AS ms,
+    list_element(['o', 'R', 'x'], CAST(c_custkey % 3 + 1 AS INTEGER)) AS orf,
+    lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS postal,
+    CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE CAST((c_custkey * 104729) % 300001 AS BIGINT) END AS income,
+    CAST((c_custkey // 7) % 6 AS INTEGER) AS cars, CAST(c_custkey % 6 AS INTEGER) AS children,
+    CAST(18 + c_custkey % 70 AS INTEGER) AS age, CAST(300 + (c_custkey * 13) % 550 AS INTEGER) AS credit_rating,
+    CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST((c_custkey // 3) % 9 AS INTEGER) END AS cards,
+    CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE CAST((c_custkey * 7919) % 2000001 AS BIGINT) END AS net_worth
+  FROM customer)
+SELECT agency_id, 20000101 AS sk_recorddateid, 20000101 AS sk_updatedateid, 1 AS batch_id,
+  EXISTS (SELECT 1 FROM customer_v cv WHERE cv.end_date = DATE '9999-12-31' AND cv.status = 'ACTIVE'
+          AND upper(cv.last_name) IS NOT DISTINCT FROM upper(pr.ln)
+          AND cv.postal_code IS NOT DISTINCT FROM pr.postal) AS is_customer,
+  coalesce(ln, '') AS last_name, coalesce(fn, '') AS first_name,
+  CASE WHEN upper(g) IN ('M', 'F') THEN upper(g) ELSE 'U' END AS gender,
+  CASE WHEN upper(ms) IN ('S', 'M', 'D', 'W') THEN upper(ms) ELSE 'U' END AS marital_status,
+  CASE WHEN upper(orf) IN ('O', 'R') THEN upper(orf) ELSE 'U' END AS own_or_rent,
+  postal AS postal_code, income, net_worth, children AS number_children, cards AS number_credit_cards, age,
+  credit_rating, cars AS number_cars,
+  nullif(concat_ws('+',
+    CASE WHEN net_worth IS NOT NULL AND income IS NOT NULL AND (net_worth > 1000000 OR income > 200000) THEN 'HighValue' END,
+    CASE WHEN children IS NOT NULL AND cards IS NOT NULL AND (children > 3 OR cards > 5) THEN 'Expenses' END,
+    CASE WHEN age IS NOT NULL AND age > 45 THEN 'Boomer' END,
+    CASE WHEN income IS NOT NULL AND credit_rating IS NOT NULL AND net_worth IS NOT NULL
+          AND (income < 50000 OR credit_rating < 600 OR net_worth < 100000) THEN 'MoneyAlert' END,
+    CASE WHEN cars IS NOT NULL AND cards IS NOT NULL AND (cars > 3 OR cards > 7) THEN 'Spender' END,
+    CASE WHEN age IS NOT NULL AND net_worth IS NOT NULL AND age < 25 AND net_worth > 1000000 THEN 'Inherited' END
+  ), '') AS marketing_nameplate
+FROM pr""")
+def q_prospect_load(spark, sf_dir):
+    """Prospect file: normalised codes, marketing tags, and the is-customer
+    flag against current active customers (null-safe)."""
+    cust = build_customer(spark, sf_dir).where(F.col("is_current") & (F.col("status") == "ACTIVE")) \
+        .select("last_name", "postal_code")
+    return W.prospect_load(A.prospect_records(spark, sf_dir), cust, BATCH_DATE)
