@@ -104,7 +104,7 @@ _COMPANY_COLS = ("sk_companyid, company_id, name, status, industry, sp_rating, i
                  "address_line2, postal_code, city, state_prov, country, description, founding_date, "
                  "end_date = DATE '9999-12-31' AS is_current, batch_id, effective_date, end_date")
 
-FINANCIAL_SQL = COMPANY_SQL + "," + FIN_SQL + """,
+FINANCIAL_PART = """
 financial AS (
   SELECT c.sk_companyid, CAST(year(f.qstart) AS INTEGER) AS fi_year, CAST(quarter(f.qstart) AS INTEGER) AS fi_qtr,
     f.qstart AS fi_qtr_start_date, CAST(f.rev AS DECIMAL(15,2)) AS fi_revenue,
@@ -120,8 +120,9 @@ financial AS (
     ON ((length(f.CoNameOrCIK) = 10 AND CAST(f.CoNameOrCIK AS BIGINT) = c.company_id)
         OR (length(f.CoNameOrCIK) <> 10 AND f.CoNameOrCIK = c.name))
    AND f.posting >= c.effective_date AND f.posting < c.end_date)"""
+FINANCIAL_SQL = COMPANY_SQL + "," + FIN_SQL + "," + FINANCIAL_PART
 
-SECURITY_SQL = COMPANY_SQL + "," + SEC_SQL + """,
+SECURITY_PART = """
 s1 AS (
   SELECT sec.Symbol AS symbol, sec.pts, 'COMMON' AS issue,
     CASE sec.Status WHEN 'ACTV' THEN 'Active' WHEN 'INAC' THEN 'Inactive' END AS status, sec.Name AS name,
@@ -138,6 +139,7 @@ security AS (
     COALESCE(LEAD(CAST(pts AS DATE)) OVER (PARTITION BY symbol ORDER BY pts), DATE '9999-12-31') AS end_date,
     1 AS batch_id, row_number() OVER (ORDER BY symbol, CAST(pts AS DATE)) AS sk_securityid
   FROM s2 WHERE nd IS NULL OR nd > CAST(pts AS DATE))"""
+SECURITY_SQL = COMPANY_SQL + "," + SEC_SQL + "," + SECURITY_PART
 
 
 # --- T1 ---------------------------------------------------------------------------------------
@@ -321,3 +323,144 @@ def q_prospect_load(spark, sf_dir):
     cust = build_customer(spark, sf_dir).where(F.col("is_current") & (F.col("status") == "ACTIVE")) \
         .select("last_name", "postal_code")
     return W.prospect_load(A.prospect_records(spark, sf_dir), cust, BATCH_DATE)
+
+
+# --- T12 trade ------------------------------------------------------------------------------
+
+TRADE_SQL = (COMPANY_SQL + "," + SEC_SQL + "," + SECURITY_PART + "," + ACCOUNT_SQL.split(_ACTIONS_SQL, 1)[0]
+             + _ACTIONS_SQL + ACCOUNT_SQL.split(_ACTIONS_SQL, 1)[1] + """,
+ol AS (SELECT l_orderkey, CAST(sum(l_quantity) AS INTEGER) AS qty, min(l_partkey) AS part,
+              max(l_shipdate) AS max_ship,
+              CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS comm,
+              CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_tax AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS tax
+       FROM lineitem GROUP BY 1),
+tr AS (SELECT o.o_orderkey AS t_id, o.o_orderdate, o.o_orderstatus, o.o_custkey, o.o_totalprice, ol.*
+       FROM orders o JOIN ol ON o.o_orderkey = ol.l_orderkey),
+th AS (SELECT t_id, o_orderdate AS ts, CASE WHEN t_id % 2 = 0 THEN 'PNDG' ELSE 'SBMT' END AS st FROM tr
+       UNION ALL
+       SELECT t_id, greatest(max_ship, o_orderdate) + INTERVAL 12 HOUR,
+              CASE WHEN o_orderstatus = 'F' THEN 'CMPT' ELSE 'CNCL' END
+       FROM tr WHERE o_orderstatus IN ('F', 'P')),
+life AS (SELECT t_id, min(ts) FILTER (WHERE st IN ('PNDG', 'SBMT')) AS create_ts,
+                max(ts) FILTER (WHERE st IN ('CMPT', 'CNCL')) AS close_ts FROM th GROUP BY t_id),
+trade AS (
+  SELECT tr.t_id AS trade_id, a.sk_brokerid,
+    CAST(strftime(l.create_ts, '%Y%m%d') AS INTEGER) AS sk_createdateid,
+    CAST(hour(l.create_ts) * 3600 + minute(l.create_ts) * 60 + second(l.create_ts) AS INTEGER) AS sk_createtimeid,
+    CAST(strftime(l.close_ts, '%Y%m%d') AS INTEGER) AS sk_closedateid,
+    CAST(hour(l.close_ts) * 3600 + minute(l.close_ts) * 60 + second(l.close_ts) AS INTEGER) AS sk_closetimeid,
+    CASE tr.o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'P' THEN 'Canceled' ELSE 'Submitted' END AS status,
+    list_element(['Limit-Buy', 'Limit-Sell', 'Market Buy', 'Market Sell'], CAST(tr.t_id % 4 + 1 AS INTEGER)) AS type,
+    tr.t_id % 3 <> 0 AS cash_flag, s.sk_securityid, s.sk_companyid, tr.qty AS quantity,
+    CAST(tr.o_totalprice AS DECIMAL(10,2)) AS bid_price, a.sk_customerid, a.sk_accountid,
+    'exec ' || CAST(tr.t_id % 10 AS VARCHAR) AS executed_by,
+    CASE WHEN tr.o_orderstatus = 'F' THEN CAST(tr.o_totalprice AS DECIMAL(10,2)) END AS trade_price,
+    CAST(tr.qty AS DECIMAL(10,2)) AS fee, tr.comm AS commission, tr.tax, 1 AS batch_id
+  FROM tr JOIN life l ON tr.t_id = l.t_id
+  JOIN security s ON s.symbol = 'S' || lpad(CAST(tr.part AS VARCHAR), 9, '0')
+   AND CAST(l.create_ts AS DATE) >= s.effective_date AND CAST(l.create_ts AS DATE) < s.end_date
+  JOIN account_v a ON a.account_id = tr.o_custkey * 2 + tr.t_id % 2
+   AND CAST(l.create_ts AS DATE) >= a.effective_date AND CAST(l.create_ts AS DATE) < a.end_date)""")
+
+
+@query("dim_trade", "WITH " + TRADE_SQL + " SELECT * FROM trade")
+def q_dim_trade(spark, sf_dir):
+    """Trades with lifecycle stamps from their history, code names, and the
+    security and account versions in force at creation."""
+    return build_trade(spark, sf_dir)
+
+
+# --- T14 cash ---------------------------------------------------------------------------------
+
+@query("fact_cash", "WITH " + ACCOUNT_SQL + """,
+ct AS (SELECT user_id * 2 + event_id % 2 AS ca_id, ts,
+              CASE WHEN event_type = 'purchase' THEN -CAST(value AS DECIMAL(15,2))
+                   ELSE CAST(value AS DECIMAL(15,2)) END AS amt FROM events),
+daily AS (SELECT ca_id, CAST(ts AS DATE) AS day, CAST(sum(amt) AS DECIMAL(38,2)) AS day_net FROM ct GROUP BY 1, 2),
+bal AS (SELECT *, CAST(sum(day_net) OVER (PARTITION BY ca_id ORDER BY day
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,2)) AS cash FROM daily)
+SELECT a.sk_customerid, a.sk_accountid, CAST(strftime(bal.day, '%Y%m%d') AS INTEGER) AS sk_dateid,
+       bal.cash, 1 AS batch_id
+FROM bal JOIN account_v a ON a.account_id = bal.ca_id AND bal.day >= a.effective_date AND bal.day < a.end_date""")
+def q_fact_cash(spark, sf_dir):
+    """Cash transactions -> one row per account and day, running balance,
+    keys of the account version of that day."""
+    return W.fact_cash(A.cash_records(spark, sf_dir), build_account(spark, sf_dir))
+
+
+# --- T15 holdings ------------------------------------------------------------------------------
+
+@query("fact_holdings", "WITH " + TRADE_SQL + """
+SELECT l.l_orderkey AS trade_id, l.l_orderkey AS current_trade_id, t.sk_customerid, t.sk_accountid,
+       t.sk_securityid, t.sk_companyid, t.trade_price AS current_price,
+       CAST(l.l_quantity AS INTEGER) AS current_holding, t.sk_closedateid AS sk_dateid,
+       t.sk_closetimeid AS sk_timeid, 1 AS batch_id
+FROM lineitem l JOIN trade t ON l.l_orderkey = t.trade_id""")
+def q_fact_holdings(spark, sf_dir):
+    """Holding changes enriched with the keys and price of their trade."""
+    return W.fact_holdings(A.holding_records(spark, sf_dir), build_trade(spark, sf_dir))
+
+
+# --- T16 market history ---------------------------------------------------------------------
+
+@query("fact_market", "WITH " + COMPANY_SQL + "," + FIN_SQL + "," + FINANCIAL_PART + "," + SEC_SQL + ","
+       + SECURITY_PART + """,
+dm AS (SELECT 'S' || lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS sym, CAST(l_shipdate AS DATE) AS day,
+              arg_max(CAST(l_extendedprice AS DECIMAL(15,2)), l_orderkey * 100 + l_linenumber) AS close,
+              max(CAST(l_extendedprice AS DECIMAL(15,2))) AS hi, min(CAST(l_extendedprice AS DECIMAL(15,2))) AS lo,
+              CAST(sum(l_quantity) AS BIGINT) AS vol
+       FROM lineitem GROUP BY l_partkey, CAST(l_shipdate AS DATE)),
+roll AS (SELECT dm.*, max(hi) OVER w AS high_365, min(lo) OVER w AS low_365 FROM dm
+         WINDOW w AS (PARTITION BY sym ORDER BY day RANGE BETWEEN INTERVAL 364 DAYS PRECEDING AND CURRENT ROW)),
+roll2 AS (SELECT r.*,
+  (SELECT max(d.day) FROM dm d WHERE d.sym = r.sym AND d.day > r.day - INTERVAL 365 DAY AND d.day <= r.day
+     AND d.hi = r.high_365) AS high_date,
+  (SELECT max(d.day) FROM dm d WHERE d.sym = r.sym AND d.day > r.day - INTERVAL 365 DAY AND d.day <= r.day
+     AND d.lo = r.low_365) AS low_date
+  FROM roll r),
+eps AS (SELECT c.company_id, f.fi_qtr_start_date AS q, sum(f.fi_basic_eps) AS eps
+        FROM financial f JOIN company c ON f.sk_companyid = c.sk_companyid GROUP BY 1, 2),
+eps4 AS (SELECT company_id, q, sum(eps) OVER (PARTITION BY company_id ORDER BY q
+                ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS eps_4q FROM eps),
+mk AS (SELECT s.sk_securityid, s.sk_companyid, s.dividend, c.company_id, r.*
+       FROM roll2 r JOIN security s ON s.symbol = r.sym AND r.day >= s.effective_date AND r.day < s.end_date
+       LEFT JOIN company c ON c.sk_companyid = s.sk_companyid)
+SELECT mk.sk_securityid, mk.sk_companyid, CAST(strftime(mk.day, '%Y%m%d') AS INTEGER) AS sk_dateid,
+  CAST(mk.close AS DOUBLE) / NULLIF(CAST(e.eps_4q AS DOUBLE), 0) AS pe_ratio,
+  CAST(mk.dividend AS DOUBLE) / NULLIF(CAST(mk.close AS DOUBLE), 0) * 100 AS yield,
+  mk.high_365 AS fifty_two_week_high, CAST(strftime(mk.high_date, '%Y%m%d') AS INTEGER) AS sk_fiftytwoweekhighdate,
+  mk.low_365 AS fifty_two_week_low, CAST(strftime(mk.low_date, '%Y%m%d') AS INTEGER) AS sk_fiftytwoweeklowdate,
+  mk.close AS close_price, mk.hi AS day_high, mk.lo AS day_low, mk.vol AS volume, 1 AS batch_id
+FROM mk LEFT JOIN eps4 e ON e.company_id = mk.company_id AND e.q >= mk.day - INTERVAL 3 MONTH AND e.q < mk.day""")
+def q_fact_market(spark, sf_dir):
+    """Daily market with 52-week extremes and their dates, yield, and P/E on
+    the company's trailing four quarters of EPS."""
+    parsed = _finwire(spark, sf_dir)
+    company = build_company(spark, sf_dir, parsed)
+    security = build_security(spark, sf_dir, company, parsed)
+    financial = build_financial(spark, sf_dir, company, parsed)
+    return W.fact_market(A.market_records(spark, sf_dir), security, company, financial)
+
+
+# --- T17 watches ------------------------------------------------------------------------------
+
+@query("fact_watches", "WITH " + COMPANY_SQL + "," + SEC_SQL + "," + SECURITY_PART + "," + CUSTOMER_SQL + """,
+w AS (SELECT user_id AS c_id,
+             'S' || lpad(CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 50 AS VARCHAR), 9, '0') AS sym,
+             ts, CASE WHEN event_type = 'click' THEN 'ACTV' ELSE 'CNCL' END AS act
+      FROM events WHERE event_type IN ('click', 'error')),
+wg AS (SELECT c_id, sym, min(ts) FILTER (WHERE act = 'ACTV') AS placed,
+              max(ts) FILTER (WHERE act = 'CNCL') AS removed FROM w GROUP BY 1, 2)
+SELECT cv.sk_customerid, s.sk_securityid, CAST(strftime(wg.placed, '%Y%m%d') AS INTEGER) AS sk_dateid_dateplaced,
+       CAST(strftime(wg.removed, '%Y%m%d') AS INTEGER) AS sk_dateid_dateremoved, 1 AS batch_id
+FROM wg JOIN customer_v cv ON cv.customer_id = wg.c_id
+   AND CAST(wg.placed AS DATE) >= cv.effective_date AND CAST(wg.placed AS DATE) < cv.end_date
+JOIN security s ON s.symbol = wg.sym
+   AND CAST(wg.placed AS DATE) >= s.effective_date AND CAST(wg.placed AS DATE) < s.end_date
+WHERE wg.placed IS NOT NULL""")
+def q_fact_watches(spark, sf_dir):
+    """Watch actions collapsed per (customer, symbol): first placement, last
+    cancel; customer and security versions of the placement day."""
+    parsed = _finwire(spark, sf_dir)
+    security = build_security(spark, sf_dir, None, parsed)
+    return W.fact_watches(A.watch_records(spark, sf_dir), build_customer(spark, sf_dir), security)
