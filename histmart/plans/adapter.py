@@ -54,6 +54,7 @@ def company_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     years = table(spark, sf_dir, "orders").agg(
         F.min(F.year("o_orderdate")).alias("lo"), F.max(F.year("o_orderdate")).alias("hi"))
+    # scalar subqueries: evaluated inside the plan, not as driver-side jobs
     lo, hi = years.select("lo").scalar(), years.select("hi").scalar()
     # one year before the first order, so securities and trades of the first
     # year find a company version
@@ -242,7 +243,11 @@ def action_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<TaxInfo><C_LCL_TX_ID>"), F.col("o_orderkey").cast("string"), F.lit("</C_LCL_TX_ID></TaxInfo>"),
         F.when(F.col("is_new"), acct).otherwise(F.lit("")),
         F.lit("</Customer></Action>"))
-    return a.select(xml.alias("value"))
+    # XML parsing is CPU-bound per row while the text is small in bytes, so
+    # AQE would coalesce it into very few tasks: spread it over the shuffle
+    # partitions (an explicit count is kept by AQE)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return a.select(xml.alias("value")).repartition(n)
 
 
 # --- orders as delimited text -----------------------------------------------------
