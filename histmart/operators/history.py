@@ -98,13 +98,14 @@ def carry_forward(df: DataFrame, key, order: Sequence[str], cols: Sequence[str])
 def scd2_apply(target: DataFrame, changes: DataFrame, key, attrs: Sequence[str],
                eff: str, order: Sequence[str] = (), sk_col: str | None = "sk",
                eff_col: str = "effective_date", end_col: str = "end_date",
-               current_col: str = "is_current") -> DataFrame:
+               current_col: str = "is_current", detect_changes: bool = True) -> DataFrame:
     """Merge a change batch into a versioned dimension by rewrite (K4).
 
     ``target`` carries key, attrs, eff/end/current (and ``sk_col``).  Closed
     versions and current versions of untouched keys pass through without a
     window; only current versions of changed keys are re-versioned together
-    with the (day-consolidated, change-detected) changes.  New versions get
+    with the (day-consolidated, change-detected) changes; with
+    ``detect_changes=False`` every change row opens a version.  New versions get
     surrogate keys above the target's maximum.  The caller writes the result
     to a new version directory; nothing is updated in place.
     """
@@ -126,7 +127,7 @@ def scd2_apply(target: DataFrame, changes: DataFrame, key, attrs: Sequence[str],
         *( [F.lit(None).cast(target.schema[sk_col].dataType).alias(sk_col)] if sk_col else []),
         F.lit(1).alias("__src"))
     merged = scd2_intervals(cur_rec.unionByName(chg_rec), key, "__eff",
-                            order=["__src", *order], attrs=attrs,
+                            order=["__src", *order], attrs=attrs if detect_changes else None,
                             eff_col=eff_col, end_col=end_col, current_col=current_col)
     merged = merged.drop("__eff", "__src", *order)
 

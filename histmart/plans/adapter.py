@@ -413,3 +413,42 @@ def watch_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("S"), F.lpad(sym.cast("string"), 9, "0")).alias("W_S_SYMB"),
                     F.col("ts").alias("W_DTS"),
                     F.when(F.col("event_type") == "click", F.lit("ACTV")).otherwise(F.lit("CNCL")).alias("W_ACTION"))
+
+
+# --- change-data files of batch 2 ----------------------------------------------------------
+
+def _dsn(ts: Column, seq: Column) -> Column:
+    """A change sequence number that follows time: seconds since the epoch in
+    the high bits, the record's own id in the low 28 bits."""
+    return F.shiftleft(F.unix_seconds(ts.cast("timestamp")), 28) + seq
+
+
+def customer_cdc_text(states: DataFrame, lo: str, hi: str) -> DataFrame:
+    """Customer.txt of a change batch: the full customer state after every
+    action in [lo, hi), 2 CDC columns + 33 customer columns, pipe-separated."""
+    s = states.where((F.col("ts") >= F.lit(lo).cast("timestamp")) & (F.col("ts") < F.lit(hi).cast("timestamp")))
+    empty = F.lit("")
+
+    def v(c):
+        return F.coalesce(c.cast("string"), empty)
+    fields = [F.when(F.col("action") == "NEW", F.lit("I")).otherwise(F.lit("U")), v(_dsn(F.col("ts"), F.col("seq"))),
+              v(F.col("customer_id")), v(F.col("tax_id")),
+              v(F.when(F.col("status") == "INACTIVE", F.lit("INAC")).when(F.col("status") == "ACTIVE", F.lit("ACTV"))),
+              v(F.col("last_name")), empty, empty, empty, v(F.col("tier")), empty, empty, empty,
+              v(F.col("postal_code")), empty, empty, empty] + [empty] * 12 + \
+             [v(F.col("email1")), empty, v(F.col("tax_id")), empty]
+    return s.select(F.concat_ws("|", *fields).alias("value"))
+
+
+TRADE_CDC_SHORT = "CDC_FLAG string, CDC_DSN long, T_ID long, T_DTS timestamp_ntz, T_ST_ID string"
+
+
+def trade_cdc_text(history: DataFrame, lo: str, hi: str) -> DataFrame:
+    """Trade change rows of a batch: an insert at creation, an update at
+    completion or cancel (flag, DSN, id, time, status)."""
+    h = history.where((F.col("TH_DTS") >= F.lit(lo).cast("timestamp_ntz"))
+                      & (F.col("TH_DTS") < F.lit(hi).cast("timestamp_ntz")))
+    flag = F.when(F.col("TH_ST_ID").isin("PNDG", "SBMT"), F.lit("I")).otherwise(F.lit("U"))
+    return h.select(F.concat_ws("|", flag, _dsn(F.col("TH_DTS"), F.col("TH_T_ID")).cast("string"),
+                                F.col("TH_T_ID").cast("string"),
+                                F.date_format("TH_DTS", "yyyy-MM-dd HH:mm:ss"), F.col("TH_ST_ID")).alias("value"))

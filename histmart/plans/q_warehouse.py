@@ -8,6 +8,7 @@ computes the same table straight from the tables.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from histmart.plans import adapter as A
 from histmart.plans import warehouse as W
@@ -467,3 +468,137 @@ def q_fact_watches(spark, sf_dir):
     parsed = _finwire(spark, sf_dir)
     security = build_security(spark, sf_dir, None, parsed)
     return W.fact_watches(A.watch_records(spark, sf_dir), build_customer(spark, sf_dir), security)
+
+
+# --- change batch 2: T8, T11, T13 ----------------------------------------------------------
+
+B2_LO, B2_HI, B2_DATE = "2000-01-01", "2001-01-01", "2001-01-01"
+
+
+def build_customer_cdc(spark, sf_dir, actions=None):
+    from histmart.sources import schemas as S
+
+    actions = actions if actions is not None else _actions(spark, sf_dir)
+    base = W.dim_customer(actions.where(F.col("_ActionTS") < F.lit(B2_LO).cast("timestamp")))
+    text = A.customer_cdc_text(W.customer_states(actions), B2_LO, B2_HI)
+    rows = R.parse_delimited(text, "value", S.CUSTOMER_CDC)
+    return W.dim_customer_cdc(base, rows, B2_DATE)
+
+
+_CDC_CUST_SQL = CUSTOMER_SQL + f""",
+b1 AS (SELECT *, LEAD(CAST(ts AS DATE)) OVER (PARTITION BY customer_id ORDER BY ts, seq) AS nd
+       FROM cs WHERE ts < TIMESTAMP '{B2_LO}'),
+cbase AS (
+  SELECT customer_id, tax_id, status, last_name,
+    CASE WHEN trim(email_raw) = '' THEN NULL ELSE email_raw END AS email1, tier, postal_code,
+    CAST(ts AS DATE) AS effective_date,
+    COALESCE(LEAD(CAST(ts AS DATE)) OVER (PARTITION BY customer_id ORDER BY ts, seq), DATE '9999-12-31') AS end0,
+    row_number() OVER (ORDER BY customer_id, CAST(ts AS DATE)) AS sk_customerid
+  FROM b1 WHERE nd IS NULL OR nd > CAST(ts AS DATE)),
+cchg AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY ts DESC, seq DESC) AS rn
+                        FROM cs WHERE ts >= TIMESTAMP '{B2_LO}' AND ts < TIMESTAMP '{B2_HI}') x WHERE rn = 1),
+customer2 AS (
+  SELECT b.customer_id, b.tax_id, b.status, b.last_name, b.email1, b.tier, b.postal_code, b.effective_date,
+    CASE WHEN b.end0 = DATE '9999-12-31' AND c.customer_id IS NOT NULL THEN DATE '{B2_DATE}' ELSE b.end0 END AS end_date,
+    1 AS batch_id, b.sk_customerid
+  FROM cbase b LEFT JOIN cchg c ON b.customer_id = c.customer_id
+  UNION ALL
+  SELECT customer_id, tax_id, status, last_name, CASE WHEN trim(email_raw) = '' THEN NULL ELSE email_raw END,
+    tier, postal_code, DATE '{B2_DATE}', DATE '9999-12-31', 2,
+    (SELECT count(*) FROM cbase) + row_number() OVER (ORDER BY customer_id)
+  FROM cchg)"""
+
+
+@query("dim_customer_cdc", "WITH " + _CDC_CUST_SQL + f"""
+SELECT {_CUSTOMER_COLS}, end_date = DATE '9999-12-31' AS is_current FROM customer2""")
+def q_dim_customer_cdc(spark, sf_dir):
+    """Batch 2 of the customer dimension: the customer changes of the batch
+    written as a 35-column CDC file, parsed, reduced to the highest DSN per
+    customer and merged into the batch-1 dimension (new versions from the
+    batch date, new keys above the maximum)."""
+    return build_customer_cdc(spark, sf_dir).select(*[c.strip() for c in _CUSTOMER_COLS.split(",")],
+                                                    "is_current")
+
+
+@query("dim_account_cdc", "WITH " + _CDC_CUST_SQL + f""",
+acc2 AS (SELECT CAST(o_custkey * 2 + i AS BIGINT) AS account_id, o_custkey AS customer_id,
+                CAST(c_nationkey AS BIGINT) AS broker_id, 'Account ' || CAST(i AS VARCHAR) AS account_desc,
+                CAST(i + 1 AS INTEGER) AS tax_status
+         FROM act, (VALUES (0), (1)) t(i) WHERE is_new AND action_ts < TIMESTAMP '{B2_HI}'),
+broker AS (SELECT row_number() OVER (ORDER BY n_nationkey) AS sk_brokerid, CAST(n_nationkey AS BIGINT) AS broker_id,
+                  (SELECT CAST(min(o_orderdate) AS DATE) FROM orders) AS effective_date,
+                  DATE '9999-12-31' AS end_date
+           FROM nation WHERE n_regionkey <> 0),
+abase AS (
+  SELECT a.account_id, b.sk_brokerid, c.sk_customerid, c.status, a.account_desc, a.tax_status,
+    c.effective_date, c.end0, row_number() OVER (ORDER BY a.account_id, c.effective_date) AS sk_accountid
+  FROM acc2 a JOIN cbase c ON a.customer_id = c.customer_id
+  LEFT JOIN broker b ON a.broker_id = b.broker_id AND c.effective_date >= b.effective_date
+   AND c.effective_date < b.end_date),
+anew AS (
+  SELECT a.account_id, b.sk_brokerid, c2.sk_customerid, c2.status, a.account_desc, a.tax_status
+  FROM acc2 a JOIN customer2 c2 ON a.customer_id = c2.customer_id AND c2.batch_id = 2
+  LEFT JOIN broker b ON a.broker_id = b.broker_id AND b.end_date = DATE '9999-12-31'),
+account2 AS (
+  SELECT ab.account_id, ab.sk_brokerid, ab.sk_customerid, ab.status, ab.account_desc, ab.tax_status,
+    ab.effective_date,
+    CASE WHEN ab.end0 = DATE '9999-12-31' AND EXISTS (SELECT 1 FROM anew WHERE anew.account_id = ab.account_id)
+         THEN DATE '{B2_DATE}' ELSE ab.end0 END AS end_date,
+    1 AS batch_id, ab.sk_accountid
+  FROM abase ab
+  UNION ALL
+  SELECT account_id, sk_brokerid, sk_customerid, status, account_desc, tax_status, DATE '{B2_DATE}',
+    DATE '9999-12-31', 2, (SELECT count(*) FROM abase) + row_number() OVER (ORDER BY account_id)
+  FROM anew)
+SELECT {_ACCOUNT_COLS}, end_date = DATE '9999-12-31' AS is_current FROM account2""")
+def q_dim_account_cdc(spark, sf_dir):
+    """Batch 2 of the account dimension: every new customer version of the
+    batch cascades to a new version of each of the customer's accounts."""
+    from histmart.sources.readers import explode_accounts
+
+    actions = _actions(spark, sf_dir)
+    b1 = actions.where(F.col("_ActionTS") < F.lit(B2_LO).cast("timestamp"))
+    broker = build_broker(spark, sf_dir)
+    base = W.dim_account(b1, W.dim_customer(b1), broker)
+    customer2 = build_customer_cdc(spark, sf_dir, actions)
+    accounts = explode_accounts(actions.where((F.col("_ActionType") == "NEW")
+                                              & (F.col("_ActionTS") < F.lit(B2_HI).cast("timestamp")))).select(
+        F.col("CA_ID").alias("account_id"), F.col("C_ID").alias("customer_id"),
+        F.col("CA_B_ID").alias("broker_id"), F.col("CA_NAME").alias("account_desc"),
+        F.col("CA_TAX_ST").alias("tax_status"))
+    out = W.dim_account_cdc(base, accounts, customer2, broker, B2_DATE)
+    return out.select(*[c.strip() for c in _ACCOUNT_COLS.split(",")], "is_current")
+
+
+_TRADE_HIST_SQL = """
+ol AS (SELECT l_orderkey, max(l_shipdate) AS max_ship FROM lineitem GROUP BY 1),
+tr AS (SELECT o.o_orderkey AS t_id, o.o_orderdate, o.o_orderstatus, ol.max_ship
+       FROM orders o JOIN ol ON o.o_orderkey = ol.l_orderkey),
+th AS (SELECT t_id, o_orderdate AS ts, CASE WHEN t_id % 2 = 0 THEN 'PNDG' ELSE 'SBMT' END AS st FROM tr
+       UNION ALL
+       SELECT t_id, greatest(max_ship, o_orderdate) + INTERVAL 12 HOUR,
+              CASE WHEN o_orderstatus = 'F' THEN 'CMPT' ELSE 'CNCL' END
+       FROM tr WHERE o_orderstatus IN ('F', 'P'))"""
+
+
+@query("dim_trade_cdc", "WITH " + _TRADE_HIST_SQL + f""",
+lf AS (SELECT t_id, min(ts) FILTER (WHERE st IN ('PNDG', 'SBMT')) AS create_ts,
+              max(ts) FILTER (WHERE st IN ('CMPT', 'CNCL')) AS close_ts, arg_max(st, ts) AS st
+       FROM th WHERE ts < TIMESTAMP '{B2_HI}' GROUP BY t_id)
+SELECT t_id AS trade_id,
+  CASE st WHEN 'PNDG' THEN 'Pending' WHEN 'SBMT' THEN 'Submitted' WHEN 'CMPT' THEN 'Completed'
+          WHEN 'CNCL' THEN 'Canceled' END AS status,
+  CAST(strftime(create_ts, '%Y%m%d') AS INTEGER) AS sk_createdateid,
+  CAST(hour(create_ts) * 3600 + minute(create_ts) * 60 + second(create_ts) AS INTEGER) AS sk_createtimeid,
+  CAST(strftime(close_ts, '%Y%m%d') AS INTEGER) AS sk_closedateid,
+  CAST(hour(close_ts) * 3600 + minute(close_ts) * 60 + second(close_ts) AS INTEGER) AS sk_closetimeid,
+  CASE WHEN create_ts >= TIMESTAMP '{B2_LO}' THEN 2 ELSE 1 END AS batch_id
+FROM lf WHERE create_ts IS NOT NULL""")
+def q_dim_trade_cdc(spark, sf_dir):
+    """Batch 2 of the trade table: insert rows create trades, completion and
+    cancel rows close them; batch-1 trades keep their create stamps."""
+    hist = A.trade_history(spark, sf_dir)
+    base_hist = hist.where(F.col("TH_DTS") < F.lit(B2_LO).cast("timestamp_ntz"))
+    rows = R.parse_delimited(A.trade_cdc_text(hist, B2_LO, B2_HI), "value",
+                             StructType.fromDDL(A.TRADE_CDC_SHORT))
+    return W.dim_trade_cdc(base_hist, rows, W.status_types(spark), B2_LO)

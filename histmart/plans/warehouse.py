@@ -361,3 +361,89 @@ class Warehouse:
     customer: DataFrame
     account: DataFrame
     trade: DataFrame
+
+
+# --- change batches (T8, T11, T13) ------------------------------------------------------
+
+CUSTOMER_ATTRS = ["tax_id", "status", "last_name", "email1", "tier", "postal_code"]
+
+
+def customer_changes(cdc_rows: DataFrame, batch_date) -> DataFrame:
+    """Customer CDC rows -> one change per customer (highest DSN, D12/D17),
+    effective on the batch date."""
+    from histmart.operators.cdc import latest_per_key
+
+    last = latest_per_key(cdc_rows, "C_ID", ["CDC_DSN"])
+    return last.select(
+        F.col("C_ID").alias("customer_id"), F.col("C_TAX_ID").alias("tax_id"),
+        F.when(F.col("C_ST_ID") == "INAC", F.lit("INACTIVE")).when(F.col("C_ST_ID") == "ACTV", F.lit("ACTIVE"))
+         .alias("status"),
+        F.col("C_L_NAME").alias("last_name"), F.col("C_EMAIL_1").alias("email1"), F.col("C_TIER").alias("tier"),
+        F.col("C_ZIPCODE").alias("postal_code"), F.lit(batch_date).cast("timestamp").alias("__ts"),
+        F.col("CDC_DSN").alias("__dsn"))
+
+
+def _with_batch(df: DataFrame, batch_date, batch_id: int) -> DataFrame:
+    return df.withColumn("batch_id", F.when(F.col("effective_date") >= F.lit(batch_date).cast("date"),
+                                            F.lit(batch_id)).otherwise(F.lit(batch_id - 1)))
+
+
+def dim_customer_cdc(base: DataFrame, cdc_rows: DataFrame, batch_date, batch_id: int = 2) -> DataFrame:
+    """Change batch for the customer dimension (T8): every changed customer
+    gets a new version from the batch date (K4); new customers are inserted."""
+    chg = customer_changes(cdc_rows, batch_date)
+    tgt = base.drop("batch_id")
+    out = H.scd2_apply(tgt, chg, "customer_id", CUSTOMER_ATTRS, "__ts", order=["__dsn"],
+                       sk_col="sk_customerid", detect_changes=False)
+    return _with_batch(out, batch_date, batch_id)
+
+
+def dim_account_cdc(base: DataFrame, accounts: DataFrame, customer: DataFrame, broker: DataFrame,
+                    batch_date, batch_id: int = 2) -> DataFrame:
+    """Change batch for the account dimension (T11): each new customer version
+    of the batch opens a version of every account of that customer with the
+    new customer surrogate and status (K8, rule D16); broker is the current
+    one (J7)."""
+    new_cust = customer.where(F.col("batch_id") == batch_id).select(
+        "customer_id", "sk_customerid", "status", "effective_date")
+    casc = H.cascade_versions(new_cust, accounts, "customer_id", "customer_id", carry=["status"],
+                              parent_sk="sk_customerid", child_parent_sk="sk_customerid")
+    casc = L.lookup_current(casc, broker, "broker_id", "broker_id", ["sk_brokerid"])
+    chg = casc.select("account_id", "sk_brokerid", "sk_customerid", "status", "account_desc", "tax_status",
+                      F.col("cascade_eff").cast("timestamp").alias("__ts"))
+    tgt = base.drop("batch_id")
+    out = H.scd2_apply(tgt, chg, "account_id", ["sk_brokerid", "sk_customerid", "status", "account_desc",
+                                                "tax_status"], "__ts", sk_col="sk_accountid",
+                       detect_changes=False)
+    return _with_batch(out, batch_date, batch_id)
+
+
+def trade_lifecycle(history: DataFrame) -> DataFrame:
+    life = FX.lifecycle_collapse(history, "TH_T_ID", "TH_DTS", "TH_ST_ID", ["PNDG", "SBMT"], ["CMPT", "CNCL"])
+    return life.select(F.col("TH_T_ID").alias("trade_id"), "create_ts", "close_ts",
+                       F.col("last_status").alias("status_id"))
+
+
+def dim_trade_cdc(base_history: DataFrame, cdc_rows: DataFrame, statuses: DataFrame,
+                  batch_date, batch_id: int = 2) -> DataFrame:
+    """Change batch for the trade table (T13): an insert row sets the create
+    stamp, a completion or cancel row the close stamp and status (K5; the
+    create stamp of an existing trade is kept)."""
+    from histmart.operators.cdc import cdc_upsert
+
+    base = trade_lifecycle(base_history).where(F.col("create_ts").isNotNull())
+    rows = cdc_rows.select(
+        F.col("T_ID").alias("trade_id"), F.col("CDC_DSN").alias("dsn"),
+        F.when(F.col("CDC_FLAG") == "I", F.col("T_DTS")).alias("create_ts"),
+        F.when(F.col("T_ST_ID").isin("CMPT", "CNCL"), F.col("T_DTS")).alias("close_ts"),
+        F.col("T_ST_ID").alias("status_id"))
+    chg = FX.last_nonnull(rows, "trade_id", ["dsn"], ["create_ts", "close_ts", "status_id"])
+    t = cdc_upsert(base, chg, "trade_id", keep_from_target=["create_ts"])
+    t = L.lookup_code(t, statuses, "status_id", "ST_ID")
+    secs = lambda c: (F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)).cast("int")
+    return t.select(
+        "trade_id", F.col("ST_NAME").alias("status"),
+        date_key(F.col("create_ts")).alias("sk_createdateid"), secs(F.col("create_ts")).alias("sk_createtimeid"),
+        date_key(F.col("close_ts")).alias("sk_closedateid"), secs(F.col("close_ts")).alias("sk_closetimeid"),
+        F.when(F.col("create_ts") >= F.lit(batch_date).cast("timestamp"), F.lit(batch_id))
+         .otherwise(F.lit(batch_id - 1)).alias("batch_id"))
