@@ -1,8 +1,10 @@
 """Type-2 history: version intervals, change detection, forward fill, merge.
 
-All window work is partitioned by the business key only, so the version
-pipeline (consolidate a day -> detect change -> close intervals) costs one
-shuffle: every later window reuses the same hash partitioning and sort.
+Records are first reduced to one per key and day with a map-side aggregate;
+every window after that is partitioned by the business key over day-level
+rows, so a key holding a large share of the records costs its number of
+days in one task, not its number of records.  Change detection and interval
+closing share one hash partitioning and sort.
 """
 
 from __future__ import annotations
@@ -35,15 +37,16 @@ def consolidate_day(df: DataFrame, key, eff: str, order: Sequence[str] = (),
     """Keep the last record per key and calendar day of ``eff``.
 
     ``order`` breaks ties inside a timestamp; key + eff + order must be a total
-    order.  Uses ``lead`` over a key-partitioned window rather than a
-    (key, day) window so later key windows reuse the partitioning.
+    order.  A ``max_by`` aggregate per (key, day): it combines map-side, so a
+    key holding a large share of the records is reduced before the shuffle,
+    and every later key window sees at most one row per day.
     """
     key = _cols(key)
-    w = Window.partitionBy(*key).orderBy(F.col(eff), *[F.col(c) for c in order])
-    day = F.to_date(F.col(eff))
-    nxt = F.lead(day).over(w)
-    out = df.withColumn("__next_day", nxt).where(
-        F.col("__next_day").isNull() | (F.col("__next_day") > day)).drop("__next_day")
+    rest = [c for c in df.columns if c not in key]
+    ordering = F.struct(F.col(eff), *[F.col(c) for c in order])
+    out = (df.groupBy(*key, F.to_date(F.col(eff)).alias("__day"))
+             .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), ordering).alias("__r"))
+             .select(*key, "__r.*"))
     if day_col:
         out = out.withColumn(day_col, F.to_date(F.col(eff)))
     return out
@@ -83,16 +86,46 @@ def scd2_intervals(df: DataFrame, key, eff: str, order: Sequence[str] = (),
     return out.withColumn(current_col, F.col(end_col) == _eot())
 
 
-def carry_forward(df: DataFrame, key, order: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def _default_chunk(df: DataFrame, col: str) -> Column:
+    """Day of a temporal ordering column, blocks of 4096 of an integral one."""
+    t = dict(df.dtypes)[col]
+    if t in ("date", "timestamp", "timestamp_ntz"):
+        return F.to_date(F.col(col))
+    if t in ("int", "bigint", "smallint", "tinyint"):
+        return F.floor(F.col(col) / 4096).cast("long")
+    return F.lit(0)
+
+
+def carry_forward(df: DataFrame, key, order: Sequence[str], cols: Sequence[str],
+                  chunk: Column | None = None) -> DataFrame:
     """Fill each column with the latest non-null value seen so far for the key.
 
     An absent field (null) takes the running state; an empty string is a value
     and is kept (W8).  Turn '' to null *after* this step when needed.
+
+    A segmented prefix scan in chunks (default: the day of a temporal first
+    ordering column, or blocks of an integral one), so no task sorts all rows
+    of a hot key:
+    1. last non-null per (key, chunk) - a map-side aggregate;
+    2. state before each chunk - a window over chunk-level rows per key;
+    3. fill inside each (key, chunk), falling back to that state.
     """
     key = _cols(key)
-    w = (Window.partitionBy(*key).orderBy(*[F.col(c) for c in order])
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
+    chunk = chunk if chunk is not None else _default_chunk(df, order[0])
+    d = df.withColumn("__chunk", chunk)
+    o = F.struct(*[F.col(c) for c in order])
+    per_chunk = d.groupBy(*key, "__chunk").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), o)).alias(f"__l_{c}") for c in cols])
+    before = Window.partitionBy(*key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    state = per_chunk.select(*[F.col(k).alias(f"__k_{k}") for k in key], F.col("__chunk").alias("__c"),
+                             *[F.last(f"__l_{c}", ignorenulls=True).over(before).alias(f"__p_{c}") for c in cols])
+    on = [F.col(k) == F.col(f"__k_{k}") for k in key] + [F.col("__chunk") == F.col("__c")]
+    j = d.join(state, on, "left")
+    inside = (Window.partitionBy(*key, "__chunk").orderBy(*[F.col(c) for c in order])
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    j = j.withColumns({c: F.coalesce(F.last(F.col(c), ignorenulls=True).over(inside), F.col(f"__p_{c}"))
+                       for c in cols})
+    return j.select(*df.columns)
 
 
 def scd2_apply(target: DataFrame, changes: DataFrame, key, attrs: Sequence[str],

@@ -29,9 +29,10 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
     ``strategy='join'``: equi hash join on the business key with the range as
     residual (versions per key are few); AQE's skew join splits a hot key on
-    the fact side.  ``strategy='carry'``: union facts and version starts, sort
-    once by key and time, carry the last version forward - no row
-    multiplication for keys with very long version lists.
+    the fact side.  ``strategy='carry'``: for keys with very long version
+    lists - the version in force is resolved once per (key, fact day) by a
+    carry-forward over day-level rows, then equi-joined back to the facts on
+    (key, day): no row multiplication, and versions are day-granular.
     """
     dim_cols = list(dim_cols) if dim_cols is not None else [
         c for c in dim.columns if c not in (dim_key,)]
@@ -47,26 +48,24 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
 
 def _asof_carry(fact, dim, fact_key, dim_key, ts, eff, end, how, dim_cols):
+    """Version in force per (key, fact day), found by carrying the last
+    version start forward over day-level rows, then joined back to the facts
+    on (key, day).  Both sides of the window are at most one row per key and
+    day, so a hot key is bounded by its number of days."""
     payload = F.struct(*[F.col(c) for c in dim_cols])
-    f = fact.select(F.col(fact_key).alias("__k"), F.col(ts).cast("timestamp").alias("__t"),
-                    F.lit(1).alias("__side"), F.struct(*[F.col(c) for c in fact.columns]).alias("__f"),
-                    F.lit(None).cast(dim.select(payload.alias("p")).schema["p"].dataType).alias("__d"))
-    d = dim.select(F.col(dim_key).alias("__k"), F.col(eff).cast("timestamp").alias("__t"),
-                   F.lit(0).alias("__side"),
-                   F.lit(None).cast(fact.select(F.struct(*fact.columns).alias("s")).schema["s"].dataType)
-                   .alias("__f"), payload.alias("__d"))
-    w = (Window.partitionBy("__k").orderBy("__t", "__side")
+    ptype = dim.select(payload.alias("p")).schema["p"].dataType
+    days = (fact.select(F.col(fact_key).alias("__k"), F.to_date(F.col(ts)).alias("__d")).distinct()
+                .select("__k", "__d", F.lit(1).alias("__side"), F.lit(None).cast(ptype).alias("__p")))
+    starts = dim.select(F.col(dim_key).alias("__k"), F.to_date(F.col(eff)).alias("__d"), F.lit(0).alias("__side"),
+                        payload.alias("__p"))
+    w = (Window.partitionBy("__k").orderBy("__d", "__side")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = (f.unionByName(d).withColumn("__d", F.last("__d", ignorenulls=True).over(w))
-         .where(F.col("__side") == 1))
-    out = u.select("__f.*", "__t", "__d.*")
-    in_force = F.col(end).isNotNull() & (F.to_date("__t") < F.col(end))
-    if how == "inner":
-        out = out.where(in_force)
-    else:
-        out = out.select(*fact.columns, *[F.when(in_force, F.col(c)).alias(c) for c in dim_cols],
-                         "__t")
-    return out.drop("__t")
+    resolved = (days.unionByName(starts).withColumn("__p", F.last("__p", ignorenulls=True).over(w))
+                    .where(F.col("__side") == 1)
+                    .where(F.col("__p").isNotNull() & (F.col("__d") < F.col(f"__p.{end}")))
+                    .select(F.col("__k").alias("__rk"), F.col("__d").alias("__rd"), "__p"))
+    j = fact.join(resolved, (F.col(fact_key) == F.col("__rk")) & (F.to_date(F.col(ts)) == F.col("__rd")), how)
+    return j.select(*fact.columns, *[F.col(f"__p.{c}").alias(c) for c in dim_cols])
 
 
 def asof_dual_key(fact: DataFrame, ref_col: str, ts: str, dim: DataFrame,

@@ -266,15 +266,24 @@ WHERE EXISTS (SELECT 1 FROM iv b WHERE b.o_custkey = a.o_custkey
 GROUP BY a.o_custkey""")
 def q_interval_overlap(spark, sf_dir):
     """Intervals [order date, last ship date) overlapping an earlier interval of
-    the same customer: running max of earlier ends, not a theta self join."""
+    the same customer: running max of earlier ends (per start day, then
+    within the day), not a theta self join."""
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
     iv = (li.groupBy("l_orderkey").agg(F.max("l_shipdate").cast("date").alias("e"))
             .join(o, F.col("l_orderkey") == o.o_orderkey)
             .select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("s"), "e"))
-    w = (Window.partitionBy("o_custkey").orderBy("s", "o_orderkey")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    flagged = iv.withColumn("__prev_end", F.max("e").over(w)).where(F.col("__prev_end") > F.col("s"))
+    # latest end among intervals that start on earlier days: a running max
+    # over one row per (customer, start day)
+    per_day = iv.groupBy("o_custkey", F.col("s").alias("__d")).agg(F.max("e").alias("__de"))
+    earlier_days = Window.partitionBy("o_custkey").orderBy("__d").rowsBetween(Window.unboundedPreceding, -1)
+    per_day = per_day.select(F.col("o_custkey").alias("__c"), "__d",
+                             F.max("__de").over(earlier_days).alias("__prev_days"))
+    # earlier intervals of the same start day, by order key
+    same_day = Window.partitionBy("o_custkey", "s").orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, -1)
+    j = iv.join(per_day, (F.col("o_custkey") == F.col("__c")) & (F.col("s") == F.col("__d")), "left")
+    prev_end = F.greatest(F.col("__prev_days"), F.max("e").over(same_day))
+    flagged = j.withColumn("__prev_end", prev_end).where(F.col("__prev_end") > F.col("s"))
     return flagged.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("overlapping"))
 
 

@@ -135,3 +135,16 @@ def test_assign_keys_dense_in_order_over_partitions(spark):
     got = [(r.k, r.sk) for r in out.orderBy("k").collect()]
     assert [sk for _, sk in got] == list(range(101, 5101))
     assert [k for k, _ in got] == list(range(5000))
+
+
+def test_carry_forward_crosses_day_chunks(spark):
+    # the chunked scan must carry state over days with no value at all
+    df = spark.createDataFrame([
+        (1, T(2020, 1, 1, 9), "a", None), (1, T(2020, 1, 1, 10), None, "x"),
+        (1, T(2020, 1, 2, 8), None, None), (1, T(2020, 1, 5, 8), None, "y"),
+        (1, T(2020, 1, 5, 9), "b", None), (2, T(2020, 1, 5, 9), None, "z"),
+    ], "k long, ts timestamp, v string, w string")
+    out = H.carry_forward(df, "k", ["ts"], ["v", "w"])
+    assert rows(out, "k", "ts", "v", "w") == [
+        (1, T(2020, 1, 1, 9), "a", None), (1, T(2020, 1, 1, 10), "a", "x"), (1, T(2020, 1, 2, 8), "a", "x"),
+        (1, T(2020, 1, 5, 8), "a", "y"), (1, T(2020, 1, 5, 9), "b", "y"), (2, T(2020, 1, 5, 9), None, "z")]
