@@ -17,7 +17,7 @@ Mapping (SURVEY 7.3):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histmart.functions.clean import VALID_SP_RATINGS
@@ -252,15 +252,11 @@ def action_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- orders as delimited text -----------------------------------------------------
 
-def orders_text(spark: SparkSession, sf_dir: str, cdc: bool = False) -> DataFrame:
+def orders_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     cols = [F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus"),
             F.col("o_totalprice").cast("string"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
             F.col("o_orderpriority")]
-    if cdc:
-        first = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-        cols = [F.when(F.row_number().over(first) == 1, F.lit("I")).otherwise(F.lit("U")),
-                F.col("o_orderkey").cast("string")] + cols
     return o.select(F.concat_ws("|", *cols).alias("value"))
 
 
