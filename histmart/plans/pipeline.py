@@ -115,3 +115,87 @@ def batch_alerts(actions: DataFrame, cmp_records: DataFrame, trades: DataFrame,
         Q.alerts(market, F.col("pe_ratio").isNull(), "FactMarketHistory", "No earnings for company",
                  [("SK_SECURITYID", F.col("sk_securityid")), ("SK_DATEID", F.col("sk_dateid"))], batch_id),
     ])
+
+
+def change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: int) -> dict[str, DataFrame]:
+    """Apply one change batch: read the last complete version of
+    each table, apply the batch's CDC files, write version ``batch_id``.
+
+    Customer (T8), account with cascade (T11), trade (T13, K5), cash carried
+    from the last balance (D8), market with a 364-day look-back (D9),
+    watches merged on business keys (K7); alerts appended once.
+    """
+    def path(name):
+        return os.path.join(batch_dir, name)
+
+    def latest(name):
+        return sinks.read_latest(spark, os.path.join(out_root, name))
+
+    batch_date = R.read_batch_date(spark, path("BatchDate.txt"))
+    t: dict[str, DataFrame] = {}
+    statuses, types, broker = latest("status_type"), latest("trade_type"), latest("dim_broker")
+
+    cust_rows = R.read_cdc(spark, path("Customer.txt"), S.CUSTOMER_CDC)
+    prev_customer = latest("dim_customer")
+    t["dim_customer"] = _save(W.dim_customer_cdc(prev_customer, cust_rows, batch_date, batch_id),
+                              out_root, "dim_customer", batch_id)
+
+    acct_rows = R.read_cdc(spark, path("Account.txt"), S.ACCOUNT_CDC)
+    accounts = W.account_changes(latest("dim_account"), prev_customer, broker, acct_rows)
+    t["dim_account"] = _save(W.dim_account_cdc(latest("dim_account"), accounts, t["dim_customer"], broker,
+                                               batch_date, batch_id), out_root, "dim_account", batch_id)
+
+    # trades: lifecycle by K5, keys of new trades from the current versions
+    trade_rows = R.read_cdc(spark, path("Trade.txt"), S.TRADE_CDC)
+    security = latest("dim_security")
+    trade = W.trade_change_batch(latest("dim_trade"), trade_rows, security, t["dim_account"], statuses, types,
+                                 batch_id)
+    t["dim_trade"] = _save(trade, out_root, "dim_trade", batch_id)
+
+    # cash: continue from the last balance of each account
+    cash_rows = R.read_cdc(spark, path("CashTransaction.txt"), S.CASH_CDC).drop("CDC_FLAG", "CDC_DSN")
+    prev_cash = latest("fact_cash")
+    opening = W.opening_balances(prev_cash, t["dim_account"])
+    cash = W.fact_cash(cash_rows, t["dim_account"], opening=opening).withColumn("batch_id", F.lit(batch_id))
+    t["fact_cash"] = _save(prev_cash.unionByName(cash), out_root, "fact_cash", batch_id)
+
+    # holdings of the batch, enriched from the new trade version
+    hold_rows = R.read_cdc(spark, path("HoldingHistory.txt"), S.HOLDING_CDC).drop("CDC_FLAG", "CDC_DSN")
+    hold = W.fact_holdings(hold_rows, t["dim_trade"]).withColumn("batch_id", F.lit(batch_id))
+    t["fact_holdings"] = _save(latest("fact_holdings").unionByName(hold), out_root, "fact_holdings", batch_id)
+
+    # market: rolling windows look back over earlier raw rows
+    mkt_new = R.read_cdc(spark, path("DailyMarket.txt"), S.MARKET_CDC).drop("CDC_FLAG", "CDC_DSN")
+    raw_root = os.path.join(out_root, "raw_daily_market")
+    prev_raw = sinks.read_latest(spark, raw_root)
+    both = W.market_with_lookback(prev_raw, mkt_new)
+    mk = W.fact_market(both, security, latest("dim_company"), latest("financial")) \
+        .withColumn("batch_id", F.lit(batch_id))
+    t["fact_market"] = _save(latest("fact_market").unionByName(mk), out_root, "fact_market", batch_id)
+    sinks.write_version(mkt_new if prev_raw is None else prev_raw.unionByName(mkt_new), raw_root, batch_id)
+
+    # watches merged on business keys across surrogate versions (K7)
+    watch_rows = R.read_cdc(spark, path("WatchHistory.txt"), S.WATCH_CDC).drop("CDC_FLAG", "CDC_DSN")
+    t["fact_watches"] = _save(W.watch_change_batch(latest("fact_watches"), watch_rows, prev_customer,
+                                                   t["dim_customer"], security, batch_id),
+                              out_root, "fact_watches", batch_id)
+
+    msgs = batch_alerts_cdc(cust_rows, trade_rows, batch_date, batch_id)
+    sinks.append_messages(msgs, os.path.join(out_root, "dimessages"))
+    return t
+
+
+def batch_alerts_cdc(cust_rows: DataFrame, trade_rows: DataFrame, batch_date, batch_id: int) -> DataFrame:
+    """Alerts of a change batch from its CDC rows."""
+    bd = F.lit(batch_date).cast("date")
+    qty_price = F.col("T_TRADE_PRICE") * F.col("T_QTY")
+    return Q.union_messages([
+        Q.alerts(cust_rows, Q.invalid_domain(F.col("C_TIER"), [1, 2, 3]), "DimCustomer", "Invalid customer tier",
+                 [("C_ID", F.col("C_ID")), ("C_TIER", F.col("C_TIER"))], batch_id),
+        Q.alerts(cust_rows, Q.dob_out_of_range(F.col("C_DOB"), bd), "DimCustomer", "DOB out of range",
+                 [("C_ID", F.col("C_ID")), ("C_DOB", F.col("C_DOB"))], batch_id),
+        Q.alerts(trade_rows, F.col("T_COMM") > qty_price, "DimTrade", "Invalid trade commission",
+                 [("T_ID", F.col("T_ID")), ("T_COMM", F.col("T_COMM"))], batch_id),
+        Q.alerts(trade_rows, F.col("T_CHRG") > qty_price, "DimTrade", "Invalid trade fee",
+                 [("T_ID", F.col("T_ID")), ("T_CHRG", F.col("T_CHRG"))], batch_id),
+    ])

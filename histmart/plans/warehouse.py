@@ -307,6 +307,8 @@ def fact_market(market: DataFrame, security: DataFrame, company: DataFrame, fina
     the company's trailing four quarters of EPS (W7, J11 as equi key on the
     prior quarter start, rule D19: joined on the company id)."""
     r = FX.rolling_extremes(market, "DM_S_SYMB", "DM_DATE", "DM_HIGH", "DM_LOW", days=365)
+    if "__new" in market.columns:  # look-back rows of earlier batches only feed the windows (D9)
+        r = r.where(F.col("__new")).drop("__new")
     sec = security.select("symbol", "sk_securityid", "sk_companyid", "dividend", "effective_date", "end_date")
     r = L.asof_lookup(r, sec, "DM_S_SYMB", "symbol", "DM_DATE",
                       dim_cols=["sk_securityid", "sk_companyid", "dividend", "effective_date", "end_date"]) \
@@ -447,3 +449,116 @@ def dim_trade_cdc(base_history: DataFrame, cdc_rows: DataFrame, statuses: DataFr
         date_key(F.col("close_ts")).alias("sk_closedateid"), secs(F.col("close_ts")).alias("sk_closetimeid"),
         F.when(F.col("create_ts") >= F.lit(batch_date).cast("timestamp"), F.lit(batch_id))
          .otherwise(F.lit(batch_id - 1)).alias("batch_id"))
+
+
+def account_changes(prev_account: DataFrame, prev_customer: DataFrame, broker: DataFrame,
+                    account_rows: DataFrame) -> DataFrame:
+    """Account list for a change batch: the current accounts of the previous
+    version (business keys recovered from the surrogates with equi joins)
+    overlaid with the latest Account.txt row per account (G8, D12)."""
+    from histmart.operators.cdc import latest_per_key
+
+    cust = prev_customer.select(F.col("sk_customerid").alias("__csk"), F.col("customer_id").alias("__cid"))
+    brk = broker.select(F.col("sk_brokerid").alias("__bsk"), F.col("broker_id").alias("__bid"))
+    cur = (prev_account.where(F.col("is_current"))
+           .join(cust, F.col("sk_customerid") == F.col("__csk"), "left")
+           .join(F.broadcast(brk), F.col("sk_brokerid") == F.col("__bsk"), "left")
+           .select("account_id", F.col("__cid").alias("customer_id"), F.col("__bid").alias("broker_id"),
+                   "account_desc", "tax_status"))
+    new = latest_per_key(account_rows, "CA_ID", ["CDC_DSN"]).select(
+        F.col("CA_ID").alias("account_id"), F.col("CA_C_ID").alias("customer_id"),
+        F.col("CA_B_ID").alias("broker_id"), F.col("CA_NAME").alias("account_desc"),
+        F.col("CA_TAX_ST").alias("tax_status"))
+    return cur.join(new.select("account_id"), "account_id", "left_anti").unionByName(new)
+
+
+def market_with_lookback(previous_raw: DataFrame | None, new_raw: DataFrame, days: int = 365) -> DataFrame:
+    """Rolling windows of a change batch see the last ``days - 1`` days of
+    earlier raw market rows too (rule D9); only the batch's own rows are
+    returned by the caller's filter on ``__new``."""
+    new = new_raw.withColumn("__new", F.lit(True))
+    if previous_raw is None:
+        return new
+    first = new_raw.agg(F.min("DM_DATE")).scalar()
+    old = previous_raw.where(F.col("DM_DATE") >= F.date_sub(first, days - 1)).where(F.col("DM_DATE") < first)
+    return old.withColumn("__new", F.lit(False)).unionByName(new)
+
+
+def opening_balances(prev_cash: DataFrame, account: DataFrame) -> DataFrame:
+    """Last balance per account id of the previous batches (rule D8)."""
+    acc = account.select(F.col("sk_accountid").alias("__ask"), F.col("account_id").alias("CT_CA_ID"))
+    last = prev_cash.groupBy("sk_accountid").agg(F.max_by("cash", "sk_dateid").alias("opening"),
+                                                 F.max("sk_dateid").alias("__d"))
+    per_id = last.join(acc, F.col("sk_accountid") == F.col("__ask"))
+    return per_id.groupBy("CT_CA_ID").agg(F.max_by("opening", "__d").alias("opening"))
+
+
+def trade_change_batch(prev: DataFrame, rows: DataFrame, security: DataFrame, account: DataFrame,
+                       statuses: DataFrame, types: DataFrame, batch_id: int) -> DataFrame:
+    """Trade CDC rows of a batch merged into the trade table.
+
+    Rows collapse per trade to the last non-null value of each field (G5);
+    an insert sets the create stamps, a completion or cancel the close
+    stamps.  New trades take the current security and account versions
+    (J7); existing trades keep their keys and create stamps.
+    """
+    from histmart.operators.cdc import cdc_upsert
+
+    secs = lambda c: (F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)).cast("int")
+    r = rows.select(
+        "T_ID", "CDC_DSN", F.when(F.col("CDC_FLAG") == "I", F.col("T_DTS")).alias("create_ts"),
+        F.when(F.col("T_ST_ID").isin("CMPT", "CNCL"), F.col("T_DTS")).alias("close_ts"),
+        "T_ST_ID", "T_TT_ID", "T_IS_CASH", "T_S_SYMB", "T_QTY", "T_BID_PRICE", "T_CA_ID", "T_EXEC_NAME",
+        "T_TRADE_PRICE", "T_CHRG", "T_COMM", "T_TAX")
+    fields = [c for c in r.columns if c not in ("T_ID", "CDC_DSN")]
+    c = FX.last_nonnull(r, "T_ID", ["CDC_DSN"], fields)
+    c = L.lookup_current(c, security, "T_S_SYMB", "symbol", ["sk_securityid", "sk_companyid"])
+    c = L.lookup_current(c, account, "T_CA_ID", "account_id", ["sk_accountid", "sk_customerid", "sk_brokerid"])
+    c = L.lookup_code(c, statuses, "T_ST_ID", "ST_ID")
+    c = L.lookup_code(c, types.select("TT_ID", "TT_NAME"), "T_TT_ID", "TT_ID")
+    chg = c.select(
+        F.col("T_ID").alias("trade_id"), "sk_brokerid",
+        date_key(F.col("create_ts")).alias("sk_createdateid"), secs(F.col("create_ts")).alias("sk_createtimeid"),
+        date_key(F.col("close_ts")).alias("sk_closedateid"), secs(F.col("close_ts")).alias("sk_closetimeid"),
+        F.col("ST_NAME").alias("status"), F.col("TT_NAME").alias("type"), F.col("T_IS_CASH").alias("cash_flag"),
+        "sk_securityid", "sk_companyid", F.col("T_QTY").alias("quantity"), F.col("T_BID_PRICE").alias("bid_price"),
+        "sk_customerid", "sk_accountid", F.col("T_EXEC_NAME").alias("executed_by"),
+        F.col("T_TRADE_PRICE").alias("trade_price"), F.col("T_CHRG").alias("fee"),
+        F.col("T_COMM").alias("commission"), F.col("T_TAX").alias("tax"), F.lit(batch_id).alias("batch_id"))
+    chg = chg.select(*[F.col(x).cast(prev.schema[x].dataType) for x in prev.columns])
+    keep = ["sk_brokerid", "sk_createdateid", "sk_createtimeid", "sk_securityid", "sk_companyid",
+            "sk_customerid", "sk_accountid", "batch_id"]
+    return cdc_upsert(prev, chg, "trade_id", keep_from_target=keep).select(*prev.columns)
+
+
+def watch_change_batch(prev: DataFrame, rows: DataFrame, prev_customer: DataFrame, customer: DataFrame,
+                       security: DataFrame, batch_id: int) -> DataFrame:
+    """Watch rows of a batch merged into the watch fact (K7, rule D24).
+
+    Stored rows name customer and security by surrogate; both are resolved
+    to business keys (equi joins on the surrogate), merged with the batch on
+    (customer, symbol): first placement kept, latest cancel wins; merged
+    rows point at the current customer version.  No all-pairs of versions.
+    """
+    cust_key = prev_customer.select(F.col("sk_customerid").alias("__csk"), F.col("customer_id").alias("__cid"))
+    sec_key = security.select(F.col("sk_securityid").alias("__ssk"), F.col("symbol").alias("__sym"))
+    stored = (prev.join(cust_key, F.col("sk_customerid") == F.col("__csk"))
+                  .join(sec_key, F.col("sk_securityid") == F.col("__ssk"))
+                  .select(F.col("__cid").alias("W_C_ID"), F.col("__sym").alias("W_S_SYMB"),
+                          "sk_customerid", "sk_securityid", "sk_dateid_dateplaced", "sk_dateid_dateremoved",
+                          "batch_id"))
+    w = rows.groupBy("W_C_ID", "W_S_SYMB").agg(
+        F.min(F.when(F.col("W_ACTION") == "ACTV", F.col("W_DTS"))).alias("placed"),
+        F.max(F.when(F.col("W_ACTION") == "CNCL", F.col("W_DTS"))).alias("removed"))
+    w = L.lookup_current(w, customer, "W_C_ID", "customer_id", ["sk_customerid"])
+    w = L.lookup_current(w, security, "W_S_SYMB", "symbol", ["sk_securityid"])
+    new = w.select(F.col("W_C_ID").alias("__c"), F.col("W_S_SYMB").alias("__s"),
+                   F.col("sk_customerid").alias("__nsk"), F.col("sk_securityid").alias("__nssk"),
+                   date_key(F.col("placed")).alias("__p"), date_key(F.col("removed")).alias("__r"))
+    j = stored.join(new, (F.col("W_C_ID") == F.col("__c")) & (F.col("W_S_SYMB") == F.col("__s")), "full_outer")
+    return j.select(
+        F.coalesce("__nsk", "sk_customerid").alias("sk_customerid"),
+        F.coalesce("sk_securityid", "__nssk").alias("sk_securityid"),
+        F.coalesce("sk_dateid_dateplaced", "__p").alias("sk_dateid_dateplaced"),
+        F.coalesce("__r", "sk_dateid_dateremoved").alias("sk_dateid_dateremoved"),
+        F.coalesce(F.col("batch_id"), F.lit(batch_id)).alias("batch_id"))

@@ -11,60 +11,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from histmart.plans import adapter as A
 from histmart.plans import q_warehouse as QW
-from histmart.plans import warehouse as W
 from histmart.plans.pipeline import historical_load
+from rawbatch import write_batch1
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
-def _csv(df, path, sep="|"):
-    (df.coalesce(1).write.option("sep", sep).option("header", "false")
-       .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-       .option("dateFormat", "yyyy-MM-dd").csv(path))
-
-
 @pytest.fixture(scope="module")
 def batch(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("raw")
     b = str(root / "Batch1")
-    os.makedirs(b)
-    lo = A.table(spark, SF, "orders").agg(F.min(F.col("o_orderdate").cast("date")).alias("lo"))
-    span = lo.select("lo", F.lit("2025-12-31").cast("date").alias("hi"))
-    d = W.dim_date("lo", "hi", span)
-    _csv(d.select("sk_dateid", "date_value", "date_desc", "calendar_year_id",
-                  F.col("calendar_year_id").cast("string"), "calendar_qtr_id", F.col("calendar_qtr_id").cast("string"),
-                  "calendar_month_id", "calendar_month_desc", "calendar_week_id",
-                  F.col("calendar_week_id").cast("string"), "day_of_week_num", "day_of_week_desc",
-                  "fiscal_year_id", F.col("fiscal_year_id").cast("string"), "fiscal_qtr_id",
-                  F.col("fiscal_qtr_id").cast("string"), "holiday_flag"), os.path.join(b, "Date.txt"))
-    t = W.dim_time(spark)
-    _csv(t.select("sk_timeid", "time_value", "hour_id", F.col("hour_id").cast("string"), "minute_id",
-                  F.col("minute_id").cast("string"), "second_id", F.col("second_id").cast("string"),
-                  "market_hours_flag", "office_hours_flag"), os.path.join(b, "Time.txt"))
-    _csv(A.industries(spark, SF), os.path.join(b, "Industry.txt"))
-    _csv(W.status_types(spark), os.path.join(b, "StatusType.txt"))
-    _csv(W.trade_types(spark), os.path.join(b, "TradeType.txt"))
-    _csv(A.hr_records(spark, SF), os.path.join(b, "HR.csv"), sep=",")
-    _csv(A.prospect_records(spark, SF), os.path.join(b, "Prospect.csv"), sep=",")
-    A.finwire_lines(spark, SF).coalesce(1).write.text(os.path.join(b, "FINWIRE1999Q1"))
-    lines = [r.value for r in A.action_xml(spark, SF).collect()]  # small fixture (sf0.001)
-    with open(os.path.join(b, "CustomerMgmt.xml"), "w") as fh:
-        fh.write('<?xml version="1.0" encoding="UTF-8"?>\n'
-                 '<tpcdi:Actions xmlns:tpcdi="http://www.tpc.org/tpc-di">\n')
-        for v in lines:
-            fh.write(v.replace("<Action ", "<tpcdi:Action ").replace("</Action>", "</tpcdi:Action>") + "\n")
-        fh.write("</tpcdi:Actions>\n")
-    _csv(A.trade_records(spark, SF), os.path.join(b, "Trade.txt"))
-    _csv(A.trade_history(spark, SF), os.path.join(b, "TradeHistory.txt"))
-    _csv(A.cash_records(spark, SF), os.path.join(b, "CashTransaction.txt"))
-    _csv(A.holding_records(spark, SF), os.path.join(b, "HoldingHistory.txt"))
-    _csv(A.market_records(spark, SF), os.path.join(b, "DailyMarket.txt"))
-    _csv(A.watch_records(spark, SF), os.path.join(b, "WatchHistory.txt"))
-    with open(os.path.join(b, "BatchDate.txt"), "w") as fh:
-        fh.write("2000-01-01\n")
+    write_batch1(spark, SF, b)
     return historical_load(spark, b, str(root / "warehouse"))
 
 
