@@ -123,7 +123,8 @@ def change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: in
 
     Customer (T8), account with cascade (T11), trade (T13, K5), cash carried
     from the last balance (D8), market with a 364-day look-back (D9),
-    watches merged on business keys (K7); alerts appended once.
+    watches merged on business keys (K7), prospects (K6) with their load
+    counters (T18); alerts and counters appended once.
     """
     def path(name):
         return os.path.join(batch_dir, name)
@@ -180,8 +181,20 @@ def change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: in
                                                    t["dim_customer"], security, batch_id),
                               out_root, "fact_watches", batch_id)
 
-    msgs = batch_alerts_cdc(cust_rows, trade_rows, batch_date, batch_id)
+    # prospects: full file again, merged by agency id (K6); counters
+    active = t["dim_customer"].where(F.col("is_current") & (F.col("status") == "ACTIVE")) \
+        .select("last_name", "postal_code")
+    new_prospects = W.prospect_load(R.read_delimited(spark, path("Prospect.csv"), S.PROSPECT, sep=","),
+                                    active, batch_date, batch_id)
+    prospect, counters = W.prospect_change_batch(latest("prospect"), new_prospects, batch_date)
+    t["prospect"] = _save(prospect, out_root, "prospect", batch_id)
+
+    msgs = batch_alerts_cdc(cust_rows, trade_rows, batch_date, batch_id).unionByName(
+        counters.select(F.lit(batch_id).alias("batch_id"), F.lit("Prospect").alias("message_source"),
+                        F.col("counter").alias("message_text"), F.lit("Status").alias("message_type"),
+                        F.col("value").cast("string").alias("message_data")))
     sinks.append_messages(msgs, os.path.join(out_root, "dimessages"))
+    t["dimessages"] = spark.read.parquet(os.path.join(out_root, "dimessages"))
     return t
 
 

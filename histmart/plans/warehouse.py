@@ -562,3 +562,34 @@ def watch_change_batch(prev: DataFrame, rows: DataFrame, prev_customer: DataFram
         F.coalesce("sk_dateid_dateplaced", "__p").alias("sk_dateid_dateplaced"),
         F.coalesce("__r", "sk_dateid_dateremoved").alias("sk_dateid_dateremoved"),
         F.coalesce(F.col("batch_id"), F.lit(batch_id)).alias("batch_id"))
+
+
+PROSPECT_ATTRS = ["last_name", "first_name", "gender", "marital_status", "own_or_rent", "postal_code", "income",
+                  "net_worth", "number_children", "number_credit_cards", "age", "credit_rating", "number_cars",
+                  "marketing_nameplate"]
+
+
+def prospect_change_batch(prev: DataFrame, new: DataFrame, batch_date) -> tuple[DataFrame, DataFrame]:
+    """Prospect file of a change batch merged into the prospect table (K6,
+    T18).  Every row of the file moves its record date; the update date
+    moves only when an attribute other than the customer flag changed
+    (null-safe); prospects absent from the file stay as they are.  Returns
+    (table, counters) with the three load counters of rule D21."""
+    from histmart.operators.cdc import upsert_keep_first
+
+    d = date_key(F.lit(batch_date).cast("date"))
+    merged = upsert_keep_first(prev, new.drop("sk_updatedateid"), "agency_id", first_cols=[],
+                               changed_cols=PROSPECT_ATTRS, stamp_col="sk_updatedateid", stamp_value=d)
+    a, b = prev.alias("a"), new.alias("b")
+    j = b.join(a, F.col("a.agency_id") == F.col("b.agency_id"), "left")
+    changed = F.lit(False)
+    for c in PROSPECT_ATTRS:
+        changed = changed | ~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    counts = j.agg(F.count(F.lit(1)).alias("src"), F.count_if(F.col("a.agency_id").isNull()).alias("ins"),
+                   F.count_if(F.col("a.agency_id").isNotNull() & changed).alias("upd"))
+    stack = F.explode(F.array(
+        F.struct(F.lit("Source rows").alias("counter"), F.col("src").alias("value")),
+        F.struct(F.lit("Inserted rows").alias("counter"), F.col("ins").alias("value")),
+        F.struct(F.lit("Updated rows").alias("counter"), F.col("upd").alias("value"))))
+    counters = counts.select(stack.alias("s")).select("s.counter", "s.value")
+    return merged.select(*prev.columns), counters

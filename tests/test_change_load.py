@@ -46,6 +46,12 @@ def loaded(spark, tmp_path_factory):
     csv(rows_, os.path.join(b2, "Trade.txt"))
     cash = A.cash_records(spark, SF).where(F.col("CT_DTS") >= F.lit(CASH_SPLIT).cast("timestamp_ntz"))
     csv(cash.select(F.lit("I"), F.lit(0).cast("long"), "*"), os.path.join(b2, "CashTransaction.txt"))
+    p = A.prospect_records(spark, SF)
+    k = F.regexp_extract("AgencyID", r"P(\d+)", 1).cast("long")
+    p2 = (p.where(k % 4 != 1)                     # every fourth prospect is absent from the new file
+           .withColumn("NetWorth", F.when(k % 5 == 0, F.coalesce(F.col("NetWorth"), F.lit(0)) + 100)
+                       .otherwise(F.col("NetWorth"))))
+    csv(p2, os.path.join(b2, "Prospect.csv"), sep=",")
     for name in ("HoldingHistory.txt", "DailyMarket.txt", "WatchHistory.txt"):
         open(os.path.join(b2, name), "w").close()
     with open(os.path.join(b2, "BatchDate.txt"), "w") as fh:
@@ -93,3 +99,23 @@ def test_market_lookback_sees_earlier_batch(spark):
     both = W.market_with_lookback(prev, new)
     r = FX.rolling_extremes(both, "DM_S_SYMB", "DM_DATE", "DM_HIGH", "DM_LOW").where("__new").first()
     assert (r.high_365, r.high_365_date, r.low_365) == (90.0, D(2020, 9, 23), 1.0)
+
+
+def test_prospect_dates_and_counters(spark, loaded):
+    # Record date moves for every row of the file, update date only on change
+    v1, v2 = loaded
+    p = v2["prospect"].withColumn("k", F.regexp_extract("agency_id", r"P(\d+)", 1).cast("long"))
+    got = {r.k: (r.sk_recorddateid, r.sk_updatedateid) for r in p.collect()}
+    new_day = int(QW.B2_DATE.replace("-", ""))
+    old_day = int(QW.B2_LO.replace("-", ""))
+    for k, (rec, upd) in got.items():
+        if k % 4 == 1:
+            assert (rec, upd) == (old_day, old_day), k
+        else:
+            assert rec == new_day, k
+    changed = [k for k in got if k % 4 != 1 and k % 5 == 0]
+    assert changed and all(got[k][1] == new_day for k in changed)
+    counters = {r.message_text: int(r.message_data) for r in v2["dimessages"].where(
+        (F.col("batch_id") == 2) & (F.col("message_source") == "Prospect")).collect()}
+    assert counters["Source rows"] == sum(1 for k in got if k % 4 != 1)
+    assert counters["Inserted rows"] == 0 and counters["Updated rows"] >= len(changed)
