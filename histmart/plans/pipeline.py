@@ -195,6 +195,9 @@ def change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: in
                         F.col("value").cast("string").alias("message_data")))
     sinks.append_messages(msgs, os.path.join(out_root, "dimessages"))
     t["dimessages"] = spark.read.parquet(os.path.join(out_root, "dimessages"))
+    for name in ("dim_date", "dim_time", "industry", "status_type", "trade_type", "dim_broker", "dim_company",
+                 "financial", "dim_security"):
+        t.setdefault(name, latest(name))  # unchanged by a change batch
     return t
 
 

@@ -57,3 +57,14 @@ def test_message_log_matches_the_rules(spark, batch):
     assert {r.batch_id for r in log.select("batch_id").distinct().collect()} == {1}
     assert all(r.message_data.startswith("C_ID = ") for r in tier.collect())
     assert batch["dim_date"].count() > 365 and batch["dim_time"].count() == 86400
+
+
+def test_audit_of_loaded_warehouse(spark, batch):
+    from histmart.plans.audit import audit_warehouse, report
+
+    a = report(audit_warehouse(batch))
+    res = {r.test: r.result for r in a.collect()}
+    assert len(res) > 30
+    bad = {k: v for k, v in res.items() if v != "OK"}
+    # the fixture gives customers with key mod 5 in (0, 4) a tier outside 1..3 on purpose
+    assert bad == {"dim_customer domain: Customer tier": "Not OK"}, bad
