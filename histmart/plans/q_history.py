@@ -92,8 +92,10 @@ def _lines(spark, sf_dir):
     return (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
               .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_custkey",
                       F.col("l_shipdate").cast("date").alias("ship_date"),
-                      F.col("l_extendedprice").cast("decimal(15,2)").alias("price"),
-                      F.col("l_discount").cast("decimal(15,2)").alias("disc")))
+                      # compact decimals: price x (1 - disc) is decimal(18,4), so it
+                      # stays in 64-bit arithmetic instead of BigDecimal per row
+                      F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+                      F.col("l_discount").cast("decimal(4,2)").alias("disc")))
 
 
 def asof_revenue(spark: SparkSession, sf_dir: str, strategy: str = "join") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from histmart.functions.clean import VALID_SP_RATINGS
 from histmart.plans import adapter as A
 from histmart.plans.registry import query
+from histmart.session import materialize
 from histmart.sources import readers as R
 from histmart.sources.schemas import FINWIRE_LAYOUTS  # noqa: F401
 
@@ -89,8 +90,8 @@ UNION ALL
 SELECT 'SEC', pts, Symbol, Name FROM sec""")
 def q_fixed_width_records(spark, sf_dir):
     """FINWIRE text parsed once (posting time and record type split off),
-    then branched into the three layouts."""
-    parsed = R.parse_fixed_width(A.finwire_lines(spark, sf_dir))
+    staged, then branched into the three layouts."""
+    parsed = materialize(R.parse_fixed_width(A.finwire_lines(spark, sf_dir)), "finwire")
     cmp_ = R.fixed_width_records(parsed, "CMP").select(
         F.lit("CMP").alias("rec_type"), "PTS", F.col("CIK").alias("ref"), F.col("CompanyName").alias("name"))
     fin = R.fixed_width_records(parsed, "FIN").select(
