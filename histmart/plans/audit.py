@@ -112,3 +112,35 @@ def _union_all(frames):
 def report(audit: DataFrame) -> DataFrame:
     """The audit ordered by test and batch, as the reference reports it."""
     return audit.orderBy("test", "batch_id")
+
+
+# Tables counted by the validation snapshot, and the fact-to-dimension
+# joins counted with them (fact, surrogate, dimension).
+SNAPSHOT_TABLES = ("dim_broker", "dim_company", "dim_security", "dim_customer", "dim_account", "dim_trade",
+                   "financial", "prospect", "fact_cash", "fact_holdings", "fact_market", "fact_watches",
+                   "dim_date", "dim_time", "industry", "status_type", "trade_type")
+SNAPSHOT_JOINS = (("fact_cash", "sk_accountid", "dim_account"), ("fact_holdings", "sk_securityid", "dim_security"),
+                  ("fact_market", "sk_securityid", "dim_security"), ("fact_watches", "sk_customerid", "dim_customer"))
+
+
+def validation_snapshot(t: dict[str, DataFrame], batch_id: int, phase: str) -> DataFrame:
+    """Validation rows of a phase (M1, M2): a row count per table, the joined
+    fact counts, two extra counts, and one phase-completion record; all in
+    the message-log schema, for one append."""
+    def row(df: DataFrame, source: str, text: str, mtype: str = "Validation") -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(batch_id).alias("batch_id"), F.lit(source).alias("message_source"), F.lit(text).alias("message_text"),
+            F.lit(mtype).alias("message_type"), F.col("n").cast("string").alias("message_data"))
+    frames = [row(t[n], n, "Row count") for n in SNAPSHOT_TABLES if n in t]
+    for fact, sk, dim in SNAPSHOT_JOINS:
+        d = t[dim].select(F.col(sk).alias("__sk"))
+        frames.append(row(t[fact].join(d, F.col(sk) == F.col("__sk")), fact, f"Row count joined to {dim}"))
+    frames.append(row(t["dim_customer"].where(F.col("is_current") & (F.col("status") == "INACTIVE")),
+                      "dim_customer", "Inactive customers"))
+    frames.append(row(t["fact_watches"].where(F.col("sk_dateid_dateremoved").isNotNull()), "fact_watches",
+                      "Inactive watches"))
+    pcr = t["dim_customer"].sparkSession.range(1).select(
+        F.lit(batch_id).alias("batch_id"), F.lit("Phase").alias("message_source"),
+        F.lit(f"{phase} complete").alias("message_text"), F.lit("PCR").alias("message_type"),
+        F.lit(None).cast("string").alias("message_data"))
+    return _union_all(frames + [pcr])

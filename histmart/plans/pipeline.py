@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from histmart.functions import clean as CL
 from histmart.operators import quality as Q
 from histmart.plans import warehouse as W
+from histmart.plans.audit import validation_snapshot
 from histmart.session import materialize
 from histmart.sources import readers as R
 from histmart.sources import schemas as S
@@ -86,8 +87,9 @@ def historical_load(spark: SparkSession, batch_dir: str, out_root: str) -> dict[
     t["fact_watches"] = _save(W.fact_watches(watches, t["dim_customer"], t["dim_security"]), out_root,
                               "fact_watches")
 
-    # Every alert of the batch, one append
+    # Every alert of the batch plus the validation snapshot (M1, M2), one append
     msgs = batch_alerts(actions, cmp_, trades, t["fact_market"], batch_date)
+    msgs = msgs.unionByName(validation_snapshot(t, 1, "Historical load"))
     sinks.append_messages(msgs, os.path.join(out_root, "dimessages"))
     t["dimessages"] = spark.read.parquet(os.path.join(out_root, "dimessages"))
     return t
@@ -193,6 +195,10 @@ def change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: in
         counters.select(F.lit(batch_id).alias("batch_id"), F.lit("Prospect").alias("message_source"),
                         F.col("counter").alias("message_text"), F.lit("Status").alias("message_type"),
                         F.col("value").cast("string").alias("message_data")))
+    for name in ("dim_date", "dim_time", "industry", "status_type", "trade_type", "dim_broker", "dim_company",
+                 "financial", "dim_security"):
+        t.setdefault(name, latest(name))  # unchanged by a change batch
+    msgs = msgs.unionByName(validation_snapshot(t, batch_id, f"Incremental load {batch_id}"))
     sinks.append_messages(msgs, os.path.join(out_root, "dimessages"))
     t["dimessages"] = spark.read.parquet(os.path.join(out_root, "dimessages"))
     for name in ("dim_date", "dim_time", "industry", "status_type", "trade_type", "dim_broker", "dim_company",

@@ -9,8 +9,6 @@ holdings -> market -> watches.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -352,17 +350,6 @@ def fact_watches(watches: DataFrame, customer: DataFrame, security: DataFrame) -
                     date_key(F.col("removed")).alias("sk_dateid_dateremoved"), F.lit(1).alias("batch_id"))
 
 
-@dataclass
-class Warehouse:
-    """The tables of one historical load (lazy DataFrames)."""
-    dim_date: DataFrame
-    broker: DataFrame
-    company: DataFrame
-    financial: DataFrame
-    security: DataFrame
-    customer: DataFrame
-    account: DataFrame
-    trade: DataFrame
 
 
 # --- change batches (T8, T11, T13) ------------------------------------------------------

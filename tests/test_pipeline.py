@@ -68,3 +68,12 @@ def test_audit_of_loaded_warehouse(spark, batch):
     bad = {k: v for k, v in res.items() if v != "OK"}
     # the fixture gives customers with key mod 5 in (0, 4) a tier outside 1..3 on purpose
     assert bad == {"dim_customer domain: Customer tier": "Not OK"}, bad
+
+
+def test_validation_snapshot_logged(spark, batch):
+    v = batch["dimessages"].where(F.col("message_type") == "Validation")
+    counts = {(r.message_source, r.message_text): int(r.message_data) for r in v.collect()}
+    assert counts[("dim_customer", "Row count")] == batch["dim_customer"].count()
+    assert counts[("fact_cash", "Row count joined to dim_account")] == batch["fact_cash"].count()
+    assert len(counts) == 23
+    assert batch["dimessages"].where(F.col("message_type") == "PCR").count() == 1
