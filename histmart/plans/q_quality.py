@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from histmart.functions.clean import VALID_SP_RATINGS, valid_rating
+from histmart.functions.clean import valid_rating
 from histmart.operators import checks as CK
 from histmart.operators import quality as Q
 from histmart.plans import adapter as A
@@ -237,6 +237,3 @@ def q_check_domain(spark, sf_dir):
         out = out.unionByName(x)
     return out
 
-
-# keep the rating list import visible for readers of this module
-__all__ = ["VALID_SP_RATINGS"]

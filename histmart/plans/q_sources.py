@@ -11,7 +11,6 @@ from histmart.plans import adapter as A
 from histmart.plans.registry import query
 from histmart.session import materialize
 from histmart.sources import readers as R
-from histmart.sources.schemas import FINWIRE_LAYOUTS  # noqa: F401
 
 _RATINGS_SQL = "[" + ", ".join(f"'{r}'" for r in A.RATING_CYCLE) + "]"
 _VALID_SQL = "(" + ", ".join(f"'{r}'" for r in VALID_SP_RATINGS) + ")"
