@@ -57,7 +57,7 @@ def q_lookup_code(spark, sf_dir):
 
 # --- J3 calendar lookup -------------------------------------------------------
 
-def dim_date(spark, sf_dir, start="2023-12-01", end="2024-03-01"):
+def dim_date(spark, sf_dir):
     """Calendar rows for the span of the events, built with ``sequence``."""
     ev = table(spark, sf_dir, "events")
     span = ev.agg(F.min(F.col("ts").cast("date")).alias("lo"), F.max(F.col("ts").cast("date")).alias("hi"))
