@@ -1,9 +1,10 @@
 """Change batches as a Structured Streaming source.
 
-CDC files land in per-batch folders; ``readStream`` with the CDC schema
-picks them up, ``trigger(availableNow=True)`` processes what is there, and
-``foreachBatch`` applies each micro-batch with the same set-based merge
-functions the batch pipeline uses (K4/K5).  The merge reads the last
+CDC files land in per-batch folders (``Batch<N>``); ``readStream`` with the
+CDC schema picks them up, ``trigger(availableNow=True)`` processes what is
+there, and ``foreachBatch`` applies the batches of each micro-batch in batch
+order with the same set-based merge functions the batch pipeline uses
+(K4/K5).  The merge reads the last
 complete table version and writes the next, so a replayed micro-batch only
 rewrites its own version directory; the stream's checkpoint lives under the
 cluster's ``spark.checkpoint.dir``.
@@ -26,44 +27,59 @@ Merge = Callable[[DataFrame | None, DataFrame, int], DataFrame]
 
 
 def cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, sep: str = "|",
-               files_per_batch: int = 1) -> DataFrame:
-    """Streaming DataFrame over CDC text files (flag and DSN lead each row).
+               files_per_batch: int | None = None) -> DataFrame:
+    """Streaming DataFrame over CDC text files (flag and DSN lead each row),
+    with the source file path; ``files_per_batch`` caps a micro-batch."""
+    r = (spark.readStream.schema(schema).option("sep", sep).option("header", "false")
+         .option("timestampFormat", TS_FORMAT).option("dateFormat", "yyyy-MM-dd")
+         .option("nullValue", "").option("recursiveFileLookup", "true"))
+    if files_per_batch:
+        r = r.option("maxFilesPerTrigger", files_per_batch)
+    return r.csv(source_dir).withColumn("_source_file", F.input_file_name())
 
-    One change file per batch: ``maxFilesPerTrigger`` makes every file its
-    own micro-batch, taken in file modification order.
-    """
-    return (spark.readStream.schema(schema).option("sep", sep).option("header", "false")
-            .option("maxFilesPerTrigger", files_per_batch)
-            .option("timestampFormat", TS_FORMAT).option("dateFormat", "yyyy-MM-dd")
-            .option("nullValue", "").csv(source_dir)
-            .withColumn("_source_file", F.input_file_name()))
+
+def batch_of_file(c=None):
+    """Batch id from a ``Batch<N>`` folder in the file path (null if absent)."""
+    c = c if c is not None else F.col("_source_file")
+    return F.nullif(F.regexp_extract(c, r"[Bb]atch(\d+)/", 1), F.lit("")).cast("int")
 
 
 def apply_change_batches(spark: SparkSession, source_dir: str, schema: StructType, table_root: str,
-                         merge: Merge, query_name: str = "cdc", first_batch: int = 2) -> list[int]:
+                         merge: Merge, query_name: str = "cdc", first_batch: int = 2,
+                         files_per_batch: int | None = None) -> list[int]:
     """Run every available change batch through ``merge`` and write one new
-    table version per non-empty micro-batch; returns the versions written.
+    table version per change batch; returns the versions written.
 
-    ``merge(current, changes, batch_id)`` gets the last complete version
-    (or ``None``) and the micro-batch rows and returns the new table.
+    The batch id of a row is the ``Batch<N>`` folder of its file; files
+    outside such folders take ``first_batch + epoch``.  A micro-batch may
+    hold several batches: they are applied in batch order, each one reading
+    the version the previous one wrote.  ``merge(current, changes,
+    batch_id)`` gets the last complete version (or ``None``) and the rows
+    of one batch.  A batch whose version is already committed is skipped,
+    so a replayed micro-batch writes nothing twice.
     """
     ckpt_root = ensure_checkpoint_dir(spark)
     ckpt = os.path.join(ckpt_root, f"stream-{query_name}")
     written: list[int] = []
 
     def run(batch_df: DataFrame, epoch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
-        batch_id = first_batch + int(epoch_id)
-        current = sinks.read_latest(spark, table_root)
-        done = sinks.complete_versions(spark, table_root)
-        if batch_id in done:
-            return  # replay of a committed micro-batch: its version is already written
-        new = merge(current, batch_df.drop("_source_file"), batch_id)
-        sinks.write_version(new, table_root, batch_id)
-        written.append(batch_id)
+        rows = batch_df.withColumn(
+            "__batch", F.coalesce(batch_of_file(), F.lit(first_batch + int(epoch_id)))).drop("_source_file")
+        rows = rows.persist()  # read once even when the micro-batch holds several batches
+        try:
+            # control flow over the few batch ids of this micro-batch, not over rows
+            ids = sorted(r[0] for r in rows.select("__batch").distinct().collect())
+            for batch_id in ids:
+                if batch_id in sinks.complete_versions(spark, table_root):
+                    continue
+                current = sinks.read_latest(spark, table_root)
+                new = merge(current, rows.where(F.col("__batch") == batch_id).drop("__batch"), batch_id)
+                sinks.write_version(new, table_root, batch_id)
+                written.append(batch_id)
+        finally:
+            rows.unpersist()
 
-    q = (cdc_stream(spark, source_dir, schema).writeStream
+    q = (cdc_stream(spark, source_dir, schema, files_per_batch=files_per_batch).writeStream
          .option("checkpointLocation", ckpt)
          .trigger(availableNow=True)
          .foreachBatch(run)

@@ -135,12 +135,17 @@ def test_change_batches_stream_through_foreach_batch(spark, tmp_path):
         ch = changes.select("CA_ID", "CA_NAME", "CA_ST_ID", "CDC_DSN")
         return cdc_upsert(current, ch, "CA_ID", order=["CDC_DSN"])
 
-    (src / "b2.txt").write_text("U|1|100|7|1|renamed|1|ACTV\nI|2|101|8|2|new acct|2|ACTV\n")
-    os.utime(src / "b2.txt", (1_000_000, 1_000_000))
-    (src / "b3.txt").write_text("U|4|101|8|2|closed|2|INAC\n")
-    os.utime(src / "b3.txt", (2_000_000, 2_000_000))
+    (src / "Batch2").mkdir()
+    (src / "Batch3").mkdir()
+    # batch 2 split over two files, batch 3 in one; all land in one micro-batch
+    (src / "Batch2" / "Account_a.txt").write_text("U|1|100|7|1|renamed|1|ACTV\n")
+    (src / "Batch2" / "Account_b.txt").write_text("I|2|101|8|2|new acct|2|ACTV\n")
+    (src / "Batch3" / "Account.txt").write_text("U|4|101|8|2|closed|2|INAC\n")
     written = apply_change_batches(spark, str(src), S.ACCOUNT_CDC, table, merge, query_name=f"acct{os.getpid()}")
     assert written == [2, 3]
+    # a second run finds the batches committed and writes nothing
+    assert apply_change_batches(spark, str(src), S.ACCOUNT_CDC, table, merge,
+                                query_name=f"acct{os.getpid()}b") == []
     assert sinks.complete_versions(spark, table) == [1, 2, 3]
     latest = sinks.read_latest(spark, table)
     assert rows(latest, "CA_ID", "CA_NAME", "CA_ST_ID") == [(100, "renamed", "ACTV"), (101, "closed", "INAC")]
