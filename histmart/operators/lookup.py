@@ -21,6 +21,9 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+MAX_VERSIONS_FOR_JOIN = 64
+
+
 def asof_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                 ts: str, eff: str = "effective_date", end: str = "end_date",
                 how: str = "inner", strategy: str = "join",
@@ -33,9 +36,16 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     lists - the version in force is resolved once per (key, fact day) by a
     carry-forward over day-level rows, then equi-joined back to the facts on
     (key, day): no row multiplication, and versions are day-granular.
+    ``strategy='auto'``: ``join`` while no key has more than
+    ``MAX_VERSIONS_FOR_JOIN`` versions, else ``carry``.
     """
     dim_cols = list(dim_cols) if dim_cols is not None else [
         c for c in dim.columns if c not in (dim_key,)]
+    if strategy == "auto":
+        # one driver scalar: the longest version list decides how far the
+        # join could multiply a fact row before the range filter
+        longest = dim.groupBy(dim_key).count().agg(F.max("count")).first()[0] or 0
+        strategy = "join" if longest <= MAX_VERSIONS_FOR_JOIN else "carry"
     if strategy == "join":
         d = dim.select(F.col(dim_key).alias("__dk"), *[F.col(c) for c in dim_cols])
         t = F.col(ts).cast("date") if dict(fact.dtypes).get(ts) == "date" else F.col(ts)
