@@ -82,3 +82,88 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id,
        d.doc_id <= coalesce(c.c, d.doc_id) AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.x = d.doc_id
 """
+
+
+@query
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cube-method mix of all documents: 150% of all words, weights 3, 1, 2."""
+    from histmart.llm.mixing import mix, word_count
+
+    thin = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_key"), F.col("source").cast("string").alias("source"), word_count("text").alias("size"))
+    out = mix(thin, share=1.5, weights=(3, 1, 2), most=2.0)
+    return out.select(F.col("row_key").alias("doc_id"), "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of near equal bytes by a k-d tree over all documents."""
+    from histmart.llm.kdshard import kd_shards
+
+    out = kd_shards(table(spark, sf_dir, "documents"), n_shards=8)
+    return out.select("doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"),
+                      F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that aren't held out."""
+    from histmart.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score", "family_pred")
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kneser-Ney perplexity of all documents, and which are kept."""
+    from histmart.llm.quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings of one label at cosine 0.98."""
+    from histmart.llm.vectors import vector_dedup
+
+    return vector_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+ORACLE["op6_embedding_near_dedup"] = r"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+edge AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(x, y) AS (SELECT x, y FROM edge UNION SELECT r.x, b.y FROM reach r JOIN edge b ON r.y = b.x),
+c AS (SELECT x, min(y) AS c FROM reach GROUP BY x),
+n AS (SELECT x, count(*) AS n FROM edge GROUP BY x)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(c, vec_id)) AS component_id, vec_id <= coalesce(c, vec_id) AS kept
+FROM v LEFT JOIN n ON n.x = vec_id LEFT JOIN c ON c.x = vec_id
+"""
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    from histmart.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    from histmart.llm.pii import find_pii
+
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tool calls of all conversations, linked, ordered, checked, as JSON."""
+    from histmart.llm.toolcalls import TOOLS, calls_of_conversations, link_tool_calls
+
+    calls, results = calls_of_conversations(table(spark, sf_dir, "conversations"))
+    return link_tool_calls(calls, results, TOOLS)
