@@ -97,7 +97,7 @@ def _strict(kind: str, t: Column) -> Column:
         return t.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$")
     n = F.length(_digits(t))
     if kind == "card":
-        return n.between(12, 19) & F.when(n.between(12, 19), F.luhn_check(_digits(t))).otherwise(False)
+        return n.between(12, 19) & F.when(n.between(12, 19), F.call_function("luhn_check", _digits(t))).otherwise(False)
     return n.between(9, 15)
 
 
