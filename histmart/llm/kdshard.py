@@ -3,7 +3,7 @@
 Points are distinct texts (all copies of a text stay together); their weight
 is the bytes of all copies, their coordinates are metadata: source and
 language of the copies' first in order, and the logarithm of the length.  A
-text whose copies hold more than a hundredth of a shard's bytes is cut into
+text whose copies hold more than a twentieth of a shard's bytes is cut into
 pieces, which are points of their own.  A node is split along its widest
 dimension (in parts of the root's extent) at the weighted median, or at the
 quantile that its number of leaves asks for; ties in that dimension are
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from histmart.session import materialize
 
 PIECES = 256
+#: copies of a text that hold more than 1 / GIANT of a shard's bytes may be parted
+GIANT = 20
 BINS = 4096
 #: a bin that holds less than this share of its node ends the search
 TOLERANCE = 0.0005
@@ -61,7 +63,7 @@ def _points(rows: DataFrame, n_shards: int) -> tuple[DataFrame, int]:
     pieces = materialize(pieces, "kd-pieces")
     groups = pieces.groupBy("_h").agg(F.sum("w").alias("gw"), F.sum("n").alias("gn"), F.min("src").alias("x0"), F.min("lang").alias("x1"), F.max("size").alias("gs"))
     total, count = pieces.agg(F.sum("w"), F.sum("n")).first()
-    giant = (F.col("gw") > (total or 0) / (100 * n_shards)) & (F.col("gn") > 1)
+    giant = (F.col("gw") > (total or 0) / (GIANT * n_shards)) & (F.col("gn") > 1)
     p = pieces.join(groups, "_h").select(
         "_h", "_salt", "w", F.col("x0"), F.col("x1"), F.ln(F.col("gs").cast("double")).alias("x2"),
         F.shiftrightunsigned(F.when(giant, F.xxhash64("_h", "_salt")).otherwise(F.xxhash64("_h")), 32).alias("_tie"))

@@ -8,8 +8,9 @@ a time along the null space of the two balancing constraints (documents and
 words), so that both totals stay exact while one document after the other
 becomes 0 or 1.  It runs in buckets of a source, which leave two undecided
 documents each at most; these meet in fewer buckets at the next level, until
-one bucket a source is left.  Its last two documents are the landing problem:
-the choice whose word total is nearest to the target.
+one bucket a source is left.  Its flight leaves a small landing problem of
+LANDING documents spread over the sizes and the last two undecided ones: of
+all choices among them the one with the nearest totals is taken.
 
 Null sources are a source of their own (the last one), null and empty texts
 have size 0 (taken 0 words), repeated rows are units of their own, and an
@@ -18,7 +19,6 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-import itertools
 import zlib
 
 import numpy as np
@@ -31,6 +31,8 @@ from histmart.session import materialize
 
 #: documents of one flight; a bucket of these fits any task
 BUCKET_ROWS = 20_000
+#: documents of a source that the last flight leaves to the landing
+LANDING = 12
 _EPS = 1e-9
 
 
@@ -96,15 +98,29 @@ def flight(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> None:
     pi[:] = p
 
 
-def landing(pi: np.ndarray, x: np.ndarray, missing: float = 0.0) -> None:
-    """Decides the last undecided entries (two at most): the choice whose
-    total of x is nearest to that of the probabilities."""
+def landing(pi: np.ndarray, x: np.ndarray) -> None:
+    """Decides the undecided entries, LANDING + 2 at most, in place: of the
+    choices whose number is within one of the probabilities' sum, the one
+    whose total of x is nearest to theirs."""
     open_ = np.flatnonzero((pi > 0) & (pi < 1))
     if not len(open_):
         return
-    want = float((pi[open_] * x[open_]).sum()) + missing
-    best = min(itertools.product((0.0, 1.0), repeat=len(open_)), key=lambda s: (abs(float(np.dot(s, x[open_])) - want), abs(sum(s) - pi[open_].sum()), s))
-    pi[open_] = best
+    choice = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
+    words = np.abs(choice @ x[open_] - pi[open_] @ x[open_])
+    rows = np.abs(choice.sum(1) - pi[open_].sum())
+    words[rows > 1] = np.inf
+    pi[open_] = choice[np.lexsort((rows, words))[0]]
+
+
+def fly_and_land(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> None:
+    """Flight, but for LANDING entries spread over the sizes; these and the two
+    that the flight leaves are the landing problem."""
+    kept = np.unique(np.linspace(0, len(pi) - 1, min(LANDING, len(pi))).astype(int))
+    rest = np.setdiff1d(np.arange(len(pi)), kept)
+    flown = pi[rest]
+    flight(flown, x[rest], rng)
+    pi[rest] = flown
+    landing(pi, x)
 
 
 def _flyer(level: int, last: bool):
@@ -114,9 +130,7 @@ def _flyer(level: int, last: bool):
         pi = g["pi"].to_numpy().copy()
         x = g["size"].to_numpy().astype(np.float64)
         key = f"{level}:{g['source_no'][0].as_py()}:{g['bucket'][0].as_py()}".encode()
-        flight(pi, x, np.random.default_rng(zlib.crc32(key)))
-        if last:
-            landing(pi, x)
+        (fly_and_land if last else flight)(pi, x, np.random.default_rng(zlib.crc32(key)))
         return g.set_column(g.schema.get_field_index("pi"), "pi", pa.array(pi))
     return run
 

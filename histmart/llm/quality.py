@@ -177,7 +177,7 @@ def perplexity(documents: DataFrame, trusted: DataFrame) -> DataFrame:
 
 def classify(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              quantile: float = 0.995, margin: float = 1.05, scatter: float = 4.0, least: int = 20) -> DataFrame:
-    """One row per document: id, lang, n_bytes, perplexity, threshold, kept.
+    """One row per document: id, lang, text_hash, n_bytes, perplexity, threshold, kept.
 
     Trusted are the documents that ``labels`` (id, quality) rates 1 in every
     row it has of them.  The limit of a language is the ``quantile`` of the
@@ -185,9 +185,10 @@ def classify(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     plus log(margin); a text of n bytes may exceed it by scatter / sqrt(n).
     """
     good = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_l")).agg(F.min("quality").alias("_q")).where("_q = 1").select("_l")
-    docs = documents.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    docs = documents.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"),
+                            F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"))
     docs = docs.join(good, docs["key"] == good["_l"], "left").withColumn(
-        "fold", F.when(F.col("_l").isNull(), -1).otherwise(F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int"))).drop("_l")
+        "fold", F.when(F.col("_l").isNull(), -1).otherwise(F.pmod("text_hash", F.lit(FOLDS)).cast("int"))).drop("_l")
     scored = materialize(perplexity(docs, docs.where("fold > 0")), "perplexity")
     nll = -F.col("lp") / F.col("n_bytes")
     scored = scored.withColumn("nll", F.when(F.col("n_bytes") > 0, nll))
@@ -197,5 +198,5 @@ def classify(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     limit = F.coalesce("q", F.lit(any_lang).cast("double")) + math.log(margin)
     out = scored.join(by_lang, "lang", "left").withColumn("limit", limit)
     ok = F.coalesce(F.col("nll") <= F.col("limit") + scatter / F.sqrt("n_bytes"), F.col("limit").isNull() & F.col("nll").isNotNull())
-    return out.select(F.col("key").alias(id_col), "lang", "n_bytes", F.exp("nll").alias("perplexity"), F.exp("limit").alias("threshold"),
+    return out.select(F.col("key").alias(id_col), "lang", "text_hash", "n_bytes", F.exp("nll").alias("perplexity"), F.exp("limit").alias("threshold"),
                       F.coalesce(ok, F.lit(False)).alias("kept"))

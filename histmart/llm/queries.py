@@ -117,7 +117,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kneser-Ney perplexity of all documents, and which are kept."""
     from histmart.llm.quality import classify
 
-    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
 
 
 @query
