@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,3 +50,16 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components: no fixed point after {max_rounds} rounds")
     stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def roots(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the rows and columns of a link matrix the number of a node of their
+    component (rows first); nodes without a link keep their own."""
+    nx, ny = link.shape
+    rx, ry, none = np.arange(nx), nx + np.arange(ny), nx + ny
+    while True:
+        x = np.minimum(rx, np.where(link, ry[None, :], none).min(1, initial=none))
+        y = np.minimum(ry, np.where(link, x[:, None], none).min(0, initial=none))
+        if (x == rx).all() and (y == ry).all():
+            return rx, ry
+        rx, ry = x, y

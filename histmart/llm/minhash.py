@@ -19,8 +19,8 @@ Why no link is lost and no list explodes
   Whatever ends up in one component needs no further comparison, which settles
   large groups of near copies in linear work.  Then all pairs that lie in a
   common list but in different components are compared: short lists by a join,
-  long ones in blocks inside a task, which give back only the pairs that share
-  enough retained values.
+  long ones block against block inside a task, which decides on the full sets
+  and gives back one edge a node at most, never the pairs.
 
 Nulls and empty texts have an empty set and link with nothing.  Repeated rows
 and repeated ids are fine: nodes are sets, not rows.  A component is named by
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histmart.llm import text as T
-from histmart.llm.graph import components
+from histmart.llm.graph import components, roots
 from histmart.session import materialize
 
 SKETCH = 64
@@ -46,7 +46,9 @@ SKETCH = 64
 SHARED = 33 / 64
 #: longest list whose pairs are made by a join; longer ones go in blocks
 LIST_JOIN = 64
+#: nodes and shingles of a block
 BLOCK = 256
+BLOCK_SHINGLES = 1 << 16
 #: allocation seeds of the two set fingerprints
 _SIG1, _SIG2 = np.uint64(0xA5A5A5A55A5A5A5A), np.uint64(0x3C3C3C3CC3C3C3C3)
 
@@ -85,32 +87,82 @@ def _full_sets(shingle: int):
     return run
 
 
-def _block_pairs(percent: int):
-    """Pairs of two blocks of one list that share enough retained values."""
+def _member_rows(values: np.ndarray, lens: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """0/1 matrix: which of the columns (sorted values) each list holds."""
+    out = np.zeros((len(lens), len(columns)), np.float32)
+    if len(columns):
+        at = np.minimum(np.searchsorted(columns, values), len(columns) - 1)
+        held = columns[at] == values
+        out[np.repeat(np.arange(len(lens)), lens)[held], at[held]] = 1
+    return out
+
+
+def _overlaps(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of two runs of lists, each (values, lengths)."""
+    both = np.intersect1d(a[0], b[0])
+    return _member_rows(*a, both) @ _member_rows(*b, both).T
+
+
+def _part(lists: tuple[np.ndarray, np.ndarray], keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists of the rows of a mask."""
+    values, lens = lists
+    return values[np.repeat(keep, lens)], lens[keep]
+
+
+def _block_links(percent: int):
+    """Links between two blocks of one list, as edges to one node of each
+    component that they make.  A pair is looked at only in the least of the
+    lists that both are in."""
+    def lists(col: pa.Array, row: int) -> tuple[np.ndarray, np.ndarray]:
+        nested = col[row].values
+        return nested.flatten().to_numpy(zero_copy_only=False), np.diff(nested.offsets.to_numpy())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in range(b.num_rows):
-                blocks = [b.column(i)[row].as_py() for i in (0, 1)]
-                own = [np.array([x["node"] for x in y], np.int64) for y in blocks]
-                size = [np.array([x["n"] for x in y], np.int64) for y in blocks]
-                comp = [np.array([x["comp"] for x in y], np.int64) for y in blocks]
-                lens = [np.array([len(x["sketch"]) for x in y]) for y in blocks]
-                flat = [np.concatenate([np.asarray(x["sketch"], np.int64) for x in y]) for y in blocks]
-                _, number = np.unique(np.concatenate(flat), return_inverse=True)
-                m = []
-                for i in (0, 1):
-                    a = np.zeros((len(own[i]), number.max() + 1), np.float32)
-                    a[np.repeat(np.arange(len(own[i])), lens[i]), number[:len(flat[0])] if i == 0 else number[len(flat[0]):]] = 1
-                    m.append(a)
-                shared = m[0] @ m[1].T
-                least = np.floor(SHARED * np.maximum(lens[0][:, None], lens[1][None, :]))
-                small, large = np.minimum.outer(size[0], size[1]), np.maximum.outer(size[0], size[1])
-                ok = (shared >= least) & (comp[0][:, None] != comp[1][None, :]) & (100 * small >= percent * large)
-                x, y = np.nonzero(ok)
-                yield pa.RecordBatch.from_arrays([pa.array(own[0][x]), pa.array(own[1][y])], names=["a", "b"])
+                value = b.column(0)[row].as_py()
+                node, comp, n, prefix, members = [], [], [], [], []
+                for side in (0, 1):
+                    c = [b.column(1 + 5 * side + i) for i in range(5)]
+                    node.append(c[0][row].values.to_numpy())
+                    comp.append(c[1][row].values.to_numpy())
+                    n.append(c[2][row].values.to_numpy())
+                    prefix.append(lists(c[3], row))
+                    members.append(lists(c[4], row))
+                small, large = np.minimum.outer(*n), np.maximum.outer(*n)
+                ok = (comp[0][:, None] != comp[1][None, :]) & (100 * small >= percent * large)
+                lower = [_part_values(x, value) for x in prefix]
+                ok &= _overlaps(*lower) == 0
+                if ok.any():  # the sketches are the lowest members
+                    low = [_lowest(x, SKETCH) for x in members]
+                    ok &= _overlaps(*low) >= np.floor(SHARED * np.maximum.outer(low[0][1], low[1][1]))
+                x, y = ok.any(1), ok.any(0)
+                inter = _overlaps(_part(members[0], x), _part(members[1], y))
+                total = n[0][x][:, None] + n[1][y][None, :]
+                link = ok[np.ix_(x, y)] & (100 * inter >= percent * (total - inter))
+                rx, ry = roots(link)
+                names = np.concatenate([node[0][x], node[1][y]])
+                u, v = names, names[np.concatenate([rx, ry])]
+                yield pa.RecordBatch.from_arrays([pa.array(u[u != v]), pa.array(v[u != v])], names=["u", "v"])
     return run
 
 
+def _part_values(lists: tuple[np.ndarray, np.ndarray], below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values under a bound."""
+    values, lens = lists
+    keep = values < below
+    of = np.repeat(np.arange(len(lens)), lens)
+    return values[keep], np.bincount(of[keep], minlength=len(lens))
+
+
+def _lowest(lists: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first k values of every list."""
+    values, lens = lists
+    first = np.cumsum(lens) - lens
+    keep = np.arange(len(values)) - np.repeat(first, lens) < k
+    return values[keep], np.minimum(lens, k)
+
+
 def _pairs(df: DataFrame) -> DataFrame:
     return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -125,14 +177,18 @@ def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             .where(F.size(F.array_intersect("u", "i")) >= F.floor(SHARED * F.size("u"))).select("a", "b"))
 
 
-def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the similarity."""
-    pairs = materialize(pairs, "pairs")
-    need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _members(need: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, members): the full sets of the nodes in ``need``."""
     ids = need.join(nodes, "node").select(F.col("doc_id").alias("need_id")).distinct()
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["need_id"]), "left_semi").select("text")
     full = texts.mapInArrow(_full_sets(shingle), "node long, members array<long>")
-    full = materialize(full.join(need, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    return materialize(full.join(need, "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+
+def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Pairs whose full sets reach the similarity."""
+    pairs = materialize(pairs, "pairs")
+    full = _members(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), nodes, docs, shingle)
     inter = F.size(F.array_intersect("ma", "mb"))
     return (pairs.join(full.select(F.col("node").alias("b"), F.col("members").alias("mb")), "b")
             .join(full.select(F.col("node").alias("a"), F.col("members").alias("ma")), "a")
@@ -141,6 +197,26 @@ def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, p
             .select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
+def _linked_in_blocks(hot: DataFrame, lists: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links within long lists (value, node, n, comp): every pair of blocks of
+    a list is compared on the full sets inside a task, which returns at most
+    one edge for each node of the two blocks."""
+    need = hot.select("node").distinct()
+    full = _members(need, nodes, docs, shingle)
+    prefix = lists.join(need, "node", "left_semi").groupBy("node").agg(F.collect_list("value").alias("prefix"))  # SKETCH values at most
+    cut = hot.groupBy("value").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    dealt = (hot.join(cut, "value").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+             .join(prefix, "node").join(full, "node"))
+    blocks = dealt.groupBy("value", "block").agg(F.collect_list(F.struct("node", "comp", "n", "prefix", "members")).alias("x"))
+    blocks = materialize(blocks.select("value", "block", *[F.col(f"x.{c}").alias(c) for c in ("node", "comp", "n", "prefix", "members")]), "blocks")
+    pairs = (cut.select("value", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("i"))
+             .select("value", "i", F.explode(F.sequence("i", F.col("blocks") - 1)).alias("j")))
+    side = lambda name, at: blocks.select("value", F.col("block").alias(at), *[F.col(c).alias(f"{c}_{name}") for c in ("node", "comp", "n", "prefix", "members")])
+    work = pairs.join(side("a", "i"), ["value", "i"]).join(side("b", "j"), ["value", "j"]).drop("i", "j")
+    cols = [f"{c}_{s}" for s in ("a", "b") for c in ("node", "comp", "n", "prefix", "members")]
+    return work.select("value", *cols).mapInArrow(_block_links(percent), "u long, v long")
+
+
 def minhash_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept.
@@ -181,14 +257,9 @@ def minhash_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     right = short.select("value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
     few = (short.withColumnsRenamed({"node": "a", "n": "na", "comp": "ca"}).join(right, "value")
            .where(f"a < b and ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"))
-    blocks = (rest.where(f"m > {LIST_JOIN}").join(nodes.select("node", "sketch"), "node")
-              .withColumn("block", F.expr(f"pmod(xxhash64(node), int(ceil(m / {BLOCK})))"))
-              .groupBy("value", "block").agg(F.collect_list(F.struct("node", "n", "comp", "sketch")).alias("x")))
-    blocks = materialize(blocks, "blocks")
-    other = blocks.select("value", F.col("block").alias("block2"), F.col("x").alias("y"))
-    many = blocks.join(other, "value").where("block <= block2").select("x", "y").mapInArrow(_block_pairs(percent), "a long, b long")
-    more = _linked(_alike(_pairs(few.unionAll(many)), nodes), nodes, docs, shingle, percent)
-    comp = components(links.unionAll(more))
+    more = _linked(_alike(_pairs(few), nodes), nodes, docs, shingle, percent)
+    hot = rest.where(f"m > {LIST_JOIN}").drop("m")
+    comp = components(links.unionAll(more).unionAll(_linked_in_blocks(hot, lists, nodes, docs, shingle, percent)))
 
     names = (nodes.select("node", "doc_id").join(comp, "node", "left")
              .select("node", "doc_id", F.coalesce("component", "node").alias("component")))

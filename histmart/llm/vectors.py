@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histmart.llm.graph import components
+from histmart.llm.graph import components, roots
 from histmart.session import materialize
 
 #: vectors of a tile, fewer for long ones: a tile holds at most 2 MB of doubles
@@ -67,20 +67,6 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     return out
 
 
-def _roots(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For the rows and columns of a link matrix the number of a node of their
-    component (rows first); nodes without a link keep their own."""
-    nx, ny = link.shape
-    rx, ry = np.arange(nx), nx + np.arange(ny)
-    big = nx + ny
-    while True:
-        x2 = np.minimum(rx, np.where(link, ry[None, :], big).min(1, initial=big))
-        y2 = np.minimum(ry, np.where(link, x2[:, None], big).min(0, initial=big))
-        if (x2 == rx).all() and (y2 == ry).all():
-            return rx, ry
-        rx, ry = x2, y2
-
-
 def _pack(group: pa.Table) -> pa.Table:
     t = group.combine_chunks()
     full = np.array(t["vec"].to_pylist(), dtype=np.float64)
@@ -97,7 +83,7 @@ def _compare(threshold: float):
                 link = linked(a, a if same else np.frombuffer(xb).reshape(len(nb), -1), threshold)
                 if same:
                     np.fill_diagonal(link, False)
-                rx, ry = _roots(link)
+                rx, ry = roots(link)
                 names = np.array(na + nb, dtype=np.int64)
                 x, y = np.flatnonzero(link.any(1)), np.flatnonzero(link.any(0))
                 node, links, root = names[x], (link @ np.array(cb, dtype=np.float64))[x], names[rx[x]]
