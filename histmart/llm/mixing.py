@@ -6,11 +6,11 @@ taken surely, its fractional part is the document's inclusion probability.
 The cube method's flight phase moves the probabilities of three documents at
 a time along the null space of the two balancing constraints (documents and
 words), so that both totals stay exact while one document after the other
-becomes 0 or 1.  It runs in buckets of a source, which leave two undecided
-documents each at most; these meet in fewer buckets at the next level, until
-one bucket a source is left.  Its flight leaves a small landing problem of
-LANDING documents spread over the sizes and the last two undecided ones: of
-all choices among them the one with the nearest totals is taken.
+becomes 0 or 1.  It runs in buckets of a source, each of which leaves a few
+documents undecided: LANDING ones spread over the sizes and the flight's last
+two.  These meet in fewer buckets at the next level, until one bucket a source
+is left.  Of all choices among what it leaves, the landing takes the one with
+the nearest totals.
 
 Null sources are a source of their own (the last one), null and empty texts
 have size 0 (taken 0 words), repeated rows are units of their own, and an
@@ -31,7 +31,7 @@ from histmart.session import materialize
 
 #: documents of one flight; a bucket of these fits any task
 BUCKET_ROWS = 20_000
-#: documents of a source that the last flight leaves to the landing
+#: documents that a flight leaves to the landing, besides its last two
 LANDING = 12
 _EPS = 1e-9
 
@@ -100,7 +100,7 @@ def flight(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> None:
 
 def landing(pi: np.ndarray, x: np.ndarray) -> None:
     """Decides the undecided entries, LANDING + 2 at most, in place: of the
-    choices whose number is within one of the probabilities' sum, the one
+    choices whose number is within two of the probabilities' sum, the one
     whose total of x is nearest to theirs."""
     open_ = np.flatnonzero((pi > 0) & (pi < 1))
     if not len(open_):
@@ -108,19 +108,22 @@ def landing(pi: np.ndarray, x: np.ndarray) -> None:
     choice = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
     words = np.abs(choice @ x[open_] - pi[open_] @ x[open_])
     rows = np.abs(choice.sum(1) - pi[open_].sum())
-    words[rows > 1] = np.inf
+    words[rows > 2] = np.inf
     pi[open_] = choice[np.lexsort((rows, words))[0]]
 
 
-def fly_and_land(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> None:
-    """Flight, but for LANDING entries spread over the sizes; these and the two
-    that the flight leaves are the landing problem."""
-    kept = np.unique(np.linspace(0, len(pi) - 1, min(LANDING, len(pi))).astype(int))
+def fly(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator, last: bool) -> None:
+    """Flight, but for at most LANDING entries, more of the first (the largest)
+    than of the last.  These and the two that the flight leaves are the landing
+    problem, of the next level or, in the last one, of this."""
+    hold = LANDING if last else min(LANDING, len(pi) // 8)
+    kept = np.unique(np.geomspace(1, len(pi), hold).astype(int) - 1) if len(pi) > hold else np.arange(len(pi))
     rest = np.setdiff1d(np.arange(len(pi)), kept)
     flown = pi[rest]
     flight(flown, x[rest], rng)
     pi[rest] = flown
-    landing(pi, x)
+    if last:
+        landing(pi, x)
 
 
 def _flyer(level: int, last: bool):
@@ -130,7 +133,7 @@ def _flyer(level: int, last: bool):
         pi = g["pi"].to_numpy().copy()
         x = g["size"].to_numpy().astype(np.float64)
         key = f"{level}:{g['source_no'][0].as_py()}:{g['bucket'][0].as_py()}".encode()
-        (fly_and_land if last else flight)(pi, x, np.random.default_rng(zlib.crc32(key)))
+        fly(pi, x, np.random.default_rng(zlib.crc32(key)), last)
         return g.set_column(g.schema.get_field_index("pi"), "pi", pa.array(pi))
     return run
 
@@ -165,7 +168,7 @@ def mix(thin: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (3, 1,
         if last:
             break
         open_ = flown.where("pi > 0 and pi < 1")
-        left, most_rows, level = 2 * n, 2 * -(-most_rows // BUCKET_ROWS), level + 1
+        left, most_rows, level = (LANDING + 2) * n, (LANDING + 2) * -(-most_rows // BUCKET_ROWS), level + 1
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
@@ -188,7 +191,7 @@ def mix_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     numbered = documents.withColumn("_nth", nth)
     thin = numbered.select(F.col(id_col).alias("_id"), "_nth", F.xxhash64(id_col, "_nth").alias("row_key"),
                            F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"))
-    taken = mix(thin, **how).where("copies > 0").select("_id", F.col("_nth").alias("_n"), "copies")
+    taken = mix(thin, **how).where("copies > 0").select("_id", F.col("_nth").alias("_n"), F.col("copies").alias("_copies"))
     return (numbered.join(taken, numbered[id_col].eqNullSafe(taken["_id"]) & (numbered["_nth"] == taken["_n"]))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
             .select(*[F.col(f"`{c}`") for c in documents.columns]))
