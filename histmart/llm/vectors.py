@@ -70,6 +70,7 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
 def _pack(group: pa.Table) -> pa.Table:
     t = group.combine_chunks()
     full = np.array(t["vec"].to_pylist(), dtype=np.float64)
+    full = np.ldexp(full, -np.frexp(np.abs(full).max(1))[1][:, None])  # exact; squares of very large or small numbers stay in range
     return pa.table({"label": t["label"][:1], "dims": t["dims"][:1], "tile": t["tile"][:1], "nodes": pa.array([t["node"].to_pylist()], pa.list_(pa.int64())),
                      "copies": pa.array([t["m"].to_pylist()], pa.list_(pa.int64())), "numbers": pa.array([full.tobytes()], pa.binary())})
 
