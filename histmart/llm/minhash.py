@@ -259,7 +259,8 @@ def minhash_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str =
            .where(f"a < b and ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"))
     more = _linked(_alike(_pairs(few), nodes), nodes, docs, shingle, percent)
     hot = rest.where(f"m > {LIST_JOIN}").drop("m")
-    comp = components(links.unionAll(more).unionAll(_linked_in_blocks(hot, lists, nodes, docs, shingle, percent)))
+    stars = comp.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    comp = components(stars.unionAll(more).unionAll(_linked_in_blocks(hot, lists, nodes, docs, shingle, percent)))
 
     names = (nodes.select("node", "doc_id").join(comp, "node", "left")
              .select("node", "doc_id", F.coalesce("component", "node").alias("component")))
