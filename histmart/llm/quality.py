@@ -3,11 +3,11 @@
 The model is over UTF-8 bytes (order 5, case kept), learned from all trusted
 texts.  Counts, continuation counts, context totals and back-off weights are
 tables that Spark shards by n-gram; the smoothed probabilities are joins of
-them.  For scoring, each batch of documents lists its distinct n-grams, the
-distinct ones of the whole corpus are joined once with the count tables (long
-order first, then its back-offs), and every batch gets the probabilities of
-its own n-grams back.  So no task and no broadcast holds the model, and what
-is shuffled is the documents once and a row for each n-gram of a batch.
+them.  For scoring, the distinct n-grams of the corpus are joined once with
+the count tables (long order first, then its back-offs).  If they are few
+enough, by their count, they are broadcast and the texts stay where they
+are; else every batch of documents lists its distinct n-grams and gets the
+probabilities of these, so that no task holds the whole table.
 
 A document's perplexity is that of its bytes.  It is rejected when it lies
 above its language's limit: a quantile of the perplexities of trusted
@@ -40,6 +40,9 @@ START = 2
 FOLDS = 5
 #: bytes of the documents that are scored together
 BATCH_BYTES = 48 << 20
+#: n-grams (64 MB) and labelled ids (32 MB) that may be broadcast
+BROADCAST_NGRAMS = 4_000_000
+BROADCAST_LABELS = 4_000_000
 
 
 def _keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -74,21 +77,44 @@ def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), x), pa.int64()), pa.array(key, pa.int64())], names=["batch", "g"])
 
 
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for _, _, data, offsets in T.text_chunks(b.column(0)):
+            yield pa.RecordBatch.from_arrays([pa.array(pd.unique(_keys(data, offsets)), pa.int64())], names=["g"])
+
+
+def _sums(col: pa.Array, g: np.ndarray, lp: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Sum of log probabilities and number of bytes of every text; ``g`` is
+    sorted and holds all n-grams of the texts."""
+    total, length = [np.empty(0)], [np.empty(0, np.int64)]
+    for _, _, data, offsets in T.text_chunks(col):
+        code, key = pd.factorize(_keys(data, offsets))
+        sums = np.zeros(len(data) + 1)
+        if len(key):
+            np.cumsum(lp[np.searchsorted(g, key)][code], out=sums[1:])
+        total.append(sums[offsets[1:]] - sums[offsets[:-1]])
+        length.append(np.diff(offsets))
+    return pa.array(np.concatenate(total)), pa.array(np.concatenate(length), pa.int64())
+
+
 def _score(docs: pa.Table, known: pa.Table) -> pa.Table:
-    g, lp = known["g"].to_numpy(), known["lp"].to_numpy()
-    order = np.argsort(g)
-    g, lp = g[order], lp[order]
-    total, length = [], []
-    for col in docs["text"].chunks:
-        for lo, hi, data, offsets in T.text_chunks(col):
-            code, key = pd.factorize(_keys(data, offsets))
-            at = lp[np.searchsorted(g, key)][code] if len(key) else np.empty(0)
-            sums = np.zeros(len(data) + 1)
-            np.cumsum(at, out=sums[1:])
-            total.append(sums[offsets[1:]] - sums[offsets[:-1]])
-            length.append(np.diff(offsets))
-    cat = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
-    return docs.drop_columns(["text"]).append_column("lp", pa.array(cat(total, float), pa.float64())).append_column("n_bytes", pa.array(cat(length, np.int64), pa.int64()))
+    """One batch of documents with its own n-grams."""
+    order = np.argsort(known["g"].to_numpy())
+    g, lp = known["g"].to_numpy()[order], known["lp"].to_numpy()[order]
+    sums = [_sums(c, g, lp) for c in docs["text"].chunks]
+    out = docs.drop_columns(["text"])
+    for i, name in enumerate(("lp", "n_bytes")):
+        out = out.append_column(name, pa.chunked_array([x[i] for x in sums], pa.float64() if i == 0 else pa.int64()))
+    return out
+
+
+def _scorer(known, names: list[str]):
+    """Any documents with all n-grams of the corpus, a broadcast (g, lp)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g, lp = known.value
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(n) for n in names] + list(_sums(b.column("text"), g, lp)), names=[*names, "lp", "n_bytes"])
+    return run
 
 
 def _suffix(g: Column, n: int) -> Column:
@@ -156,8 +182,23 @@ def lookup(wanted: DataFrame, probs: dict[int, DataFrame], weights: dict[int, Da
 
 def perplexity(documents: DataFrame, trusted: DataFrame) -> DataFrame:
     """documents (key, text, other columns) without text, with lp (sum of log
-    probabilities) and n_bytes."""
+    probabilities) and n_bytes.
+
+    The probabilities of the corpus' distinct n-grams are broadcast if they
+    are at most BROADCAST_NGRAMS, else every batch of documents is sent those
+    of its own n-grams; the result is the same.
+    """
     probs, weights = kneser_ney(trusted)
+    grams = documents.select("text").mapInArrow(_distinct, "g long").distinct()
+    known = materialize(lookup(grams, probs, weights), "known")
+    fields = [f for f in documents.schema.fields if f.name != "text"]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "lp double", "n_bytes long"])
+    if known.count() <= BROADCAST_NGRAMS:
+        t = known.toArrow()
+        g, lp = t["g"].to_numpy(), t["lp"].to_numpy()
+        order = np.argsort(g)
+        table = documents.sparkSession.sparkContext.broadcast((g[order], lp[order]))
+        return documents.mapInArrow(_scorer(table, [f.name for f in fields]), schema)
     size = F.coalesce(F.octet_length("text"), F.lit(0))
     n, total = documents.agg(F.count("*"), F.sum(size)).first()
     per = max(1, int((n or 0) * BATCH_BYTES / max(1, total or 0)))
@@ -167,12 +208,11 @@ def perplexity(documents: DataFrame, trusted: DataFrame) -> DataFrame:
     docs = docs.join(materialize(over, "overfull"), "range", "left")
     cut = F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("text", "key"), F.col("cuts")))
     docs = docs.withColumn("batch", F.when(F.col("cuts").isNull(), F.col("range")).otherwise(F.xxhash64("range", cut))).drop("range", "cuts")
-    asked = materialize(docs.select("batch", "text").mapInArrow(_requests, "batch long, g long").distinct(), "requests")
-    known = materialize(lookup(asked.select("g").distinct(), probs, weights), "known")
+    asked = docs.select("batch", "text").mapInArrow(_requests, "batch long, g long").distinct()
     slices = asked.join(known, "g").select("batch", "g", "lp")
-    fields = [f for f in docs.schema.fields if f.name != "text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", lp double, n_bytes long"
-    return docs.groupBy("batch").cogroup(slices.groupBy("batch")).applyInArrow(lambda d, k: _score(d, k), schema).drop("batch")
+    cols = [f.name for f in fields]
+    return docs.groupBy("batch").cogroup(slices.groupBy("batch")).applyInArrow(
+        lambda d, k: _score(d.select([*cols, "text"]), k), schema)
 
 
 def classify(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -187,6 +227,8 @@ def classify(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     good = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_l")).agg(F.min("quality").alias("_q")).where("_q = 1").select("_l")
     docs = documents.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"),
                             F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"))
+    # labels are few beside documents: a broadcast, if so, spares the texts a shuffle
+    good = F.broadcast(good) if good.count() <= BROADCAST_LABELS else good
     docs = docs.join(good, docs["key"] == good["_l"], "left").withColumn(
         "fold", F.when(F.col("_l").isNull(), -1).otherwise(F.pmod("text_hash", F.lit(FOLDS)).cast("int"))).drop("_l")
     scored = materialize(perplexity(docs, docs.where("fold > 0")), "perplexity")

@@ -166,8 +166,9 @@ def test_perplexity_equals_the_textbook(spark, monkeypatch):
     score = ["the cat", "xyz ü", "the dog sat on a mat", "", None, "a", "the cat"]
     docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(score)], "key long, text string, lang string")
     want = _brute_kneser_ney(train)
-    for size in (quality.BATCH_BYTES, 8):  # one batch, and many
+    for size, few in ((8, 10**6), (quality.BATCH_BYTES, 0), (8, 0)):  # a broadcast; one batch, and many
         monkeypatch.setattr(quality, "BATCH_BYTES", size)
+        monkeypatch.setattr(quality, "BROADCAST_NGRAMS", few)
         got = {r["key"]: r for r in quality.perplexity(docs, spark.createDataFrame([(t,) for t in train], "text string")).collect()}
         assert len(got) == len(score)
         for i, t in enumerate(score):
