@@ -1,12 +1,9 @@
 """Lookups: point-in-time (as-of), code tables, calendar, current version,
 exists flags, ranked person match, semi/anti splits.
 
-Size discipline for broadcasts: only reference tables whose size is fixed by
-definition (code tables, calendar, time of day: bounded by their domain) are
-hinted.  Everything else is left to the planner, whose broadcast decision
-is checked against ``spark.sql.autoBroadcastJoinThreshold`` from statistics
-and re-checked by AQE at run time; above it Catalyst falls back to a
-shuffled join.
+No side is hinted: the planner's broadcast decision is checked against
+``spark.sql.autoBroadcastJoinThreshold`` from statistics and re-checked by
+AQE at run time; above it Catalyst falls back to a shuffled join.
 """
 
 from __future__ import annotations
@@ -21,9 +18,6 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-MAX_VERSIONS_FOR_JOIN = 64
-
-
 def asof_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                 ts: str, eff: str = "effective_date", end: str = "end_date",
                 how: str = "inner", strategy: str = "join",
@@ -35,17 +29,12 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     the fact side.  ``strategy='carry'``: for keys with very long version
     lists - the version in force is resolved once per (key, fact day) by a
     carry-forward over day-level rows, then equi-joined back to the facts on
-    (key, day): no row multiplication, and versions are day-granular.
-    ``strategy='auto'``: ``join`` while no key has more than
-    ``MAX_VERSIONS_FOR_JOIN`` versions, else ``carry``.
+    (key, day): no row multiplication, and versions are day-granular.  It takes
+    the latest started version, so it needs versions that don't overlap; the
+    caller chooses.
     """
     dim_cols = list(dim_cols) if dim_cols is not None else [
         c for c in dim.columns if c not in (dim_key,)]
-    if strategy == "auto":
-        # one driver scalar: the longest version list decides how far the
-        # join could multiply a fact row before the range filter
-        longest = dim.groupBy(dim_key).count().agg(F.max("count")).first()[0] or 0
-        strategy = "join" if longest <= MAX_VERSIONS_FOR_JOIN else "carry"
     if strategy == "join":
         d = dim.select(F.col(dim_key).alias("__dk"), *[F.col(c) for c in dim_cols])
         t = F.col(ts).cast("date") if dict(fact.dtypes).get(ts) == "date" else F.col(ts)
@@ -109,9 +98,9 @@ def lookup_code(df: DataFrame, codes: DataFrame, left_on: str, right_on: str,
                 how: str = "left") -> DataFrame:
     """Many-to-one code-table lookup; unmatched rows keep null attributes.
 
-    Code tables are bounded by their code domain, so the broadcast is safe.
+    Whether ``codes`` is broadcast is the planner's choice, by its size.
     """
-    return df.join(F.broadcast(codes), F.col(left_on) == codes[right_on], how).drop(codes[right_on])
+    return df.join(codes, F.col(left_on) == codes[right_on], how).drop(codes[right_on])
 
 
 def lookup_calendar(df: DataFrame, ts: str, dim_date: DataFrame, dim_time: DataFrame | None = None,
@@ -120,10 +109,10 @@ def lookup_calendar(df: DataFrame, ts: str, dim_date: DataFrame, dim_time: DataF
                     prefix: str = "") -> DataFrame:
     """Date part and time part of ``ts`` to calendar surrogate keys."""
     d = dim_date.select(F.col(date_value).alias("__dv"), F.col(date_key).alias(f"{prefix}{date_key}"))
-    out = df.join(F.broadcast(d), F.to_date(F.col(ts)) == F.col("__dv"), "left").drop("__dv")
+    out = df.join(d, F.to_date(F.col(ts)) == F.col("__dv"), "left").drop("__dv")
     if dim_time is not None:
         t = dim_time.select(F.col(time_value).alias("__tv"), F.col(time_key).alias(f"{prefix}{time_key}"))
-        out = out.join(F.broadcast(t), F.date_format(F.col(ts), "HH:mm:ss") == F.col("__tv"),
+        out = out.join(t, F.date_format(F.col(ts), "HH:mm:ss") == F.col("__tv"),
                        "left").drop("__tv")
     return out
 

@@ -1,6 +1,6 @@
 """Shape adapter: present the driver's tables as raw brokerage extracts.
 
-The raw TPC-DI style files are not available, so every extract is derived
+The raw files are not available, so every extract is derived
 from the given tables by a Spark job (one row of output per row or group of
 input; no driver-side data), then parsed back with the real readers.  Work
 therefore grows with the input tables.
@@ -30,8 +30,16 @@ RATING_CYCLE = VALID_SP_RATINGS + ("XX", "ZZ", "Q")
 
 
 def fw(c: Column, width: int) -> Column:
-    """Left-aligned fixed-width text field (blank padded, cut at ``width``)."""
-    return F.rpad(F.coalesce(c.cast("string"), F.lit("")), width, " ")
+    """Left-aligned fixed-width text field, blank padded; a longer value is an error."""
+    s = F.coalesce(c.cast("string"), F.lit(""))
+    long = F.raise_error(F.concat(F.lit(f"longer than {width}: "), s)).cast("string")
+    return F.when(F.length(s) > width, long).otherwise(F.rpad(s, width, " "))
+
+
+def padded(c: Column, width: int) -> Column:
+    """Number as text with leading zeros; longer ones stay whole."""
+    s = c.cast("string")
+    return F.when(F.length(s) >= width, s).otherwise(F.lpad(s, width, "0"))
 
 
 def _line(fields: list[Column]) -> Column:
@@ -43,7 +51,7 @@ def _pts(ts: Column) -> Column:
 
 
 def cik(c) -> Column:
-    return F.lpad(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"), 10, "0")
+    return padded(F.col(c) if isinstance(c, str) else c, 10)
 
 
 # --- companies (CMP) ------------------------------------------------------------
@@ -160,7 +168,7 @@ def security_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey", "seq", "company",
         F.make_timestamp(F.year(day), F.month(day), F.dayofmonth(day), F.lit(9), F.lit(30), F.lit(0))
         .cast("timestamp_ntz").alias("pts"),
-        F.concat(F.lit("S"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("Symbol"),
+        F.concat(F.lit("S"), padded(F.col("p_partkey"), 9)).alias("Symbol"),
         F.lit("COMMON").alias("IssueType"),
         F.when(F.col("seq") == 1, F.lit("INAC")).otherwise(F.lit("ACTV")).alias("Status"),
         F.col("p_name").alias("Name"), F.lit("NYSE").alias("ExID"),
@@ -347,8 +355,8 @@ def trade_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("T_ID"), F.col("o_orderdate").alias("T_DTS"), status.alias("T_ST_ID"),
         F.element_at(F.array(*[F.lit(x) for x in ("TLB", "TLS", "TMB", "TMS")]), (k % 4 + 1).cast("int"))
          .alias("T_TT_ID"),
-        (k % 3 != 0).alias("T_IS_CASH"),
-        F.concat(F.lit("S"), F.lpad(F.col("part").cast("string"), 9, "0")).alias("T_S_SYMB"),
+        (k % 3 != 0).cast("int").alias("T_IS_CASH"),
+        F.concat(F.lit("S"), padded(F.col("part"), 9)).alias("T_S_SYMB"),
         F.col("qty").alias("T_QTY"), price.alias("T_BID_PRICE"),
         (F.col("o_custkey") * 2 + k % 2).alias("T_CA_ID"),
         F.concat(F.lit("exec "), (k % 10).cast("string")).alias("T_EXEC_NAME"),
@@ -397,16 +405,16 @@ def market_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max_by(price, F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("DM_CLOSE"),
         F.max(price).alias("DM_HIGH"), F.min(price).alias("DM_LOW"),
         F.sum("l_quantity").cast("long").alias("DM_VOL"))
-    return d.select("DM_DATE", F.concat(F.lit("S"), F.lpad(F.col("l_partkey").cast("string"), 9, "0"))
+    return d.select("DM_DATE", F.concat(F.lit("S"), padded(F.col("l_partkey"), 9))
                     .alias("DM_S_SYMB"), "DM_CLOSE", "DM_HIGH", "DM_LOW", "DM_VOL")
 
 
 def watch_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watch actions from events: a click places, an error cancels."""
     e = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "error"))
-    sym = F.get_json_object("props", "$.k").cast("int") % 50
+    sym = F.get_json_object("props", "$.k").cast("long") % table(spark, sf_dir, "part").agg(F.count("*").alias("n")).scalar()
     return e.select(F.col("user_id").alias("W_C_ID"),
-                    F.concat(F.lit("S"), F.lpad(sym.cast("string"), 9, "0")).alias("W_S_SYMB"),
+                    F.concat(F.lit("S"), padded(sym, 9)).alias("W_S_SYMB"),
                     F.col("ts").alias("W_DTS"),
                     F.when(F.col("event_type") == "click", F.lit("ACTV")).otherwise(F.lit("CNCL")).alias("W_ACTION"))
 
@@ -414,9 +422,9 @@ def watch_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- change-data files of batch 2 ----------------------------------------------------------
 
 def _dsn(ts: Column, seq: Column) -> Column:
-    """A change sequence number that follows time: seconds since the epoch in
-    the high bits, the record's own id in the low 28 bits."""
-    return F.shiftleft(F.unix_seconds(ts.cast("timestamp")), 28) + seq
+    """A change sequence number that follows time: seconds since the epoch,
+    then the record's own id in 19 digits."""
+    return F.concat(F.unix_seconds(ts.cast("timestamp")).cast("string"), F.lpad(seq.cast("string"), 19, "0")).cast("decimal(38,0)")
 
 
 def customer_cdc_text(states: DataFrame, lo: str, hi: str) -> DataFrame:
@@ -436,7 +444,7 @@ def customer_cdc_text(states: DataFrame, lo: str, hi: str) -> DataFrame:
     return s.select(F.concat_ws("|", *fields).alias("value"))
 
 
-TRADE_CDC_SHORT = "CDC_FLAG string, CDC_DSN long, T_ID long, T_DTS timestamp_ntz, T_ST_ID string"
+TRADE_CDC_SHORT = "CDC_FLAG string, CDC_DSN decimal(38,0), T_ID long, T_DTS timestamp_ntz, T_ST_ID string"
 
 
 def trade_cdc_text(history: DataFrame, lo: str, hi: str) -> DataFrame:

@@ -30,8 +30,9 @@ def _save(df: DataFrame, out_root: str, name: str, batch_id: int = 1) -> DataFra
     return df.sparkSession.read.parquet(path)
 
 
-def historical_load(spark: SparkSession, batch_dir: str, out_root: str) -> dict[str, DataFrame]:
-    """Load ``batch_dir`` (the raw historical batch) into ``out_root``."""
+def historical_load(spark: SparkSession, batch_dir: str, out_root: str, action_tag: str = "Action") -> dict[str, DataFrame]:
+    """Load ``batch_dir`` (the raw historical batch) into ``out_root``;
+    ``action_tag`` is the element name of a customer action, with its prefix."""
     def path(name):
         return os.path.join(batch_dir, name)
 
@@ -61,7 +62,7 @@ def historical_load(spark: SparkSession, batch_dir: str, out_root: str) -> dict[
                                              t["status_type"]), out_root, "dim_security")
 
     # Customer actions parsed once
-    actions = materialize(R.read_actions(spark, path("CustomerMgmt.xml")), "actions")
+    actions = materialize(R.read_actions(spark, path("CustomerMgmt.xml"), action_tag), "actions")
     t["dim_customer"] = _save(W.dim_customer(actions), out_root, "dim_customer")
     t["dim_account"] = _save(W.dim_account(actions, t["dim_customer"], t["dim_broker"]), out_root, "dim_account")
 
@@ -83,19 +84,29 @@ def historical_load(spark: SparkSession, batch_dir: str, out_root: str) -> dict[
     market = R.read_delimited(spark, path("DailyMarket.txt"), S.DAILY_MARKET)
     t["fact_market"] = _save(W.fact_market(market, t["dim_security"], t["dim_company"], t["financial"]),
                              out_root, "fact_market")
+    # the raw rows that the windows of the next batch look back on
+    _save(W.market_tail(market), out_root, "raw_daily_market")
     watches = R.read_delimited(spark, path("WatchHistory.txt"), S.WATCH_HISTORY)
     t["fact_watches"] = _save(W.fact_watches(watches, t["dim_customer"], t["dim_security"]), out_root,
                               "fact_watches")
 
     # Every alert of the batch plus the validation snapshot (M1, M2), one append
-    msgs = batch_alerts(actions, cmp_, trades, t["fact_market"], batch_date)
+    msgs = batch_alerts(actions, cmp_, trades, t["fact_market"], t["dim_security"], batch_date)
     msgs = msgs.unionByName(validation_snapshot(t, 1, "Historical load"))
     sinks.append_messages(msgs, os.path.join(out_root, "dimessages"))
     t["dimessages"] = spark.read.parquet(os.path.join(out_root, "dimessages"))
     return t
 
 
-def batch_alerts(actions: DataFrame, cmp_records: DataFrame, trades: DataFrame, market: DataFrame,
+def no_earnings_alerts(market: DataFrame, security: DataFrame, batch_id: int) -> DataFrame:
+    """Market rows without a P/E ratio, named by the security's symbol."""
+    symbol = security.select(F.col("sk_securityid").alias("__sk"), F.col("symbol").alias("__symbol"))
+    rows = market.where(F.col("pe_ratio").isNull()).join(symbol, F.col("sk_securityid") == F.col("__sk"), "left")
+    return Q.alerts(rows, F.lit(True), "FactMarketHistory", "No earnings for company",
+                    [("DM_S_SYMB", F.col("__symbol")), ("SK_DATEID", F.col("sk_dateid"))], batch_id)
+
+
+def batch_alerts(actions: DataFrame, cmp_records: DataFrame, trades: DataFrame, market: DataFrame, security: DataFrame,
                  batch_date, batch_id: int = 1) -> DataFrame:
     """Alerts L1-L6 of one batch as message-log rows (rules D4, D5, D7)."""
     c = actions.where(F.col("_ActionType").isin("NEW", "UPDCUST")).select(
@@ -114,8 +125,7 @@ def batch_alerts(actions: DataFrame, cmp_records: DataFrame, trades: DataFrame,
                  [("T_ID", F.col("T_ID")), ("T_COMM", F.col("T_COMM"))], batch_id),
         Q.alerts(trades, F.col("T_CHRG") > qty_price, "DimTrade", "Invalid trade fee",
                  [("T_ID", F.col("T_ID")), ("T_CHRG", F.col("T_CHRG"))], batch_id),
-        Q.alerts(market, F.col("pe_ratio").isNull(), "FactMarketHistory", "No earnings for company",
-                 [("SK_SECURITYID", F.col("sk_securityid")), ("SK_DATEID", F.col("sk_dateid"))], batch_id),
+        no_earnings_alerts(market, security, batch_id),
     ])
 
 
@@ -132,7 +142,8 @@ def change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: in
         return os.path.join(batch_dir, name)
 
     def latest(name):
-        return sinks.read_latest(spark, os.path.join(out_root, name))
+        # never this batch's own output: a batch that runs again starts from the same state
+        return sinks.read_latest(spark, os.path.join(out_root, name), before=batch_id)
 
     batch_date = R.read_batch_date(spark, path("BatchDate.txt"))
     t: dict[str, DataFrame] = {}
@@ -170,12 +181,13 @@ def change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: in
     # market: rolling windows look back over earlier raw rows
     mkt_new = R.read_cdc(spark, path("DailyMarket.txt"), S.MARKET_CDC).drop("CDC_FLAG", "CDC_DSN")
     raw_root = os.path.join(out_root, "raw_daily_market")
-    prev_raw = sinks.read_latest(spark, raw_root)
+    prev_raw = sinks.read_latest(spark, raw_root, before=batch_id)
     both = W.market_with_lookback(prev_raw, mkt_new)
     mk = W.fact_market(both, security, latest("dim_company"), latest("financial")) \
         .withColumn("batch_id", F.lit(batch_id))
     t["fact_market"] = _save(latest("fact_market").unionByName(mk), out_root, "fact_market", batch_id)
-    sinks.write_version(mkt_new if prev_raw is None else prev_raw.unionByName(mkt_new), raw_root, batch_id)
+    raw = mkt_new if prev_raw is None else prev_raw.unionByName(mkt_new)
+    sinks.write_version(W.market_tail(raw), raw_root, batch_id)
 
     # watches merged on business keys across surrogate versions (K7)
     watch_rows = R.read_cdc(spark, path("WatchHistory.txt"), S.WATCH_CDC).drop("CDC_FLAG", "CDC_DSN")
@@ -191,7 +203,9 @@ def change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: in
     prospect, counters = W.prospect_change_batch(latest("prospect"), new_prospects, batch_date)
     t["prospect"] = _save(prospect, out_root, "prospect", batch_id)
 
-    msgs = batch_alerts_cdc(cust_rows, trade_rows, batch_date, batch_id).unionByName(
+    alerts = batch_alerts_cdc(cust_rows, trade_rows, batch_date, batch_id).unionByName(
+        no_earnings_alerts(t["fact_market"].where(F.col("batch_id") == batch_id), security, batch_id))
+    msgs = alerts.unionByName(
         counters.select(F.lit(batch_id).alias("batch_id"), F.lit("Prospect").alias("message_source"),
                         F.col("counter").alias("message_text"), F.lit("Status").alias("message_type"),
                         F.col("value").cast("string").alias("message_data")))

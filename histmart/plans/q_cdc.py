@@ -191,7 +191,7 @@ _WATCH_SQL = "WITH " + _VER_SQL + f""",
 vk AS (SELECT ver.*, row_number() OVER (ORDER BY o_custkey, effective_date) AS sk FROM ver),
 first_sk AS (SELECT o_custkey, arg_min(sk, effective_date) AS sk FROM vk GROUP BY o_custkey),
 cur_sk AS (SELECT o_custkey, sk FROM vk WHERE end_date = DATE '9999-12-31'),
-w AS (SELECT user_id, CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS INTEGER) AS symbol,
+w AS (SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) % (SELECT count(*) FROM part) AS symbol,
              ts, event_type, ts >= TIMESTAMP '{EVENT_SPLIT}' AS late
       FROM events WHERE event_type IN ('click', 'error')),
 b AS (SELECT w.user_id, w.symbol, f.sk, min(ts) FILTER (WHERE event_type = 'click') AS placed,
@@ -216,8 +216,9 @@ def q_watch_upsert(spark, sf_dir):
     v = assign_keys(priority_versions(spark, sf_dir), ["o_custkey", "effective_date"], "sk")
     first_sk = v.groupBy("o_custkey").agg(F.min_by("sk", "effective_date").alias("sk"))
     cur_sk = v.where("is_current").select("o_custkey", "sk")
+    parts = table(spark, sf_dir, "part").agg(F.count("*").alias("n")).scalar()
     ev = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "error")).select(
-        "user_id", (F.get_json_object("props", "$.k").cast("int") % 10).alias("symbol"), "ts", "event_type")
+        "user_id", (F.get_json_object("props", "$.k").cast("long") % parts).alias("symbol"), "ts", "event_type")
     split = F.lit(EVENT_SPLIT).cast("timestamp_ntz")
 
     def watches(df):

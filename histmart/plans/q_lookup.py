@@ -223,19 +223,20 @@ def q_semi_anti(spark, sf_dir):
 
 @query("join_right", """
 WITH fin AS (
-  SELECT l_suppkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(38,2)) AS revenue
-  FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01' AND l_shipdate < TIMESTAMP '2000-04-01'
-  GROUP BY l_suppkey)
-SELECT s.s_suppkey, fin.revenue FROM fin RIGHT JOIN supplier s ON fin.l_suppkey = s.s_suppkey""")
+  SELECT l_suppkey, date_trunc('quarter', l_shipdate) AS q, CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(38,2)) AS revenue
+  FROM lineitem GROUP BY ALL),
+quarters AS (SELECT s_suppkey, q FROM supplier, (SELECT DISTINCT date_trunc('quarter', l_shipdate) AS q FROM lineitem))
+SELECT s.s_suppkey, CAST(s.q AS DATE) AS quarter_start, fin.revenue FROM fin RIGHT JOIN quarters s ON fin.l_suppkey = s.s_suppkey AND fin.q = s.q""")
 def q_join_right(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    fin = (li.where((F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
-                    & (F.col("l_shipdate") < F.lit("2000-04-01").cast("timestamp_ntz")))
-             .groupBy("l_suppkey")
-             .agg(F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).cast("decimal(38,2)")
-                  .alias("revenue")))
-    s = table(spark, sf_dir, "supplier").select("s_suppkey")
-    return fin.join(s, fin.l_suppkey == s.s_suppkey, "right").select("s_suppkey", "revenue")
+    """Revenue of every supplier in every quarter, null where it sold nothing."""
+    q = F.trunc("l_shipdate", "quarter")
+    li = table(spark, sf_dir, "lineitem").withColumn("quarter_start", q)
+    fin = li.groupBy("l_suppkey", "quarter_start").agg(F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).cast("decimal(38,2)").alias("revenue"))
+    # the quarters of the time span, one row each
+    span = li.agg(F.sort_array(F.collect_set("quarter_start")).alias("quarters"))
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(span.scalar()).alias("q"))
+    return (fin.join(s, (fin.l_suppkey == s.s_suppkey) & (fin.quarter_start == s.q), "right")
+               .select("s_suppkey", F.col("q").alias("quarter_start"), "revenue"))
 
 
 # --- J13 fact enrich --------------------------------------------------------

@@ -450,7 +450,7 @@ def q_fact_market(spark, sf_dir):
 
 @query("fact_watches", "WITH " + COMPANY_SQL + "," + SEC_SQL + "," + SECURITY_PART + "," + CUSTOMER_SQL + """,
 w AS (SELECT user_id AS c_id,
-             'S' || lpad(CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 50 AS VARCHAR), 9, '0') AS sym,
+             'S' || lpad(CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % (SELECT count(*) FROM part) AS VARCHAR), 9, '0') AS sym,
              ts, CASE WHEN event_type = 'click' THEN 'ACTV' ELSE 'CNCL' END AS act
       FROM events WHERE event_type IN ('click', 'error')),
 wg AS (SELECT c_id, sym, min(ts) FILTER (WHERE act = 'ACTV') AS placed,
@@ -472,7 +472,7 @@ def q_fact_watches(spark, sf_dir):
 
 # --- change batch 2: T8, T11, T13 ----------------------------------------------------------
 
-B2_LO, B2_HI, B2_DATE = "2000-01-01", "2001-01-01", "2001-01-01"
+B2_LO, B2_HI, B2_DATE = "2000-01-01", "2100-01-01", "2002-01-01"  # everything after the first batch
 
 
 def build_customer_cdc(spark, sf_dir, actions=None):

@@ -199,7 +199,7 @@ def customer_states(actions: DataFrame) -> DataFrame:
         F.col("Customer.Address.C_ZIPCODE").alias("postal_code"),
         F.when(F.col("_ActionType") == "INACT", F.lit("INACTIVE"))
          .when(F.col("_ActionType") == "NEW", F.lit("ACTIVE")).alias("status"),
-        F.col("Customer.TaxInfo.C_LCL_TX_ID").cast("long").alias("seq"))
+        F.col("Customer.TaxInfo.C_LCL_TX_ID").try_cast("long").alias("seq"))
     filled = H.carry_forward(a, "customer_id", ["ts", "seq"], CUSTOMER_FILLED)
     return filled.withColumn("email1", CL.blank_to_null("email1"))
 
@@ -262,7 +262,7 @@ def dim_trade(trades: DataFrame, history: DataFrame, security: DataFrame, accoun
         F.col("T_ID").alias("trade_id"), "sk_brokerid",
         date_key(F.col("create_ts")).alias("sk_createdateid"), secs(F.col("create_ts")).alias("sk_createtimeid"),
         date_key(F.col("close_ts")).alias("sk_closedateid"), secs(F.col("close_ts")).alias("sk_closetimeid"),
-        F.col("ST_NAME").alias("status"), F.col("TT_NAME").alias("type"), F.col("T_IS_CASH").alias("cash_flag"),
+        F.col("ST_NAME").alias("status"), F.col("TT_NAME").alias("type"), (F.col("T_IS_CASH") == 1).alias("cash_flag"),
         "sk_securityid", "sk_companyid", F.col("T_QTY").alias("quantity"), F.col("T_BID_PRICE").alias("bid_price"),
         "sk_customerid", "sk_accountid", F.col("T_EXEC_NAME").alias("executed_by"),
         F.col("T_TRADE_PRICE").alias("trade_price"), F.col("T_CHRG").alias("fee"),
@@ -372,9 +372,12 @@ def customer_changes(cdc_rows: DataFrame, batch_date) -> DataFrame:
         F.col("CDC_DSN").alias("__dsn"))
 
 
-def _with_batch(df: DataFrame, batch_date, batch_id: int) -> DataFrame:
-    return df.withColumn("batch_id", F.when(F.col("effective_date") >= F.lit(batch_date).cast("date"),
-                                            F.lit(batch_id)).otherwise(F.lit(batch_id - 1)))
+def _with_batch(df: DataFrame, base: DataFrame, sk: str, batch_date, batch_id: int) -> DataFrame:
+    """New versions carry ``batch_id``, all others the one they were stored with."""
+    stored = base.select(F.col(sk).alias("__sk"), F.col("batch_id").alias("__stored"))
+    new = F.col("__stored").isNull() | (F.col("effective_date") >= F.lit(batch_date).cast("date"))
+    return (df.join(stored, F.col(sk) == F.col("__sk"), "left")
+              .withColumn("batch_id", F.when(new, F.lit(batch_id)).otherwise(F.col("__stored"))).drop("__sk", "__stored"))
 
 
 def dim_customer_cdc(base: DataFrame, cdc_rows: DataFrame, batch_date, batch_id: int = 2) -> DataFrame:
@@ -384,7 +387,7 @@ def dim_customer_cdc(base: DataFrame, cdc_rows: DataFrame, batch_date, batch_id:
     tgt = base.drop("batch_id")
     out = H.scd2_apply(tgt, chg, "customer_id", CUSTOMER_ATTRS, "__ts", order=["__dsn"],
                        sk_col="sk_customerid", detect_changes=False)
-    return _with_batch(out, batch_date, batch_id)
+    return _with_batch(out, base, "sk_customerid", batch_date, batch_id)
 
 
 def dim_account_cdc(base: DataFrame, accounts: DataFrame, customer: DataFrame, broker: DataFrame,
@@ -392,19 +395,28 @@ def dim_account_cdc(base: DataFrame, accounts: DataFrame, customer: DataFrame, b
     """Change batch for the account dimension (T11): each new customer version
     of the batch opens a version of every account of that customer with the
     new customer surrogate and status (K8, rule D16); broker is the current
-    one (J7)."""
+    one (J7).  An account with a row of its own in the batch (``in_batch``)
+    gets a version too if its customer didn't change, and the row's status
+    wins."""
+    if "in_batch" not in accounts.columns:
+        accounts = accounts.withColumns({"in_batch": F.lit(False), "account_status": F.lit(None).cast("string")})
     new_cust = customer.where(F.col("batch_id") == batch_id).select(
         "customer_id", "sk_customerid", "status", "effective_date")
     casc = H.cascade_versions(new_cust, accounts, "customer_id", "customer_id", carry=["status"],
                               parent_sk="sk_customerid", child_parent_sk="sk_customerid")
+    own = accounts.where("in_batch").join(casc.select("account_id"), "account_id", "left_anti")
+    own = L.lookup_current(own, customer.withColumnRenamed("status", "customer_status"), "customer_id", "customer_id", ["sk_customerid", "customer_status"])
+    wanted = ["account_id", "broker_id", "sk_customerid", "account_desc", "tax_status", "account_status"]
+    casc = casc.select(*wanted, F.col("status").alias("customer_status"), F.col("cascade_eff").cast("timestamp").alias("__ts")).unionByName(
+        own.select(*wanted, "customer_status", F.lit(batch_date).cast("timestamp").alias("__ts")))
     casc = L.lookup_current(casc, broker, "broker_id", "broker_id", ["sk_brokerid"])
-    chg = casc.select("account_id", "sk_brokerid", "sk_customerid", "status", "account_desc", "tax_status",
-                      F.col("cascade_eff").cast("timestamp").alias("__ts"))
+    chg = casc.select("account_id", "sk_brokerid", "sk_customerid", F.coalesce("account_status", "customer_status").alias("status"),
+                      "account_desc", "tax_status", "__ts")
     tgt = base.drop("batch_id")
     out = H.scd2_apply(tgt, chg, "account_id", ["sk_brokerid", "sk_customerid", "status", "account_desc",
                                                 "tax_status"], "__ts", sk_col="sk_accountid",
                        detect_changes=False)
-    return _with_batch(out, batch_date, batch_id)
+    return _with_batch(out, base, "sk_accountid", batch_date, batch_id)
 
 
 def trade_lifecycle(history: DataFrame) -> DataFrame:
@@ -449,13 +461,15 @@ def account_changes(prev_account: DataFrame, prev_customer: DataFrame, broker: D
     brk = broker.select(F.col("sk_brokerid").alias("__bsk"), F.col("broker_id").alias("__bid"))
     cur = (prev_account.where(F.col("is_current"))
            .join(cust, F.col("sk_customerid") == F.col("__csk"), "left")
-           .join(F.broadcast(brk), F.col("sk_brokerid") == F.col("__bsk"), "left")
+           .join(brk, F.col("sk_brokerid") == F.col("__bsk"), "left")
            .select("account_id", F.col("__cid").alias("customer_id"), F.col("__bid").alias("broker_id"),
-                   "account_desc", "tax_status"))
+                   "account_desc", "tax_status", F.lit(None).cast("string").alias("account_status"), F.lit(False).alias("in_batch")))
     new = latest_per_key(account_rows, "CA_ID", ["CDC_DSN"]).select(
         F.col("CA_ID").alias("account_id"), F.col("CA_C_ID").alias("customer_id"),
         F.col("CA_B_ID").alias("broker_id"), F.col("CA_NAME").alias("account_desc"),
-        F.col("CA_TAX_ST").alias("tax_status"))
+        F.col("CA_TAX_ST").alias("tax_status"),
+        F.when(F.col("CA_ST_ID") == "INAC", "INACTIVE").when(F.col("CA_ST_ID") == "ACTV", "ACTIVE").alias("account_status"),
+        F.lit(True).alias("in_batch"))
     return cur.join(new.select("account_id"), "account_id", "left_anti").unionByName(new)
 
 
@@ -471,6 +485,12 @@ def market_with_lookback(previous_raw: DataFrame | None, new_raw: DataFrame, day
     return old.withColumn("__new", F.lit(False)).unionByName(new)
 
 
+def market_tail(raw: DataFrame, days: int = 365) -> DataFrame:
+    """The last ``days - 1`` days of raw market rows: all that later windows see."""
+    last = raw.agg(F.max("DM_DATE")).scalar()
+    return raw.where(F.col("DM_DATE") > F.date_sub(last, days - 1))
+
+
 def opening_balances(prev_cash: DataFrame, account: DataFrame) -> DataFrame:
     """Last balance per account id of the previous batches (rule D8)."""
     acc = account.select(F.col("sk_accountid").alias("__ask"), F.col("account_id").alias("CT_CA_ID"))
@@ -507,7 +527,7 @@ def trade_change_batch(prev: DataFrame, rows: DataFrame, security: DataFrame, ac
         F.col("T_ID").alias("trade_id"), "sk_brokerid",
         date_key(F.col("create_ts")).alias("sk_createdateid"), secs(F.col("create_ts")).alias("sk_createtimeid"),
         date_key(F.col("close_ts")).alias("sk_closedateid"), secs(F.col("close_ts")).alias("sk_closetimeid"),
-        F.col("ST_NAME").alias("status"), F.col("TT_NAME").alias("type"), F.col("T_IS_CASH").alias("cash_flag"),
+        F.col("ST_NAME").alias("status"), F.col("TT_NAME").alias("type"), (F.col("T_IS_CASH") == 1).alias("cash_flag"),
         "sk_securityid", "sk_companyid", F.col("T_QTY").alias("quantity"), F.col("T_BID_PRICE").alias("bid_price"),
         "sk_customerid", "sk_accountid", F.col("T_EXEC_NAME").alias("executed_by"),
         F.col("T_TRADE_PRICE").alias("trade_price"), F.col("T_CHRG").alias("fee"),
@@ -548,7 +568,9 @@ def watch_change_batch(prev: DataFrame, rows: DataFrame, prev_customer: DataFram
         F.coalesce("sk_securityid", "__nssk").alias("sk_securityid"),
         F.coalesce("sk_dateid_dateplaced", "__p").alias("sk_dateid_dateplaced"),
         F.coalesce("__r", "sk_dateid_dateremoved").alias("sk_dateid_dateremoved"),
-        F.coalesce(F.col("batch_id"), F.lit(batch_id)).alias("batch_id"))
+        F.coalesce(F.col("batch_id"), F.lit(batch_id)).alias("batch_id")).where(
+        # as in the first load: a watch needs its placement, customer and security
+        "sk_customerid is not null and sk_securityid is not null and sk_dateid_dateplaced is not null")
 
 
 PROSPECT_ATTRS = ["last_name", "first_name", "gender", "marital_status", "own_or_rent", "postal_code", "income",

@@ -63,11 +63,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Set the checkpoint dir only where the session leaves it unset (tests)."""
+    """Set the checkpoint dir only where a local session leaves it unset
+    (tests); on a cluster an unset one is an error."""
     configured = checkpoint_dir(spark)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         if not configured:
+            if not (sc.master == "local" or sc.master.startswith("local[")):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             configured = tempfile.mkdtemp(prefix="histmart-ckpt-")
         sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

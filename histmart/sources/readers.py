@@ -82,15 +82,21 @@ def fixed_width_records(parsed: DataFrame, rec_type: str, layouts=None) -> DataF
                   .select("PTS", "RecType", *fixed_width_columns(F.col("__line"), layout, start)))
 
 
-def read_actions(spark: SparkSession, path: str, row_tag: str = "tpcdi:Action") -> DataFrame:
-    """Customer-management XML actions with the built-in XML reader.
+def read_actions(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
+    """Customer-management XML actions (S8); ``row_tag`` is their element name,
+    with its namespace prefix if it has one.
 
     Attributes arrive as ``_NAME``; an absent element reads as null, an empty
-    one as ''.  The ``Account`` list is an array of structs (S9).
+    one as ''.  The ``Account`` list is an array of structs (S9).  The file
+    is read as text cut at the closing tag, so one file of any size is split
+    over many tasks; each record is then parsed by itself.
     """
-    return (spark.read.format("xml").option("rowTag", row_tag)
-            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss")
-            .schema(S.ACTION).load(path))
+    name = row_tag.rpartition(":")[2]
+    lines = spark.read.option("lineSep", f"</{row_tag}>").text(path)
+    start = F.regexp_instr("value", F.lit(f"<{row_tag}[\\s>]"))  # not the root, whose name is longer
+    record = F.concat(F.expr("substring(value, __start)"), F.lit(f"</{row_tag}>"))
+    bare = F.replace(F.replace(record, F.lit(f"<{row_tag}"), F.lit(f"<{name}")), F.lit(f"</{row_tag}>"), F.lit(f"</{name}>"))
+    return parse_actions(lines.withColumn("__start", start).where("__start > 0").select(bare.alias("value")), "value")
 
 
 def parse_actions(lines: DataFrame, col: str) -> DataFrame:

@@ -19,11 +19,11 @@ def _s(*fields) -> StructType:
 _TYPES = {
     "long": LongType(), "int": IntegerType(), "str": StringType(), "date": DateType(),
     "ts": TimestampType(), "bool": BooleanType(),
-    "d6_5": DecimalType(6, 5), "d8_2": DecimalType(8, 2), "d10_2": DecimalType(10, 2),
+    "d38_0": DecimalType(38, 0), "d6_5": DecimalType(6, 5), "d8_2": DecimalType(8, 2), "d10_2": DecimalType(10, 2),
     "d15_2": DecimalType(15, 2), "d16_5": DecimalType(16, 5),
 }
 
-CDC_PREFIX = ("CDC_FLAG:str", "CDC_DSN:long")
+CDC_PREFIX = ("CDC_FLAG:str", "CDC_DSN:d38_0")
 
 DATE = _s("SK_DateID:long", "DateValue:date", "DateDesc:str", "CalendarYearID:int",
           "CalendarYearDesc:str", "CalendarQtrID:int", "CalendarQtrDesc:str", "CalendarMonthID:int",
@@ -45,7 +45,7 @@ PROSPECT = _s("AgencyID:str", "LastName:str", "FirstName:str", "MiddleInitial:st
               "Country:str", "Phone:str", "Income:long", "NumberCars:int", "NumberChildren:int",
               "MaritalStatus:str", "Age:int", "CreditRating:int", "OwnOrRentFlag:str", "Employer:str",
               "NumberCreditCards:int", "NetWorth:long")
-TRADE_FIELDS = ("T_ID:long", "T_DTS:ts", "T_ST_ID:str", "T_TT_ID:str", "T_IS_CASH:bool",
+TRADE_FIELDS = ("T_ID:long", "T_DTS:ts", "T_ST_ID:str", "T_TT_ID:str", "T_IS_CASH:int",
                 "T_S_SYMB:str", "T_QTY:int", "T_BID_PRICE:d8_2", "T_CA_ID:long", "T_EXEC_NAME:str",
                 "T_TRADE_PRICE:d8_2", "T_CHRG:d10_2", "T_COMM:d10_2", "T_TAX:d10_2")
 TRADE = _s(*TRADE_FIELDS)

@@ -1,4 +1,4 @@
-"""Sinks: versioned table directories and the append-only message log (K1, K9).
+"""Sinks: versioned table directories and the message log by batch (K1, K9).
 
 A table is a folder of version directories ``v=<batch>``; a version counts
 as complete once Spark's ``_SUCCESS`` marker is there.  A merge (K4-K7)
@@ -38,8 +38,16 @@ def complete_versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
-def read_latest(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    versions = complete_versions(spark, root)
+def has_data(spark: SparkSession, root: str) -> bool:
+    """Whether a folder exists and holds anything but markers."""
+    fs, path, _ = _fs(spark, root)
+    return fs.exists(path) and any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(path))
+
+
+def read_latest(spark: SparkSession, root: str, schema=None, before: int | None = None) -> DataFrame | None:
+    """The last complete version; with ``before``, the last one below it, so a
+    batch that runs again reads what it read the first time."""
+    versions = [v for v in complete_versions(spark, root) if before is None or v < before]
     if not versions:
         return None
     reader = spark.read.schema(schema) if schema is not None else spark.read
@@ -57,6 +65,7 @@ def write_version(df: DataFrame, root: str, batch_id: int, partition_by: list[st
 
 
 def append_messages(messages: DataFrame, path: str) -> None:
-    """Append one batch of message-log rows, partitioned by batch id."""
+    """Write the message-log rows of a batch, partitioned by batch id; a batch
+    that runs again replaces its own rows."""
     messages.withColumn("message_ts", F.current_timestamp()) \
-        .write.mode("append").partitionBy("batch_id").parquet(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)

@@ -2,12 +2,14 @@
 
 CDC files land in per-batch folders (``Batch<N>``); ``readStream`` with the
 CDC schema picks them up, ``trigger(availableNow=True)`` processes what is
-there, and ``foreachBatch`` applies the batches of each micro-batch in batch
-order with the same set-based merge functions the batch pipeline uses
-(K4/K5).  The merge reads the last
-complete table version and writes the next, so a replayed micro-batch only
-rewrites its own version directory; the stream's checkpoint lives under the
-cluster's ``spark.checkpoint.dir``.
+there, and ``foreachBatch`` lands its rows by change batch and applies the
+batches in order with the same set-based merge functions the batch pipeline
+uses (K4/K5).  A file that comes late, in whatever micro-batch, is landed
+beside the earlier rows of its batch, and that batch and the ones after it
+are merged again from all their rows: no row is lost, and the result doesn't
+depend on how files fall into micro-batches.  A replayed micro-batch rewrites
+its own rows and versions; the stream's checkpoint lives under the cluster's
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -51,33 +53,42 @@ def apply_change_batches(spark: SparkSession, source_dir: str, schema: StructTyp
     table version per change batch; returns the versions written.
 
     The batch id of a row is the ``Batch<N>`` folder of its file; files
-    outside such folders take ``first_batch + epoch``.  A micro-batch may
-    hold several batches: they are applied in batch order, each one reading
-    the version the previous one wrote.  ``merge(current, changes,
-    batch_id)`` gets the last complete version (or ``None``) and the rows
-    of one batch.  A batch whose version is already committed is skipped,
-    so a replayed micro-batch writes nothing twice.
+    outside such folders take ``first_batch + epoch``.  ``merge(current,
+    changes, batch_id)`` gets the last version below ``batch_id`` (or
+    ``None``) and all rows of the batch that have landed so far, under
+    ``<table_root>_changes``.  Beside each version stands the list of files
+    that it and the ones before it were made of
+    (``<table_root>_changes_files``); a version whose list is that of the
+    landed files is left as it is.
     """
     ckpt_root = ensure_checkpoint_dir(spark)
     ckpt = os.path.join(ckpt_root, f"stream-{query_name}")
+    landed, lists = f"{table_root.rstrip('/')}_changes", f"{table_root.rstrip('/')}_changes_files"
     written: list[int] = []
 
     def run(batch_df: DataFrame, epoch_id: int) -> None:
-        rows = batch_df.withColumn(
-            "__batch", F.coalesce(batch_of_file(), F.lit(first_batch + int(epoch_id)))).drop("_source_file")
-        rows = rows.persist()  # read once even when the micro-batch holds several batches
-        try:
-            # control flow over the few batch ids of this micro-batch, not over rows
-            ids = sorted(r[0] for r in rows.select("__batch").distinct().collect())
-            for batch_id in ids:
-                if batch_id in sinks.complete_versions(spark, table_root):
+        rows = batch_df.withColumns({"change_batch": F.coalesce(batch_of_file(), F.lit(first_batch + int(epoch_id))),
+                                     "file_id": F.sha2("_source_file", 256)}).drop("_source_file")
+        # a file is always whole in one micro-batch: landing it again replaces it
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("change_batch", "file_id").parquet(landed))
+        if not sinks.has_data(spark, landed):
+            return
+        every = spark.read.schema(rows.schema).parquet(landed)
+        files = every.select("change_batch", "file_id").distinct()
+        # control flow over the few batch ids, not over rows
+        for batch_id in sorted(r[0] for r in files.select("change_batch").distinct().collect()):
+            used = files.where(F.col("change_batch") <= batch_id).select("file_id")
+            if batch_id in sinks.complete_versions(spark, table_root) and batch_id in sinks.complete_versions(spark, lists):
+                had = spark.read.parquet(sinks.version_path(lists, batch_id))
+                if used.exceptAll(had).isEmpty() and had.exceptAll(used).isEmpty():
                     continue
-                current = sinks.read_latest(spark, table_root)
-                new = merge(current, rows.where(F.col("__batch") == batch_id).drop("__batch"), batch_id)
-                sinks.write_version(new, table_root, batch_id)
+            current = sinks.read_latest(spark, table_root, before=batch_id)
+            changes = every.where(F.col("change_batch") == batch_id).drop("change_batch", "file_id")
+            sinks.write_version(merge(current, changes, batch_id), table_root, batch_id)
+            sinks.write_version(used, lists, batch_id)
+            if batch_id not in written:
                 written.append(batch_id)
-        finally:
-            rows.unpersist()
 
     q = (cdc_stream(spark, source_dir, schema, files_per_batch=files_per_batch).writeStream
          .option("checkpointLocation", ckpt)

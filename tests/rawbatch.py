@@ -18,12 +18,12 @@ def _xml(spark, sf, path, keep=None):
     lines = [r.value for r in A.action_xml(spark, sf).collect()]  # small fixture (sf0.001)
     with open(path, "w") as fh:
         fh.write('<?xml version="1.0" encoding="UTF-8"?>\n'
-                 '<tpcdi:Actions xmlns:tpcdi="http://www.tpc.org/tpc-di">\n')
+                 '<raw:Actions xmlns:raw="urn:raw">\n')
         for v in lines:
             if keep is not None and not keep(v):
                 continue
-            fh.write(v.replace("<Action ", "<tpcdi:Action ").replace("</Action>", "</tpcdi:Action>") + "\n")
-        fh.write("</tpcdi:Actions>\n")
+            fh.write(v.replace("<Action ", "<raw:Action ").replace("</Action>", "</raw:Action>") + "\n")
+        fh.write("</raw:Actions>\n")
 
 
 def write_batch1(spark, sf, b, before=None, cash_before=None):

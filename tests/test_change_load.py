@@ -26,7 +26,7 @@ def loaded(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("cdc")
     b1, b2, wh = str(root / "Batch1"), str(root / "Batch2"), str(root / "warehouse")
     write_batch1(spark, SF, b1, before=QW.B2_LO, cash_before=CASH_SPLIT)
-    v1 = historical_load(spark, b1, wh)
+    v1 = historical_load(spark, b1, wh, action_tag="raw:Action")
     os.makedirs(b2)
     actions = R.parse_actions(A.action_xml(spark, SF), "value")
     A.customer_cdc_text(W.customer_states(actions), QW.B2_LO, QW.B2_HI).coalesce(1).write.text(

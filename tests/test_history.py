@@ -150,7 +150,7 @@ def test_carry_forward_crosses_day_chunks(spark):
         (1, T(2020, 1, 5, 8), "a", "y"), (1, T(2020, 1, 5, 9), "b", "y"), (2, T(2020, 1, 5, 9), None, "z")]
 
 
-def test_asof_auto_strategy_switches_on_long_version_lists(spark, monkeypatch):
+def test_asof_strategies_agree_on_long_version_lists(spark):
     from histmart.operators import lookup as L
 
     dim = spark.range(0, 100).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("v"),
@@ -160,7 +160,6 @@ def test_asof_auto_strategy_switches_on_long_version_lists(spark, monkeypatch):
                                      .alias("end_date"))
     fact = spark.createDataFrame([(1, 1, D(2020, 1, 11)), (2, 1, D(2020, 3, 1))], "id long, k long, d date")
     expected = [(1, 10), (2, 60)]
-    for limit in (1000, 10):  # join, then carry
-        monkeypatch.setattr(L, "MAX_VERSIONS_FOR_JOIN", limit)
-        out = L.asof_lookup(fact, dim, "k", "k", "d", strategy="auto", dim_cols=["v", "effective_date", "end_date"])
+    for strategy in ("join", "carry"):
+        out = L.asof_lookup(fact, dim, "k", "k", "d", strategy=strategy, dim_cols=["v", "effective_date", "end_date"])
         assert rows(out, "id", "v") == expected

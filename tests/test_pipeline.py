@@ -24,7 +24,7 @@ def batch(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("raw")
     b = str(root / "Batch1")
     write_batch1(spark, SF, b)
-    return historical_load(spark, b, str(root / "warehouse"))
+    return historical_load(spark, b, str(root / "warehouse"), action_tag="raw:Action")
 
 
 @pytest.mark.parametrize("name,key", [

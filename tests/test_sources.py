@@ -44,8 +44,8 @@ def test_fixed_width_three_record_types(spark, tmp_path):
 
 
 XML = """<?xml version="1.0" encoding="UTF-8"?>
-<tpcdi:Actions xmlns:tpcdi="http://www.tpc.org/tpc-di">
-<tpcdi:Action ActionType="NEW" ActionTS="2007-07-07T04:00:00">
+<raw:Actions xmlns:raw="urn:raw">
+<raw:Action ActionType="NEW" ActionTS="2007-07-07T04:00:00">
   <Customer C_ID="0" C_TAX_ID="923-54-6498" C_GNDR="F" C_TIER="3" C_DOB="1940-12-02">
     <Name><C_L_NAME>Joannis</C_L_NAME><C_F_NAME>Adara</C_F_NAME><C_M_NAME/></Name>
     <Address><C_ADLINE1>4779 Weller Way</C_ADLINE1><C_ADLINE2/><C_ZIPCODE>92624</C_ZIPCODE>
@@ -57,20 +57,20 @@ XML = """<?xml version="1.0" encoding="UTF-8"?>
     <Account CA_ID="0" CA_TAX_ST="1"><CA_B_ID>17713</CA_B_ID><CA_NAME>CJlmMuFyibKOmKLHIaTeWugvCgZdmcfpDsYb</CA_NAME></Account>
     <Account CA_ID="1" CA_TAX_ST="2"><CA_B_ID>615</CA_B_ID><CA_NAME/></Account>
   </Customer>
-</tpcdi:Action>
-<tpcdi:Action ActionType="UPDCUST" ActionTS="2007-07-08T05:00:00">
+</raw:Action>
+<raw:Action ActionType="UPDCUST" ActionTS="2007-07-08T05:00:00">
   <Customer C_ID="0" C_TIER="2">
     <ContactInfo><C_ALT_EMAIL>a@b.com</C_ALT_EMAIL></ContactInfo>
   </Customer>
-</tpcdi:Action>
-</tpcdi:Actions>
+</raw:Action>
+</raw:Actions>
 """
 
 
 def test_xml_actions_absent_vs_empty_and_accounts(spark, tmp_path):
     p = tmp_path / "CustomerMgmt.xml"
     p.write_text(XML)
-    a = R.read_actions(spark, str(p))
+    a = R.read_actions(spark, str(p), "raw:Action")
     got = {r._ActionType: r for r in a.collect()}
     new, upd = got["NEW"], got["UPDCUST"]
     assert new._ActionTS == T(2007, 7, 7, 4)
@@ -151,3 +151,48 @@ def test_change_batches_stream_through_foreach_batch(spark, tmp_path):
     assert rows(latest, "CA_ID", "CA_NAME", "CA_ST_ID") == [(100, "renamed", "ACTV"), (101, "closed", "INAC")]
     v2 = spark.read.parquet(sinks.version_path(table, 2))
     assert rows(v2, "CA_ID", "CA_ST_ID") == [(100, "ACTV"), (101, "ACTV")]
+    # a late file of batch 2: it and the batch after it are merged again
+    (src / "Batch2" / "Account_c.txt").write_text("I|3|102|8|2|late acct|2|ACTV\n")
+    assert apply_change_batches(spark, str(src), S.ACCOUNT_CDC, table, merge, query_name=f"acct{os.getpid()}") == [2, 3]
+    assert rows(sinks.read_latest(spark, table), "CA_ID", "CA_ST_ID") == [(100, "ACTV"), (101, "INAC"), (102, "ACTV")]
+
+
+def test_stream_keeps_every_file_of_a_batch(spark, tmp_path):
+    # one file a micro-batch: both files of batch 2 count, whatever their order
+    from histmart.operators.cdc import cdc_upsert
+    from histmart.sources import sinks
+    from histmart.streaming import apply_change_batches
+
+    src, table = tmp_path / "incoming", str(tmp_path / "account")
+    (src / "Batch2").mkdir(parents=True)
+    sinks.write_version(spark.createDataFrame([(100, "acct a", "ACTV")], "CA_ID long, CA_NAME string, CA_ST_ID string"), table, 1)
+    (src / "Batch2" / "Account_a.txt").write_text("U|1|100|7|1|renamed|1|ACTV\n")
+    (src / "Batch2" / "Account_b.txt").write_text("I|2|101|8|2|new acct|2|ACTV\n")
+
+    def merge(current, changes, batch_id):
+        return cdc_upsert(current, changes.select("CA_ID", "CA_NAME", "CA_ST_ID", "CDC_DSN"), "CA_ID", order=["CDC_DSN"])
+
+    apply_change_batches(spark, str(src), S.ACCOUNT_CDC, table, merge, query_name=f"one{os.getpid()}", files_per_batch=1)
+    assert rows(sinks.read_latest(spark, table), "CA_ID", "CA_NAME") == [(100, "renamed"), (101, "new acct")]
+
+
+def test_one_xml_file_is_split_over_tasks(spark, tmp_path):
+    p = tmp_path / "CustomerMgmt.xml"
+    one = '<raw:Action ActionType="NEW" ActionTS="2007-07-07T04:00:00"><Customer C_ID="{}"><Name><C_L_NAME>{}</C_L_NAME></Name></Customer></raw:Action>\n'
+    p.write_text('<raw:Actions xmlns:raw="urn:raw">\n' + "".join(one.format(i, "n" * 400) for i in range(3000)) + "</raw:Actions>\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10k")
+    try:
+        a = R.read_actions(spark, str(p), "raw:Action")
+        assert a.rdd.getNumPartitions() > 1
+        assert sorted(r.id for r in a.select(F.col("Customer._C_ID").alias("id")).collect()) == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+
+
+def test_cash_flag_is_a_number_in_the_file(spark, tmp_path):
+    p = tmp_path / "Trade.txt"
+    p.write_text("1|2020-01-01 09:00:00|CMPT|TMB|1|S|5|1.00|7|x|1.00|0|0|0\n2|2020-01-01 09:00:00|CMPT|TMB|0|S|5|1.00|7|x|1.00|0|0|0\n")
+    assert rows(R.read_delimited(spark, str(p), S.TRADE), "T_ID", "T_IS_CASH") == [(1, 1), (2, 0)]
