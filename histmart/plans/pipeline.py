@@ -19,7 +19,7 @@ from histmart.functions import clean as CL
 from histmart.operators import quality as Q
 from histmart.plans import warehouse as W
 from histmart.plans.audit import validation_snapshot
-from histmart.session import materialize
+from histmart.session import materialize, temporary_tables
 from histmart.sources import readers as R
 from histmart.sources import schemas as S
 from histmart.sources import sinks
@@ -33,6 +33,11 @@ def _save(df: DataFrame, out_root: str, name: str, batch_id: int = 1) -> DataFra
 def historical_load(spark: SparkSession, batch_dir: str, out_root: str, action_tag: str = "Action") -> dict[str, DataFrame]:
     """Load ``batch_dir`` (the raw historical batch) into ``out_root``;
     ``action_tag`` is the element name of a customer action, with its prefix."""
+    with temporary_tables(spark):
+        return _historical_load(spark, batch_dir, out_root, action_tag)
+
+
+def _historical_load(spark: SparkSession, batch_dir: str, out_root: str, action_tag: str) -> dict[str, DataFrame]:
     def path(name):
         return os.path.join(batch_dir, name)
 
@@ -136,8 +141,14 @@ def change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: in
     Customer (T8), account with cascade (T11), trade (T13, K5), cash carried
     from the last balance (D8), market with a 364-day look-back (D9),
     watches merged on business keys (K7), prospects (K6) with their load
-    counters (T18); alerts and counters appended once.
+    counters (T18); alerts and counters written once.  A batch that runs again
+    reads the versions below it and replaces its own.
     """
+    with temporary_tables(spark):
+        return _change_load(spark, batch_dir, out_root, batch_id)
+
+
+def _change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: int) -> dict[str, DataFrame]:
     def path(name):
         return os.path.join(batch_dir, name)
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,7 +88,25 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+_temporary: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that are materialized in this block are deleted at its end, but
+    for those with ``keep=True``, which belong to the block around it.  What
+    leaves the block must read kept tables only."""
+    _temporary.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for p in _temporary.pop():
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def materialize(df: DataFrame, name: str = "stage", keep: bool = False) -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and
     read it back: the plan runs a single time, the result survives executor
     loss, and values computed from physical placement (partition ids,
@@ -95,6 +115,9 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     root = ensure_checkpoint_dir(spark)
     path = os.path.join(root, "histmart-tables", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    owner = len(_temporary) - 1 - keep
+    if owner >= 0:
+        _temporary[owner].append(path)
     return spark.read.parquet(path)
 
 
