@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from histmart.session import materialize
+from histmart.session import materialize, temporary_tables
 
 PIECES = 256
 #: copies of a text that hold more than 1 / GIANT of a shard's bytes may be parted
@@ -111,6 +111,12 @@ def _cuts(p: DataFrame, wanted: list[float], dims: list[int]) -> list[int]:
 
 def kd_tree(rows: DataFrame, n_shards: int) -> tuple[DataFrame, int]:
     """(_h, _salt, shard) of every point, and the number of rows."""
+    with temporary_tables(rows.sparkSession):
+        shards, count = _kd_tree(rows, n_shards)
+        return materialize(shards, "kd-shards", keep=True), count
+
+
+def _kd_tree(rows: DataFrame, n_shards: int) -> tuple[DataFrame, int]:
     points, count = _points(rows, n_shards)
     p = points.withColumn("_node", F.lit(0))
     leaves = [n_shards]
@@ -149,5 +155,5 @@ def kd_shards(documents: DataFrame, n_shards: int = 8, id_col: str = "doc_id", t
                                   "_src": _ordinal(F.col(source_col)), "_lang": _ordinal(F.col(lang_col))})
     shard, count = kd_tree(rows.select("_h", "_salt", "_size", "_src", "_lang"), n_shards)
     keep = [c for c in documents.columns if c not in ("size", "shard", "slot")]
-    out = rows.select(*keep, F.col("_size").alias("size"), "_h", "_salt").join(materialize(shard, "kd-shards"), ["_h", "_salt"]).drop("_h", "_salt")
+    out = rows.select(*keep, F.col("_size").alias("size"), "_h", "_salt").join(shard, ["_h", "_salt"]).drop("_h", "_salt")
     return numbered(out, "shard", id_col, "slot", max(1, -(-count // 50_000)))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from histmart.llm import text as T
-from histmart.session import materialize
+from histmart.session import materialize, temporary_tables
 
 #: Families of languages by ISO 639-1 code; others are families of their own.
 FAMILIES = {
@@ -215,4 +215,6 @@ def identify(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Learns from the documents that aren't held out, predicts all."""
     labelled = documents.where(F.col(id_col).isNotNull() & ~held_out(id_col)).select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    return predict(documents, learn(labelled, sample), id_col, text_col).withColumn("held_out", held_out(id_col))
+    with temporary_tables(documents.sparkSession):
+        model = learn(labelled, sample)
+    return predict(documents, model, id_col, text_col).withColumn("held_out", held_out(id_col))

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from histmart.llm import text as T
 from histmart.llm.graph import components, roots
-from histmart.session import materialize
+from histmart.session import materialize, temporary_tables
 
 SKETCH = 64
 #: share of a sketch that two sketches of linked sets have in common, at least
@@ -230,6 +230,12 @@ def minhash_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     if not 80 <= percent <= 100:
         raise ValueError("the bound on shared sketch values holds for similarities from 0.8 to 1")
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    with temporary_tables(docs.sparkSession):
+        found = materialize(_classes(docs, shingle, percent), "near-dups", keep=True)
+    return found.withColumnRenamed("doc_id", id_col)
+
+
+def _classes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     sets = materialize(docs.mapInArrow(_sketcher(shingle, SKETCH), "doc_id long, n long, node long, sig long, sketch array<long>"), "sketches")
     nodes = materialize(sets.where("n > 0").groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch")), "nodes")
 
@@ -268,5 +274,5 @@ def minhash_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     named = names.join(names.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select("node", "component_id")
     out = sets.select("doc_id", "n", "node").join(named, "node", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from histmart.session import materialize
+from histmart.session import materialize, temporary_tables
 
 #: documents of one flight; a bucket of these fits any task
 BUCKET_ROWS = 20_000
@@ -145,7 +145,11 @@ def mix(thin: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (3, 1,
     * size.  ``row_key`` need not be unique; rows that are alike in it, in
     size and in source are interchangeable.
     """
-    thin = materialize(thin, "mix-rows")
+    with temporary_tables(thin.sparkSession):
+        return materialize(_mix(materialize(thin, "mix-rows"), share, weights, most), "mix", keep=True)
+
+
+def _mix(thin: DataFrame, share: float, weights: tuple[float, ...], most: float) -> DataFrame:
     sources = materialize(source_targets(thin, share, weights, most), "mix-sources")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     s = sources.withColumnRenamed("source", "of").withColumn("ratio", ratio)

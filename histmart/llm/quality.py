@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histmart.llm import text as T
-from histmart.session import materialize
+from histmart.session import materialize, temporary_tables
 
 ORDER = 5
 #: byte before a text's first one
@@ -231,7 +231,8 @@ def classify(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     good = F.broadcast(good) if good.count() <= BROADCAST_LABELS else good
     docs = docs.join(good, docs["key"] == good["_l"], "left").withColumn(
         "fold", F.when(F.col("_l").isNull(), -1).otherwise(F.pmod("text_hash", F.lit(FOLDS)).cast("int"))).drop("_l")
-    scored = materialize(perplexity(docs, docs.where("fold > 0")), "perplexity")
+    with temporary_tables(docs.sparkSession):
+        scored = materialize(perplexity(docs, docs.where("fold > 0")), "perplexity", keep=True)
     nll = -F.col("lp") / F.col("n_bytes")
     scored = scored.withColumn("nll", F.when(F.col("n_bytes") > 0, nll))
     unseen = scored.where("fold = 0 and n_bytes >= 200")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histmart.llm.graph import components, roots
-from histmart.session import materialize
+from histmart.session import materialize, temporary_tables
 
 #: vectors of a tile, fewer for long ones: a tile holds at most 2 MB of doubles
 TILE = 1024
@@ -96,6 +96,12 @@ def _compare(threshold: float):
 
 def vector_dedup(embeddings: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per vector: id, n_links, component_id, kept."""
+    with temporary_tables(embeddings.sparkSession):
+        found = materialize(_links(embeddings, threshold, id_col, vector_col, label_col), "vector-dups", keep=True)
+    return found
+
+
+def _links(embeddings: DataFrame, threshold: float, id_col: str, vector_col: str, label_col: str) -> DataFrame:
     rows = embeddings.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"), F.col(label_col).cast("string").alias("label"))
     fine = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0)
     rows = rows.withColumn("node", F.when(F.col("label").isNotNull() & F.coalesce(fine, F.lit(False)), F.xxhash64("label", "vec")))
