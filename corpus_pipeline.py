@@ -20,7 +20,7 @@ from histmart.llm.minhash import minhash_dedup
 from histmart.llm.mixing import mix_documents
 from histmart.llm.quality import classify
 from histmart.llm.tables import table
-from histmart.session import materialize
+from histmart.session import materialize, temporary_tables
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,5 +71,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.split()[0].lower())
+        with temporary_tables(spark):
+            docs = materialize(stage(spark, docs, sf_dir), name.split()[0].lower(), keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
