@@ -52,6 +52,20 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return stars.unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def named(nodes: DataFrame, comp: DataFrame, salts: int = 32) -> DataFrame:
+    """(node, component_id): the smallest id of the nodes of each node's
+    component, its own id for a node in none.
+
+    ``nodes`` has node and id, ``comp`` is the result of ``components``.  A
+    component of any size is dealt over ``salts`` keys.
+    """
+    members = materialize(comp.join(nodes.select("node", "id"), "node"), "members")
+    ids = members.groupBy("component").agg(F.min("id").alias("component_id"))
+    ids = ids.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    placed = members.withColumn("salt", F.pmod("node", F.lit(salts)).cast("int")).join(ids, ["component", "salt"]).select("node", "component_id")
+    return nodes.join(placed, "node", "left").select("node", F.coalesce("component_id", "id").alias("component_id"))
+
+
 def roots(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For the rows and columns of a link matrix the number of a node of their
     component (rows first); nodes without a link keep their own."""

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histmart.llm import text as T
-from histmart.llm.graph import components, roots
+from histmart.llm.graph import components, named, roots
 from histmart.session import materialize, temporary_tables
 
 SKETCH = 64
@@ -268,11 +268,8 @@ def _classes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     stars = comp.select(F.col("node").alias("u"), F.col("component").alias("v"))
     comp = components(stars.unionAll(more).unionAll(_linked_in_blocks(hot, lists, nodes, docs, shingle, percent)))
 
-    names = (nodes.select("node", "doc_id").join(comp, "node", "left")
-             .select("node", "doc_id", F.coalesce("component", "node").alias("component")))
-    names = materialize(names, "names")
-    named = names.join(names.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select("node", "component_id")
-    out = sets.select("doc_id", "n", "node").join(named, "node", "left")
+    ids = named(nodes.select("node", F.col("doc_id").alias("id")), comp)
+    out = sets.select("doc_id", "n", "node").join(ids, "node", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histmart.llm.graph import components, roots
+from histmart.llm.graph import components, named, roots
 from histmart.session import materialize, temporary_tables
 
 #: vectors of a tile, fewer for long ones: a tile holds at most 2 MB of doubles
@@ -120,9 +120,8 @@ def _links(embeddings: DataFrame, threshold: float, id_col: str, vector_col: str
     work = pairs.join(b, ["label", "dims", "j"]).join(a, ["label", "dims", "i"]).select((F.col("i") == F.col("j")).alias("same"), "na", "ca", "xa", "nb", "cb", "xb")
     found = materialize(work.mapInArrow(_compare(threshold), "node long, links long, root long"), "links")
     comp = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
-    named = nodes.select("node", "id", "m").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = materialize(named, "named")
-    named = named.join(named.groupBy("component").agg(F.min("id").alias("component_id")), "component").join(found.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
-    out = rows.select("id", "node").join(named.select("node", "component_id", (F.col("m") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "node", "left")
+    info = (nodes.select("node", "m").join(named(nodes.select("node", "id"), comp), "node")
+            .join(found.groupBy("node").agg(F.sum("links").alias("links")), "node", "left"))
+    out = rows.select("id", "node").join(info.select("node", "component_id", (F.col("m") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "node", "left")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
