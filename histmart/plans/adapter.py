@@ -282,6 +282,14 @@ def industries(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("SC").alias("IN_SC_ID"))
 
 
+def tax_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tax rate table: one code per nation, rates from 0.01 in steps of 0.005."""
+    n = table(spark, sf_dir, "nation")
+    return n.select(F.concat(F.lit("TX"), padded(F.col("n_nationkey"), 2)).alias("TX_ID"),
+                    F.concat(F.lit("Tax of "), F.col("n_name")).alias("TX_NAME"),
+                    (F.lit(0.01).cast("decimal(6,5)") + F.col("n_nationkey") * F.lit(0.005).cast("decimal(6,5)")).cast("decimal(6,5)").alias("TX_RATE"))
+
+
 # --- HR.csv -----------------------------------------------------------------------------
 
 def hr_records(spark: SparkSession, sf_dir: str) -> DataFrame:

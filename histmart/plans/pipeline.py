@@ -52,6 +52,8 @@ def _historical_load(spark: SparkSession, batch_dir: str, out_root: str, action_
                              "status_type")
     t["trade_type"] = _save(R.read_delimited(spark, path("TradeType.txt"), S.TRADE_TYPE), out_root, "trade_type")
 
+    t["tax_rate"] = _save(R.read_delimited(spark, path("TaxRate.txt"), S.TAX_RATE), out_root, "tax_rate")
+
     # Broker, effective from the first calendar day (one driver scalar)
     first_day = t["dim_date"].agg(F.min("DateValue")).first()[0]
     hr = R.read_delimited(spark, path("HR.csv"), S.HR, sep=",")
@@ -220,15 +222,12 @@ def _change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: i
         counters.select(F.lit(batch_id).alias("batch_id"), F.lit("Prospect").alias("message_source"),
                         F.col("counter").alias("message_text"), F.lit("Status").alias("message_type"),
                         F.col("value").cast("string").alias("message_data")))
-    for name in ("dim_date", "dim_time", "industry", "status_type", "trade_type", "dim_broker", "dim_company",
+    for name in ("dim_date", "dim_time", "industry", "status_type", "trade_type", "tax_rate", "dim_broker", "dim_company",
                  "financial", "dim_security"):
         t.setdefault(name, latest(name))  # unchanged by a change batch
     msgs = msgs.unionByName(validation_snapshot(t, batch_id, f"Incremental load {batch_id}"))
     sinks.append_messages(msgs, os.path.join(out_root, "dimessages"))
     t["dimessages"] = spark.read.parquet(os.path.join(out_root, "dimessages"))
-    for name in ("dim_date", "dim_time", "industry", "status_type", "trade_type", "dim_broker", "dim_company",
-                 "financial", "dim_security"):
-        t.setdefault(name, latest(name))  # unchanged by a change batch
     return t
 
 

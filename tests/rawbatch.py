@@ -46,6 +46,7 @@ def write_batch1(spark, sf, b, before=None, cash_before=None):
     csv(A.industries(spark, sf), os.path.join(b, "Industry.txt"))
     csv(W.status_types(spark), os.path.join(b, "StatusType.txt"))
     csv(W.trade_types(spark), os.path.join(b, "TradeType.txt"))
+    csv(A.tax_rates(spark, sf), os.path.join(b, "TaxRate.txt"))
     csv(A.hr_records(spark, sf), os.path.join(b, "HR.csv"), sep=",")
     csv(A.prospect_records(spark, sf), os.path.join(b, "Prospect.csv"), sep=",")
     A.finwire_lines(spark, sf).coalesce(1).write.text(os.path.join(b, "FINWIRE1999Q1"))

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from histmart.plans import adapter as A
 from histmart.plans import q_warehouse as QW
 from histmart.plans.pipeline import historical_load
 from rawbatch import write_batch1
@@ -56,6 +57,7 @@ def test_message_log_matches_the_rules(spark, batch):
     assert tier.count() == expected > 0
     assert {r.batch_id for r in log.select("batch_id").distinct().collect()} == {1}
     assert all(r.message_data.startswith("C_ID = ") for r in tier.collect())
+    assert batch["tax_rate"].count() == A.table(spark, SF, "nation").count()
     assert batch["dim_date"].count() > 365 and batch["dim_time"].count() == 86400
 
 
