@@ -142,7 +142,8 @@ def learn(labelled: DataFrame, sample: int = 300) -> dict:
     rows = labelled.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("id").alias("h"))
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.least(F.lit(1.0), F.lit(2.0 * sample) / F.col("n"))
-    thin = rows.join(counts.select("lang", share.alias("share")), "lang").where(F.pmod("h", F.lit(1 << 20)) < F.ceil(F.col("share") * (1 << 20)) + 64)
+    # a row for each language: with it the texts are thinned before they are shuffled
+    thin = rows.join(F.broadcast(counts.select("lang", share.alias("share"))), "lang").where(F.pmod("h", F.lit(1 << 20)) < F.ceil(F.col("share") * (1 << 20)) + 64)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 20)), "h"))
     few = thin.withColumn("nth", nth).where(f"nth <= {sample}").select("lang", "text")
     vectors = materialize(few.mapInArrow(_sample_vectors, "lang string, at array<int>, x array<float>"), "lang-sample")
