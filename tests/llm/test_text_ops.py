@@ -203,5 +203,44 @@ def test_license_scan(spark):
     assert licenses.scan_licenses(documents(spark, [])).collect() == []
 
 
+def test_adjacent_notices():
+    t = licenses.TEMPLATES
+    s = licenses.Scanner(t)
+    names = lambda text: [x["license"] for x in s.scan(text)[1]]
+    assert names("Licensed under CC BY 4.0.\nAll rights reserved.") == ["CC-BY-4.0", "all-rights-reserved"]
+    five = ["MIT", "Apache-2.0", "GPL-2.0", "CC-BY-4.0", "all-rights-reserved"]
+    assert names("\n".join(t[k] for k in five)) == five
+    assert names("\n".join([t["GPL-2.0"], t["GPL-3.0"].replace("General Public", "General and Public")])) == ["GPL-2.0", "GPL-3.0"]
+    assert names("\n".join([t["MIT"]] * 3 + [t["BSD-3-Clause"].replace("binary ", "")] * 2)) == ["MIT"] * 3 + ["BSD-3-Clause"] * 2
+    assert names("All rights reserved. " * 3000) == ["all-rights-reserved"] * 3000
+
+
+def test_wordings_equal_brute_force():
+    rng = random.Random(8)
+    s = licenses.Scanner({"t": "a b c d e f a g h 2 i"})
+    want = s.words["t"]
+    for _ in range(60):
+        have = [w for w in want for w in ([w] if rng.random() < 0.9 else []) + (["z"] if rng.random() < 0.15 else [])] * 2
+        got = {(q, x, a, z) for q, x, a, z in s.wordings(have, "t")}
+        for a in range(len(have)):
+            for z in range(a + 1, min(len(have), a + 2 * len(want)) + 1):
+                # longest common subsequence without and with the number
+                best = [{False: 0} for _ in range(len(want) + 1)]
+                for w in have[a:z]:
+                    nxt = [dict(b) for b in best]
+                    for i, x in enumerate(want):
+                        for f, v in best[i].items():
+                            if x == w:
+                                g = f or x == "2"
+                                nxt[i + 1][g] = max(nxt[i + 1].get(g, 0), v + 1)
+                        for f, v in nxt[i].items():
+                            nxt[i + 1][f] = max(nxt[i + 1].get(f, 0), v)
+                    best = nxt
+                n = best[-1].get(True, 0)
+                if n >= 10 and z - a - n <= 11 and have[a] != "z" and have[z - 1] != "z":
+                    assert any(q <= 11 - n and x <= z - a - n and lo >= a and hi <= z for q, x, lo, hi in got), (have, a, z)
+        assert all(0 <= a < z <= len(have) and z - a == 11 - q + x for q, x, a, z in got)
+
+
 def test_words_helper_agrees():
     assert words("A b\tC") == ["a", "b", "c"]
