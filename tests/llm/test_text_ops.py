@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -242,5 +243,16 @@ def test_wordings_equal_brute_force():
         assert all(0 <= a < z <= len(have) and z - a == 11 - q + x for q, x, a, z in got)
 
 
+@pytest.mark.parametrize("prefix", ["", "# ", " * ", "// ", "--"])
+def test_wrapped_notices(prefix):
+    t = licenses.TEMPLATES
+    s = licenses.Scanner(t)
+    for k in ("MIT-text", "GPL-3.0-header", "Apache-2.0-header", "BSD-3-Clause"):
+        for width in (40, 60, 72):
+            text = "Some code\n" + "".join(f"{prefix}{x}\n" for x in textwrap.wrap(t[k], width, break_on_hyphens=False, break_long_words=False)) + "more code\n"
+            n, found = s.scan(text)
+            assert n == 1 and [x["license"] for x in found] == [k] and found[0]["exact"], (k, width, found)
+
+
 def test_words_helper_agrees():
     assert words("A b\tC") == ["a", "b", "c"]
