@@ -254,5 +254,18 @@ def test_wrapped_notices(prefix):
             assert n == 1 and [x["license"] for x in found] == [k] and found[0]["exact"], (k, width, found)
 
 
+def test_notices_in_long_lines():
+    t = licenses.TEMPLATES
+    s = licenses.Scanner(t)
+    rng = random.Random(9)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10))) if i % 50 else "warranty" for i in range(4000)]
+    for k in t:
+        for at in (0, 2000, 4000):
+            found = s.scan(" ".join([*noise[:at], t[k], *noise[at:]]))[1]
+            assert [x["license"] for x in found] == [k] and found[0]["exact"] and found[0]["reduction"] > 0, (k, at)
+    blob = "x" * 200_000
+    assert [x["license"] for x in s.scan(f"{blob} {t['MIT']} {blob}")[1]] == ["MIT"]
+
+
 def test_words_helper_agrees():
     assert words("A b\tC") == ["a", "b", "c"]
