@@ -31,11 +31,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near-duplicates (5 words, 0.8)."""
-    ids = minhash_dedup(docs, shingle=5, percent=80).where("kept").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n"))
-    once, more = ids.where("_n = 1"), ids.where("_n > 1")
-    out = docs.join(once, docs["doc_id"].eqNullSafe(once["_id"]), "left_semi")
-    return out.unionByName(docs.join(more, docs["doc_id"].eqNullSafe(more["_id"]), "left_semi").dropDuplicates(["doc_id", "text"]))
+    """Keeps one document of each class of near-duplicates (5 words, 0.8): the
+    one with the smallest id, one without an id last.  Rows of equal id and
+    text are one document."""
+    docs = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    found = minhash_dedup(docs.select("_key", "text"), id_col="_key", shingle=5, percent=80)
+    rows = found.groupBy("_key").agg(F.first("component_id").alias("_class"), F.count("*").alias("_n"))
+    ids = docs.groupBy("_key").agg(F.min("doc_id").alias("_id"))
+    first = F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_key", "_n"))
+    keep = rows.join(ids, "_key").groupBy("_class").agg(first.alias("_first")).select("_first._key", "_first._n")
+    columns = [F.col(f"`{c}`") for c in docs.columns if c != "_key"]
+    out = docs.join(keep.where("_n = 1"), "_key", "left_semi").select(*columns)
+    return out.unionByName(docs.join(keep.where("_n > 1"), "_key", "left_semi").select(*columns).dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

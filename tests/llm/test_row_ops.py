@@ -275,6 +275,18 @@ def test_error_bounds_hold():
         assert (np.abs(approx - u @ u.T) <= np.outer(h, e) + np.outer(e, h) + np.outer(e, e) + 1e-12).all()
 
 
+def test_near_dedup_decides_by_row(spark):
+    rng = random.Random(12)
+    prose = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(60))
+    a, z, u, c, x, y = (prose() for _ in range(6))
+    rows = [(1, a, "en", "a", 0), (None, a, "en", "a", 0), (None, z, "en", "a", 0), (3, c, "en", "a", 0), (5, u, "en", "a", 0), (5, c + " end", "en", "b", 0),
+            (None, x, "en", "a", 0), (None, x + " end", "en", "a", 0), (None, x, "en", "a", 0), (7, y, "en", "a", 0), (7, y + " end", "en", "a", 0), (7, y, "en", "b", 0),
+            (8, None, "en", "a", 0), (8, None, "en", "a", 0), (9, "", "en", "a", 0), (None, None, "en", "a", 0)]
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, documents(spark, rows), "").collect()]
+    assert collections.Counter(i for i, _ in got) == {1: 1, None: 3, 3: 1, 5: 1, 7: 1, 8: 1, 9: 1}
+    assert {(1, a), (None, z), (3, c), (5, u), (8, None), (9, ""), (None, None)} <= set(got)
+
+
 def test_pipeline(spark, tmp_path):
     rng = random.Random(10)
     vocab = [a + b for a in ("the", "and", "ing", "ed", "her") for b in ("tion", "er", "of", "s")]
