@@ -23,13 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from histmart.session import delete_table, materialize, temporary_tables
+
 #: bytes that aren't part of a word become a space; A-Z become a-z
 _WORD_BYTE = [48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)]
 _NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if _WORD_BYTE[b] else 32 for b in range(256))
 _RUN = re.compile(rb"[^ ]+")
-#: UTF-8 bytes of benchmark windows in one automaton; a larger benchmark is scanned for in several
+#: UTF-8 bytes of benchmark windows in one automaton; a larger benchmark is scanned for in several rounds
 AUTOMATON_BYTES = 32 << 20
-MAX_PARTS = 8
+#: windows of one Arrow batch
+WINDOW_ROWS = 10_000
 
 SCHEMA = ("doc_id long, n_words long, n_hit long, items array<string>, "
           "spans array<struct<start: long, end: long>>")
@@ -125,23 +128,40 @@ def _scanner(windows: dict[str, tuple[str, ...]], last: bool):
     return run
 
 
-def _window_parts(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> Iterator[dict[str, tuple[str, ...]]]:
-    """The benchmark's windows, in parts of about AUTOMATON_BYTES.
+def _windower(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for item, text in zip(b.column(0), b.column(1), strict=True):
+                found = item_windows(text.as_py(), size)
+                for i in range(0, len(found), WINDOW_ROWS):
+                    part = found[i:i + WINDOW_ROWS]
+                    yield pa.RecordBatch.from_arrays([pa.array([item.as_py()] * len(part), pa.string()), pa.array(part, pa.string())], names=["item", "win"])
+    return run
+
+
+def _windows(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> DataFrame:
+    """(win, items): the benchmark's distinct windows."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("item is not null")
+    return items.mapInArrow(_windower(size), "item string, win string").groupBy("win").agg(F.sort_array(F.collect_set("item")).alias("items"))
+
+
+def _window_parts(windows: DataFrame) -> Iterator[dict[str, tuple[str, ...]]]:
+    """The windows in parts of about AUTOMATON_BYTES, one at least.
 
-    The items stream to the driver one partition at a time; what is kept and
-    sent to the tasks is one part, so its size is bounded whatever the
-    benchmark's is.
+    They stream to the driver one partition at a time, and one part is held
+    and sent to the tasks (by Spark, so no task reads a file), so its size is
+    bounded whatever the benchmark's is.
     """
-    part: dict[str, set[str]] = {}
-    held = 0
-    for item, text in benchmark.select(F.col(item_col).cast("string"), text_col).where(F.col(item_col).isNotNull()).toLocalIterator():
-        for w in item_windows(text, size):
-            held += len(w) if w not in part else 0
-            part.setdefault(w, set()).add(item)
+    part: dict[str, tuple[str, ...]] = {}
+    held, parts = 0, 0
+    for win, items in windows.toLocalIterator():
         if held >= AUTOMATON_BYTES:
-            yield {w: tuple(sorted(i)) for w, i in part.items()}
-            part, held = {}, 0
-    yield {w: tuple(sorted(i)) for w, i in part.items()}
+            yield part
+            part, held, parts = {}, 0, parts + 1
+        part[win] = tuple(items)
+        held += len(win)
+    if part or not parts:
+        yield part
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -150,18 +170,22 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
     A document word inside any occurrence of a window of an item is hit;
     ``spans`` are the runs of hit words, in code points of the original text.
-    A benchmark above AUTOMATON_BYTES takes an automaton, and a scan, for each
-    part of it; the parts of one run may hold MAX_PARTS * AUTOMATON_BYTES.
+    A benchmark above AUTOMATON_BYTES takes a round for each part of it: one
+    automaton scans the texts and what it finds is written with them as a
+    table, which the next round reads and which is deleted when that is done.
     """
     out = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    parts = []
-    for part in _window_parts(benchmark, item_col, item_text, window):
-        parts.append(part)
-        if len(parts) > MAX_PARTS:
-            raise ValueError("the benchmark is too large for one run: call this for parts of its items")
-    for i, part in enumerate(parts):
-        last = i == len(parts) - 1
-        out = out.mapInArrow(_scanner(part, last), SCHEMA if last else STEP_SCHEMA)
+    with temporary_tables(out.sparkSession):
+        parts = _window_parts(materialize(_windows(benchmark, item_col, item_text, window), "windows"))
+        part, following, step = next(parts), next(parts, None), None
+        while following is not None:
+            done, step = step, materialize(out.mapInArrow(_scanner(part, False), STEP_SCHEMA), "decontamination")
+            if done is not None:
+                delete_table(done)
+            out, part, following = step, following, next(parts, None)
+        out = out.mapInArrow(_scanner(part, True), SCHEMA)
+        if step is not None:
+            out = materialize(out, "decontaminated", keep=True)
     return out.withColumnRenamed("doc_id", id_col)
 
 

@@ -100,10 +100,18 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for p in _temporary.pop():
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(conf).delete(path, True)
+            _delete(spark, p)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def delete_table(df: DataFrame) -> None:
+    """Deletes a table that ``materialize`` gave back, before its block ends."""
+    _delete(df.sparkSession, df._table_folder)
 
 
 def materialize(df: DataFrame, name: str = "stage", keep: bool = False) -> DataFrame:
@@ -118,7 +126,9 @@ def materialize(df: DataFrame, name: str = "stage", keep: bool = False) -> DataF
     owner = len(_temporary) - 1 - keep
     if owner >= 0:
         _temporary[owner].append(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._table_folder = path
+    return out
 
 
 def table_path(sf_dir: str, name: str) -> str:

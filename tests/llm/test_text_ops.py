@@ -101,6 +101,18 @@ def test_decontamination_in_parts(spark, monkeypatch):
     assert len(empty) == 11 and all(r["n_hit"] == 0 for r in empty)
 
 
+def test_decontamination_in_many_parts(spark, monkeypatch):
+    rng = random.Random(5)
+    item = lambda i: " ".join(f"{rng.choice(VOCAB)}x{i}" for _ in range(10))
+    items = [(i, item(i)) for i in range(10)] + [(10, "w1 w2 w3"), (11, "w1 w2 w3")]
+    docs = documents(spark, [(i, f"{items[i][1]} and {items[(i + 1) % 12][1]}", "en", "a", 0) for i in range(12)] + EDGE[:3])
+    bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    one = sorted(map(str, decontam.decontaminate(docs, bench).collect()))
+    monkeypatch.setattr(decontam, "AUTOMATON_BYTES", 10)
+    assert sorted(map(str, decontam.decontaminate(docs, bench).collect())) == one
+    assert sum("'10', '11'" in x for x in one) == 3
+
+
 LANGS = {"en": ["the", "and", "thing", "with", "house"], "de": ["der", "und", "nicht", "straße", "haus"], "fr": ["le", "été", "avec", "maison", "qui"],
          "es": ["el", "niño", "con", "casa", "año"]}
 
