@@ -167,3 +167,47 @@ def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     calls, results = calls_of_conversations(table(spark, sf_dir, "conversations"))
     return link_tool_calls(calls, results, TOOLS)
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, grouped with the likely spelling they vary."""
+    from histmart.llm.spelling import count_words, group_variants
+
+    return group_variants(count_words(table(spark, sf_dir, "documents"), every=97, least=5, often=3), ratio=2)
+
+
+ORACLE["op13_spelling_variants"] = r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+  FROM documents),
+r AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM d GROUP BY doc_id, run),
+tab AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+  FROM range(256) x(i)),
+c AS (
+  SELECT r.*, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(h) + 1, 2), lambda k: CAST('0x' || h[k:k + 1] AS BIGINT))),
+                              lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) AS crc
+  FROM r, tab),
+w AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN crc % 97 = 0 THEN run[:crc % length(run)] || run[crc % length(run) + 2:] ELSE run END AS word FROM c)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+holes AS (
+  SELECT word, i, word[:i - 1] AS x, word[i + 1:] AS y, word[:i - 1] || word[i + 1:] AS shorter FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS (
+  SELECT a.word AS a, b.word AS b FROM holes a JOIN holes b ON a.i = b.i AND a.x = b.x AND a.y = b.y WHERE a.word <> b.word
+  UNION SELECT holes.word, w.word FROM holes JOIN w ON w.word = holes.shorter
+  UNION SELECT w.word, holes.word FROM holes JOIN w ON w.word = holes.shorter),
+best AS (
+  SELECT a, count(*) AS n_near, first(b ORDER BY n DESC, encode(b)) AS form, max(n) AS form_n FROM near JOIN w ON w.word = b GROUP BY a),
+f AS (
+  SELECT word, n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+  FROM w LEFT JOIN best ON a = word),
+chain AS (
+  WITH RECURSIVE s(word, last, depth) AS (
+    SELECT word, word, 0 FROM f UNION ALL SELECT s.word, f.form, depth + 1 FROM s JOIN f ON f.word = s.last WHERE f.form IS NOT NULL)
+  SELECT word, arg_max(last, depth) AS root FROM s GROUP BY word)
+SELECT f.word, f.form, chain.root, f.n, f.n_near, f.form_n FROM f JOIN chain USING (word)
+"""
