@@ -211,3 +211,29 @@ chain AS (
   SELECT word, arg_max(last, depth) AS root FROM s GROUP BY word)
 SELECT f.word, f.form, chain.root, f.n, f.n_near, f.form_n FROM f JOIN chain USING (word)
 """
+
+
+@query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents in passages of 35 words that repeat."""
+    from histmart.llm.recompress import long_repeats
+
+    return long_repeats(table(spark, sf_dir, "documents"), size=35).drop("spans")
+
+
+ORACLE["op11_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT r, i, array_to_string(w[i:i + 34], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+again AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM win JOIN again USING (s)),
+k AS (
+  SELECT r, count(*) AS n_removed, list(p) AS ps FROM gone GROUP BY r),
+kept AS (
+  SELECT r, string_agg(x, ' ' ORDER BY p) AS t
+  FROM (SELECT d.r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r) LEFT JOIN kept USING (r)
+"""

@@ -77,11 +77,11 @@ def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = NOT_SPACE
     return start, np.flatnonzero(last) + 1, np.searchsorted(offsets, start, side="right") - 1
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word, A-Z lower-cased."""
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = True) -> np.ndarray:
+    """64-bit hash of each word, A-Z lower-cased or unchanged."""
     n = len(data)
     total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUE[ASCII_LOWER[data]] * _power(_BASE, n), out=total[1:])
+    np.cumsum(_BYTE_VALUE[ASCII_LOWER[data] if lower else data] * _power(_BASE, n), out=total[1:])
     return mix((total[end] - total[start]) * _power(_INV, n + 1)[start])
 
 

@@ -4,9 +4,10 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from histmart.llm import spelling
+from histmart.llm import recompress, spelling
 from tests.llm.helpers import EDGE, documents
 
 
@@ -46,3 +47,55 @@ def test_words_are_counted_over_whole_texts(spark):
     assert got == {w: n for w, n in want.items() if len(w) >= 2}
     assert spelling.runs("A-z×÷_é1ÿĀ") == ["a", "z×÷", "é", "ÿ"]
     assert spelling.count_words(documents(spark, [])).collect() == []
+
+
+def _repeats(spark, texts, size, parts=5):
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in recompress.long_repeats(documents(spark, rows).repartition(parts), size).collect()}
+    return [(got[i]["n_words"], got[i]["n_removed"], got[i]["kept_sha256"]) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("size,vocabulary", [(5, 6), (8, 3), (35, 40)])
+def test_repeats_equal_brute_force(spark, size, vocabulary):
+    rng = random.Random(size)
+    draw = lambda n: [f"W{rng.randrange(vocabulary)}" for _ in range(n)]
+    passages = [draw(size + d) for d in (-1, 0, 1, 20)]
+    texts = []
+    for _ in range(40):
+        w = []
+        for _ in range(rng.randrange(4)):
+            w += draw(rng.randrange(size)) + rng.choice(passages)
+        texts.append(rng.choice([" ", "\n", " \t"]).join(w + draw(rng.randrange(2 * size))))
+    texts += texts[:3] + [" ".join(["a"] * n) for n in (size - 1, size, size, size + 1, 4 * size)]
+    texts += [" ".join(["a", "b"] * 3 * size), " ".join(draw(3) * 2 * size), None, "", " \n", "Word " * size, "word " * size]
+    assert _repeats(spark, texts, size) == recompress.brute_force(texts, size)
+
+
+def test_anchor_follows_from_the_window(spark):
+    """The same window has the same anchor, whatever stands around it."""
+    rng = np.random.default_rng(3)
+    for letters in (2, 50):
+        inner = rng.integers(0, letters, 35).astype(np.uint64)
+        seen = set()
+        for _ in range(200):
+            before, after = (rng.integers(0, letters, rng.integers(0, 40)).astype(np.uint64) for _ in range(2))
+            h = np.concatenate([before, inner, after])
+            name, at, m = recompress.anchors(h, np.zeros(len(h), np.int64), 35)
+            k = np.searchsorted(at, len(before), side="right") - 1
+            assert at[k] <= len(before) < at[k] + m[k]
+            seen.add(int(name[k]))
+        assert len(seen) == 1
+
+
+def test_repeats_edges_and_texts(spark):
+    got = recompress.long_repeats(documents(spark, EDGE, extra=True), 35).collect()
+    want = recompress.brute_force([r[1] for r in EDGE], 35)
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == sorted(
+        (r[0] is None, r[0] or 0, *w) for r, w in zip(EDGE, want, strict=True))
+    assert recompress.long_repeats(documents(spark, [])).collect() == []
+    passage = " ".join(f"p{i}" for i in range(50))
+    rows = [(1, f"first {passage} one", "en", "a", 0), (2, f"{passage} two", "en", "a", 0), (3, "stays as it\nis", "en", "a", 0)]
+    out = {r["doc_id"]: r for r in recompress.without_repeats(documents(spark, rows, extra=True), 35).collect()}
+    assert [out[i]["text"] for i in (1, 2, 3)] == ["first one", "two", "stays as it\nis"] and out[1]["kept"] == "clash"
+    spans = {r["doc_id"]: r["spans"] for r in recompress.long_repeats(documents(spark, rows), 35).collect()}
+    assert [tuple(x) for x in spans[1]] == [(1, 51)] and spans[3] is None
