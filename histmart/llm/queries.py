@@ -237,3 +237,11 @@ kept AS (
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (r) LEFT JOIN kept USING (r)
 """
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation after planted damage."""
+    from histmart.llm.convrepair import repair_damaged
+
+    return repair_damaged(table(spark, sf_dir, "conversations"))

@@ -1,5 +1,6 @@
 """Spelling variants, long repeats and conversation repair."""
 
+import hashlib
 import random
 import zlib
 from collections import Counter
@@ -7,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from histmart.llm import recompress, spelling
+from histmart.llm import convrepair, recompress, spelling
 from tests.llm.helpers import EDGE, documents
 
 
@@ -99,3 +100,57 @@ def test_repeats_edges_and_texts(spark):
     assert [out[i]["text"] for i in (1, 2, 3)] == ["first one", "two", "stays as it\nis"] and out[1]["kept"] == "clash"
     spans = {r["doc_id"]: r["spans"] for r in recompress.long_repeats(documents(spark, rows), 35).collect()}
     assert [tuple(x) for x in spans[1]] == [(1, 51)] and spans[3] is None
+
+
+ROWS = "conv_id long, turn long, role string, text string, copies long"
+
+
+def _conversations(rng, n, most):
+    rows = []
+    for c in range(n):
+        for _ in range(rng.randrange(1, most + 1)):
+            turn = rng.choice([None, *range(12)])
+            rows.append((None if c == 0 else c, turn, rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", "ux"]),
+                         rng.choice(["Yes.", "No!", "So", "", " \n", "Why? ", f"T{turn}.", f"t{turn}"]), rng.choice([1, 1, 1, 2])))
+    return rows
+
+
+@pytest.mark.parametrize("block,n,most", [(4096, 60, 6), (2, 40, 6), (3, 12, 7)])
+def test_repair_equals_brute_force(spark, block, n, most):
+    rows = _conversations(random.Random(block), n, most)
+    _, report = convrepair.repair(spark.createDataFrame(rows, ROWS), block)
+    got = {r[0]: tuple(r)[1:] for r in report.collect()}
+    want = {}
+    for c in {r[0] for r in rows}:
+        want[c] = convrepair.brute_force([r[1:4] for r in rows if r[0] == c for _ in range(r[4])])
+    assert got == want
+
+
+def test_repair_edits_spell_the_audit(spark):
+    rows = [(1, 0, "assistant", "Hi.", 1), (1, 1, "user", "So", 3), (1, 2, "user", "", 1), (1, 3, "system", "Stop.", 1)]
+    edits, report = convrepair.repair(spark.createDataFrame(rows, ROWS))
+    edits = sorted(edits.collect(), key=lambda r: (r["b"], r["step"]))
+    line = report.first()
+    assert "".join(r["edit"] * r["times"] for r in edits) == line["audit"]
+    left = [(r["role"], r["text"]) for r in edits if r["edit"] != "D"]
+    assert [r for r, _ in left] == ["user", "assistant"] * (len(left) // 2)
+    assert line["repaired_sha256"] == hashlib.sha256("\n".join(f"{r}:{t}" for r, t in left).encode()).hexdigest()
+
+
+def _damage(conv, turn, role, text):
+    shown = lambda x: " " if x is None else str(x)
+    k = zlib.crc32(f"{shown(conv)}:{shown(turn)}".encode()) % 20
+    row = (turn, "user" if k == 4 else shown(role), "" if k == 1 else "".join(c for c in shown(text) if k != 2 or c not in ".!?"))
+    return [] if k == 0 else [row, row] if k == 3 else [row]
+
+
+def test_damaged_conversations(spark):
+    rng = random.Random(9)
+    rows = [(c, t, rng.choice(["user", "assistant"]), f"Text {c} {t}" + rng.choice(["", "."])) for c in range(60) for t in range(rng.randrange(1, 6))]
+    rows += [(c, 0, "user", "Alone.") for c in range(100, 140)]
+    rows += [(None, None, None, None), (None, 1, "user", None), (None, 2, None, "x."), (None, 3, "user", "word " * 40_000 + "."), (7, None, "user", "Who?"), (7, 1, "user", "Text.")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS cost", "'x' AS audit", "'y' AS conv", "0 AS i")
+    got = {r["conv_id"]: tuple(r)[1:] for r in convrepair.repair_damaged(table).collect()}
+    want = {c: convrepair.brute_force([d for r in rows if r[0] == c for d in _damage(*r)]) for c in {r[0] for r in rows}}
+    assert got == want and any(w[6] == "" for w in want.values())
+    assert convrepair.repair_damaged(table.where("false")).collect() == []
