@@ -48,6 +48,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from histmart.llm import text as T
+from histmart.llm.tables import release
 from histmart.session import materialize, temporary_tables
 
 #: rounds that name runs; the others name pairs
@@ -129,7 +130,9 @@ def _keys(b: pa.RecordBatch, lo: int, hi: int) -> np.ndarray:
     return key
 
 
-ANCHORS = "part long, name long, known boolean, k1 long, k2 long, p0 int, m int"
+#: ``at`` holds the first window, their number (31 bits), and in its lowest bit
+#: whether the name is known to be shared
+ANCHORS = "part long, name long, k1 long, k2 long, at long"
 
 
 def _anchor_rows(size: int):
@@ -153,8 +156,8 @@ def _anchor_rows(size: int):
                 name = name.view(np.int64)
                 part = np.where(once, name, keys["a"][of])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part), pa.array(name), pa.array(known), pa.array(keys["a"][of]), pa.array(keys["b"][of]), pa.array(p0, pa.int32()), pa.array(m, pa.int32())],
-                    names=["part", "name", "known", "k1", "k2", "p0", "m"])
+                    [pa.array(part), pa.array(name), pa.array(keys["a"][of]), pa.array(keys["b"][of]), pa.array(p0 << 32 | m << 1 | known)],
+                    names=["part", "name", "k1", "k2", "at"])
     return run
 
 
@@ -166,7 +169,8 @@ def _one_copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(copies[first], pa.int64())], names=["k1", "k2", "text", "copies"])
 
 
-WINDOWS = "part long, name long, win long, known boolean, k1 long, k2 long, p int"
+#: ``at`` holds the window and, in its lowest bit, whether it is known to repeat
+WINDOWS = "part long, name long, win long, k1 long, k2 long, at long"
 
 
 def _window_rows(size: int):
@@ -178,7 +182,8 @@ def _window_rows(size: int):
                 h = T.word_hashes(data, start, end, lower=False)
                 listed = b.column(4)[lo:hi]
                 n, rows = np.diff(listed.offsets.to_numpy()), listed.flatten()
-                p0, m, name = (rows.field(i).to_numpy() for i in range(3))
+                at, name = rows.field(0).to_numpy(), rows.field(1).to_numpy()
+                p0, m = at >> 32, (at & 0xFFFFFFFF) >> 1
                 of = np.repeat(np.arange(hi - lo), n)
                 run_of = np.repeat(np.arange(len(m)), m)
                 p = p0[run_of] + (np.arange(len(run_of)) - np.repeat(np.cumsum(m) - m, m))
@@ -194,9 +199,8 @@ def _window_rows(size: int):
                 of = of[run_of]
                 known = (seen > 1) | (copies[of] > 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.where(once, win, keys["a"][of])), pa.array(name[run_of]), pa.array(win), pa.array(known),
-                     pa.array(keys["a"][of]), pa.array(keys["b"][of]), pa.array(p, pa.int32())],
-                    names=["part", "name", "win", "known", "k1", "k2", "p"])
+                    [pa.array(np.where(once, win, keys["a"][of])), pa.array(name[run_of]), pa.array(win), pa.array(keys["a"][of]), pa.array(keys["b"][of]), pa.array(p << 1 | known)],
+                    names=["part", "name", "win", "k1", "k2", "at"])
     return run
 
 
@@ -253,13 +257,18 @@ def repeated_spans(documents: DataFrame, size: int = 35, id_col: str = "doc_id",
     docs = _keyed(documents, id_col, text_col).where("text is not null").select("k1", "k2", "text")
     with temporary_tables(docs.sparkSession):
         rows = docs.mapInArrow(_anchor_rows(size), ANCHORS)
-        shared = rows.withColumn("n", F.count("*").over(Window.partitionBy("part", "name"))).where("known or n > 1")
-        listed = shared.groupBy("k1", "k2").agg(F.collect_set(F.struct("p0", "m", "name")).alias("anchors"))  # of one text
+        shared = rows.withColumn("n", F.count("*").over(Window.partitionBy("part", "name"))).where("at & 1 = 1 or n > 1")
+        shared = shared.select("k1", "k2", (F.col("at") - F.col("at").bitwiseAND(F.lit(1))).alias("at"), "name")
+        listed = materialize(shared.groupBy("k1", "k2").agg(F.collect_set(F.struct("at", "name")).alias("anchors")), "anchors")  # of one text
+        release(docs.sparkSession)
         texts = docs.mapInArrow(_one_copy, "k1 long, k2 long, text string, copies long").join(listed, ["k1", "k2"])
         texts = materialize(texts, "texts-with-anchors")
+        release(docs.sparkSession)
         rows = texts.mapInArrow(_window_rows(size), WINDOWS)
-        repeated = rows.withColumn("n", F.count("*").over(Window.partitionBy("part", "name", "win"))).where("known or n > 1")
-        starts = repeated.groupBy("k1", "k2").agg(F.collect_set("p").alias("starts"))  # of one text
+        repeated = rows.withColumn("n", F.count("*").over(Window.partitionBy("part", "name", "win"))).where("at & 1 = 1 or n > 1")
+        starts = repeated.groupBy("k1", "k2").agg(F.collect_set(F.shiftright("at", 1).cast("int")).alias("starts"))  # of one text
+        starts = materialize(starts, "repeated-windows")
+        release(docs.sparkSession)
         found = texts.select("k1", "k2", "text").join(starts, ["k1", "k2"]).mapInArrow(_applied(size), RESULT).dropDuplicates(["k1", "k2"])
         return materialize(found, "repeats", keep=True)
 
