@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histmart.operators.keys import assign_keys
+from histmart.session import materialize
 
 END_OF_TIME = "9999-12-31"
 
@@ -128,59 +129,58 @@ def carry_forward(df: DataFrame, key, order: Sequence[str], cols: Sequence[str],
     return j.select(*df.columns)
 
 
-def scd2_apply(target: DataFrame, changes: DataFrame, key, attrs: Sequence[str],
-               eff: str, order: Sequence[str] = (), sk_col: str | None = "sk",
-               eff_col: str = "effective_date", end_col: str = "end_date",
-               current_col: str = "is_current", detect_changes: bool = True) -> DataFrame:
-    """Merge a change batch into a versioned dimension by rewrite (K4).
-
-    ``target`` carries key, attrs, eff/end/current (and ``sk_col``).  Closed
-    versions and current versions of untouched keys pass through without a
-    window; only current versions of changed keys are re-versioned together
-    with the (day-consolidated, change-detected) changes; with
-    ``detect_changes=False`` every change row opens a version.  New versions get
-    surrogate keys above the target's maximum.  The caller writes the result
-    to a new version directory; nothing is updated in place.
+def scd2_merge(current: DataFrame, changes: DataFrame, key, attrs: Sequence[str], eff: str, order: Sequence[str] = (),
+               sk_col: str | None = "sk", highest: DataFrame | int = 0, eff_col: str = "effective_date",
+               end_col: str = "end_date", current_col: str = "is_current", detect_changes: bool = True,
+               stamp: dict[str, object] | None = None) -> DataFrame:
+    """The current versions of a dimension after a change batch, and those
+    that it closed (K4).  Versions closed before aren't looked at.
+
+    Changes are reduced to the last of a key and day (a partial aggregate).
+    They then meet the current versions in one window by key, over one row a
+    key and day: a change on the start day of the current version takes its
+    place and its surrogate (D15), so facts that point at it stay right; with
+    ``detect_changes`` a row equal to the one before opens no version; each
+    version ends where the next begins.  New versions get keys above
+    ``highest`` (a number, or a one-row frame).  ``stamp`` gives columns of
+    new versions that no change carries, such as the batch id.
     """
     key = _cols(key)
-    changes = changes.select(*key, *attrs, F.col(eff).alias("__eff"), *order)
-    changed_keys = changes.select(*key).distinct()
-    closed = target.where(~F.col(current_col))
-    current = target.where(F.col(current_col))
-    untouched = current.join(changed_keys, key, "left_anti")
-    touched = current.join(changed_keys, key, "left_semi")
-
-    cur_rec = touched.select(
-        *key, *attrs, F.col(eff_col).cast("timestamp").alias("__eff"),
-        *[F.lit(None).cast(changes.schema[c].dataType).alias(c) for c in order],
-        *( [F.col(sk_col)] if sk_col else []),
-        F.lit(0).alias("__src"))
-    chg_rec = changes.select(
-        *key, *attrs, "__eff", *order,
-        *( [F.lit(None).cast(target.schema[sk_col].dataType).alias(sk_col)] if sk_col else []),
-        F.lit(1).alias("__src"))
-    merged = scd2_intervals(cur_rec.unionByName(chg_rec), key, "__eff",
-                            order=["__src", *order], attrs=attrs if detect_changes else None,
-                            eff_col=eff_col, end_col=end_col, current_col=current_col)
-    merged = merged.drop("__eff", "__src", *order)
-
+    stamp = stamp or {}
+    chg = consolidate_day(changes.select(*key, *attrs, F.col(eff).alias("__eff"), *order), key, "__eff", order)
+    others = [c for c in current.columns if c not in (*key, *attrs, eff_col, end_col, current_col)]
+    types = current.schema
+    new = chg.select(*key, *[F.col(c).cast(types[c].dataType).alias(c) for c in attrs], F.to_date("__eff").alias(eff_col), F.lit(1).alias("__src"),
+                     *[F.lit(stamp.get(c)).cast(types[c].dataType).alias(c) for c in others])
+    rows = current.select(*key, *attrs, eff_col, F.lit(0).alias("__src"), *others).unionByName(new)
+    w = Window.partitionBy(*key).orderBy(eff_col, "__src")
+    columns = {"__next": F.lead(eff_col).over(w)}
     if sk_col:
-        # a change on the start day of the current version overwrites that
-        # version in place (D15) and keeps its surrogate, so facts keyed to
-        # it stay resolvable; at most one current version per key
-        same_day = touched.select(*[F.col(k).alias(f"__sd_{k}") for k in key],
-                                  F.col(eff_col).alias("__d"), F.col(sk_col).alias("__old_sk"))
-        on = [F.col(k) == F.col(f"__sd_{k}") for k in key] + [F.col(eff_col) == F.col("__d")]
-        merged = (merged.join(same_day, on, "left")
-                        .withColumn(sk_col, F.coalesce(F.col(sk_col), F.col("__old_sk")))
-                        .drop(*[f"__sd_{k}" for k in key], "__d", "__old_sk"))
-        kept = merged.where(F.col(sk_col).isNotNull())
-        fresh = merged.where(F.col(sk_col).isNull()).drop(sk_col)
-        # highest existing key: one driver-side scalar
-        base = target.agg(F.coalesce(F.max(sk_col), F.lit(0)).alias("m"))
-        fresh = assign_keys(fresh, [*key, eff_col], sk_col, base_df=base)
-        merged = kept.unionByName(fresh)
-    return closed.unionByName(untouched).unionByName(merged.select(*target.columns))
+        columns[sk_col] = F.coalesce(F.col(sk_col), F.when(F.lag(eff_col).over(w) == F.col(eff_col), F.lag(sk_col).over(w)))
+    rows = rows.withColumns(columns).where(F.col("__next").isNull() | (F.col("__next") != F.col(eff_col)))
+    if detect_changes:
+        rows = change_detect(rows, key, [eff_col], attrs)
+    by_day = Window.partitionBy(*key).orderBy(eff_col)
+    rows = rows.withColumn(end_col, F.coalesce(F.lead(eff_col).over(by_day), _eot()))
+    rows = rows.withColumn(current_col, F.col(end_col) == _eot()).select(*current.columns)
+    if not sk_col:
+        return rows
+    rows = materialize(rows, "versions")  # read for the versions that have a key and for those that get one
+    fresh = assign_keys(rows.where(F.col(sk_col).isNull()).drop(sk_col), [*key, eff_col], sk_col,
+                        **({"base_df": highest} if isinstance(highest, DataFrame) else {"base": highest}))
+    return rows.where(F.col(sk_col).isNotNull()).unionByName(fresh.select(*current.columns))
+
+
+def scd2_apply(target: DataFrame, changes: DataFrame, key, attrs: Sequence[str],
+               eff: str, order: Sequence[str] = (), sk_col: str | None = "sk",
+               current_col: str = "is_current", **options) -> DataFrame:
+    """A whole versioned dimension after a change batch: ``scd2_merge`` of its
+    current versions, with those closed before.  A table that is kept by
+    batch (``sinks``) needs only the former."""
+    closed = target.where(~F.col(current_col))
+    highest = target.agg(F.coalesce(F.max(sk_col), F.lit(0))) if sk_col else 0
+    merged = scd2_merge(target.where(F.col(current_col)), changes, key, attrs, eff, order, sk_col, highest, current_col=current_col, **options)
+    return closed.unionByName(merged)
 
 
 def cascade_versions(parent_versions: DataFrame, child_current: DataFrame,

@@ -9,7 +9,7 @@ Mapping (SURVEY 7.3):
   CMP records   supplier x year (plus a same-day second record for some)
   FIN records   quarterly revenue per l_suppkey
   SEC records   part; company = p_partkey mod number of suppliers
-  actions       one per order: NEW at a customer's first order, else UPDCUST
+  actions       one per order: NEW at a customer's first order, else one of the other five
   trades        orders; history rows from order date and line ship dates
   daily market  per l_partkey and ship day
   cash, watches events
@@ -193,30 +193,51 @@ def finwire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- customer actions (XML) ------------------------------------------------------
 
 def action_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One action per order: NEW at the customer's first order (listing two
-    accounts), INACT at a later last order that is finished, UPDCUST
-    otherwise.  Updates send only some fields: the
-    name is absent on odd order keys, the e-mail element is empty when the
-    order key is divisible by 4."""
+    """One action per order, numbered by the order key: NEW at the customer's
+    first order (listing two accounts), INACT at a later last order that is
+    finished, else by the key's last digit ADDACCT (3), UPDACCT (7), CLOSEACCT
+    (9) or UPDCUST.  A customer action after the first sends only some fields,
+    by divisors of the order key; some of what it sends is empty."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     ends = o.groupBy("o_custkey").agg(F.min(F.struct("o_orderdate", "o_orderkey")).alias("__f"),
                                       F.max(F.struct("o_orderdate", "o_orderkey")).alias("__l"))
     j = (o.join(ends, "o_custkey")
           .join(c, o.o_custkey == c.c_custkey, "inner"))
-    is_new = (F.col("o_orderkey") == F.col("__f.o_orderkey"))
-    is_inact = (~is_new & (F.col("o_orderkey") == F.col("__l.o_orderkey")) & (F.col("o_orderstatus") == "F"))
-    return j.select(
-        F.when(is_new, F.lit("NEW")).when(is_inact, F.lit("INACT")).otherwise(F.lit("UPDCUST"))
-         .alias("action_type"),
-        F.col("o_orderdate").alias("action_ts"), "o_orderkey", "o_custkey",
-        F.when(is_new | (F.col("o_orderkey") % 3 == 0),
-               (F.col("c_custkey") % 5).cast("int")).alias("tier"),
-        F.when(is_new | (F.col("o_orderkey") % 2 == 0), F.col("c_name")).alias("l_name"),
-        F.when(F.col("o_orderkey") % 4 == 0, F.lit(""))
-         .otherwise(F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@"),
-                             F.lower(F.col("o_orderpriority").substr(3, 20)), F.lit(".com"))).alias("email"),
-        is_new.alias("is_new"), "c_nationkey")
+    k, ok, n = F.col("c_custkey"), F.col("o_orderkey"), F.col("c_nationkey")
+    new = ok == F.col("__f.o_orderkey")
+    is_inact = (~new & (ok == F.col("__l.o_orderkey")) & (F.col("o_orderstatus") == "F"))
+    digit = ok % 10
+    kind = (F.when(new, "NEW").when(is_inact, "INACT").when(digit == 3, "ADDACCT").when(digit == 7, "UPDACCT")
+            .when(digit == 9, "CLOSEACCT").otherwise("UPDCUST"))
+    j = j.withColumn("action_type", kind)
+    customer = F.col("action_type").isin("NEW", "UPDCUST", "INACT")
+    text = lambda x: x.cast("string")
+    tx = lambda x: F.concat(F.lit("TX"), padded(x, 2))
+    number = padded(k % 10000, 4)
+    fields = {
+        "tax_id": F.when(new | (ok % 5 == 0), F.concat(F.lit("T"), text(k), F.lit("-"), text(ok % 7))),
+        "gender": F.when(new | (ok % 7 == 0), F.element_at(F.array(*[F.lit(x) for x in ("m", "F", "x", "")]), ((k + ok) % 4 + 1).cast("int"))),
+        "tier": F.when(new | (ok % 3 == 0), (k % 5).cast("int")),
+        "dob": F.when(new, F.date_add(F.lit("1930-01-01").cast("date"), ((k * 37) % 25000).cast("int"))),
+        "l_name": F.when(new | (ok % 2 == 0), F.col("c_name")),
+        "f_name": F.when(new | (ok % 6 == 0), F.concat(F.lit("F"), text(n))),
+        "m_name": F.when(new, "M").when(ok % 10 == 0, ""),
+        "adline1": F.when(new, F.concat(F.lit("Street "), text(n))),
+        "adline2": F.when(new & (k % 3 == 0), F.concat(F.lit("Apt "), text(k))).when(new & (k % 3 == 1), ""),
+        "zip": F.when(new, F.lpad(text(n), 5, "0")),
+        "city": F.when(new, "City").when(ok % 8 == 0, F.concat(F.lit("Town "), text(n))),
+        "state": F.when(new, "ST"), "country": F.when(new, "Country"),
+        "email": F.when(ok % 4 == 0, "").otherwise(F.concat(F.lit("c"), text(k), F.lit("@"), F.lower(F.col("o_orderpriority").substr(3, 20)), F.lit(".com"))),
+        "email2": F.when(ok % 9 == 0, F.concat(F.lit("alt"), text(k), F.lit("@x.org"))),
+        "area1": F.when(new, padded(n, 3)), "local1": F.when(new, F.concat(F.lit("555"), number)),
+        "local2": F.when(new & (k % 2 == 0), F.concat(F.lit("666"), number)),
+        "local3": F.when(ok % 11 == 0, F.concat(F.lit("444"), number)),
+        "lcl_tx": F.when(new, tx(n)).when(ok % 12 == 0, tx((n + 1) % 25)),
+        "nat_tx": F.when(new, tx((n + 5) % 25)),
+    }
+    sent = [F.when(customer, v).alias(name) for name, v in fields.items()]
+    return j.select("action_type", F.col("o_orderdate").alias("action_ts"), "o_orderkey", "o_custkey", *sent, "c_nationkey")
 
 
 def _attr(name: str, c: Column) -> Column:
@@ -228,34 +249,61 @@ def _elem(name: str, c: Column) -> Column:
             .otherwise(F.lit(""))
 
 
+def _group(name: str, *elems: Column) -> Column:
+    """An element around others, absent if they all are."""
+    inner = F.concat(*elems)
+    return F.when(inner != "", F.concat(F.lit(f"<{name}>"), inner, F.lit(f"</{name}>"))).otherwise("")
+
+
+def _account(account_id: Column, tax: Column, broker: Column, desc: Column) -> Column:
+    return F.concat(F.lit("<Account"), _attr("CA_ID", account_id), _attr("CA_TAX_ST", tax), F.lit(">"),
+                    _elem("CA_B_ID", broker), _elem("CA_NAME", desc), F.lit("</Account>"))
+
+
+def _account_elements() -> Column:
+    """NEW lists two accounts; ADDACCT adds one, numbered by the order key;
+    UPDACCT changes some fields of the first one, CLOSEACCT names the second."""
+    cust, ok, n = F.col("o_custkey"), F.col("o_orderkey"), F.col("c_nationkey")
+    null = F.lit(None).cast("string")
+    opened = F.concat(*[_account(cust * 2 + i, F.lit(i + 1), n, F.lit(f"Account {i}")) for i in (0, 1)])
+    added = _account(F.lit(1000000000) + ok, F.lit(1), n, F.concat(F.lit("Added "), ok.cast("string")))
+    changed = _account(cust * 2, F.when(ok % 3 == 0, (ok % 2 + 1).cast("int")), F.when(ok % 20 == 7, (n + 1) % 25),
+                       F.when(ok % 4 != 1, F.concat(F.lit("Renamed "), ok.cast("string"))))
+    kind = F.col("action_type")
+    return (F.when(kind == "NEW", opened).when(kind == "ADDACCT", added).when(kind == "UPDACCT", changed)
+            .when(kind == "CLOSEACCT", _account(cust * 2 + 1, null, null, null)).otherwise(""))
+
+
+def _phone(name: str, local: Column, **parts: Column) -> Column:
+    """The phone element of a local number; its other parts come with it."""
+    given = F.concat(*[_elem(x, c) for x, c in parts.items()], _elem("C_LOCAL", local))
+    return F.when(local.isNotNull(), F.concat(F.lit(f"<{name}>"), given, F.lit(f"</{name}>"))).otherwise("")
+
+
 def action_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``<Action>`` text per action record, for the XML reader."""
+    """``<Action>`` text and number (``seq``) per action record, for the XML reader."""
     a = action_records(spark, sf_dir)
-    acct = F.concat(*[F.concat(
-        F.lit('<Account CA_ID="'), (F.col("o_custkey") * 2 + i).cast("string"),
-        F.lit('" CA_TAX_ST="'), F.lit(str(i + 1)), F.lit('"><CA_B_ID>'),
-        F.col("c_nationkey").cast("string"), F.lit("</CA_B_ID><CA_NAME>Account "),
-        F.lit(str(i)), F.lit("</CA_NAME></Account>")) for i in (0, 1)])
+    col = F.col
+    contact = [_elem("C_PRIM_EMAIL", col("email")), _elem("C_ALT_EMAIL", col("email2")),
+               _phone("C_PHONE_1", col("local1"), C_CTRY_CODE=F.lit("1"), C_AREA_CODE=col("area1")),
+               _phone("C_PHONE_2", col("local2"), C_AREA_CODE=F.lit("200"), C_EXT=F.lit("7")),
+               _phone("C_PHONE_3", col("local3"))]
     xml = F.concat(
-        F.lit('<Action ActionType="'), F.col("action_type"), F.lit('" ActionTS="'),
+        F.lit('<Action ActionType="'), col("action_type"), F.lit('" ActionTS="'),
         F.date_format("action_ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('">'),
-        F.lit('<Customer C_ID="'), F.col("o_custkey").cast("string"), F.lit('"'),
-        _attr("C_TIER", F.col("tier")), F.lit(">"),
-        F.when(F.col("l_name").isNotNull(), F.concat(F.lit("<Name>"), _elem("C_L_NAME", F.col("l_name")),
-                                                     F.lit("</Name>"))).otherwise(F.lit("")),
-        F.when(F.col("is_new"), F.concat(F.lit("<Address><C_ZIPCODE>"),
-                                         F.lpad(F.col("c_nationkey").cast("string"), 5, "0"),
-                                         F.lit("</C_ZIPCODE></Address>"))).otherwise(F.lit("")),
-        F.lit("<ContactInfo>"), F.concat(F.lit("<C_PRIM_EMAIL>"), F.col("email"), F.lit("</C_PRIM_EMAIL>")),
-        F.lit("</ContactInfo>"),
-        F.lit("<TaxInfo><C_LCL_TX_ID>"), F.col("o_orderkey").cast("string"), F.lit("</C_LCL_TX_ID></TaxInfo>"),
-        F.when(F.col("is_new"), acct).otherwise(F.lit("")),
-        F.lit("</Customer></Action>"))
+        F.lit('<Customer C_ID="'), col("o_custkey").cast("string"), F.lit('"'),
+        _attr("C_TAX_ID", col("tax_id")), _attr("C_GNDR", col("gender")), _attr("C_TIER", col("tier")), _attr("C_DOB", col("dob")), F.lit(">"),
+        _group("Name", _elem("C_L_NAME", col("l_name")), _elem("C_F_NAME", col("f_name")), _elem("C_M_NAME", col("m_name"))),
+        _group("Address", _elem("C_ADLINE1", col("adline1")), _elem("C_ADLINE2", col("adline2")), _elem("C_ZIPCODE", col("zip")),
+               _elem("C_CITY", col("city")), _elem("C_STATE_PROV", col("state")), _elem("C_CTRY", col("country"))),
+        _group("ContactInfo", *contact),
+        _group("TaxInfo", _elem("C_LCL_TX_ID", col("lcl_tx")), _elem("C_NAT_TX_ID", col("nat_tx"))),
+        _account_elements(), F.lit("</Customer></Action>"))
     # XML parsing is CPU-bound per row while the text is small in bytes, so
     # AQE would coalesce it into very few tasks: spread it over the shuffle
     # partitions (an explicit count is kept by AQE)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return a.select(xml.alias("value")).repartition(n)
+    return a.select(xml.alias("value"), col("o_orderkey").alias("seq")).repartition(n)
 
 
 # --- orders as delimited text -----------------------------------------------------
@@ -311,10 +359,17 @@ def hr_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- Prospect.csv -----------------------------------------------------------------------
 
-def prospect_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One prospect per customer; every sixth one under a changed last name."""
+def prospect_records(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
+    """One prospect per customer; every sixth one under a changed last name.
+    The file of batch 1 lacks some; that of batch 2 has these, lacks others,
+    and has other values in a few fields, each in some of its rows."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
+    if batch == 1:
+        c = c.where("c_custkey % 8 <> 3")
+    changed = lambda every, then, else_: F.when(k % every == 0, then).otherwise(else_) if batch == 2 else else_
+    if batch == 2:
+        c = c.where("c_custkey % 4 <> 1")
     return c.select(
         F.concat(F.lit("P"), k.cast("string")).alias("AgencyID"),
         F.when(k % 6 == 0, F.concat(F.col("c_name"), F.lit(" Jr"))).otherwise(F.col("c_name")).alias("LastName"),
@@ -325,17 +380,18 @@ def prospect_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Street "), F.col("c_nationkey").cast("string")).alias("AddressLine1"),
         F.lit(None).cast("string").alias("AddressLine2"),
         F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("PostalCode"),
-        F.lit("City").alias("City"), F.lit("ST").alias("State"), F.lit("Country").alias("Country"),
-        F.lit(None).cast("string").alias("Phone"),
+        changed(22, F.lit("Village"), F.lit("City")).alias("City"), F.lit("ST").alias("State"), F.lit("Country").alias("Country"),
+        F.when(k % 3 == 0, F.concat(F.lit("555-"), padded(k, 6))).alias("Phone"),
         F.when(k % 13 == 0, F.lit(None)).otherwise((k * 104729) % 300001).cast("long").alias("Income"),
         (F.floor(k / 7) % 6).cast("int").alias("NumberCars"), (k % 6).cast("int").alias("NumberChildren"),
         F.element_at(F.array(*[F.lit(x) for x in ("s", "M", "d", "W", "q", "w")]), (k % 6 + 1).cast("int"))
          .alias("MaritalStatus"),
         (18 + k % 70).cast("int").alias("Age"), (300 + (k * 13) % 550).cast("int").alias("CreditRating"),
         F.element_at(F.array(*[F.lit(x) for x in ("o", "R", "x")]), (k % 3 + 1).cast("int")).alias("OwnOrRentFlag"),
-        F.lit(None).cast("string").alias("Employer"),
+        changed(14, F.lit("New Employer"), F.when(k % 4 == 0, F.concat(F.lit("Employer "), F.col("c_nationkey").cast("string")))).alias("Employer"),
         F.when(k % 17 == 0, F.lit(None)).otherwise((F.floor(k / 3) % 9)).cast("int").alias("NumberCreditCards"),
-        F.when(k % 10 == 0, F.lit(None)).otherwise((k * 7919) % 2000001).cast("long").alias("NetWorth"))
+        changed(5, F.coalesce(F.when(k % 10 != 0, (k * 7919) % 2000001), F.lit(0)) + 100,
+                F.when(k % 10 != 0, (k * 7919) % 2000001)).cast("long").alias("NetWorth"))
 
 
 # --- trades and their history -----------------------------------------------------------
@@ -435,21 +491,36 @@ def _dsn(ts: Column, seq: Column) -> Column:
     return F.concat(F.unix_seconds(ts.cast("timestamp")).cast("string"), F.lpad(seq.cast("string"), 19, "0")).cast("decimal(38,0)")
 
 
+def _in_window(df: DataFrame, lo: str, hi: str) -> DataFrame:
+    return df.where((F.col("ts") >= F.lit(lo).cast("timestamp")) & (F.col("ts") < F.lit(hi).cast("timestamp")))
+
+
+def _change_line(flag: Column, ts: Column, seq: Column, fields: list[Column]) -> Column:
+    return F.concat_ws("|", flag, *[F.coalesce(c.cast("string"), F.lit("")) for c in (_dsn(ts, seq), *fields)])
+
+
 def customer_cdc_text(states: DataFrame, lo: str, hi: str) -> DataFrame:
     """Customer.txt of a change batch: the full customer state after every
     action in [lo, hi), 2 CDC columns + 33 customer columns, pipe-separated."""
-    s = states.where((F.col("ts") >= F.lit(lo).cast("timestamp")) & (F.col("ts") < F.lit(hi).cast("timestamp")))
-    empty = F.lit("")
-
-    def v(c):
-        return F.coalesce(c.cast("string"), empty)
-    fields = [F.when(F.col("action") == "NEW", F.lit("I")).otherwise(F.lit("U")), v(_dsn(F.col("ts"), F.col("seq"))),
-              v(F.col("customer_id")), v(F.col("tax_id")),
-              v(F.when(F.col("status") == "INACTIVE", F.lit("INAC")).when(F.col("status") == "ACTIVE", F.lit("ACTV"))),
-              v(F.col("last_name")), empty, empty, empty, v(F.col("tier")), empty, empty, empty,
-              v(F.col("postal_code")), empty, empty, empty] + [empty] * 12 + \
-             [v(F.col("email1")), empty, v(F.col("tax_id")), empty]
-    return s.select(F.concat_ws("|", *fields).alias("value"))
+    col, none = F.col, F.lit(None)
+    status = F.when(col("status") == "INACTIVE", "INAC").when(col("status") == "ACTIVE", "ACTV")
+    phones = [x for n in (1, 2, 3) for x in (none, none, col(f"phone{n}"), none)]
+    fields = [col("customer_id"), col("tax_id"), status, col("last_name"), col("first_name"), col("middle_initial"), col("gender"), col("tier"), col("dob"),
+              col("address_line1"), col("address_line2"), col("postal_code"), col("city"), col("state_prov"), col("country"), *phones,
+              col("email1"), col("email2"), col("lcl_tax_id"), col("nat_tax_id")]
+    flag = F.when(col("action") == "NEW", F.lit("I")).otherwise(F.lit("U"))
+    return _in_window(states, lo, hi).select(_change_line(flag, col("ts"), col("seq"), fields).alias("value"))
+
+
+def account_cdc_text(states: DataFrame, lo: str, hi: str) -> DataFrame:
+    """Account.txt of a change batch: the full account state after every
+    action on the account itself in [lo, hi)."""
+    col = F.col
+    status = F.when(col("status") == "INACTIVE", "INAC").otherwise("ACTV")
+    fields = [col("account_id"), col("broker_id"), col("customer_id"), col("account_desc"), col("tax_status"), status]
+    flag = F.when(col("action").isin("NEW", "ADDACCT"), F.lit("I")).otherwise(F.lit("U"))
+    own = states.where(col("action").isin("NEW", "ADDACCT", "UPDACCT", "CLOSEACCT"))
+    return _in_window(own, lo, hi).select(_change_line(flag, col("ts"), col("seq"), fields).alias("value"))
 
 
 TRADE_CDC_SHORT = "CDC_FLAG string, CDC_DSN decimal(38,0), T_ID long, T_DTS timestamp_ntz, T_ST_ID string"

@@ -5,7 +5,9 @@ the transforms of ``histmart.plans.warehouse`` in dependency order, writes
 each table once as version 1 of ``<out_root>/<table>`` and reads it back, so
 every later stage starts from the written table (lineage cut, survives lost
 executors, and each dimension is computed once for all its users).  All
-alerts of the batch are appended to the message log in one write.
+alerts of the batch are appended to the message log in one write.  A batch's
+tables are committed together at its end (``sinks.Batch``); ``read_batch``
+gives the tables of the last committed batch, also beside a running load.
 """
 
 from __future__ import annotations
@@ -25,9 +27,14 @@ from histmart.sources import schemas as S
 from histmart.sources import sinks
 
 
-def _save(df: DataFrame, out_root: str, name: str, batch_id: int = 1) -> DataFrame:
-    path = sinks.write_version(df, os.path.join(out_root, name), batch_id)
-    return df.sparkSession.read.parquet(path)
+# kind and surrogate key of the tables that a batch doesn't replace whole
+KINDS = {"dim_customer": (sinks.HISTORY, "sk_customerid"), "dim_account": (sinks.HISTORY, "sk_accountid"),
+         "fact_cash": (sinks.APPEND, None), "fact_holdings": (sinks.APPEND, None), "fact_market": (sinks.APPEND, None)}
+
+
+def _save(df: DataFrame, batch: sinks.Batch, name: str) -> DataFrame:
+    kind, key = KINDS.get(name, (sinks.REPLACE, None))
+    return batch.save(name, df, kind, key)
 
 
 def historical_load(spark: SparkSession, batch_dir: str, out_root: str, action_tag: str = "Action") -> dict[str, DataFrame]:
@@ -41,67 +48,61 @@ def _historical_load(spark: SparkSession, batch_dir: str, out_root: str, action_
     def path(name):
         return os.path.join(batch_dir, name)
 
+    batch = sinks.Batch(spark, out_root, 1)
     batch_date = R.read_batch_date(spark, path("BatchDate.txt"))
     t: dict[str, DataFrame] = {}
 
     # Calendar and code tables, loaded as they are
-    t["dim_date"] = _save(R.read_delimited(spark, path("Date.txt"), S.DATE), out_root, "dim_date")
-    t["dim_time"] = _save(R.read_delimited(spark, path("Time.txt"), S.TIME), out_root, "dim_time")
-    t["industry"] = _save(R.read_delimited(spark, path("Industry.txt"), S.INDUSTRY), out_root, "industry")
-    t["status_type"] = _save(R.read_delimited(spark, path("StatusType.txt"), S.STATUS_TYPE), out_root,
-                             "status_type")
-    t["trade_type"] = _save(R.read_delimited(spark, path("TradeType.txt"), S.TRADE_TYPE), out_root, "trade_type")
+    t["dim_date"] = _save(R.read_delimited(spark, path("Date.txt"), S.DATE), batch, "dim_date")
+    t["dim_time"] = _save(R.read_delimited(spark, path("Time.txt"), S.TIME), batch, "dim_time")
+    t["industry"] = _save(R.read_delimited(spark, path("Industry.txt"), S.INDUSTRY), batch, "industry")
+    t["status_type"] = _save(R.read_delimited(spark, path("StatusType.txt"), S.STATUS_TYPE), batch, "status_type")
+    t["trade_type"] = _save(R.read_delimited(spark, path("TradeType.txt"), S.TRADE_TYPE), batch, "trade_type")
 
-    t["tax_rate"] = _save(R.read_delimited(spark, path("TaxRate.txt"), S.TAX_RATE), out_root, "tax_rate")
+    t["tax_rate"] = _save(R.read_delimited(spark, path("TaxRate.txt"), S.TAX_RATE), batch, "tax_rate")
 
     # Broker, effective from the first calendar day (one driver scalar)
     first_day = t["dim_date"].agg(F.min("DateValue")).first()[0]
     hr = R.read_delimited(spark, path("HR.csv"), S.HR, sep=",")
-    t["dim_broker"] = _save(W.dim_broker(hr, first_day), out_root, "dim_broker")
+    t["dim_broker"] = _save(W.dim_broker(hr, first_day), batch, "dim_broker")
 
     # FINWIRE parsed once, three record types
     finwire = materialize(R.read_fixed_width_lines(spark, path("FINWIRE[0-9]*Q[1-4]")), "finwire")
     cmp_ = R.fixed_width_records(finwire, "CMP")
-    t["dim_company"] = _save(W.dim_company(cmp_, t["status_type"], t["industry"]), out_root, "dim_company")
-    t["financial"] = _save(W.fact_financial(R.fixed_width_records(finwire, "FIN"), t["dim_company"]),
-                           out_root, "financial")
+    t["dim_company"] = _save(W.dim_company(cmp_, t["status_type"], t["industry"]), batch, "dim_company")
+    t["financial"] = _save(W.fact_financial(R.fixed_width_records(finwire, "FIN"), t["dim_company"]), batch, "financial")
     t["dim_security"] = _save(W.dim_security(R.fixed_width_records(finwire, "SEC"), t["dim_company"],
-                                             t["status_type"]), out_root, "dim_security")
+                                             t["status_type"]), batch, "dim_security")
 
-    # Customer actions parsed once
+    # Customers are matched with prospects, prospects are flagged as customers
     actions = materialize(R.read_actions(spark, path("CustomerMgmt.xml"), action_tag), "actions")
-    t["dim_customer"] = _save(W.dim_customer(actions), out_root, "dim_customer")
-    t["dim_account"] = _save(W.dim_account(actions, t["dim_customer"], t["dim_broker"]), out_root, "dim_account")
-
-    # Prospects against current active customers
-    active = t["dim_customer"].where(F.col("is_current") & (F.col("status") == "ACTIVE")) \
-        .select("last_name", "postal_code")
     prospects = R.read_delimited(spark, path("Prospect.csv"), S.PROSPECT, sep=",")
-    t["prospect"] = _save(W.prospect_load(prospects, active, batch_date), out_root, "prospect")
+    t["dim_customer"] = _save(W.dim_customer(actions, t["tax_rate"], W.prospect_rows(prospects)), batch, "dim_customer")
+    t["dim_account"] = _save(W.dim_account(actions, t["dim_customer"], t["dim_broker"]), batch, "dim_account")
+    t["prospect"] = _save(W.prospect_load(prospects, W.current_active(t["dim_customer"]), batch_date), batch, "prospect")
 
     # facts
     trades = R.read_delimited(spark, path("Trade.txt"), S.TRADE)
     history = R.read_delimited(spark, path("TradeHistory.txt"), S.TRADE_HISTORY)
     t["dim_trade"] = _save(W.dim_trade(trades, history, t["dim_security"], t["dim_account"], t["status_type"],
-                                       t["trade_type"]), out_root, "dim_trade")
+                                       t["trade_type"]), batch, "dim_trade")
     cash = R.read_delimited(spark, path("CashTransaction.txt"), S.CASH_TRANSACTION)
-    t["fact_cash"] = _save(W.fact_cash(cash, t["dim_account"]), out_root, "fact_cash")
+    t["fact_cash"] = _save(W.fact_cash(cash, t["dim_account"]), batch, "fact_cash")
     holdings = R.read_delimited(spark, path("HoldingHistory.txt"), S.HOLDING_HISTORY)
-    t["fact_holdings"] = _save(W.fact_holdings(holdings, t["dim_trade"]), out_root, "fact_holdings")
+    t["fact_holdings"] = _save(W.fact_holdings(holdings, t["dim_trade"]), batch, "fact_holdings")
     market = R.read_delimited(spark, path("DailyMarket.txt"), S.DAILY_MARKET)
-    t["fact_market"] = _save(W.fact_market(market, t["dim_security"], t["dim_company"], t["financial"]),
-                             out_root, "fact_market")
+    t["fact_market"] = _save(W.fact_market(market, t["dim_security"], t["dim_company"], t["financial"]), batch, "fact_market")
     # the raw rows that the windows of the next batch look back on
-    _save(W.market_tail(market), out_root, "raw_daily_market")
+    _save(W.market_tail(market), batch, "raw_daily_market")
     watches = R.read_delimited(spark, path("WatchHistory.txt"), S.WATCH_HISTORY)
-    t["fact_watches"] = _save(W.fact_watches(watches, t["dim_customer"], t["dim_security"]), out_root,
-                              "fact_watches")
+    t["fact_watches"] = _save(W.fact_watches(watches, t["dim_customer"], t["dim_security"]), batch, "fact_watches")
 
     # Every alert of the batch plus the validation snapshot (M1, M2), one append
     msgs = batch_alerts(actions, cmp_, trades, t["fact_market"], t["dim_security"], batch_date)
     msgs = msgs.unionByName(validation_snapshot(t, 1, "Historical load"))
     sinks.append_messages(msgs, os.path.join(out_root, "dimessages"))
     t["dimessages"] = spark.read.parquet(os.path.join(out_root, "dimessages"))
+    batch.commit()
     return t
 
 
@@ -154,67 +155,66 @@ def _change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: i
     def path(name):
         return os.path.join(batch_dir, name)
 
-    def latest(name):
-        # never this batch's own output: a batch that runs again starts from the same state
-        return sinks.read_latest(spark, os.path.join(out_root, name), before=batch_id)
+    batch = sinks.Batch(spark, out_root, batch_id)
+    latest = batch.previous
 
     batch_date = R.read_batch_date(spark, path("BatchDate.txt"))
     t: dict[str, DataFrame] = {}
     statuses, types, broker = latest("status_type"), latest("trade_type"), latest("dim_broker")
 
+    # the prospects of this file, for the person match and for the merge below
+    new_prospects = R.read_delimited(spark, path("Prospect.csv"), S.PROSPECT, sep=",")
     cust_rows = R.read_cdc(spark, path("Customer.txt"), S.CUSTOMER_CDC)
     prev_customer = latest("dim_customer")
-    t["dim_customer"] = _save(W.dim_customer_cdc(prev_customer, cust_rows, batch_date, batch_id),
-                              out_root, "dim_customer", batch_id)
+    customer = W.dim_customer_cdc(prev_customer.where("is_current"), cust_rows, batch_date, latest("tax_rate"), latest("prospect"),
+                                  W.prospect_rows(new_prospects), batch_id, batch.highest("dim_customer"))
+    t["dim_customer"] = _save(customer, batch, "dim_customer")
 
     acct_rows = R.read_cdc(spark, path("Account.txt"), S.ACCOUNT_CDC)
-    accounts = W.account_changes(latest("dim_account"), prev_customer, broker, acct_rows)
-    t["dim_account"] = _save(W.dim_account_cdc(latest("dim_account"), accounts, t["dim_customer"], broker,
-                                               batch_date, batch_id), out_root, "dim_account", batch_id)
+    current_account = latest("dim_account").where("is_current")
+    accounts = W.account_changes(current_account, prev_customer.where("is_current"), broker, acct_rows)
+    account = W.dim_account_cdc(current_account, accounts, t["dim_customer"].where("is_current"), broker, batch_date, batch_id,
+                                batch.highest("dim_account"))
+    t["dim_account"] = _save(account, batch, "dim_account")
 
     # trades: lifecycle by K5, keys of new trades from the current versions
     trade_rows = R.read_cdc(spark, path("Trade.txt"), S.TRADE_CDC)
     security = latest("dim_security")
     trade = W.trade_change_batch(latest("dim_trade"), trade_rows, security, t["dim_account"], statuses, types,
                                  batch_id)
-    t["dim_trade"] = _save(trade, out_root, "dim_trade", batch_id)
+    t["dim_trade"] = _save(trade, batch, "dim_trade")
 
     # cash: continue from the last balance of each account
     cash_rows = R.read_cdc(spark, path("CashTransaction.txt"), S.CASH_CDC).drop("CDC_FLAG", "CDC_DSN")
     prev_cash = latest("fact_cash")
     opening = W.opening_balances(prev_cash, t["dim_account"])
     cash = W.fact_cash(cash_rows, t["dim_account"], opening=opening).withColumn("batch_id", F.lit(batch_id))
-    t["fact_cash"] = _save(prev_cash.unionByName(cash), out_root, "fact_cash", batch_id)
+    t["fact_cash"] = _save(cash, batch, "fact_cash")
 
     # holdings of the batch, enriched from the new trade version
     hold_rows = R.read_cdc(spark, path("HoldingHistory.txt"), S.HOLDING_CDC).drop("CDC_FLAG", "CDC_DSN")
     hold = W.fact_holdings(hold_rows, t["dim_trade"]).withColumn("batch_id", F.lit(batch_id))
-    t["fact_holdings"] = _save(latest("fact_holdings").unionByName(hold), out_root, "fact_holdings", batch_id)
+    t["fact_holdings"] = _save(hold, batch, "fact_holdings")
 
     # market: rolling windows look back over earlier raw rows
     mkt_new = R.read_cdc(spark, path("DailyMarket.txt"), S.MARKET_CDC).drop("CDC_FLAG", "CDC_DSN")
-    raw_root = os.path.join(out_root, "raw_daily_market")
-    prev_raw = sinks.read_latest(spark, raw_root, before=batch_id)
+    prev_raw = latest("raw_daily_market")
     both = W.market_with_lookback(prev_raw, mkt_new)
     mk = W.fact_market(both, security, latest("dim_company"), latest("financial")) \
         .withColumn("batch_id", F.lit(batch_id))
-    t["fact_market"] = _save(latest("fact_market").unionByName(mk), out_root, "fact_market", batch_id)
+    t["fact_market"] = _save(mk, batch, "fact_market")
     raw = mkt_new if prev_raw is None else prev_raw.unionByName(mkt_new)
-    sinks.write_version(W.market_tail(raw), raw_root, batch_id)
+    _save(W.market_tail(raw), batch, "raw_daily_market")
 
     # watches merged on business keys across surrogate versions (K7)
     watch_rows = R.read_cdc(spark, path("WatchHistory.txt"), S.WATCH_CDC).drop("CDC_FLAG", "CDC_DSN")
-    t["fact_watches"] = _save(W.watch_change_batch(latest("fact_watches"), watch_rows, prev_customer,
-                                                   t["dim_customer"], security, batch_id),
-                              out_root, "fact_watches", batch_id)
+    t["fact_watches"] = _save(W.watch_change_batch(latest("fact_watches"), watch_rows, prev_customer, t["dim_customer"], security, batch_id),
+                              batch, "fact_watches")
 
     # prospects: full file again, merged by agency id (K6); counters
-    active = t["dim_customer"].where(F.col("is_current") & (F.col("status") == "ACTIVE")) \
-        .select("last_name", "postal_code")
-    new_prospects = W.prospect_load(R.read_delimited(spark, path("Prospect.csv"), S.PROSPECT, sep=","),
-                                    active, batch_date, batch_id)
-    prospect, counters = W.prospect_change_batch(latest("prospect"), new_prospects, batch_date)
-    t["prospect"] = _save(prospect, out_root, "prospect", batch_id)
+    loaded = W.prospect_load(new_prospects, W.current_active(t["dim_customer"]), batch_date, batch_id)
+    prospect, counters = W.prospect_change_batch(latest("prospect"), loaded, batch_date)
+    t["prospect"] = _save(prospect, batch, "prospect")
 
     alerts = batch_alerts_cdc(cust_rows, trade_rows, batch_date, batch_id).unionByName(
         no_earnings_alerts(t["fact_market"].where(F.col("batch_id") == batch_id), security, batch_id))
@@ -228,6 +228,7 @@ def _change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: i
     msgs = msgs.unionByName(validation_snapshot(t, batch_id, f"Incremental load {batch_id}"))
     sinks.append_messages(msgs, os.path.join(out_root, "dimessages"))
     t["dimessages"] = spark.read.parquet(os.path.join(out_root, "dimessages"))
+    batch.commit()
     return t
 
 

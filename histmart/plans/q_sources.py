@@ -108,45 +108,71 @@ _ACTIONS_SQL = """
 firsts AS (SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_key,
                   arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_key
            FROM orders GROUP BY o_custkey),
-act AS (
+act0 AS (
   SELECT CASE WHEN o.o_orderkey = f.first_key THEN 'NEW'
               WHEN o.o_orderkey = f.last_key AND o.o_orderstatus = 'F' THEN 'INACT'
-              ELSE 'UPDCUST' END AS action_type,
-         o.o_orderdate AS action_ts, o.o_orderkey, o.o_custkey, c.c_nationkey,
-         CASE WHEN o.o_orderkey = f.first_key OR o.o_orderkey % 3 = 0 THEN CAST(c.c_custkey % 5 AS INTEGER) END AS tier,
-         CASE WHEN o.o_orderkey = f.first_key OR o.o_orderkey % 2 = 0 THEN c.c_name END AS l_name,
-         CASE WHEN o.o_orderkey % 4 = 0 THEN ''
-              ELSE 'c' || CAST(c.c_custkey AS VARCHAR) || '@' || lower(substr(o.o_orderpriority, 3, 20)) || '.com'
-         END AS email,
-         o.o_orderkey = f.first_key AS is_new
-  FROM orders o JOIN firsts f ON o.o_custkey = f.o_custkey JOIN customer c ON o.o_custkey = c.c_custkey)"""
+              ELSE CASE o.o_orderkey % 10 WHEN 3 THEN 'ADDACCT' WHEN 7 THEN 'UPDACCT' WHEN 9 THEN 'CLOSEACCT' ELSE 'UPDCUST' END
+         END AS action_type,
+         o.o_orderdate AS action_ts, o.o_orderkey, o.o_orderkey AS ok, o.o_custkey, o.o_custkey AS k, c.c_nationkey, c.c_nationkey AS n,
+         c.c_name, o.o_orderpriority, o.o_orderkey = f.first_key AS is_new, lpad(CAST(c.c_custkey % 10000 AS VARCHAR), 4, '0') AS num
+  FROM orders o JOIN firsts f ON o.o_custkey = f.o_custkey JOIN customer c ON o.o_custkey = c.c_custkey),
+act AS (
+  SELECT *, CASE WHEN of_customer AND (is_new OR ok % 5 = 0) THEN 'T' || k || '-' || ok % 7 END AS tax_id,
+    CASE WHEN of_customer AND (is_new OR ok % 7 = 0) THEN list_element(['m', 'F', 'x', ''], CAST((k + ok) % 4 + 1 AS INTEGER)) END AS gender,
+    CASE WHEN of_customer AND (is_new OR ok % 3 = 0) THEN CAST(k % 5 AS INTEGER) END AS tier,
+    CASE WHEN is_new THEN DATE '1930-01-01' + CAST((k * 37) % 25000 AS INTEGER) END AS dob,
+    CASE WHEN of_customer AND (is_new OR ok % 2 = 0) THEN c_name END AS l_name,
+    CASE WHEN of_customer AND (is_new OR ok % 6 = 0) THEN 'F' || n END AS f_name,
+    CASE WHEN is_new THEN 'M' WHEN of_customer AND ok % 10 = 0 THEN '' END AS m_name,
+    CASE WHEN is_new THEN 'Street ' || n END AS adline1,
+    CASE WHEN is_new AND k % 3 = 0 THEN 'Apt ' || k WHEN is_new AND k % 3 = 1 THEN '' END AS adline2,
+    CASE WHEN is_new THEN lpad(CAST(n AS VARCHAR), 5, '0') END AS zip,
+    CASE WHEN is_new THEN 'City' WHEN of_customer AND ok % 8 = 0 THEN 'Town ' || n END AS city,
+    CASE WHEN is_new THEN 'ST' END AS state, CASE WHEN is_new THEN 'Country' END AS country,
+    CASE WHEN NOT of_customer THEN NULL WHEN ok % 4 = 0 THEN '' ELSE 'c' || k || '@' || lower(substr(o_orderpriority, 3, 20)) || '.com' END AS email,
+    CASE WHEN of_customer AND ok % 9 = 0 THEN 'alt' || k || '@x.org' END AS email2,
+    CASE WHEN is_new THEN '+1 (' || lpad(CAST(n AS VARCHAR), 3, '0') || ') 555' || num END AS phone1,
+    CASE WHEN is_new AND k % 2 = 0 THEN '(200) 666' || num || '7' END AS phone2,
+    CASE WHEN of_customer AND ok % 11 = 0 THEN '444' || num END AS phone3,
+    CASE WHEN is_new THEN 'TX' || lpad(CAST(n AS VARCHAR), 2, '0') WHEN of_customer AND ok % 12 = 0 THEN 'TX' || lpad(CAST((n + 1) % 25 AS VARCHAR), 2, '0') END AS lcl_tx,
+    CASE WHEN is_new THEN 'TX' || lpad(CAST((n + 5) % 25 AS VARCHAR), 2, '0') END AS nat_tx
+  FROM (SELECT *, action_type IN ('NEW', 'UPDCUST', 'INACT') AS of_customer FROM act0)),
+own AS (
+  SELECT action_ts, ok, action_type, k, k * 2 + i AS ca_id, CAST(i + 1 AS INTEGER) AS ca_tax_st, CAST(n AS BIGINT) AS ca_b_id, 'Account ' || i AS ca_name
+  FROM act, (VALUES (0), (1)) t(i) WHERE action_type = 'NEW'
+  UNION ALL
+  SELECT action_ts, ok, action_type, k, 1000000000 + ok, 1, n, 'Added ' || ok FROM act WHERE action_type = 'ADDACCT'
+  UNION ALL
+  SELECT action_ts, ok, action_type, k, k * 2, CASE WHEN ok % 3 = 0 THEN CAST(ok % 2 + 1 AS INTEGER) END, CASE WHEN ok % 20 = 7 THEN (n + 1) % 25 END,
+    CASE WHEN ok % 4 <> 1 THEN 'Renamed ' || ok END
+  FROM act WHERE action_type = 'UPDACCT'
+  UNION ALL
+  SELECT action_ts, ok, action_type, k, k * 2 + 1, NULL, NULL, NULL FROM act WHERE action_type = 'CLOSEACCT')"""
 
 
 @query("xml_actions", "WITH " + _ACTIONS_SQL + """
 SELECT action_type, action_ts, o_custkey AS c_id, tier, l_name, email,
-       CAST(o_orderkey AS VARCHAR) AS tax_id, CASE WHEN is_new THEN 2 ELSE 0 END AS n_accounts
+       tax_id, dob, phone1 IS NOT NULL AS has_phone1, nat_tx, CASE WHEN is_new THEN 2 WHEN of_customer THEN 0 ELSE 1 END AS n_accounts
 FROM act""")
 def q_xml_actions(spark, sf_dir):
     """Customer actions as XML elements parsed with ``from_xml`` and the
     action schema: attributes, nested structs, absent vs empty elements."""
-    a = R.parse_actions(A.action_xml(spark, sf_dir), "value")
+    a = R.parse_actions(A.action_xml(spark, sf_dir), "value", "seq")
     acct = F.col("Customer.Account")
     return a.select(
         F.col("_ActionType").alias("action_type"), F.col("_ActionTS").cast("timestamp_ntz").alias("action_ts"),
         F.col("Customer._C_ID").alias("c_id"), F.col("Customer._C_TIER").alias("tier"),
         F.col("Customer.Name.C_L_NAME").alias("l_name"),
         F.col("Customer.ContactInfo.C_PRIM_EMAIL").alias("email"),
-        F.col("Customer.TaxInfo.C_LCL_TX_ID").alias("tax_id"),
+        F.col("Customer._C_TAX_ID").alias("tax_id"), F.col("Customer._C_DOB").alias("dob"),
+        F.col("Customer.ContactInfo.C_PHONE_1.C_LOCAL").isNotNull().alias("has_phone1"),
+        F.col("Customer.TaxInfo.C_NAT_TX_ID").alias("nat_tx"),
         F.when(acct.isNull(), F.lit(0)).otherwise(F.size(acct)).alias("n_accounts"))
 
 
-@query("explode_children", "WITH " + _ACTIONS_SQL + """
-SELECT act.o_custkey AS c_id, act.o_custkey * 2 + i AS ca_id, CAST(i + 1 AS INTEGER) AS ca_tax_st,
-       CAST(act.c_nationkey AS BIGINT) AS ca_b_id, 'Account ' || CAST(i AS VARCHAR) AS ca_name,
-       act.action_ts
-FROM act, (VALUES (0), (1)) t(i) WHERE act.is_new""")
+@query("explode_children", "WITH " + _ACTIONS_SQL + " SELECT k AS c_id, ca_id, ca_tax_st, ca_b_id, ca_name, action_ts FROM own")
 def q_explode_children(spark, sf_dir):
-    a = R.parse_actions(A.action_xml(spark, sf_dir), "value")
+    a = R.parse_actions(A.action_xml(spark, sf_dir), "value", "seq")
     e = R.explode_accounts(a)
     return e.select(F.col("C_ID").alias("c_id"), F.col("CA_ID").alias("ca_id"),
                     F.col("CA_TAX_ST").alias("ca_tax_st"), F.col("CA_B_ID").alias("ca_b_id"),

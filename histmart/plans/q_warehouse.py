@@ -50,11 +50,12 @@ def build_financial(spark, sf_dir, company=None, parsed=None):
 
 def _actions(spark, sf_dir):
     """Parsed customer actions feed customer and account: staged once."""
-    return materialize(R.parse_actions(A.action_xml(spark, sf_dir), "value"), "actions")
+    return materialize(R.parse_actions(A.action_xml(spark, sf_dir), "value", "seq"), "actions")
 
 
 def build_customer(spark, sf_dir, actions=None):
-    return W.dim_customer(actions if actions is not None else _actions(spark, sf_dir))
+    actions = actions if actions is not None else _actions(spark, sf_dir)
+    return W.dim_customer(actions, A.tax_rates(spark, sf_dir), W.prospect_rows(A.prospect_records(spark, sf_dir)))
 
 
 def build_broker(spark, sf_dir):
@@ -218,59 +219,141 @@ def q_dim_security(spark, sf_dir):
     return build_security(spark, sf_dir).select(*[c.strip() for c in _SEC_COLS.split(",")], "is_current")
 
 
-# --- T7 customer ------------------------------------------------------------------------------
+# --- T6, T7: prospects and customers ------------------------------------------------------------
 
-CUSTOMER_SQL = _ACTIONS_SQL + """,
-cs AS (
-  SELECT o_custkey AS customer_id, action_ts AS ts, o_orderkey AS seq, CAST(o_orderkey AS VARCHAR) AS tax_id,
-    last_value(tier IGNORE NULLS) OVER w AS tier,
-    last_value(l_name IGNORE NULLS) OVER w AS last_name,
-    last_value(email IGNORE NULLS) OVER w AS email_raw,
+def _prospect_sql(name: str, batch: int | None = None) -> str:
+    """Rows of the prospect file (of batch 1, of batch 2, or whole) as a CTE."""
+    where = {None: "true", 1: "c_custkey % 8 <> 3", 2: "c_custkey % 4 <> 1"}[batch]
+    worth = "CASE WHEN c_custkey % 10 <> 0 THEN CAST((c_custkey * 7919) % 2000001 AS BIGINT) END"
+    employer, city = "CASE WHEN c_custkey % 4 = 0 THEN 'Employer ' || c_nationkey END", "'City'"
+    if batch == 2:
+        worth = f"CASE WHEN c_custkey % 5 = 0 THEN coalesce({worth}, 0) + 100 ELSE {worth} END"
+        employer = f"CASE WHEN c_custkey % 14 = 0 THEN 'New Employer' ELSE {employer} END"
+        city = "CASE WHEN c_custkey % 22 = 0 THEN 'Village' ELSE 'City' END"
+    return f"""
+{name}0 AS (
+  SELECT 'P' || CAST(c_custkey AS VARCHAR) AS agency_id,
+    CASE WHEN c_custkey % 6 = 0 THEN c_name || ' Jr' ELSE c_name END AS last_name, 'F' || CAST(c_nationkey AS VARCHAR) AS first_name,
+    CAST(NULL AS VARCHAR) AS middle_initial, list_element(['m', 'F', 'x', '', NULL], CAST(c_custkey % 5 + 1 AS INTEGER)) AS g,
+    list_element(['s', 'M', 'd', 'W', 'q', 'w'], CAST(c_custkey % 6 + 1 AS INTEGER)) AS ms,
+    list_element(['o', 'R', 'x'], CAST(c_custkey % 3 + 1 AS INTEGER)) AS orf,
+    'Street ' || c_nationkey AS address_line1, CAST(NULL AS VARCHAR) AS address_line2, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS postal_code,
+    {city} AS city, 'ST' AS state, 'Country' AS country, CASE WHEN c_custkey % 3 = 0 THEN '555-' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') END AS phone,
+    {employer} AS employer,
+    CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE CAST((c_custkey * 104729) % 300001 AS BIGINT) END AS income,
+    CAST((c_custkey // 7) % 6 AS INTEGER) AS number_cars, CAST(c_custkey % 6 AS INTEGER) AS number_children,
+    CAST(18 + c_custkey % 70 AS INTEGER) AS age, CAST(300 + (c_custkey * 13) % 550 AS INTEGER) AS credit_rating,
+    CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST((c_custkey // 3) % 9 AS INTEGER) END AS number_credit_cards,
+    {worth} AS net_worth
+  FROM customer WHERE {where}),
+{name} AS (
+  SELECT * EXCLUDE (g, ms, orf), CASE WHEN upper(g) IN ('M', 'F') THEN upper(g) ELSE 'U' END AS gender,
+    CASE WHEN upper(ms) IN ('S', 'M', 'D', 'W') THEN upper(ms) ELSE 'U' END AS marital_status,
+    CASE WHEN upper(orf) IN ('O', 'R') THEN upper(orf) ELSE 'U' END AS own_or_rent,
+    nullif(concat_ws('+',
+      CASE WHEN net_worth IS NOT NULL AND income IS NOT NULL AND (net_worth > 1000000 OR income > 200000) THEN 'HighValue' END,
+      CASE WHEN number_children IS NOT NULL AND number_credit_cards IS NOT NULL AND (number_children > 3 OR number_credit_cards > 5) THEN 'Expenses' END,
+      CASE WHEN age IS NOT NULL AND age > 45 THEN 'Boomer' END,
+      CASE WHEN income IS NOT NULL AND credit_rating IS NOT NULL AND net_worth IS NOT NULL
+            AND (income < 50000 OR credit_rating < 600 OR net_worth < 100000) THEN 'MoneyAlert' END,
+      CASE WHEN number_cars IS NOT NULL AND number_credit_cards IS NOT NULL AND (number_cars > 3 OR number_credit_cards > 7) THEN 'Spender' END,
+      CASE WHEN age IS NOT NULL AND net_worth IS NOT NULL AND age < 25 AND net_worth > 1000000 THEN 'Inherited' END
+    ), '') AS marketing_nameplate
+  FROM {name}0)"""
+
+
+_PERSON = ("first_name", "last_name", "address_line1", "address_line2", "postal_code")
+
+
+def _same_person(a: str, b: str) -> str:
+    return " AND ".join(f"upper({a}.{c}) IS NOT DISTINCT FROM upper({b}.{c})" for c in _PERSON)
+
+
+_SENT = {"tax_id": "tax_id", "last_name": "l_name", "first_name": "f_name", "middle_initial": "m_name", "gender_raw": "gender", "tier": "tier", "dob": "dob",
+         "address_line1": "adline1", "address_line2": "adline2", "postal_code": "zip", "city": "city", "state_prov": "state", "country": "country",
+         "phone1": "phone1", "phone2": "phone2", "phone3": "phone3", "email1": "email", "email2": "email2", "nat": "nat_tx", "lcl": "lcl_tx"}
+_FILLED = ",\n    ".join(f"last_value({c} IGNORE NULLS) OVER w AS {n}" for n, c in _SENT.items())
+_BLANK = ", ".join(f"nullif(trim({n}), '') AS {n}" if n not in ("tier", "dob", "gender_raw", "nat", "lcl") else n for n in _SENT)
+_ATTRS = ("tax_id, status, last_name, first_name, middle_initial, gender, tier, dob, address_line1, address_line2, postal_code, city, state_prov, country, "
+          "phone1, phone2, phone3, email1, email2, national_tax_rate_desc, national_tax_rate, local_tax_rate_desc, local_tax_rate")
+_MATCHED = "agency_id, credit_rating, net_worth, marketing_nameplate"
+
+STATES_SQL = _ACTIONS_SQL + f""",
+tax AS (SELECT 'TX' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS tx, 'Tax of ' || n_name AS tx_name,
+               CAST(0.01 + n_nationkey * 0.005 AS DECIMAL(6,5)) AS tx_rate FROM nation),
+cs0 AS (
+  SELECT o_custkey AS customer_id, action_ts AS ts, ok AS seq, action_type,
     last_value(CASE action_type WHEN 'INACT' THEN 'INACTIVE' WHEN 'NEW' THEN 'ACTIVE' END IGNORE NULLS) OVER w AS status,
-    last_value(CASE WHEN is_new THEN lpad(CAST(c_nationkey AS VARCHAR), 5, '0') END IGNORE NULLS) OVER w AS postal_code
-  FROM act
-  WINDOW w AS (PARTITION BY o_custkey ORDER BY action_ts, o_orderkey
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-cs2 AS (SELECT *, LEAD(CAST(ts AS DATE)) OVER (PARTITION BY customer_id ORDER BY ts, seq) AS nd FROM cs),
-customer_v AS (
-  SELECT customer_id, tax_id, status, last_name,
-    CASE WHEN trim(email_raw) = '' THEN NULL ELSE email_raw END AS email1, tier, postal_code,
-    CAST(ts AS DATE) AS effective_date,
-    COALESCE(LEAD(CAST(ts AS DATE)) OVER (PARTITION BY customer_id ORDER BY ts, seq), DATE '9999-12-31') AS end_date,
-    1 AS batch_id, row_number() OVER (ORDER BY customer_id, CAST(ts AS DATE)) AS sk_customerid
-  FROM cs2 WHERE nd IS NULL OR nd > CAST(ts AS DATE))"""
-
-_CUSTOMER_COLS = ("sk_customerid, customer_id, tax_id, status, last_name, email1, tier, postal_code, "
-                  "batch_id, effective_date, end_date")
+    {_FILLED}
+  FROM act WHERE of_customer
+  WINDOW w AS (PARTITION BY o_custkey ORDER BY action_ts, ok ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+cs AS (
+  SELECT customer_id, ts, seq, action_type, status, {_BLANK},
+    CASE WHEN upper(gender_raw) IN ('M', 'F') THEN upper(gender_raw) ELSE 'U' END AS gender,
+    t1.tx_name AS national_tax_rate_desc, t1.tx_rate AS national_tax_rate, t2.tx_name AS local_tax_rate_desc, t2.tx_rate AS local_tax_rate
+  FROM cs0 LEFT JOIN tax t1 ON t1.tx = nullif(trim(nat), '') LEFT JOIN tax t2 ON t2.tx = nullif(trim(lcl), ''))"""
+
+
+def _versions_sql(name: str, prospects: str, before: str = "true") -> str:
+    """Customer versions from the states that meet a condition; the current ones are matched."""
+    return f"""
+{name}2 AS (SELECT *, LEAD(CAST(ts AS DATE)) OVER (PARTITION BY customer_id ORDER BY ts, seq) AS nd FROM cs WHERE {before}),
+{name}3 AS (SELECT * EXCLUDE (nd), coalesce(nd, DATE '9999-12-31') AS end_date, CAST(ts AS DATE) AS effective_date
+            FROM {name}2 WHERE nd IS NULL OR nd > CAST(ts AS DATE)),
+{name} AS (
+  SELECT v.customer_id, {", ".join("v." + c.strip() for c in _ATTRS.split(","))}, p.agency_id, p.credit_rating, p.net_worth, p.marketing_nameplate,
+    v.effective_date, v.end_date, 1 AS batch_id, row_number() OVER (ORDER BY v.customer_id, v.effective_date) AS sk_customerid
+  FROM {name}3 v LEFT JOIN {prospects} p ON v.end_date = DATE '9999-12-31' AND {_same_person("v", "p")})"""
+
+
+CUSTOMER_SQL = STATES_SQL + "," + _prospect_sql("pr") + "," + _versions_sql("customer_v", "pr")
+
+_CUSTOMER_COLS = f"sk_customerid, customer_id, {_ATTRS}, {_MATCHED}, batch_id, effective_date, end_date"
 
 
 @query("dim_customer", "WITH " + CUSTOMER_SQL + f"""
 SELECT {_CUSTOMER_COLS}, end_date = DATE '9999-12-31' AS is_current FROM customer_v""")
 def q_dim_customer(spark, sf_dir):
-    """Customer actions parsed from XML, forward-filled in time order (absent
+    """Customer actions parsed from XML, forward-filled in file order (absent
     fields take the running state, empty ones are values), one version per
-    action day."""
+    action day, with phones, tax names and rates, and, for current versions,
+    the prospect who is that person."""
     return build_customer(spark, sf_dir).select(*[c.strip() for c in _CUSTOMER_COLS.split(",")], "is_current")
 
 
 # --- T10 account ------------------------------------------------------------------------------
 
-ACCOUNT_SQL = CUSTOMER_SQL + """,
-acc AS (SELECT CAST(o_custkey * 2 + i AS BIGINT) AS account_id, o_custkey AS customer_id,
-               CAST(c_nationkey AS BIGINT) AS broker_id, 'Account ' || CAST(i AS VARCHAR) AS account_desc,
-               CAST(i + 1 AS INTEGER) AS tax_status
-        FROM act, (VALUES (0), (1)) t(i) WHERE is_new),
+def _accounts_sql(name: str, customer: str, before: str = "true") -> str:
+    """Account versions from the actions that meet a condition on action_ts."""
+    return f"""
+{name}_own AS (SELECT * FROM own WHERE {before}),
+{name}_open AS (SELECT ca_id, arg_min(k, (action_ts, ok)) AS k, min((action_ts, ok)) AS opened FROM {name}_own GROUP BY ca_id),
+{name}_ev AS (
+  SELECT ca_id, action_ts AS ts, ok AS seq, action_type, k, ca_tax_st, ca_b_id, ca_name, CASE action_type WHEN 'CLOSEACCT' THEN 'INACTIVE' ELSE 'ACTIVE' END AS st
+  FROM {name}_own
+  UNION ALL
+  SELECT o.ca_id, a.action_ts, a.ok, a.action_type, NULL, NULL, NULL, NULL, CASE a.action_type WHEN 'INACT' THEN 'INACTIVE' END
+  FROM act a JOIN {name}_open o ON a.k = o.k WHERE a.action_type IN ('UPDCUST', 'INACT') AND (a.action_ts, a.ok) > o.opened AND {before}),
+{name}_st AS (
+  SELECT ca_id AS account_id, ts, seq, action_type, last_value(k IGNORE NULLS) OVER w AS customer_id, last_value(ca_tax_st IGNORE NULLS) OVER w AS tax_status,
+    last_value(ca_b_id IGNORE NULLS) OVER w AS broker_id, last_value(ca_name IGNORE NULLS) OVER w AS account_desc, last_value(st IGNORE NULLS) OVER w AS status
+  FROM {name}_ev WINDOW w AS (PARTITION BY ca_id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+{name}_nd AS (SELECT *, LEAD(CAST(ts AS DATE)) OVER (PARTITION BY account_id ORDER BY ts, seq) AS nd FROM {name}_st),
+{name} AS (
+  SELECT a.account_id, b.sk_brokerid, c.sk_customerid, a.customer_id, a.broker_id, a.status, a.account_desc, a.tax_status, 1 AS batch_id,
+    CAST(a.ts AS DATE) AS effective_date, coalesce(a.nd, DATE '9999-12-31') AS end_date,
+    row_number() OVER (ORDER BY a.account_id, a.ts) AS sk_accountid
+  FROM {name}_nd a
+  LEFT JOIN {customer} c ON a.customer_id = c.customer_id AND CAST(a.ts AS DATE) >= c.effective_date AND CAST(a.ts AS DATE) < c.end_date
+  LEFT JOIN broker b ON a.broker_id = b.broker_id AND CAST(a.ts AS DATE) >= b.effective_date AND CAST(a.ts AS DATE) < b.end_date
+  WHERE a.nd IS NULL OR a.nd > CAST(a.ts AS DATE))"""
+
+
+_BROKER_SQL = """
 broker AS (SELECT row_number() OVER (ORDER BY n_nationkey) AS sk_brokerid, CAST(n_nationkey AS BIGINT) AS broker_id,
-                  (SELECT CAST(min(o_orderdate) AS DATE) FROM orders) AS effective_date,
-                  DATE '9999-12-31' AS end_date
-           FROM nation WHERE n_regionkey <> 0),
-account_v AS (
-  SELECT a.account_id, b.sk_brokerid, c.sk_customerid, c.status, a.account_desc, a.tax_status,
-    1 AS batch_id, c.effective_date, c.end_date,
-    row_number() OVER (ORDER BY a.account_id, c.effective_date) AS sk_accountid
-  FROM acc a JOIN customer_v c ON a.customer_id = c.customer_id
-  LEFT JOIN broker b ON a.broker_id = b.broker_id AND c.effective_date >= b.effective_date
-   AND c.effective_date < b.end_date)"""
+                  (SELECT CAST(min(o_orderdate) AS DATE) FROM orders) AS effective_date, DATE '9999-12-31' AS end_date
+           FROM nation WHERE n_regionkey <> 0)"""
+ACCOUNT_SQL = CUSTOMER_SQL + "," + _BROKER_SQL + "," + _accounts_sql("account_v", "customer_v")
 
 _ACCOUNT_COLS = ("sk_accountid, account_id, sk_brokerid, sk_customerid, status, account_desc, tax_status, "
                  "batch_id, effective_date, end_date")
@@ -279,54 +362,28 @@ _ACCOUNT_COLS = ("sk_accountid, account_id, sk_brokerid, sk_customerid, status,
 @query("dim_account", "WITH " + ACCOUNT_SQL + f"""
 SELECT {_ACCOUNT_COLS}, end_date = DATE '9999-12-31' AS is_current FROM account_v""")
 def q_dim_account(spark, sf_dir):
-    """Accounts listed in NEW actions (explode); every customer version opens
-    a version of each of its accounts (cascade); broker as of the start."""
+    """Accounts opened, changed and closed by their own actions, and reached by
+    those on their customer, replayed as one stream; customer and broker as
+    of the start of each version."""
     return build_account(spark, sf_dir).select(*[c.strip() for c in _ACCOUNT_COLS.split(",")], "is_current")
 
 
 # --- T6 prospect ------------------------------------------------------------------------------
 
-@query("prospect_load", "WITH " + CUSTOMER_SQL + """,
-pr AS (
-  SELECT 'P' || CAST(c_custkey AS VARCHAR) AS agency_id,
-    CASE WHEN c_custkey % 6 = 0 THEN c_name || ' Jr' ELSE c_name END AS ln,
-    'F' || CAST(c_nationkey AS VARCHAR) AS fn,
-    list_element(['m', 'F', 'x', '', NULL], CAST(c_custkey % 5 + 1 AS INTEGER)) AS g,
-    list_element(['s', 'M', 'd', 'W', 'q', 'w'], CAST(c_custkey % 6 + 1 AS INTEGER)) AS ms,
-    list_element(['o', 'R', 'x'], CAST(c_custkey % 3 + 1 AS INTEGER)) AS orf,
-    lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS postal,
-    CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE CAST((c_custkey * 104729) % 300001 AS BIGINT) END AS income,
-    CAST((c_custkey // 7) % 6 AS INTEGER) AS cars, CAST(c_custkey % 6 AS INTEGER) AS children,
-    CAST(18 + c_custkey % 70 AS INTEGER) AS age, CAST(300 + (c_custkey * 13) % 550 AS INTEGER) AS credit_rating,
-    CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST((c_custkey // 3) % 9 AS INTEGER) END AS cards,
-    CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE CAST((c_custkey * 7919) % 2000001 AS BIGINT) END AS net_worth
-  FROM customer)
-SELECT agency_id, 20000101 AS sk_recorddateid, 20000101 AS sk_updatedateid, 1 AS batch_id,
-  EXISTS (SELECT 1 FROM customer_v cv WHERE cv.end_date = DATE '9999-12-31' AND cv.status = 'ACTIVE'
-          AND upper(cv.last_name) IS NOT DISTINCT FROM upper(pr.ln)
-          AND cv.postal_code IS NOT DISTINCT FROM pr.postal) AS is_customer,
-  coalesce(ln, '') AS last_name, coalesce(fn, '') AS first_name,
-  CASE WHEN upper(g) IN ('M', 'F') THEN upper(g) ELSE 'U' END AS gender,
-  CASE WHEN upper(ms) IN ('S', 'M', 'D', 'W') THEN upper(ms) ELSE 'U' END AS marital_status,
-  CASE WHEN upper(orf) IN ('O', 'R') THEN upper(orf) ELSE 'U' END AS own_or_rent,
-  postal AS postal_code, income, net_worth, children AS number_children, cards AS number_credit_cards, age,
-  credit_rating, cars AS number_cars,
-  nullif(concat_ws('+',
-    CASE WHEN net_worth IS NOT NULL AND income IS NOT NULL AND (net_worth > 1000000 OR income > 200000) THEN 'HighValue' END,
-    CASE WHEN children IS NOT NULL AND cards IS NOT NULL AND (children > 3 OR cards > 5) THEN 'Expenses' END,
-    CASE WHEN age IS NOT NULL AND age > 45 THEN 'Boomer' END,
-    CASE WHEN income IS NOT NULL AND credit_rating IS NOT NULL AND net_worth IS NOT NULL
-          AND (income < 50000 OR credit_rating < 600 OR net_worth < 100000) THEN 'MoneyAlert' END,
-    CASE WHEN cars IS NOT NULL AND cards IS NOT NULL AND (cars > 3 OR cards > 7) THEN 'Spender' END,
-    CASE WHEN age IS NOT NULL AND net_worth IS NOT NULL AND age < 25 AND net_worth > 1000000 THEN 'Inherited' END
-  ), '') AS marketing_nameplate
-FROM pr""")
+_PROSPECT_COLS = ("agency_id, last_name, first_name, middle_initial, gender, address_line1, address_line2, postal_code, city, state, country, phone, income, "
+                  "number_cars, number_children, marital_status, age, credit_rating, own_or_rent, employer, number_credit_cards, net_worth, marketing_nameplate")
+
+
+def _is_customer(customer: str, p: str = "pr") -> str:
+    return (f"EXISTS (SELECT 1 FROM {customer} cv WHERE cv.end_date = DATE '9999-12-31' AND cv.status = 'ACTIVE' AND {_same_person('cv', p)}) AS is_customer")
+
+
+@query("prospect_load", "WITH " + CUSTOMER_SQL + f"""
+SELECT {_PROSPECT_COLS}, 20000101 AS sk_recorddateid, 20000101 AS sk_updatedateid, 1 AS batch_id, {_is_customer("customer_v")} FROM pr""")
 def q_prospect_load(spark, sf_dir):
-    """Prospect file: normalised codes, marketing tags, and the is-customer
-    flag against current active customers (null-safe)."""
-    cust = build_customer(spark, sf_dir).where(F.col("is_current") & (F.col("status") == "ACTIVE")) \
-        .select("last_name", "postal_code")
-    return W.prospect_load(A.prospect_records(spark, sf_dir), cust, BATCH_DATE)
+    """Prospect file: all columns, normalised codes, marketing tags, and the
+    is-customer flag against current active customers (five fields, null-safe)."""
+    return W.prospect_load(A.prospect_records(spark, sf_dir), W.current_active(build_customer(spark, sf_dir)), BATCH_DATE)
 
 
 # --- T12 trade ------------------------------------------------------------------------------
@@ -475,38 +532,40 @@ def q_fact_watches(spark, sf_dir):
 B2_LO, B2_HI, B2_DATE = "2000-01-01", "2100-01-01", "2002-01-01"  # everything after the first batch
 
 
-def build_customer_cdc(spark, sf_dir, actions=None):
+def _first_batch(spark, sf_dir, actions):
+    """Customers after batch 1, and the two prospect files."""
+    first, second = (W.prospect_rows(A.prospect_records(spark, sf_dir, b)) for b in (1, 2))
+    before = actions.where(F.col("_ActionTS") < F.lit(B2_LO).cast("timestamp"))
+    return before, materialize(W.dim_customer(before, A.tax_rates(spark, sf_dir), first), "customers"), first, second
+
+
+def build_customer_cdc(spark, sf_dir, actions, base, first, second):
+    """Current customers after batch 2, and those that it closed."""
     from histmart.sources import schemas as S
 
-    actions = actions if actions is not None else _actions(spark, sf_dir)
-    base = W.dim_customer(actions.where(F.col("_ActionTS") < F.lit(B2_LO).cast("timestamp")))
     text = A.customer_cdc_text(W.customer_states(actions), B2_LO, B2_HI)
     rows = R.parse_delimited(text, "value", S.CUSTOMER_CDC)
-    return W.dim_customer_cdc(base, rows, B2_DATE)
-
-
-_CDC_CUST_SQL = CUSTOMER_SQL + f""",
-b1 AS (SELECT *, LEAD(CAST(ts AS DATE)) OVER (PARTITION BY customer_id ORDER BY ts, seq) AS nd
-       FROM cs WHERE ts < TIMESTAMP '{B2_LO}'),
-cbase AS (
-  SELECT customer_id, tax_id, status, last_name,
-    CASE WHEN trim(email_raw) = '' THEN NULL ELSE email_raw END AS email1, tier, postal_code,
-    CAST(ts AS DATE) AS effective_date,
-    COALESCE(LEAD(CAST(ts AS DATE)) OVER (PARTITION BY customer_id ORDER BY ts, seq), DATE '9999-12-31') AS end0,
-    row_number() OVER (ORDER BY customer_id, CAST(ts AS DATE)) AS sk_customerid
-  FROM b1 WHERE nd IS NULL OR nd > CAST(ts AS DATE)),
+    return W.dim_customer_cdc(base.where("is_current"), rows, B2_DATE, A.tax_rates(spark, sf_dir), first, second, 2,
+                              base.agg(F.max("sk_customerid")))
+
+
+def _with_closed(base, merged):
+    return base.where("not is_current").unionByName(merged)
+
+
+_CDC_CUST_SQL = STATES_SQL + "," + _prospect_sql("pr1", 1) + "," + _prospect_sql("pr2", 2) + "," + _versions_sql("cbase", "pr1", f"ts < TIMESTAMP '{B2_LO}'") + f""",
 cchg AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY ts DESC, seq DESC) AS rn
                         FROM cs WHERE ts >= TIMESTAMP '{B2_LO}' AND ts < TIMESTAMP '{B2_HI}') x WHERE rn = 1),
 customer2 AS (
-  SELECT b.customer_id, b.tax_id, b.status, b.last_name, b.email1, b.tier, b.postal_code, b.effective_date,
-    CASE WHEN b.end0 = DATE '9999-12-31' AND c.customer_id IS NOT NULL THEN DATE '{B2_DATE}' ELSE b.end0 END AS end_date,
-    1 AS batch_id, b.sk_customerid
+  SELECT b.* REPLACE (CASE WHEN b.end_date = DATE '9999-12-31' AND c.customer_id IS NOT NULL THEN DATE '{B2_DATE}' ELSE b.end_date END AS end_date)
   FROM cbase b LEFT JOIN cchg c ON b.customer_id = c.customer_id
   UNION ALL
-  SELECT customer_id, tax_id, status, last_name, CASE WHEN trim(email_raw) = '' THEN NULL ELSE email_raw END,
-    tier, postal_code, DATE '{B2_DATE}', DATE '9999-12-31', 2,
-    (SELECT count(*) FROM cbase) + row_number() OVER (ORDER BY customer_id)
-  FROM cchg)"""
+  SELECT v.customer_id, {", ".join("v." + c.strip() for c in _ATTRS.split(","))},
+    CASE WHEN p1.agency_id IS NOT NULL THEN p1.agency_id ELSE p2.agency_id END, CASE WHEN p1.agency_id IS NOT NULL THEN p1.credit_rating ELSE p2.credit_rating END,
+    CASE WHEN p1.agency_id IS NOT NULL THEN p1.net_worth ELSE p2.net_worth END,
+    CASE WHEN p1.agency_id IS NOT NULL THEN p1.marketing_nameplate ELSE p2.marketing_nameplate END,
+    DATE '{B2_DATE}', DATE '9999-12-31', 2, (SELECT count(*) FROM cbase) + row_number() OVER (ORDER BY v.customer_id)
+  FROM cchg v LEFT JOIN pr1 p1 ON {_same_person("v", "p1")} LEFT JOIN pr2 p2 ON {_same_person("v", "p2")})"""
 
 
 @query("dim_customer_cdc", "WITH " + _CDC_CUST_SQL + f"""
@@ -515,35 +574,34 @@ def q_dim_customer_cdc(spark, sf_dir):
     """Batch 2 of the customer dimension: the customer changes of the batch
     written as a 35-column CDC file, parsed, reduced to the highest DSN per
     customer and merged into the batch-1 dimension (new versions from the
-    batch date, new keys above the maximum)."""
-    return build_customer_cdc(spark, sf_dir).select(*[c.strip() for c in _CUSTOMER_COLS.split(",")],
-                                                    "is_current")
-
-
-@query("dim_account_cdc", "WITH " + _CDC_CUST_SQL + f""",
-acc2 AS (SELECT CAST(o_custkey * 2 + i AS BIGINT) AS account_id, o_custkey AS customer_id,
-                CAST(c_nationkey AS BIGINT) AS broker_id, 'Account ' || CAST(i AS VARCHAR) AS account_desc,
-                CAST(i + 1 AS INTEGER) AS tax_status
-         FROM act, (VALUES (0), (1)) t(i) WHERE is_new AND action_ts < TIMESTAMP '{B2_HI}'),
-broker AS (SELECT row_number() OVER (ORDER BY n_nationkey) AS sk_brokerid, CAST(n_nationkey AS BIGINT) AS broker_id,
-                  (SELECT CAST(min(o_orderdate) AS DATE) FROM orders) AS effective_date,
-                  DATE '9999-12-31' AS end_date
-           FROM nation WHERE n_regionkey <> 0),
-abase AS (
-  SELECT a.account_id, b.sk_brokerid, c.sk_customerid, c.status, a.account_desc, a.tax_status,
-    c.effective_date, c.end0, row_number() OVER (ORDER BY a.account_id, c.effective_date) AS sk_accountid
-  FROM acc2 a JOIN cbase c ON a.customer_id = c.customer_id
-  LEFT JOIN broker b ON a.broker_id = b.broker_id AND c.effective_date >= b.effective_date
-   AND c.effective_date < b.end_date),
+    batch date, new keys above the maximum); persons are matched with the
+    prospects of the earlier file first, then with those of the batch."""
+    actions = _actions(spark, sf_dir)
+    _, base, first, second = _first_batch(spark, sf_dir, actions)
+    merged = build_customer_cdc(spark, sf_dir, actions, base, first, second)
+    return _with_closed(base, merged).select(*[c.strip() for c in _CUSTOMER_COLS.split(",")], "is_current")
+
+
+@query("dim_account_cdc", "WITH " + _CDC_CUST_SQL + "," + _BROKER_SQL + "," + _accounts_sql("abase", "cbase", f"action_ts < TIMESTAMP '{B2_LO}'") + ","
+       + _accounts_sql("aall", "customer2", f"action_ts < TIMESTAMP '{B2_HI}'") + f""",
+arow AS (SELECT * FROM (SELECT account_id, customer_id, broker_id, account_desc, tax_status, status,
+                               row_number() OVER (PARTITION BY account_id ORDER BY ts DESC, seq DESC) AS rn
+                        FROM aall_st WHERE ts >= TIMESTAMP '{B2_LO}' AND action_type IN ('NEW', 'ADDACCT', 'UPDACCT', 'CLOSEACCT')) x WHERE rn = 1),
+-- accounts of batch 1 as they are, those with a row of their own as that row has them; a broker without a version isn't known any more
+alist AS (
+  SELECT account_id, customer_id, broker_id, account_desc, tax_status, status AS own_status, true AS in_batch FROM arow
+  UNION ALL
+  SELECT account_id, customer_id, CASE WHEN sk_brokerid IS NOT NULL THEN broker_id END, account_desc, tax_status, NULL, false
+  FROM abase WHERE end_date = DATE '9999-12-31' AND account_id NOT IN (SELECT account_id FROM arow)),
 anew AS (
-  SELECT a.account_id, b.sk_brokerid, c2.sk_customerid, c2.status, a.account_desc, a.tax_status
-  FROM acc2 a JOIN customer2 c2 ON a.customer_id = c2.customer_id AND c2.batch_id = 2
+  SELECT a.account_id, b.sk_brokerid, c.sk_customerid, coalesce(a.own_status, c.status) AS status, a.account_desc, a.tax_status
+  FROM alist a JOIN customer2 c ON a.customer_id = c.customer_id AND c.end_date = DATE '9999-12-31' AND (c.batch_id = 2 OR a.in_batch)
   LEFT JOIN broker b ON a.broker_id = b.broker_id AND b.end_date = DATE '9999-12-31'),
 account2 AS (
   SELECT ab.account_id, ab.sk_brokerid, ab.sk_customerid, ab.status, ab.account_desc, ab.tax_status,
     ab.effective_date,
-    CASE WHEN ab.end0 = DATE '9999-12-31' AND EXISTS (SELECT 1 FROM anew WHERE anew.account_id = ab.account_id)
-         THEN DATE '{B2_DATE}' ELSE ab.end0 END AS end_date,
+    CASE WHEN ab.end_date = DATE '9999-12-31' AND EXISTS (SELECT 1 FROM anew WHERE anew.account_id = ab.account_id)
+         THEN DATE '{B2_DATE}' ELSE ab.end_date END AS end_date,
     1 AS batch_id, ab.sk_accountid
   FROM abase ab
   UNION ALL
@@ -552,22 +610,21 @@ account2 AS (
   FROM anew)
 SELECT {_ACCOUNT_COLS}, end_date = DATE '9999-12-31' AS is_current FROM account2""")
 def q_dim_account_cdc(spark, sf_dir):
-    """Batch 2 of the account dimension: every new customer version of the
-    batch cascades to a new version of each of the customer's accounts."""
-    from histmart.sources.readers import explode_accounts
+    """Batch 2 of the account dimension: the account rows of the batch written
+    as a CDC file and parsed; an account gets a version by a row of its own,
+    also if its customer didn't change, or by a new version of its customer."""
+    from histmart.sources import schemas as S
 
     actions = _actions(spark, sf_dir)
-    b1 = actions.where(F.col("_ActionTS") < F.lit(B2_LO).cast("timestamp"))
+    before, customer, first, second = _first_batch(spark, sf_dir, actions)
     broker = build_broker(spark, sf_dir)
-    base = W.dim_account(b1, W.dim_customer(b1), broker)
-    customer2 = build_customer_cdc(spark, sf_dir, actions)
-    accounts = explode_accounts(actions.where((F.col("_ActionType") == "NEW")
-                                              & (F.col("_ActionTS") < F.lit(B2_HI).cast("timestamp")))).select(
-        F.col("CA_ID").alias("account_id"), F.col("C_ID").alias("customer_id"),
-        F.col("CA_B_ID").alias("broker_id"), F.col("CA_NAME").alias("account_desc"),
-        F.col("CA_TAX_ST").alias("tax_status"))
-    out = W.dim_account_cdc(base, accounts, customer2, broker, B2_DATE)
-    return out.select(*[c.strip() for c in _ACCOUNT_COLS.split(",")], "is_current")
+    base = materialize(W.dim_account(before, customer, broker), "accounts")
+    customer2 = build_customer_cdc(spark, sf_dir, actions, customer, first, second).where("is_current")
+    rows = R.parse_delimited(A.account_cdc_text(W.account_states(actions), B2_LO, B2_HI), "value", S.ACCOUNT_CDC)
+    current = base.where("is_current")
+    accounts = W.account_changes(current, customer.where("is_current"), broker, rows)
+    merged = W.dim_account_cdc(current, accounts, customer2, broker, B2_DATE, 2, base.agg(F.max("sk_accountid")))
+    return _with_closed(base, merged).select(*[c.strip() for c in _ACCOUNT_COLS.split(",")], "is_current")
 
 
 _TRADE_HIST_SQL = """

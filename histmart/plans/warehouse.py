@@ -160,78 +160,157 @@ def dim_security(sec_records: DataFrame, company: DataFrame, statuses: DataFrame
 
 # --- T6 prospect ---------------------------------------------------------------------------
 
-def prospect_load(prospects: DataFrame, customers: DataFrame, batch_date, batch_id: int = 1) -> DataFrame:
-    """Normalised prospect rows with marketing tags and the is-customer flag
-    (null-safe match on upper-cased last name and postal code against
-    ``customers``)."""
-    p = prospects
-    flagged = L.exists_flag(p, customers, [(F.upper(p["LastName"]), F.upper(customers["last_name"])),
-                                           (p["PostalCode"], customers["postal_code"])], flag="is_customer")
-    d = date_key(F.lit(batch_date).cast("date"))
-    return flagged.select(
-        F.col("AgencyID").alias("agency_id"), d.alias("sk_recorddateid"), d.alias("sk_updatedateid"),
-        F.lit(batch_id).alias("batch_id"), "is_customer",
-        CL.null_to_empty("LastName").alias("last_name"), CL.null_to_empty("FirstName").alias("first_name"),
-        CL.normalise_code("Gender", CL.GENDER_CODES).alias("gender"),
-        CL.normalise_code("MaritalStatus", CL.MARITAL_CODES).alias("marital_status"),
+PERSON = ["first_name", "last_name", "address_line1", "address_line2", "postal_code"]
+
+
+def prospect_rows(prospects: DataFrame) -> DataFrame:
+    """The file's rows with normalised codes and marketing tags."""
+    text = {"middle_initial": "MiddleInitial", "address_line1": "AddressLine1", "address_line2": "AddressLine2", "postal_code": "PostalCode",
+            "city": "City", "state": "State", "country": "Country", "phone": "Phone", "employer": "Employer"}
+    plain = {"income": "Income", "number_cars": "NumberCars", "number_children": "NumberChildren", "age": "Age", "credit_rating": "CreditRating",
+             "number_credit_cards": "NumberCreditCards", "net_worth": "NetWorth"}
+    return prospects.select(
+        F.col("AgencyID").alias("agency_id"), CL.null_to_empty("LastName").alias("last_name"), CL.null_to_empty("FirstName").alias("first_name"),
+        CL.normalise_code("Gender", CL.GENDER_CODES).alias("gender"), CL.normalise_code("MaritalStatus", CL.MARITAL_CODES).alias("marital_status"),
         CL.normalise_code("OwnOrRentFlag", CL.OWN_RENT_CODES).alias("own_or_rent"),
-        F.col("PostalCode").alias("postal_code"), F.col("Income").alias("income"),
-        F.col("NetWorth").alias("net_worth"), F.col("NumberChildren").alias("number_children"),
-        F.col("NumberCreditCards").alias("number_credit_cards"), F.col("Age").alias("age"),
-        F.col("CreditRating").alias("credit_rating"), F.col("NumberCars").alias("number_cars"),
+        *[CL.blank_to_null(c).alias(n) for n, c in text.items()], *[F.col(c).alias(n) for n, c in plain.items()],
         CL.nameplate_tags("NetWorth", "Income", "NumberChildren", "NumberCreditCards", "Age",
                           "CreditRating", "NumberCars").alias("marketing_nameplate"))
 
 
+def current_active(customer: DataFrame) -> DataFrame:
+    return customer.where(F.col("is_current") & (F.col("status") == "ACTIVE")).select(*PERSON)
+
+
+def prospect_load(prospects: DataFrame, customers: DataFrame, batch_date, batch_id: int = 1) -> DataFrame:
+    """Prospect table of one file: ``prospect_rows`` with the is-customer flag
+    (T9: five fields, ignoring case, null equal to null, against ``customers``)."""
+    p = prospect_rows(prospects)
+    pairs = [(F.upper(p[c]), F.upper(customers[c])) for c in PERSON]
+    d = date_key(F.lit(batch_date).cast("date"))
+    return L.exists_flag(p, customers, pairs, flag="is_customer").withColumns(
+        {"sk_recorddateid": d, "sk_updatedateid": d, "batch_id": F.lit(batch_id)})
+
+
 # --- T7 customer -------------------------------------------------------------------------
 
-CUSTOMER_FILLED = ["tier", "last_name", "email1", "status", "postal_code"]
+# what an action may leave out; the running state fills it in
+CUSTOMER_FILLED = ["tax_id", "status", "last_name", "first_name", "middle_initial", "gender", "tier", "dob", "address_line1", "address_line2",
+                   "postal_code", "city", "state_prov", "country", "phone1", "phone2", "phone3", "email1", "email2", "nat_tax_id", "lcl_tax_id"]
+_CUSTOMER_TEXT = [c for c in CUSTOMER_FILLED if c not in ("status", "gender", "tier", "dob")]
+CUSTOMER_LOOKED_UP = ["national_tax_rate_desc", "national_tax_rate", "local_tax_rate_desc", "local_tax_rate",
+                      "agency_id", "credit_rating", "net_worth", "marketing_nameplate"]
+CUSTOMER_ATTRS = [c for c in CUSTOMER_FILLED if c not in ("nat_tax_id", "lcl_tax_id")] + CUSTOMER_LOOKED_UP
+
+
+def _phone(struct: str) -> Column:
+    """A phone that was sent, '' if without a number; null if it wasn't."""
+    parts = [F.col(f"{struct}.{p}") for p in ("C_CTRY_CODE", "C_AREA_CODE", "C_LOCAL", "C_EXT")]
+    return F.when(F.col(struct).isNotNull(), F.coalesce(CL.format_phone(*parts), F.lit("")))
+
+
+def _clean_customer(df: DataFrame) -> DataFrame:
+    """Empty text turns null and the gender code is normalised, after the fill."""
+    return df.withColumns({c: CL.blank_to_null(c) for c in _CUSTOMER_TEXT} | {"gender": CL.normalise_code("gender", CL.GENDER_CODES)})
 
 
 def customer_states(actions: DataFrame) -> DataFrame:
     """Customer actions in time order with absent fields filled from the
-    running state (W8, rule D2); an empty e-mail turns null after the fill."""
-    a = actions.where(F.col("_ActionType").isin("NEW", "UPDCUST", "INACT")).select(
-        F.col("Customer._C_ID").alias("customer_id"), F.col("_ActionTS").alias("ts"),
-        F.col("_ActionType").alias("action"), F.col("Customer.TaxInfo.C_LCL_TX_ID").alias("tax_id"),
-        F.col("Customer._C_TIER").alias("tier"), F.col("Customer.Name.C_L_NAME").alias("last_name"),
-        F.col("Customer.ContactInfo.C_PRIM_EMAIL").alias("email1"),
-        F.col("Customer.Address.C_ZIPCODE").alias("postal_code"),
-        F.when(F.col("_ActionType") == "INACT", F.lit("INACTIVE"))
-         .when(F.col("_ActionType") == "NEW", F.lit("ACTIVE")).alias("status"),
-        F.col("Customer.TaxInfo.C_LCL_TX_ID").try_cast("long").alias("seq"))
-    filled = H.carry_forward(a, "customer_id", ["ts", "seq"], CUSTOMER_FILLED)
-    return filled.withColumn("email1", CL.blank_to_null("email1"))
-
-
-def dim_customer(actions: DataFrame) -> DataFrame:
-    """One version per action day (last action of a day wins), no change test."""
+    running state (W8, rule D2); empty ones are values until after the fill."""
+    col = F.col
+    sent = {
+        "tax_id": col("Customer._C_TAX_ID"), "last_name": col("Customer.Name.C_L_NAME"), "first_name": col("Customer.Name.C_F_NAME"),
+        "middle_initial": col("Customer.Name.C_M_NAME"), "gender": col("Customer._C_GNDR"), "tier": col("Customer._C_TIER"), "dob": col("Customer._C_DOB"),
+        "address_line1": col("Customer.Address.C_ADLINE1"), "address_line2": col("Customer.Address.C_ADLINE2"),
+        "postal_code": col("Customer.Address.C_ZIPCODE"), "city": col("Customer.Address.C_CITY"), "state_prov": col("Customer.Address.C_STATE_PROV"),
+        "country": col("Customer.Address.C_CTRY"), **{f"phone{n}": _phone(f"Customer.ContactInfo.C_PHONE_{n}") for n in (1, 2, 3)},
+        "email1": col("Customer.ContactInfo.C_PRIM_EMAIL"), "email2": col("Customer.ContactInfo.C_ALT_EMAIL"),
+        "nat_tax_id": col("Customer.TaxInfo.C_NAT_TX_ID"), "lcl_tax_id": col("Customer.TaxInfo.C_LCL_TX_ID"),
+        "status": F.when(col("_ActionType") == "INACT", F.lit("INACTIVE")).when(col("_ActionType") == "NEW", F.lit("ACTIVE"))}
+    a = actions.where(col("_ActionType").isin("NEW", "UPDCUST", "INACT")).select(
+        col("Customer._C_ID").alias("customer_id"), col("_ActionTS").alias("ts"), col("_ActionType").alias("action"), "seq",
+        *[c.alias(n) for n, c in sent.items()])
+    return _clean_customer(H.carry_forward(a, "customer_id", ["ts", "seq"], CUSTOMER_FILLED))
+
+
+def tax_lookups(df: DataFrame, tax_rates: DataFrame) -> DataFrame:
+    """Name and rate of the national and the local tax code."""
+    for kind, code in (("national", "nat_tax_id"), ("local", "lcl_tax_id")):
+        rates = tax_rates.select(F.col("TX_ID").alias("__tx"), F.col("TX_NAME").alias(f"{kind}_tax_rate_desc"), F.col("TX_RATE").alias(f"{kind}_tax_rate"))
+        df = L.lookup_code(df, rates, code, "__tx")
+    return df
+
+
+def match_prospects(people: DataFrame, earlier: DataFrame, this_batch: DataFrame | None = None) -> DataFrame:
+    """Agency, rating, worth and tags of the prospect who is that person.
+
+    Five fields, ignoring case, null equal to null; a prospect of an earlier
+    batch goes before one of this batch, and of several the highest agency id
+    wins.  One winner a person is chosen by a partial aggregate before the
+    join, so people whose five fields are all null meet one row.
+    """
+    cols = ["agency_id", "credit_rating", "net_worth", "marketing_nameplate", *PERSON]
+    candidates = earlier.select(*cols, F.lit(1).alias("__rank"))
+    if this_batch is not None:
+        candidates = candidates.unionByName(this_batch.select(*cols, F.lit(0).alias("__rank")))
+    candidates = candidates.withColumn("__found", F.struct("agency_id", F.col("credit_rating").cast("int").alias("credit_rating"),
+                                                           F.col("net_worth").cast("long").alias("net_worth"), "marketing_nameplate"))
+    out = L.match_person(people, candidates, [(c, c) for c in PERSON], "__found", "__rank", "__match")
+    return out.select("*", *[F.col(f"__match.{c}").alias(c) for c in CUSTOMER_LOOKED_UP[4:]]).drop("__match")
+
+
+def dim_customer(actions: DataFrame, tax_rates: DataFrame, prospects: DataFrame) -> DataFrame:
+    """One version per action day (last action of a day wins), no change test;
+    ``prospects`` are ``prospect_rows``, matched by current versions only (D1)."""
     s = customer_states(actions)
-    v = H.scd2_intervals(s, "customer_id", "ts", order=["seq"])
-    v = v.select("customer_id", "tax_id", "status", "last_name", "email1", "tier", "postal_code",
-                 "is_current", F.lit(1).alias("batch_id"), "effective_date", "end_date")
+    v = tax_lookups(H.scd2_intervals(s, "customer_id", "ts", order=["seq"]), tax_rates)
+    current = match_prospects(v.where("is_current"), prospects)
+    closed = v.where("not is_current").select("*", *[F.lit(None).cast(current.schema[c].dataType).alias(c) for c in CUSTOMER_LOOKED_UP[4:]])
+    v = closed.unionByName(current).select("customer_id", *CUSTOMER_ATTRS, "is_current", F.lit(1).alias("batch_id"), "effective_date", "end_date")
     return assign_keys(v, ["customer_id", "effective_date"], "sk_customerid")
 
 
 # --- T10 account -----------------------------------------------------------------------
 
-def dim_account(actions: DataFrame, customer: DataFrame, broker: DataFrame) -> DataFrame:
-    """Accounts listed by NEW actions; every customer version opens a version
-    of each of the customer's accounts (K8, rules D16 and D23) pointing at
-    that customer version; broker is the version in force at the start."""
+ACCOUNT_FILLED = ["customer_id", "account_desc", "tax_status", "broker_id", "status"]
+ACCOUNT_OWN = ("NEW", "ADDACCT", "UPDACCT", "CLOSEACCT")
+
+
+def account_states(actions: DataFrame) -> DataFrame:
+    """The state of every account after each action that reaches it.
+
+    Two streams are replayed as one.  An account's own actions (NEW, ADDACCT,
+    UPDACCT, CLOSEACCT) send some of its fields; UPDACCT leaves it active and
+    CLOSEACCT inactive.  An action on its customer (UPDCUST, INACT) reaches
+    every account that the customer has opened by then (rule D23) and sends
+    nothing but the status of INACT.  Fields that aren't sent come from the
+    account's running state.  The customer stream meets its accounts by an
+    equi join on the customer, a row for each version the account gets.
+    """
     from histmart.sources.readers import explode_accounts
 
-    acc = explode_accounts(actions.where(F.col("_ActionType") == "NEW")).select(
-        F.col("CA_ID").alias("account_id"), F.col("C_ID").alias("customer_id"),
-        F.col("CA_B_ID").alias("broker_id"), F.col("CA_NAME").alias("account_desc"),
-        F.col("CA_TAX_ST").alias("tax_status"))
-    cv = customer.select(F.col("customer_id").alias("__cid"), "sk_customerid", "status",
-                         "effective_date", "end_date", "is_current")
-    v = acc.join(cv, acc.customer_id == cv.__cid, "inner").drop("__cid")
-    b = broker.select("broker_id", "sk_brokerid", F.col("effective_date").alias("__beff"),
-                      F.col("end_date").alias("__bend"))
-    v = L.asof_lookup(v, b, "broker_id", "broker_id", "effective_date", eff="__beff", end="__bend",
-                      how="left", dim_cols=["sk_brokerid", "__beff", "__bend"]).drop("__beff", "__bend")
+    status = F.when(F.col("_ActionType") == "CLOSEACCT", "INACTIVE").otherwise("ACTIVE")
+    own = explode_accounts(actions.where(F.col("_ActionType").isin(*ACCOUNT_OWN))).select(
+        F.col("CA_ID").alias("account_id"), F.col("_ActionTS").alias("ts"), "seq", F.col("_ActionType").alias("action"), F.col("C_ID").alias("customer_id"),
+        F.col("CA_NAME").alias("account_desc"), F.col("CA_TAX_ST").alias("tax_status"), F.col("CA_B_ID").alias("broker_id"), status.alias("status"))
+    opened = own.groupBy("account_id").agg(F.min(F.struct("ts", "seq")).alias("__opened"), F.min_by("customer_id", F.struct("ts", "seq")).alias("customer_id"))
+    of_customer = actions.where(F.col("_ActionType").isin("UPDCUST", "INACT")).select(
+        F.col("Customer._C_ID").alias("customer_id"), F.col("_ActionTS").alias("ts"), "seq", F.col("_ActionType").alias("action"))
+    reached = of_customer.join(opened, "customer_id").where(F.struct("ts", "seq") > F.col("__opened")).select(
+        "account_id", "ts", "seq", "action", F.lit(None).cast("long").alias("customer_id"), F.lit(None).cast("string").alias("account_desc"),
+        F.lit(None).cast("int").alias("tax_status"), F.lit(None).cast("long").alias("broker_id"),
+        F.when(F.col("action") == "INACT", "INACTIVE").alias("status"))
+    filled = H.carry_forward(own.unionByName(reached), "account_id", ["ts", "seq"], ACCOUNT_FILLED)
+    return filled.withColumn("account_desc", CL.blank_to_null("account_desc"))
+
+
+def dim_account(actions: DataFrame, customer: DataFrame, broker: DataFrame) -> DataFrame:
+    """One version per account and day on which an action reaches it (the last
+    of a day wins, D15), with the customer and the broker version in force."""
+    v = H.scd2_intervals(account_states(actions), "account_id", "ts", order=["seq"])
+    for dim, key, sk in ((customer, "customer_id", "sk_customerid"), (broker, "broker_id", "sk_brokerid")):
+        d = dim.select(F.col(key).alias("__key"), sk, F.col("effective_date").alias("__eff"), F.col("end_date").alias("__end"))
+        v = L.asof_lookup(v, d, key, "__key", "effective_date", eff="__eff", end="__end", how="left", dim_cols=[sk, "__eff", "__end"]).drop("__eff", "__end")
     v = v.select("account_id", "sk_brokerid", "sk_customerid", "status", "account_desc", "tax_status",
                  "is_current", F.lit(1).alias("batch_id"), "effective_date", "end_date")
     return assign_keys(v, ["account_id", "effective_date"], "sk_accountid")
@@ -354,52 +433,44 @@ def fact_watches(watches: DataFrame, customer: DataFrame, security: DataFrame) -
 
 # --- change batches (T8, T11, T13) ------------------------------------------------------
 
-CUSTOMER_ATTRS = ["tax_id", "status", "last_name", "email1", "tier", "postal_code"]
-
-
-def customer_changes(cdc_rows: DataFrame, batch_date) -> DataFrame:
+def customer_changes(cdc_rows: DataFrame, batch_date, tax_rates: DataFrame, earlier: DataFrame, this_batch: DataFrame) -> DataFrame:
     """Customer CDC rows -> one change per customer (highest DSN, D12/D17),
-    effective on the batch date."""
+    effective on the batch date, with taxes and the matching prospect."""
     from histmart.operators.cdc import latest_per_key
 
+    col = F.col
+    phone = lambda n: CL.format_phone(*[col(f"{p}_{n}") for p in ("C_CTRY", "C_AREA", "C_LOCAL", "C_EXT")])
     last = latest_per_key(cdc_rows, "C_ID", ["CDC_DSN"])
-    return last.select(
-        F.col("C_ID").alias("customer_id"), F.col("C_TAX_ID").alias("tax_id"),
-        F.when(F.col("C_ST_ID") == "INAC", F.lit("INACTIVE")).when(F.col("C_ST_ID") == "ACTV", F.lit("ACTIVE"))
-         .alias("status"),
-        F.col("C_L_NAME").alias("last_name"), F.col("C_EMAIL_1").alias("email1"), F.col("C_TIER").alias("tier"),
-        F.col("C_ZIPCODE").alias("postal_code"), F.lit(batch_date).cast("timestamp").alias("__ts"),
-        F.col("CDC_DSN").alias("__dsn"))
-
-
-def _with_batch(df: DataFrame, base: DataFrame, sk: str, batch_date, batch_id: int) -> DataFrame:
-    """New versions carry ``batch_id``, all others the one they were stored with."""
-    stored = base.select(F.col(sk).alias("__sk"), F.col("batch_id").alias("__stored"))
-    new = F.col("__stored").isNull() | (F.col("effective_date") >= F.lit(batch_date).cast("date"))
-    return (df.join(stored, F.col(sk) == F.col("__sk"), "left")
-              .withColumn("batch_id", F.when(new, F.lit(batch_id)).otherwise(F.col("__stored"))).drop("__sk", "__stored"))
+    sent = {"tax_id": "C_TAX_ID", "last_name": "C_L_NAME", "first_name": "C_F_NAME", "middle_initial": "C_M_NAME", "gender": "C_GNDR", "tier": "C_TIER",
+            "dob": "C_DOB", "address_line1": "C_ADLINE1", "address_line2": "C_ADLINE2", "postal_code": "C_ZIPCODE", "city": "C_CITY",
+            "state_prov": "C_STATE_PROV", "country": "C_CTRY", "email1": "C_EMAIL_1", "email2": "C_EMAIL_2", "nat_tax_id": "C_NAT_TX_ID", "lcl_tax_id": "C_LCL_TX_ID"}
+    rows = last.select(col("C_ID").alias("customer_id"), *[col(c).alias(n) for n, c in sent.items()], *[phone(n).alias(f"phone{n}") for n in (1, 2, 3)],
+                       F.when(col("C_ST_ID") == "INAC", F.lit("INACTIVE")).when(col("C_ST_ID") == "ACTV", F.lit("ACTIVE")).alias("status"),
+                       F.lit(batch_date).cast("timestamp").alias("__ts"), col("CDC_DSN").alias("__dsn"))
+    return match_prospects(tax_lookups(_clean_customer(rows), tax_rates), earlier, this_batch)
 
 
-def dim_customer_cdc(base: DataFrame, cdc_rows: DataFrame, batch_date, batch_id: int = 2) -> DataFrame:
+def dim_customer_cdc(current: DataFrame, cdc_rows: DataFrame, batch_date, tax_rates: DataFrame, earlier: DataFrame,
+                     this_batch: DataFrame, batch_id: int, highest: DataFrame | int) -> DataFrame:
     """Change batch for the customer dimension (T8): every changed customer
-    gets a new version from the batch date (K4); new customers are inserted."""
-    chg = customer_changes(cdc_rows, batch_date)
-    tgt = base.drop("batch_id")
-    out = H.scd2_apply(tgt, chg, "customer_id", CUSTOMER_ATTRS, "__ts", order=["__dsn"],
-                       sk_col="sk_customerid", detect_changes=False)
-    return _with_batch(out, base, "sk_customerid", batch_date, batch_id)
+    gets a new version from the batch date (K4); new customers are inserted.
+    ``current`` are the current versions before; the result is those after,
+    with the ones that were closed.  ``earlier`` are the prospects of earlier
+    batches, ``this_batch`` the rows of the batch's own file."""
+    chg = customer_changes(cdc_rows, batch_date, tax_rates, earlier, this_batch)
+    return H.scd2_merge(current, chg, "customer_id", CUSTOMER_ATTRS, "__ts", order=["__dsn"], sk_col="sk_customerid",
+                        highest=highest, detect_changes=False, stamp={"batch_id": batch_id})
 
 
-def dim_account_cdc(base: DataFrame, accounts: DataFrame, customer: DataFrame, broker: DataFrame,
-                    batch_date, batch_id: int = 2) -> DataFrame:
+def dim_account_cdc(current: DataFrame, accounts: DataFrame, customer: DataFrame, broker: DataFrame,
+                    batch_date, batch_id: int, highest: DataFrame | int) -> DataFrame:
     """Change batch for the account dimension (T11): each new customer version
     of the batch opens a version of every account of that customer with the
     new customer surrogate and status (K8, rule D16); broker is the current
     one (J7).  An account with a row of its own in the batch (``in_batch``)
     gets a version too if its customer didn't change, and the row's status
-    wins."""
-    if "in_batch" not in accounts.columns:
-        accounts = accounts.withColumns({"in_batch": F.lit(False), "account_status": F.lit(None).cast("string")})
+    wins.  ``current`` are the current versions before; the result is those
+    after, with the ones that were closed."""
     new_cust = customer.where(F.col("batch_id") == batch_id).select(
         "customer_id", "sk_customerid", "status", "effective_date")
     casc = H.cascade_versions(new_cust, accounts, "customer_id", "customer_id", carry=["status"],
@@ -412,11 +483,8 @@ def dim_account_cdc(base: DataFrame, accounts: DataFrame, customer: DataFrame, b
     casc = L.lookup_current(casc, broker, "broker_id", "broker_id", ["sk_brokerid"])
     chg = casc.select("account_id", "sk_brokerid", "sk_customerid", F.coalesce("account_status", "customer_status").alias("status"),
                       "account_desc", "tax_status", "__ts")
-    tgt = base.drop("batch_id")
-    out = H.scd2_apply(tgt, chg, "account_id", ["sk_brokerid", "sk_customerid", "status", "account_desc",
-                                                "tax_status"], "__ts", sk_col="sk_accountid",
-                       detect_changes=False)
-    return _with_batch(out, base, "sk_accountid", batch_date, batch_id)
+    return H.scd2_merge(current, chg, "account_id", ["sk_brokerid", "sk_customerid", "status", "account_desc", "tax_status"], "__ts",
+                        sk_col="sk_accountid", highest=highest, detect_changes=False, stamp={"batch_id": batch_id})
 
 
 def trade_lifecycle(history: DataFrame) -> DataFrame:
@@ -573,9 +641,9 @@ def watch_change_batch(prev: DataFrame, rows: DataFrame, prev_customer: DataFram
         "sk_customerid is not null and sk_securityid is not null and sk_dateid_dateplaced is not null")
 
 
-PROSPECT_ATTRS = ["last_name", "first_name", "gender", "marital_status", "own_or_rent", "postal_code", "income",
-                  "net_worth", "number_children", "number_credit_cards", "age", "credit_rating", "number_cars",
-                  "marketing_nameplate"]
+PROSPECT_ATTRS = ["last_name", "first_name", "middle_initial", "gender", "address_line1", "address_line2", "postal_code", "city", "state", "country",
+                  "phone", "income", "number_cars", "number_children", "marital_status", "age", "credit_rating", "own_or_rent", "employer",
+                  "number_credit_cards", "net_worth"]
 
 
 def prospect_change_batch(prev: DataFrame, new: DataFrame, batch_date) -> tuple[DataFrame, DataFrame]:

@@ -89,28 +89,34 @@ def read_actions(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
     Attributes arrive as ``_NAME``; an absent element reads as null, an empty
     one as ''.  The ``Account`` list is an array of structs (S9).  The file
     is read as text cut at the closing tag, so one file of any size is split
-    over many tasks; each record is then parsed by itself.
+    over many tasks; each record is then parsed by itself.  ``seq`` orders
+    records by their place in the file; write it with them, before they are
+    shuffled, if they are read more than once.
     """
     name = row_tag.rpartition(":")[2]
     lines = spark.read.option("lineSep", f"</{row_tag}>").text(path)
+    # where the record stands: file, split, and place in the split's reading order
+    lines = lines.select("value", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                                           F.monotonically_increasing_id().alias("record")).alias("seq"))
     start = F.regexp_instr("value", F.lit(f"<{row_tag}[\\s>]"))  # not the root, whose name is longer
     record = F.concat(F.expr("substring(value, __start)"), F.lit(f"</{row_tag}>"))
     bare = F.replace(F.replace(record, F.lit(f"<{row_tag}"), F.lit(f"<{name}")), F.lit(f"</{row_tag}>"), F.lit(f"</{name}>"))
-    return parse_actions(lines.withColumn("__start", start).where("__start > 0").select(bare.alias("value")), "value")
+    return parse_actions(lines.withColumn("__start", start).where("__start > 0").select(bare.alias("value"), "seq"), "value", "seq")
 
 
-def parse_actions(lines: DataFrame, col: str) -> DataFrame:
-    """``from_xml`` over a column of ``<Action>`` elements (same schema)."""
-    return lines.select(F.from_xml(F.col(col), S.ACTION,
-                                   {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss"}).alias("a")).select("a.*")
+def parse_actions(lines: DataFrame, col: str, seq: str) -> DataFrame:
+    """``from_xml`` over a column of ``<Action>`` elements (same schema), with
+    the column that orders them as ``seq``."""
+    return lines.select(F.from_xml(F.col(col), S.ACTION, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss"}).alias("a"),
+                        F.col(seq).alias("seq")).select("a.*", "seq")
 
 
 def explode_accounts(actions: DataFrame) -> DataFrame:
     """One row per (action, listed account) (S9); actions without a list vanish."""
     return actions.select(
-        "_ActionType", "_ActionTS", F.col("Customer._C_ID").alias("C_ID"),
+        "_ActionType", "_ActionTS", "seq", F.col("Customer._C_ID").alias("C_ID"),
         F.explode("Customer.Account").alias("acct")).select(
-        "_ActionType", "_ActionTS", "C_ID", F.col("acct._CA_ID").alias("CA_ID"),
+        "_ActionType", "_ActionTS", "seq", "C_ID", F.col("acct._CA_ID").alias("CA_ID"),
         F.col("acct._CA_TAX_ST").alias("CA_TAX_ST"), F.col("acct.CA_B_ID").alias("CA_B_ID"),
         F.col("acct.CA_NAME").alias("CA_NAME"))
 

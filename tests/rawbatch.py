@@ -15,7 +15,7 @@ def csv(df, path, sep="|"):
 
 
 def _xml(spark, sf, path, keep=None):
-    lines = [r.value for r in A.action_xml(spark, sf).collect()]  # small fixture (sf0.001)
+    lines = [r.value for r in A.action_xml(spark, sf).orderBy("seq").collect()]  # small fixture (sf0.001)
     with open(path, "w") as fh:
         fh.write('<?xml version="1.0" encoding="UTF-8"?>\n'
                  '<raw:Actions xmlns:raw="urn:raw">\n')
@@ -48,7 +48,7 @@ def write_batch1(spark, sf, b, before=None, cash_before=None):
     csv(W.trade_types(spark), os.path.join(b, "TradeType.txt"))
     csv(A.tax_rates(spark, sf), os.path.join(b, "TaxRate.txt"))
     csv(A.hr_records(spark, sf), os.path.join(b, "HR.csv"), sep=",")
-    csv(A.prospect_records(spark, sf), os.path.join(b, "Prospect.csv"), sep=",")
+    csv(A.prospect_records(spark, sf, 1 if before else None), os.path.join(b, "Prospect.csv"), sep=",")
     A.finwire_lines(spark, sf).coalesce(1).write.text(os.path.join(b, "FINWIRE1999Q1"))
     keep = None
     if before:
@@ -70,8 +70,14 @@ def write_batch1(spark, sf, b, before=None, cash_before=None):
     csv(trades, os.path.join(b, "Trade.txt"))
     csv(hist, os.path.join(b, "TradeHistory.txt"))
     csv(cash, os.path.join(b, "CashTransaction.txt"))
-    csv(A.holding_records(spark, sf), os.path.join(b, "HoldingHistory.txt"))
-    csv(A.market_records(spark, sf), os.path.join(b, "DailyMarket.txt"))
-    csv(A.watch_records(spark, sf), os.path.join(b, "WatchHistory.txt"))
+    holdings, market, watches = A.holding_records(spark, sf), A.market_records(spark, sf), A.watch_records(spark, sf)
+    if before:
+        holdings = holdings.join(trades.select(F.col("T_ID").alias("HH_T_ID")), "HH_T_ID", "left_semi").select(*holdings.columns)
+        market = market.where(F.col("DM_DATE") < F.lit(before).cast("date"))
+    if cash_before:
+        watches = watches.where(F.col("W_DTS") < F.lit(cash_before).cast("timestamp_ntz"))
+    csv(holdings, os.path.join(b, "HoldingHistory.txt"))
+    csv(market, os.path.join(b, "DailyMarket.txt"))
+    csv(watches, os.path.join(b, "WatchHistory.txt"))
     with open(os.path.join(b, "BatchDate.txt"), "w") as fh:
         fh.write((before or "2000-01-01") + "\n")

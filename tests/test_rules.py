@@ -20,13 +20,85 @@ def _action(kind, ts, cid, order, tier=None, name=None):
             f"<TaxInfo><C_LCL_TX_ID>{order}</C_LCL_TX_ID></TaxInfo></Customer></Action>")
 
 
+def _taxes(spark):
+    return spark.createDataFrame([("N1", "Nation", "0.25"), ("L1", "Local", "0.05")], "TX_ID string, TX_NAME string, TX_RATE string").withColumn(
+        "TX_RATE", F.col("TX_RATE").cast("decimal(6,5)"))
+
+
+def _prospects(spark, rows_):
+    from histmart.sources import schemas as S
+
+    names = [f.name for f in S.PROSPECT.fields]
+    return W.prospect_rows(spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows_], S.PROSPECT))
+
+
+def _parsed(spark, lines):
+    return R.parse_actions(spark.createDataFrame(list(enumerate(lines)), "seq long, value string"), "value", "seq")
+
+
+def test_customer_attributes_phones_taxes_and_match(spark):
+    new = ('<Action ActionType="NEW" ActionTS="2020-01-01T10:00:00"><Customer C_ID="7" C_TAX_ID="T-7" C_GNDR="f" C_TIER="2" C_DOB="1980-05-06">'
+           "<Name><C_L_NAME>Ng</C_L_NAME><C_F_NAME>Ann</C_F_NAME><C_M_NAME>Q</C_M_NAME></Name>"
+           "<Address><C_ADLINE1>Street 1</C_ADLINE1><C_ADLINE2></C_ADLINE2><C_ZIPCODE>00001</C_ZIPCODE></Address>"
+           "<ContactInfo><C_PRIM_EMAIL>a@b.c</C_PRIM_EMAIL><C_PHONE_1><C_CTRY_CODE>1</C_CTRY_CODE><C_AREA_CODE>200</C_AREA_CODE>"
+           "<C_LOCAL>555</C_LOCAL><C_EXT>9</C_EXT></C_PHONE_1></ContactInfo>"
+           "<TaxInfo><C_LCL_TX_ID>L1</C_LCL_TX_ID><C_NAT_TX_ID>N1</C_NAT_TX_ID></TaxInfo></Customer></Action>")
+    update = ('<Action ActionType="UPDCUST" ActionTS="2020-02-01T10:00:00"><Customer C_ID="7"><Name><C_M_NAME></C_M_NAME></Name>'
+              "<TaxInfo><C_LCL_TX_ID>none such</C_LCL_TX_ID></TaxInfo></Customer></Action>")
+    person = {"LastName": "NG", "FirstName": "ann", "AddressLine1": "STREET 1", "PostalCode": "00001", "NetWorth": 2000000, "Income": 1, "Age": 50}
+    prospects = _prospects(spark, [person | {"AgencyID": "A1"}, person | {"AgencyID": "A2", "CreditRating": 700}, person | {"AgencyID": "B", "LastName": "Other"}])
+    first, last = sorted(W.dim_customer(_parsed(spark, [new, update]), _taxes(spark), prospects).collect(), key=lambda r: r.effective_date)
+    assert (first.tax_id, first.gender, first.middle_initial, first.phone1, first.phone2, first.dob) == ("T-7", "F", "Q", "+1 (200) 5559", None, D(1980, 5, 6))
+    assert (first.national_tax_rate_desc, str(first.national_tax_rate), first.local_tax_rate_desc) == ("Nation", "0.25000", "Local")
+    assert first.agency_id is None  # only the current version is matched (D1)
+    assert (last.middle_initial, last.phone1, last.email1, last.local_tax_rate, last.national_tax_rate_desc) == (None, "+1 (200) 5559", "a@b.c", None, "Nation")
+    assert (last.agency_id, last.credit_rating, last.net_worth, last.marketing_nameplate) == ("A2", 700, 2000000, "HighValue+Boomer+MoneyAlert")
+
+
+def test_earlier_prospects_go_first(spark):
+    who = {"LastName": "Ng", "FirstName": "Ann"}
+    people = spark.createDataFrame([(1, "Ann", "NG"), (2, "Bo", "Li"), (3, None, None)], "customer_id long, first_name string, last_name string").selectExpr(
+        "*", "CAST(NULL AS STRING) AS address_line1", "CAST(NULL AS STRING) AS address_line2", "CAST(NULL AS STRING) AS postal_code")
+    earlier = _prospects(spark, [who | {"AgencyID": "E", "CreditRating": 1}])
+    batch = _prospects(spark, [who | {"AgencyID": "Z", "CreditRating": 2}, {"LastName": "Li", "FirstName": "Bo", "AgencyID": "Y"}])
+    got = W.match_prospects(people, earlier, batch)
+    assert rows(got, "customer_id", "agency_id", "credit_rating") == [(1, "E", 1), (2, "Y", None), (3, None, None)]
+
+
+def _accounts(kind, ts, cid, *accounts):
+    inner = "".join(f'<Account CA_ID="{a}"' + (f' CA_TAX_ST="{t}"' if t else "") + ">" + (f"<CA_B_ID>{b}</CA_B_ID>" if b else "")
+                    + (f"<CA_NAME>{n}</CA_NAME>" if n is not None else "") + "</Account>" for a, t, b, n in accounts)
+    return f'<Action ActionType="{kind}" ActionTS="{ts}"><Customer C_ID="{cid}">{inner}</Customer></Action>'
+
+
+def test_accounts_follow_all_six_actions(spark):
+    lines = [_accounts("NEW", "2020-01-01T09:00:00", 7, (70, 1, 5, "First"), (71, 2, 5, "Second")),
+             _accounts("UPDACCT", "2020-02-01T09:00:00", 7, (70, None, 6, None)),
+             _accounts("CLOSEACCT", "2020-03-01T09:00:00", 7, (71, None, None, None)),
+             _accounts("UPDCUST", "2020-04-01T09:00:00", 7),
+             _accounts("ADDACCT", "2020-05-01T08:00:00", 7, (72, 1, 5, "Third")),
+             _accounts("UPDACCT", "2020-05-01T09:00:00", 7, (72, None, None, "Renamed")),
+             _accounts("UPDACCT", "2020-05-01T09:00:00", 7, (72, None, None, "Renamed last")),  # same second: file order decides
+             _accounts("INACT", "2020-06-01T09:00:00", 7)]
+    actions = _parsed(spark, lines)
+    broker = spark.createDataFrame([(5, 50, D(2020, 1, 1), EOT), (6, 60, D(2020, 1, 1), EOT)], "broker_id long, sk_brokerid long, effective_date date, end_date date")
+    customer = W.dim_customer(actions, _taxes(spark), _prospects(spark, []))
+    got = rows(W.dim_account(actions, customer, broker), "account_id", "effective_date", "status", "account_desc", "sk_brokerid", "sk_customerid", "tax_status")
+    assert got == [
+        (70, D(2020, 1, 1), "ACTIVE", "First", 50, 1, 1), (70, D(2020, 2, 1), "ACTIVE", "First", 60, 1, 1),
+        (70, D(2020, 4, 1), "ACTIVE", "First", 60, 2, 1), (70, D(2020, 6, 1), "INACTIVE", "First", 60, 3, 1),
+        (71, D(2020, 1, 1), "ACTIVE", "Second", 50, 1, 2), (71, D(2020, 3, 1), "INACTIVE", "Second", 50, 1, 2),
+        (71, D(2020, 4, 1), "INACTIVE", "Second", 50, 2, 2), (71, D(2020, 6, 1), "INACTIVE", "Second", 50, 3, 2),
+        (72, D(2020, 5, 1), "ACTIVE", "Renamed last", 50, 2, 1), (72, D(2020, 6, 1), "INACTIVE", "Renamed last", 50, 3, 1)]
+
+
 def test_d2_actions_apply_in_time_order(spark):
     # INACT before a later UPDCUST: the update changes the name, the customer stays inactive
     lines = [_action("NEW", "2020-01-01T10:00:00", 7, 1, tier=1, name="Ann"),
              _action("INACT", "2020-02-01T10:00:00", 7, 2),
              _action("UPDCUST", "2020-03-01T10:00:00", 7, 3, name="Anna")]
-    acts = R.parse_actions(spark.createDataFrame([(v,) for v in lines], "value string"), "value")
-    v = W.dim_customer(acts)
+    acts = R.parse_actions(spark.createDataFrame(list(enumerate(lines)), "seq long, value string"), "value", "seq")
+    v = W.dim_customer(acts, _taxes(spark), _prospects(spark, []))
     assert rows(v, "effective_date", "status", "last_name", "tier", "end_date") == [
         (D(2020, 1, 1), "ACTIVE", "Ann", 1, D(2020, 2, 1)),
         (D(2020, 2, 1), "INACTIVE", "Ann", 1, D(2020, 3, 1)),
