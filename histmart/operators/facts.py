@@ -84,23 +84,36 @@ def running_balance(daily: DataFrame, key, day_col: str = "day", amount: str = "
 def rolling_extremes(daily: DataFrame, key, day_col: str, high: str, low: str,
                      days: int = 365, prefix: str = "") -> DataFrame:
     """Rolling ``days``-day max of ``high`` and min of ``low``, with the latest
-    date holding each extreme inside the frame (W4-W6, rule D13).
-
-    Frame ``(day - days, day]`` = ``rangeBetween(-(days-1), 0)`` on the day
-    number.  ``max(struct(high, day))`` gives the extreme and, on ties, the
-    latest day; ``min(struct(low, -day))`` the same for lows.
+    date holding each extreme inside the frame (W4-W6, rule D13); null values
+    hold none.
+
+    Days are cut into blocks of ``days``, so the frame ``(day - days, day]`` is
+    the end of one block and the start of the next.  The extreme over the
+    start is a running one in day order.  That over the end is a running one
+    in reverse order, read at the frame's first day: each row puts a question
+    there, after the values of that day.  So a row costs two running windows,
+    however many days a frame holds; both use one exchange by key.
     """
     key = _cols(key)
     dn = F.unix_date(F.col(day_col))
-    w = Window.partitionBy(*key).orderBy(dn).rangeBetween(-(days - 1), 0)
-    hi = F.max(F.struct(F.col(high).alias("v"), F.col(day_col).alias("d"))).over(w)
-    lo = F.min(F.struct(F.col(low).alias("v"), (-dn).alias("nd"), F.col(day_col).alias("d"))).over(w)
-    return (daily.withColumn("__hi", hi).withColumn("__lo", lo)
-                 .withColumn(f"{prefix}high_{days}", F.col("__hi.v"))
-                 .withColumn(f"{prefix}high_{days}_date", F.col("__hi.d"))
-                 .withColumn(f"{prefix}low_{days}", F.col("__lo.v"))
-                 .withColumn(f"{prefix}low_{days}_date", F.col("__lo.d"))
-                 .drop("__hi", "__lo"))
+    # latest of equal extremes: the larger day for a high, the smaller negative day for a low
+    d = daily.repartition(*key).withColumns({
+        "__dn": dn, "__block": F.floor(dn / days),
+        "__h": F.when(F.col(high).isNotNull(), F.struct(F.col(high).alias("v"), F.col(day_col).alias("d"))),
+        "__l": F.when(F.col(low).isNotNull(), F.struct(F.col(low).alias("v"), (-dn).alias("nd"), F.col(day_col).alias("d")))})
+    start = Window.partitionBy(*key, "__block").orderBy("__dn").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumns({"__hs": F.max("__h").over(start), "__ls": F.min("__l").over(start)})
+    points = F.array(F.struct(F.lit(0).alias("ask"), F.col("__dn").alias("at")), F.struct(F.lit(1).alias("ask"), (F.col("__dn") - (days - 1)).alias("at")))
+    d = d.withColumn("__p", F.explode(points)).withColumn("__of", F.floor(F.col("__p.at") / days))
+    end = (Window.partitionBy(*key, "__of").orderBy(F.col("__p.at").desc(), F.col("__p.ask"))
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    value = F.col("__p.ask") == 0
+    d = d.withColumns({"__he": F.max(F.when(value, F.col("__h"))).over(end), "__le": F.min(F.when(value, F.col("__l"))).over(end)})
+    # a frame that fills its own block has no part in the one before
+    before = F.col("__of") < F.col("__block")
+    d = d.where(~value).withColumns({"__hi": F.greatest("__hs", F.when(before, F.col("__he"))), "__lo": F.least("__ls", F.when(before, F.col("__le")))})
+    return d.select(*daily.columns, F.col("__hi.v").alias(f"{prefix}high_{days}"), F.col("__hi.d").alias(f"{prefix}high_{days}_date"),
+                    F.col("__lo.v").alias(f"{prefix}low_{days}"), F.col("__lo.d").alias(f"{prefix}low_{days}_date"))
 
 
 def trailing_sum(df: DataFrame, key, order: Sequence[str], value: str, rows: int = 4,

@@ -185,3 +185,28 @@ def test_interval_report_and_orphans(spark):
     child = spark.createDataFrame([(1,), (2,), (None,)], "p long")
     parent = spark.createDataFrame([(1,)], "id long")
     assert CK.orphans(child, parent, "p", "id").count() == 1
+
+
+def test_rolling_extremes_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(4)
+    data = []
+    for key in "abc":
+        day = dt.date(2019, 1, 1)
+        for _ in range(120):
+            day += dt.timedelta(days=rng.choice([1, 1, 2, 3, 9, 40]))
+            data.append((key, day, rng.choice([None, *range(8)]), rng.choice([None, *range(8)]), rng.random()))
+    df = spark.createDataFrame(data, "k string, day date, hi int, lo int, other double")
+    for days in (1, 7, 60):
+        got = {(r.k, r.day): r for r in FX.rolling_extremes(df, "k", "day", "hi", "lo", days=days).collect()}
+        assert len(got) == len(data)
+        for k, day, _, _, other in data:
+            frame = [x for x in data if x[0] == k and day - dt.timedelta(days=days) < x[1] <= day]
+            highs = [(x[2], x[1]) for x in frame if x[2] is not None]
+            lows = [(x[3], -x[1].toordinal()) for x in frame if x[3] is not None]
+            high = max(highs, default=(None, None))
+            low = min(lows, default=(None, None))
+            r = got[k, day]
+            assert (r[f"high_{days}"], r[f"high_{days}_date"], r.other) == (*high, other)
+            assert (r[f"low_{days}"], r[f"low_{days}_date"]) == (low[0], low[1] and dt.date.fromordinal(-low[1]))
