@@ -2,23 +2,29 @@
 
 Candidate blocks are the words around each word of the license vocabulary, as
 many on both sides as the longest confirmed notice can have; blocks that meet
-are one, whatever their lines.  All templates whose words can be there are
-confirmed by exact wording: the words of template and block are aligned in
-every way with few enough missing and added words.  Of stretches that overlap
-the one with the fewest missing and added words counts; compression decides
-between equal ones.  For it a window around the stretch, about twice the
-longest template, is compressed with the template as zstandard raw dictionary
-and without, on the same parameters, so it is as sharp in a long text or line
-as in a short one.  In windows runs of over 64 characters without a space are
-cut to 64; no template has any.
-
-Null and empty texts have no blocks; all words of a text are read.
+are one, whatever their lines.  A block is looked at in windows of twice that
+many words, each answering for the notices that begin in its first half (the
+last one for all).
+
+A window is compressed alone and with every template as zstandard raw
+dictionary, all on the same parameters.  Templates are ranked by the share of
+bytes that they save.  In that order the exact wording is asked for: words of
+template and window are aligned in every way with few enough missing and
+added words, and the first template that is there takes the stretch with the
+fewest of them (then the leftmost).  What stands before and behind that
+stretch is compressed and ranked anew, until no template is there.  So of
+templates that could take the same words the one that compresses them best
+does, and none is lost: every template is tried on all that is left.
+
+Runs of over 64 characters without a space are cut to 64 before compression;
+no template has any.  Null and empty texts have no blocks; all words of a
+text are read; a null or repeated id is a row like any other.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -43,6 +49,27 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC0-1.0": "Released under CC0 1.0 Universal, to the public domain.",
     "all-rights-reserved": "All rights reserved.",
+    "LGPL-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-3.0-header": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "0BSD": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "BSD-2-Clause-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)",
+    "EPL-2.0-header": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "EUPL-1.2": "Licensed under the EUPL, Version 1.2 only.",
+    "OFL-1.1": "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "Artistic-2.0": "Licensed under the Artistic License 2.0.",
+    "WTFPL": "This work is free. You can redistribute it and/or modify it under the terms of the Do What The Fuck You Want To Public License, Version 2",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-4.0-long": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0-long": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
 }
 #: A word is a candidate if one of these begins in it (fixed values).
 VOCABULARY = r"licen[cs]e|licen[cs]ed|copyright|rights|permission|permitted|redistribut|warrant|public domain|creative commons|\bCC[ -]?(?:BY|0)|sublicen|free of charge|substantial portions"
@@ -98,18 +125,17 @@ class Scanner:
         #: a notice has at most as many added words as its template has words
         self.around = 2 * max(map(len, self.words.values()), default=0)
         self.known = {w for c in self.counts.values() for w in c}
-        #: (plain compressor, one with the template as dictionary), on the same parameters
-        self.packs = {}
-        for k, t in templates.items():
-            params = zstandard.ZstdCompressionParameters.from_level(3, source_size=1 << 14, dict_size=len(t.encode()))
-            with_dict = zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            self.packs[k] = (zstandard.ZstdCompressor(compression_params=params), zstandard.ZstdCompressor(compression_params=params, dict_data=with_dict))
-
-    def reduction(self, window: str, template: str) -> float:
-        """Share of the compressed bytes that the template saves."""
+        # the same parameters for all
+        params = zstandard.ZstdCompressionParameters.from_level(3, source_size=1 << 14, dict_size=max((len(t.encode()) for t in templates.values()), default=0))
+        self.plain = zstandard.ZstdCompressor(compression_params=params)
+        self.packs = {k: zstandard.ZstdCompressor(compression_params=params, dict_data=zstandard.ZstdCompressionDict(
+            templates[k].encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for k in self.words}
+
+    def reductions(self, window: str) -> dict[str, float]:
+        """For every template the share of the compressed bytes that it saves."""
         raw = _RUN.sub(r"\1", window).encode("utf-8", "surrogatepass")
-        plain, with_dict = self.packs[template]
-        return 1 - len(with_dict.compress(raw)) / len(plain.compress(raw))
+        alone = len(self.plain.compress(raw))
+        return {k: 1 - len(pack.compress(raw)) / alone for k, pack in self.packs.items()}
 
     def _can_hold(self, counts: Counter, template: str) -> bool:
         """Whether so many of the template's words, and all its numbers, are there in any order."""
@@ -160,31 +186,40 @@ class Scanner:
             added = np.minimum(now, _NONE)
         return out
 
+    def take(self, text: str, spans: list[tuple[int, int]], have: list[str], lo: int, hi: int, limit: int) -> list[dict]:
+        """Notices that begin before ``limit``, in order, among the words
+        [lo, hi) of a block, by the ranking of the templates."""
+        if lo >= min(hi, limit):
+            return []
+        saved = self.reductions(text[spans[lo][0]:spans[hi - 1][1]])
+        counts = Counter(w for w in have[lo:hi] if w in self.known)
+        for k in sorted(saved, key=lambda x: (-saved[x], x)):
+            if not self._can_hold(counts, k):
+                continue
+            found = [(q, x, lo + a + i, lo + a + j) for a, e in self._regions(have[lo:hi], counts, k) for q, x, i, j in self.wordings(have[lo + a:lo + e], k)]
+            found = [f for f in found if f[2] < limit]
+            if not found:
+                continue
+            missing, added, i, j = min(found, key=lambda f: (f[0] + f[1], f[2], f[3]))
+            n = len(self.words[k])
+            one = {"license": k, "start": spans[i][0], "end": spans[j - 1][1], "reduction": saved[k], "cover": (n - missing) / n,
+                   "n_missing": missing, "n_added": added, "exact": missing == 0 and added == 0}
+            return [*self.take(text, spans, have, lo, i, limit), one, *self.take(text, spans, have, j, hi, limit)]
+        return []
+
     def scan(self, text: str) -> tuple[int, list[dict]]:
         found, where = [], blocks(text, self.around)
         for spans in where:
             have = [text[x:y].lower() for x, y in spans]
-            counts = Counter(w for w in have if w in self.known)
-            hits = []
-            for k in self.words:
-                if not self._can_hold(counts, k):
-                    continue
-                n = len(self.words[k])
-                for lo, hi in self._regions(have, counts, k):
-                    for missing, added, x, y in self.wordings(have[lo:hi], k):
-                        side = max(0, self.around - (y - x)) // 2
-                        saved = self.reduction(text[spans[max(0, lo + x - side)][0]:spans[min(len(spans), lo + y + side) - 1][1]], k)
-                        hits.append({"license": k, "start": spans[lo + x][0], "end": spans[lo + y - 1][1], "reduction": saved, "cover": (n - missing) / n,
-                                     "n_missing": missing, "n_added": added, "exact": missing == 0 and added == 0})
-            hits.sort(key=lambda h: (h["n_missing"] + h["n_added"], -h["reduction"], h["license"], h["start"]))
-            starts: list[int] = []
-            kept: list[dict] = []
-            for h in hits:  # one license for a stretch
-                i = bisect_left(starts, h["start"])
-                if (i == 0 or kept[i - 1]["end"] <= h["start"]) and (i == len(kept) or h["end"] <= starts[i]):
-                    starts.insert(i, h["start"])
-                    kept.insert(i, h)
-            found += kept
+            size, at, free = len(have), 0, 0
+            while at < size:
+                last = at + 2 * self.around >= size
+                end = size if last else at + 2 * self.around
+                got = self.take(text, spans, have, max(at, free), end, end if last else at + self.around)
+                found += got
+                if got:  # words that a notice has taken aren't looked at again
+                    free = bisect_right([a for a, _ in spans], got[-1]["end"] - 1)
+                at = size if last else at + self.around
         return len(where), found
 
 

@@ -228,6 +228,85 @@ def test_adjacent_notices():
     assert names("All rights reserved. " * 3000) == ["all-rights-reserved"] * 3000
 
 
+def _names(s, text):
+    return [x["license"] for x in s.scan(text)[1]]
+
+
+def test_compression_decides_between_templates(monkeypatch):
+    """A notice that holds another one's words goes to the template that saves
+    most; with the savings turned round it goes to another."""
+    t = licenses.TEMPLATES
+    s = licenses.Scanner(t)
+    holds = {"Apache-2.0-header": "Apache-2.0", "ISC": "0BSD", "BSD-2-Clause-text": "BSD-3-Clause", "AGPL-3.0-header": "GPL-3.0-header"}
+    for whole, part in holds.items():
+        assert _names(s, f"Some prose before. {t[whole]} And some after.") == [whole]
+    both = "\n".join([t["AGPL-3.0-header"], t["GPL-3.0-header"], t["LGPL-3.0-header"]])
+    assert _names(s, both) == ["AGPL-3.0-header", "GPL-3.0-header", "LGPL-3.0-header"]
+    real = licenses.Scanner.reductions
+    compressed = []
+    monkeypatch.setattr(licenses.Scanner, "reductions", lambda self, w: compressed.append(w) or real(self, w))
+    assert _names(s, "copyright but no notice") == [] and compressed == ["copyright but no notice"]
+    monkeypatch.setattr(licenses.Scanner, "reductions", lambda self, w: {k: -x for k, x in real(self, w).items()})
+    for whole, part in holds.items():
+        got = _names(s, f"Some prose before. {t[whole]} And some after.")
+        assert got == [part] if "GPL" not in part else whole not in got and len(got) == 1
+
+
+def test_every_template_is_found_anywhere():
+    t = licenses.TEMPLATES
+    s = licenses.Scanner(t)
+    noise = "lorem ipsum dolor sit amet consetetur " * 400
+    for k, text in t.items():
+        for where in (text, f"{noise}{text}", f"{noise}{text} {noise}", "\n# ".join(textwrap.wrap(f"# {text}", 50)), f"{t['CC0-1.0']} {text} {t['MIT']}"):
+            assert k in _names(s, where), (k, where[:80])
+
+
+def test_ranking_and_choice_equal_brute_force():
+    """The same choices by trying every stretch of words with every template."""
+    t = {"x": "license a b c", "y": "license a b c d e f g h i j k", "z": "c d e rights", "v": "rights 2 b a"}
+    s = licenses.Scanner(t)
+
+    def lost(want, have):  # words of the template that a stretch doesn't hold in order
+        best = [0] * (len(have) + 1)
+        for w in want:
+            row = [0]
+            for j, h in enumerate(have):
+                row.append(max(best[j + 1], row[j], best[j] + (w == h)))
+            best = row
+        return len(want) - best[-1]
+
+    def choose(words, lo, hi):
+        if lo >= hi:
+            return []
+        saved = s.reductions(" ".join(words[lo:hi]))
+        for k in sorted(saved, key=lambda x: (-saved[x], x)):
+            want, n = t[k].split(), len(t[k].split())
+            numbers = {w for w in want if w.isdigit()}
+            found = []
+            for i in range(lo, hi):
+                for j in range(i + 1, min(hi, i + 2 * n) + 1):
+                    if words[i] in want and words[j - 1] in want and numbers <= set(words[i:j]):
+                        q = lost(want, words[i:j])
+                        x = j - i - (n - q)
+                        if (n - q) / n >= licenses.COVER and x <= n:
+                            found.append((q + x, i, j))
+            if found:
+                _, i, j = min(found)
+                return [*choose(words, lo, i), (k, i, j), *choose(words, j, hi)]
+        return []
+
+    rng = random.Random(11)
+    for _ in range(150):
+        words = ["license"] + [rng.choice(["license", "rights", "2", "u", *"abcde"]) for _ in range(rng.randrange(1, 14))]
+        if rng.random() < 0.5:
+            words[1:1] = rng.choice(list(t.values())).split()
+        words = words[:24]
+        text = " ".join(words)
+        starts = [len(" ".join(words[:i])) + (i > 0) for i in range(len(words))]
+        got = [(h["license"], starts.index(h["start"]), text[:h["end"]].count(" ") + 1) for h in s.scan(text)[1]]
+        assert got == choose(words, 0, len(words)), text
+
+
 def test_wordings_equal_brute_force():
     rng = random.Random(8)
     s = licenses.Scanner({"t": "a b c d e f a g h 2 i"})
