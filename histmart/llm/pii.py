@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,12 +68,19 @@ CONTEXT = {
     "secret": (r"(?i)(?:token|key|secret|passw(?:or)?d|auth|credential|bearer)[\s\"'=:]*$", r"(?i)(?:sha(?:1|256)?|md5|commit|checksum|hash|digest)[\s\"'=:]*$"),
 }
 BEFORE = 32
+#: matches whose positions are summed in one go
+MATCHES = 256
 SPAN = "struct<kind:string,s:int,e:int,base:boolean,strict:int,gaz:int,ctx:int,len:int>"
 _FOUND = "array<struct<s:int,e:int,t:string,before:string>>"
 
 
 def _matches(text: Column, pattern: str, guard: Column) -> Column:
-    """Start, end, match and the text before, for each match in order."""
+    """Start, end, match and the text before, for each match in order.
+
+    Positions are sums of lengths.  They are summed within blocks of matches,
+    then over blocks, so the work for a text grows with its matches times a
+    block, and not with their square.
+    """
     m, p = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
     def step(a: Column, x: Column) -> Column:
@@ -80,9 +89,28 @@ def _matches(text: Column, pattern: str, guard: Column) -> Column:
         one = F.struct(s.alias("s"), e.alias("e"), x["m"].alias("t"), F.right(x["p"], F.lit(BEFORE)).alias("before"))
         return F.struct(e.alias("at"), F.array_append(a["out"], one).cast(_FOUND).alias("out"))
 
+    def moved(at: Column, found: Column) -> Column:
+        return F.transform(found, lambda x: F.struct((x["s"] + at).alias("s"), (x["e"] + at).alias("e"), x["t"].alias("t"), x["before"].alias("before")))
+
+    def summed(pairs: Column) -> Column:
+        # blocks of at most MATCHES; there are none without matches
+        firsts = F.filter(F.sequence(F.lit(0), F.size(pairs), F.lit(MATCHES)), lambda i: i < F.size(pairs))
+        return F.transform(firsts, lambda i: F.aggregate(F.slice(pairs, i + 1, F.lit(MATCHES)), zero, step))
+
+    def placed(done: Column) -> Column:
+        ends = F.aggregate(done, F.array(F.lit(0)), lambda a, x: F.array_append(a, F.element_at(a, -1) + x["at"]))
+        return F.flatten(F.zip_with(done, F.slice(ends, F.lit(1), F.size(done)), lambda x, at: moved(at, x["out"])))
+
     zero = F.struct(F.lit(0).alias("at"), F.array().cast(_FOUND).alias("out"))
     pairs = F.zip_with(m, F.slice(p, F.lit(1), F.size(m)), lambda x, y: F.struct(x.alias("m"), y.alias("p")))
-    return F.when(guard, F.aggregate(pairs, zero, step, lambda a: a["out"])).otherwise(F.array().cast(_FOUND))
+    found = _let(_let(pairs, summed), placed)
+    return F.when(guard, found).otherwise(F.array().cast(_FOUND)).cast(_FOUND)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where the body's own
+    functions of array elements read it again and again."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
 
 
 def _digits(t: Column) -> Column:
@@ -138,10 +166,29 @@ def candidates(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     for k in LOOSE:
         loose.append(F.transform(f"_loose_{k}", _spanned(k, False, 1 if k in MORE else 0)))
     d = d.select("_id", F.concat(*base).alias("base"), F.concat(*loose).alias("loose"))
-    apart = F.filter("loose", lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    d = d.select("_id", "loose", "base", *[F.filter("base", _of_kind(k)).alias(f"_base_{k}") for k in KINDS])  # spans of one kind are disjoint, in order
+    apart = _let(F.struct("loose", *[f"_base_{k}" for k in KINDS]), lambda d: F.filter(d["loose"], lambda x: ~reduce(or_, [_overlaps(d[f"_base_{k}"], x) for k in KINDS])))
     return d.select("_id", "base", apart.alias("loose"))
 
 
+def _of_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda x: x["kind"] == kind
+
+
+def _overlaps(spans: Column, x: Column) -> Column:
+    """Whether a span meets one of a sorted array of disjoint spans: the first
+    of them that ends behind its start, by binary search."""
+    def half(a: Column, _: Column) -> Column:
+        mid = F.floor((a["lo"] + a["hi"]) / 2).cast("int")
+        behind = F.get(spans, mid)["e"] > x["s"]
+        open_ = a["lo"] < a["hi"]
+        return F.struct(F.when(open_ & ~behind, mid + 1).otherwise(a["lo"]).alias("lo"), F.when(open_ & behind, mid).otherwise(a["hi"]).alias("hi"))
+
+    rounds = F.when(F.size(spans) > 0, F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + 1)).cast("int"))).otherwise(F.array().cast("array<int>"))
+    at = F.aggregate(rounds, F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi")), half, lambda a: a["lo"])
+    return F.coalesce(F.get(spans, at)["s"] < x["e"], F.lit(False))
+
+
 def fit(patterns: list[tuple[str, tuple[int, int, int], int, int]], rounds: int = 30) -> dict[str, list[float]]:
     """Weights of the span classifier for each kind.
 
