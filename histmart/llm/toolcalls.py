@@ -14,7 +14,8 @@ no level; they are ``cyclic`` and come last.  ``position`` numbers the calls
 of a conversation by level, turn and id, in blocks of turns, so a
 conversation of any length is no single task's.
 
-Null conversation or call ids link with nothing.  Identical rows count once;
+Null conversation or call ids link with nothing: each such result is a row of
+its own.  Identical rows count once;
 different calls that share an id are all ``duplicate_id``.  Of several
 results the first turn's counts.  A result without a call is a row of its
 own (``orphan_result``).  Invalid JSON has no arguments.
@@ -95,7 +96,9 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> D
     order, cyclic = levels(known)
     lost = edges.join(own.select(F.col("call").alias("needs")), "needs", "left_anti").select("call").distinct().withColumn("lost", F.lit(True))
     r = results.select("conv_id", "turn", F.col("call_id").cast("string").alias("call_id"), F.col("content").cast("string").alias("content")).distinct()
-    r = r.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results"))
+    has_id = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    unlinked = r.where(~has_id).select("conv_id", "call_id", F.struct("turn", "content").alias("r"), F.lit(1).cast("long").alias("n_results"))
+    r = r.where(has_id).groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results")).unionByName(unlinked)
     named = ["conv_id", "call_id"]
     joined = (c.join(own, "call", "left").join(order, "call", "left").join(cyclic.withColumn("cyclic", F.lit(True)), "call", "left").join(lost, "call", "left")
               .withColumnRenamed("turn", "call_turn").join(r, named, "full"))
@@ -140,14 +143,16 @@ def calls_of_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFra
 
     An assistant turn is a call: the tool follows from the text's checksum,
     its arguments hold the whole text, and two of three calls refer to the
-    call two turns before.  A user or system turn after the first is the
-    result of the turn before it.  Some calls break their schema on purpose of
+    call two turns before.  Every other row, also one with a null role, is the
+    result of the turn before it; where that is no call, or there is none, it
+    is an orphan.  A null turn has no id: such a call is ``no_id``, such a
+    result an orphan of its own.  Some calls break their schema on purpose of
     the data: a checksum divisible by 13 writes the number as text.
     """
     t = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
     crc = F.crc32(F.col("text").cast("binary"))
     tool = F.element_at(F.array(*[F.lit(x) for x in TOOLS]), (F.pmod(crc, F.lit(len(TOOLS))) + 1).cast("int"))
-    ident = lambda turn: F.concat_ws("_", F.lit("call"), F.col("conv_id").cast("string"), turn.cast("string"))
+    ident = lambda turn: F.when(turn.isNotNull(), F.concat_ws("_", F.lit("call"), F.col("conv_id").cast("string"), turn.cast("string")))
     words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
     number = F.when(F.pmod(crc, F.lit(13)) == 0, F.concat(F.lit('"'), words.cast("string"), F.lit('"'))).otherwise(words.cast("string"))
     quoted = F.to_json(F.array("text"))
@@ -157,5 +162,5 @@ def calls_of_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFra
             .when(F.col("name") == "count", F.concat(F.lit('{"words":'), number, F.lit(', "text":'), body, ref, F.lit("}")))
             .otherwise(F.concat(F.lit('{"text":'), body, F.lit(', "exact":'), F.when(F.pmod(crc, F.lit(2)) == 0, "true").otherwise("false"), ref, F.lit("}"))))
     calls = t.where("role = 'assistant'").withColumn("name", tool).select("conv_id", "turn", ident(F.col("turn")).alias("call_id"), "name", args.alias("arguments"))
-    results = t.where("role <> 'assistant' and turn > 0").select("conv_id", "turn", ident(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    results = t.where("not role <=> 'assistant'").select("conv_id", "turn", ident(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
     return calls, results
