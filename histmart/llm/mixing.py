@@ -189,13 +189,18 @@ def mix_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     """The documents themselves, each as often as the mix takes it.
 
     A document of size 0 counts no words; it is left out unless its source
-    takes every document at least once.
+    takes every document at least once.  Rows are told apart by a 128-bit hash
+    of all their columns.  Rows that agree in all of them are documents of
+    their own to the mix; as they can't be told apart afterwards, one of them
+    is given as often as all are taken.  So null and repeated ids, however
+    many, are no group of their own.
     """
-    nth = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col, source_col)))
-    numbered = documents.withColumn("_nth", nth)
-    thin = numbered.select(F.col(id_col).alias("_id"), "_nth", F.xxhash64(id_col, "_nth").alias("row_key"),
-                           F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"))
-    taken = mix(thin, **how).where("copies > 0").select("_id", F.col("_nth").alias("_n"), F.col("copies").alias("_copies"))
-    return (numbered.join(taken, numbered[id_col].eqNullSafe(taken["_id"]) & (numbered["_nth"] == taken["_n"]))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-            .select(*[F.col(f"`{c}`") for c in documents.columns]))
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    keyed = documents.select("*", F.xxhash64(*columns).alias("_k1"), F.xxhash64(F.lit(1), *columns).alias("_k2"))
+    thin = keyed.select("_k1", "_k2", F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"))
+    thin = thin.groupBy("_k1", "_k2", "source", "size").agg(F.count("*").alias("_n"))
+    rows = thin.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).withColumn("row_key", F.xxhash64("_k1", "_k2", "_i")).drop("_i")
+    taken = mix(rows, **how).where("copies > 0").groupBy("_k1", "_k2", "_n").agg(F.sum("copies").alias("_copies"))
+    single = keyed.join(taken.where("_n = 1"), ["_k1", "_k2"])
+    several = keyed.join(taken.where("_n > 1"), ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"])
+    return (single.unionByName(several).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*columns))
