@@ -1,10 +1,14 @@
 """Sharding by a k-d tree: recursive splits at distributed weighted medians.
 
 Points are distinct texts (all copies of a text stay together); their weight
-is the bytes of all copies, their coordinates are metadata: source and
-language of the copies' first in order, and the logarithm of the length.  A
-text whose copies hold more than a twentieth of a shard's bytes is cut into
-pieces, which are points of their own.  A node is split along its widest
+is the bytes of all copies, their coordinates are metadata: the ranks of
+source and language among all values of theirs (of the copies' first in
+order), and the logarithm of the length.  A text whose copies hold more than
+a twentieth of a shard's bytes, so that shards couldn't come within a few
+percent of each other with it whole, is cut into pieces, which are points of
+their own.  Rows get numbers of their own first and are dealt to pieces, and
+to the buckets in which slots are counted, by them: null and repeated ids
+are no different from others.  A node is split along its widest
 dimension (in parts of the root's extent) at the weighted median, or at the
 quantile that its number of leaves asks for; ties in that dimension are
 broken by a hash of the text, so a split comes as near to the wanted bytes as
@@ -23,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from histmart.operators.keys import assign_keys
 from histmart.session import materialize, temporary_tables
 
 PIECES = 256
@@ -35,9 +40,10 @@ DIMS = ("_d0", "_d1", "_d2")
 _SCALE = (1 << 30) - 1
 
 
-def _ordinal(col: Column) -> Column:
-    """Number that orders strings by their first six UTF-8 bytes."""
-    return F.conv(F.rpad(F.hex(F.substring(F.encode(F.coalesce(col.cast("string"), F.lit("")), "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+def _ranked(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Replaces a string column by the number of its value in order, nulls first."""
+    values = assign_keys(df.select(F.col(col).alias("_value")).distinct(), ["_value"], "_rank")
+    return df.join(values, F.col(col).eqNullSafe(F.col("_value"))).withColumn(out, F.col("_rank").cast("double")).drop("_value", "_rank")
 
 
 def _pick(values: list, at: Column, kind: str) -> Column:
@@ -58,8 +64,11 @@ def numbered(df: DataFrame, group: str, by: str, out: str, buckets: int) -> Data
 
 
 def _points(rows: DataFrame, n_shards: int) -> tuple[DataFrame, int]:
-    pieces = rows.groupBy("_h", "_salt").agg(F.sum("_size").alias("w"), F.count("*").alias("n"), F.max("_size").alias("size"),
-                                             F.min("_src").alias("src"), F.min("_lang").alias("lang"))
+    # few values of each: rows that agree in both are one before values are ranked
+    pieces = rows.groupBy("_h", "_salt", "_src", "_lang").agg(F.sum("_size").alias("w"), F.count("*").alias("n"), F.max("_size").alias("size"))
+    pieces = materialize(pieces, "kd-values")
+    pieces = _ranked(_ranked(pieces, "_src", "src"), "_lang", "lang").groupBy("_h", "_salt").agg(
+        F.sum("w").alias("w"), F.sum("n").alias("n"), F.max("size").alias("size"), F.min("src").alias("src"), F.min("lang").alias("lang"))
     pieces = materialize(pieces, "kd-pieces")
     groups = pieces.groupBy("_h").agg(F.sum("w").alias("gw"), F.sum("n").alias("gn"), F.min("src").alias("x0"), F.min("lang").alias("x1"), F.max("size").alias("gs"))
     total, count = pieces.agg(F.sum("w"), F.sum("n")).first()
@@ -109,13 +118,6 @@ def _cuts(p: DataFrame, wanted: list[float], dims: list[int]) -> list[int]:
     return cut
 
 
-def kd_tree(rows: DataFrame, n_shards: int) -> tuple[DataFrame, int]:
-    """(_h, _salt, shard) of every point, and the number of rows."""
-    with temporary_tables(rows.sparkSession):
-        shards, count = _kd_tree(rows, n_shards)
-        return materialize(shards, "kd-shards", keep=True), count
-
-
 def _kd_tree(rows: DataFrame, n_shards: int) -> tuple[DataFrame, int]:
     points, count = _points(rows, n_shards)
     p = points.withColumn("_node", F.lit(0))
@@ -140,20 +142,24 @@ def _kd_tree(rows: DataFrame, n_shards: int) -> tuple[DataFrame, int]:
 
 
 def kd_shards(documents: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: str = "text",
-              source_col: str = "source", lang_col: str = "lang", target_bytes: int | None = None) -> DataFrame:
+              source_col: str = "source", lang_col: str = "lang", target_bytes: int | None = None, columns: list[str] | None = None) -> DataFrame:
     """The documents with their size (UTF-8 bytes + 1), shard and slot.
 
     ``target_bytes``, if given, sets the number of leaves in place of
     ``n_shards``.  Slots run from 0 without gaps in each shard.  Columns of
-    these names in ``documents`` are replaced.
+    these names in ``documents`` are replaced.  ``columns`` are those to give
+    back, by default all: they are written once, with the rows' numbers.
     """
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    size = (F.octet_length(body) + 1).cast("long")
-    if target_bytes:
-        n_shards = max(1, -(-(documents.agg(F.sum(size)).first()[0] or 0) // target_bytes))
-    rows = documents.withColumns({"_h": F.xxhash64(body), "_salt": F.pmod(F.xxhash64(id_col), F.lit(PIECES)), "_size": size,
-                                  "_src": _ordinal(F.col(source_col)), "_lang": _ordinal(F.col(lang_col))})
-    shard, count = kd_tree(rows.select("_h", "_salt", "_size", "_src", "_lang"), n_shards)
-    keep = [c for c in documents.columns if c not in ("size", "shard", "slot")]
-    out = rows.select(*keep, F.col("_size").alias("size"), "_h", "_salt").join(shard, ["_h", "_salt"]).drop("_h", "_salt")
-    return numbered(out, "shard", id_col, "slot", max(1, -(-count // 50_000)))
+    keep = [c for c in (documents.columns if columns is None else columns) if c not in ("size", "shard", "slot")]
+    rows = documents.select(*[F.col(c) for c in keep], F.xxhash64(body).alias("_h"), (F.octet_length(body) + 1).cast("long").alias("_size"),
+                            F.col(source_col).cast("string").alias("_src"), F.col(lang_col).cast("string").alias("_lang"),
+                            F.monotonically_increasing_id().alias("_row"))
+    with temporary_tables(documents.sparkSession):
+        rows = materialize(rows.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(PIECES))), "kd-rows", keep=True)
+        if target_bytes:
+            n_shards = max(1, -(-(rows.agg(F.sum("_size")).first()[0] or 0) // target_bytes))
+        shards, count = _kd_tree(rows.select("_h", "_salt", "_size", "_src", "_lang"), n_shards)
+        shards = materialize(shards, "kd-shards", keep=True)
+    out = rows.join(shards, ["_h", "_salt"]).drop("_h", "_salt", "_src", "_lang").withColumnRenamed("_size", "size")
+    return numbered(out, "shard", "_row", "slot", max(1, -(-count // 50_000))).select(*[F.col(f"`{c}`") for c in keep], "size", "shard", "slot")

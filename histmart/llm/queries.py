@@ -99,8 +99,9 @@ def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of near equal bytes by a k-d tree over all documents."""
     from histmart.llm.kdshard import kd_shards
 
-    out = kd_shards(table(spark, sf_dir, "documents"), n_shards=8)
-    return out.select("doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"),
+    docs = table(spark, sf_dir, "documents").withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
+    out = kd_shards(docs, n_shards=8, columns=["doc_id", "text_crc32"])
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
                       F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -6,6 +6,7 @@ import json
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -225,7 +226,9 @@ def test_a_long_conversation(spark):
                                  "conv_id long, turn long, role string, text string")
     out = toolcalls.link_tool_calls(*toolcalls.calls_of_conversations(conv), toolcalls.TOOLS).collect()
     mine = sorted((r for r in out if r["conv_id"] == 1), key=lambda r: r["position"])
-    assert [r["position"] for r in mine] == list(range(700)) and max(r["level"] for r in mine) == 2
+    assert [r["position"] for r in mine] == list(range(701)) and (mine[-1]["status"], mine[-1]["turn"]) == ("orphan_result", 0)  # the first turn answers nothing
+    mine = mine[:-1]
+    assert max(r["level"] for r in mine) == 2
     at = {r["call_id"]: r["position"] for r in mine}
     for r in mine:
         body = json.loads(r["json"])
@@ -233,6 +236,109 @@ def test_a_long_conversation(spark):
         assert body["result"] == (f"text {r['turn'] + 1}" if r["turn"] < 1399 else None)
 
 
+def test_every_turn_gives_a_call_or_a_result(spark):
+    """Also those with a null role or turn, a negative turn, or a null conversation."""
+    conv = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, None, "c"), (1, 3, "assistant", "d"), (1, None, "user", "e"), (1, None, None, "f"), (1, None, "assistant", "g"),
+            (2, -1, "assistant", "h"), (2, 0, "system", "i"), (2, -5, "user", "j"), (None, 1, "assistant", "k"), (None, 2, "user", "l"), (3, 0, "user", None)]
+    table = spark.createDataFrame(conv, "conv_id long, turn long, role string, text string").selectExpr("*", "'x' AS status", "'y' AS call_id", "1 AS level")
+    out = toolcalls.link_tool_calls(*toolcalls.calls_of_conversations(table), toolcalls.TOOLS).collect()
+    got = sorted((str(r["conv_id"]), str(r["turn"]), r["status"] if r["status"] in ("orphan_result", "no_id", "no_result") else "linked", json.loads(r["json"])["result"]) for r in out)
+    assert got == sorted([
+        ("1", "0", "orphan_result", "a"), ("1", "1", "linked", "c"), ("1", "3", "no_result", None), ("1", "None", "orphan_result", "e"), ("1", "None", "orphan_result", "f"),
+        ("1", "None", "no_id", None), ("2", "-1", "linked", "i"), ("2", "-5", "orphan_result", "j"), ("None", "1", "no_id", None), ("None", "2", "orphan_result", "l"),
+        ("3", "0", "orphan_result", "")])
+    assert toolcalls.link_tool_calls(*toolcalls.calls_of_conversations(table.where("false")), toolcalls.TOOLS).collect() == []
+
+
+def test_shards_by_null_and_repeated_ids(spark):
+    """Copies of a hot text are dealt out whatever their ids are."""
+    rng = random.Random(5)
+    others = [(10 + i, f"another text {i} " + "x" * rng.randrange(40), "en", "a", 0) for i in range(1500)]
+    for ident in (None, 0):
+        got = _shards(spark, others + [(ident, "nineteen characters", "en", "a", 0)] * 3000).collect()
+        size, slots = collections.Counter(), collections.defaultdict(list)
+        for r in got:
+            size[r["shard"]] += r["size"]
+            slots[r["shard"]].append(r["slot"])
+        assert len(got) == 4500 and len(size) == 8 and max(size.values()) <= 1.05 * min(size.values())
+        assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+def test_shards_by_sources_with_a_long_common_start(spark):
+    rows = [(i, f"{i:04d} text of one length", "en", f"common_crawl_20{21 + 2 * (i % 2)}", 0) for i in range(2000)]
+    of = collections.defaultdict(set)
+    for r in _shards(spark, rows, 2).collect():
+        of[r["shard"]].add(r["source"])
+    assert sorted(map(sorted, of.values())) == [["common_crawl_2021"], ["common_crawl_2023"]]
+
+
+def _by_sorting(points, leaves):
+    """The tree by sorting whole nodes: leaf -> bytes and the spread of its
+    sources; points are (weight, source rank, language rank, log length)."""
+    lo, hi = ([f(p[i] for p in points) for i in (1, 2, 3)] for f in (min, max))
+    scaled = [(p[0], *[(p[i + 1] - lo[i]) / ((hi[i] - lo[i]) or 1) for i in range(3)]) for p in points]
+
+    def split(node, m):
+        if m == 1:
+            return [sum(p[0] for p in node)]
+        dim = max(range(1, 4), key=lambda i: (max(p[i] for p in node) - min(p[i] for p in node), -i)) if node else 1
+        node = sorted(node, key=lambda p: p[dim])
+        want, at, total = sum(p[0] for p in node) * (m // 2) / m, 0, 0
+        while at < len(node) and abs(total + node[at][0] - want) <= abs(total - want):
+            total += node[at][0]
+            at += 1
+        return split(node[:at], m // 2) + split(node[at:], m - m // 2)
+
+    return split(scaled, leaves)
+
+
+def test_shard_bytes_equal_a_tree_by_sorting(spark):
+    """Where no two points tie, leaves hold the bytes that sorting gives, up to the search's tolerance."""
+    rows = [(i, "x" * (40 + 3 * i), "en", "a", 0) for i in range(700)]
+    for n in (2, 3, 8):
+        size = collections.Counter()
+        for r in _shards(spark, rows, n).collect():
+            size[r["shard"]] += r["size"]
+        want = _by_sorting([(len(r[1]) + 1, 0, 0, math.log(len(r[1]) + 1)) for r in rows], n)
+        most = max(len(r[1]) + 1 for r in rows)
+        assert all(abs(size[i] - w) <= 2 * most for i, w in enumerate(want)), (size, want)
+
+
+def test_mix_of_rows_without_ids(spark):
+    """Null and repeated ids, and rows that agree in everything, count as rows of their own."""
+    rng = random.Random(6)
+    rows = [(None, "one two three four", "en", "a", 0)] * 400 + [(7, " ".join("w" * rng.randrange(1, 9) for _ in range(rng.randrange(1, 30))), "en", rng.choice("abc"), 0) for _ in range(900)]
+    rows += [(None, f"text {i} of b", "en", "b", 0) for i in range(300)]
+    out = mixing.mix_documents(documents(spark, rows)).collect()
+    again = mixing.mix_documents(documents(spark, rows)).collect()
+    assert sorted(map(str, out)) == sorted(map(str, again))
+    size, taken = collections.Counter(), collections.Counter()
+    for r in rows:
+        size[r[3]] += len(r[1].split())
+    for r in out:
+        taken[r["source"]] += len(r["text"].split())
+    share, weights = 1.5 * sum(size.values()), {"a": 3, "b": 1, "c": 2}
+    target = {s: min(2 * size[s], share * weights[s] / 6) for s in size}
+    for _ in range(3):  # what is above twice a source's size goes to the others by weight
+        free = [s for s in size if target[s] < 2 * size[s]]
+        rest = share - sum(target[s] for s in size if s not in free)
+        target |= {s: min(2 * size[s], rest * weights[s] / sum(weights[x] for x in free)) for s in free}
+    assert all(abs(taken[s] - target[s]) <= 40 for s in size), (taken, target)
+    counts, given = collections.Counter(r[:4] for r in rows), collections.Counter(tuple(r)[:4] for r in out)
+    assert all(n <= 2 * counts[r] for r, n in given.items()) and set(given) <= set(counts)
+
+
+def test_pii_of_a_text_with_very_many_matches(spark):
+    n = 200_000
+    text = " ".join(f"user{i}@example.com" for i in range(n)) + " 212-555-0199"
+    started = time.time()
+    got = pii.find_pii(documents(spark, [(1, text, "en", "a", 0), (2, "a@b.c", "en", "a", 0)])).collect()
+    assert time.time() - started < 60
+    by = {r["doc_id"]: r for r in got}
+    want = ",".join(f"{k}:{s}:{e}" for s, _, e, k in _base_spans(text))
+    assert by[1]["n_email"] == n and by[1]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest() and by[2]["n_email"] == 1
+
+
 def _cosine_links(rows):
     ok = [v is not None and lab is not None and all(x is not None and math.isfinite(x) for x in v) and any(v or []) for _, v, lab in rows]
 
