@@ -40,10 +40,12 @@ DIMS = ("_d0", "_d1", "_d2")
 _SCALE = (1 << 30) - 1
 
 
-def _ranked(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Replaces a string column by the number of its value in order, nulls first."""
-    values = assign_keys(df.select(F.col(col).alias("_value")).distinct(), ["_value"], "_rank")
-    return df.join(values, F.col(col).eqNullSafe(F.col("_value"))).withColumn(out, F.col("_rank").cast("double")).drop("_value", "_rank")
+def _ranks(rows: DataFrame) -> DataFrame:
+    """(_dim, _value, _rank): the values of both string columns, numbered in
+    order, nulls first; one dimension's follow the other's."""
+    values = rows.select(F.explode(F.array(F.struct(F.lit(0).alias("_dim"), F.col("_src").alias("_value")),
+                                           F.struct(F.lit(1).alias("_dim"), F.col("_lang").alias("_value")))).alias("x")).select("x.*").distinct()
+    return assign_keys(values, ["_dim", "_value"], "_rank")
 
 
 def _pick(values: list, at: Column, kind: str) -> Column:
@@ -64,13 +66,14 @@ def numbered(df: DataFrame, group: str, by: str, out: str, buckets: int) -> Data
 
 
 def _points(rows: DataFrame, n_shards: int) -> tuple[DataFrame, int]:
-    # few values of each: rows that agree in both are one before values are ranked
-    pieces = rows.groupBy("_h", "_salt", "_src", "_lang").agg(F.sum("_size").alias("w"), F.count("*").alias("n"), F.max("_size").alias("size"))
-    pieces = materialize(pieces, "kd-values")
-    pieces = _ranked(_ranked(pieces, "_src", "src"), "_lang", "lang").groupBy("_h", "_salt").agg(
-        F.sum("w").alias("w"), F.sum("n").alias("n"), F.max("size").alias("size"), F.min("src").alias("src"), F.min("lang").alias("lang"))
+    pieces = rows.groupBy("_h", "_salt").agg(F.sum("_size").alias("w"), F.count("*").alias("n"), F.max("_size").alias("size"),
+                                             F.min("_src").alias("src"), F.min("_lang").alias("lang"))
     pieces = materialize(pieces, "kd-pieces")
     groups = pieces.groupBy("_h").agg(F.sum("w").alias("gw"), F.sum("n").alias("gn"), F.min("src").alias("x0"), F.min("lang").alias("x1"), F.max("size").alias("gs"))
+    ranks = _ranks(rows)
+    for dim in (0, 1):
+        of = ranks.where(F.col("_dim") == dim).select("_value", F.col("_rank").cast("double").alias("_rank"))
+        groups = groups.join(of, F.col(f"x{dim}").eqNullSafe(F.col("_value"))).withColumn(f"x{dim}", F.col("_rank")).drop("_value", "_rank")
     total, count = pieces.agg(F.sum("w"), F.sum("n")).first()
     giant = (F.col("gw") > (total or 0) / (GIANT * n_shards)) & (F.col("gn") > 1)
     p = pieces.join(groups, "_h").select(
@@ -161,5 +164,6 @@ def kd_shards(documents: DataFrame, n_shards: int = 8, id_col: str = "doc_id", t
             n_shards = max(1, -(-(rows.agg(F.sum("_size")).first()[0] or 0) // target_bytes))
         shards, count = _kd_tree(rows.select("_h", "_salt", "_size", "_src", "_lang"), n_shards)
         shards = materialize(shards, "kd-shards", keep=True)
-    out = rows.join(shards, ["_h", "_salt"]).drop("_h", "_salt", "_src", "_lang").withColumnRenamed("_size", "size")
-    return numbered(out, "shard", "_row", "slot", max(1, -(-count // 50_000))).select(*[F.col(f"`{c}`") for c in keep], "size", "shard", "slot")
+    # slots are counted on thin rows, so texts are shuffled once
+    placed = numbered(rows.select("_row", "_h", "_salt").join(shards, ["_h", "_salt"]).select("_row", "shard"), "shard", "_row", "slot", max(1, -(-count // 50_000)))
+    return rows.join(placed, "_row").select(*[F.col(f"`{c}`") for c in keep], F.col("_size").alias("size"), "shard", "slot")
