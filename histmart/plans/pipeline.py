@@ -29,7 +29,7 @@ from histmart.sources import sinks
 
 # kind and surrogate key of the tables that a batch doesn't replace whole
 KINDS = {"dim_customer": (sinks.HISTORY, "sk_customerid"), "dim_account": (sinks.HISTORY, "sk_accountid"),
-         "fact_cash": (sinks.APPEND, None), "fact_holdings": (sinks.APPEND, None), "fact_market": (sinks.APPEND, None)}
+         "rejects": (sinks.APPEND, None), "fact_cash": (sinks.APPEND, None), "fact_holdings": (sinks.APPEND, None), "fact_market": (sinks.APPEND, None)}
 
 
 def _save(df: DataFrame, batch: sinks.Batch, name: str) -> DataFrame:
@@ -48,22 +48,22 @@ def _historical_load(spark: SparkSession, batch_dir: str, out_root: str, action_
     def path(name):
         return os.path.join(batch_dir, name)
 
-    batch = sinks.Batch(spark, out_root, 1)
+    batch, files = sinks.Batch(spark, out_root, 1), R.BatchFiles(spark, batch_dir)
     batch_date = R.read_batch_date(spark, path("BatchDate.txt"))
     t: dict[str, DataFrame] = {}
 
     # Calendar and code tables, loaded as they are
-    t["dim_date"] = _save(R.read_delimited(spark, path("Date.txt"), S.DATE), batch, "dim_date")
-    t["dim_time"] = _save(R.read_delimited(spark, path("Time.txt"), S.TIME), batch, "dim_time")
-    t["industry"] = _save(R.read_delimited(spark, path("Industry.txt"), S.INDUSTRY), batch, "industry")
-    t["status_type"] = _save(R.read_delimited(spark, path("StatusType.txt"), S.STATUS_TYPE), batch, "status_type")
-    t["trade_type"] = _save(R.read_delimited(spark, path("TradeType.txt"), S.TRADE_TYPE), batch, "trade_type")
+    t["dim_date"] = _save(files.read("Date.txt", S.DATE), batch, "dim_date")
+    t["dim_time"] = _save(files.read("Time.txt", S.TIME), batch, "dim_time")
+    t["industry"] = _save(files.read("Industry.txt", S.INDUSTRY), batch, "industry")
+    t["status_type"] = _save(files.read("StatusType.txt", S.STATUS_TYPE), batch, "status_type")
+    t["trade_type"] = _save(files.read("TradeType.txt", S.TRADE_TYPE), batch, "trade_type")
 
-    t["tax_rate"] = _save(R.read_delimited(spark, path("TaxRate.txt"), S.TAX_RATE), batch, "tax_rate")
+    t["tax_rate"] = _save(files.read("TaxRate.txt", S.TAX_RATE), batch, "tax_rate")
 
     # Broker, effective from the first calendar day (one driver scalar)
     first_day = t["dim_date"].agg(F.min("DateValue")).first()[0]
-    hr = R.read_delimited(spark, path("HR.csv"), S.HR, sep=",")
+    hr = files.read("HR.csv", S.HR, sep=",")
     t["dim_broker"] = _save(W.dim_broker(hr, first_day), batch, "dim_broker")
 
     # FINWIRE parsed once, three record types
@@ -76,36 +76,45 @@ def _historical_load(spark: SparkSession, batch_dir: str, out_root: str, action_
 
     # Customers are matched with prospects, prospects are flagged as customers
     actions = materialize(R.read_actions(spark, path("CustomerMgmt.xml"), action_tag), "actions")
-    prospects = R.read_delimited(spark, path("Prospect.csv"), S.PROSPECT, sep=",")
+    prospects = files.read("Prospect.csv", S.PROSPECT, sep=",")
     t["dim_customer"] = _save(W.dim_customer(actions, t["tax_rate"], W.prospect_rows(prospects)), batch, "dim_customer")
     t["dim_account"] = _save(W.dim_account(actions, t["dim_customer"], t["dim_broker"]), batch, "dim_account")
     t["prospect"] = _save(W.prospect_load(prospects, W.current_active(t["dim_customer"]), batch_date), batch, "prospect")
 
     # facts
-    trades = R.read_delimited(spark, path("Trade.txt"), S.TRADE)
-    history = R.read_delimited(spark, path("TradeHistory.txt"), S.TRADE_HISTORY)
+    trades = files.read("Trade.txt", S.TRADE)
+    history = files.read("TradeHistory.txt", S.TRADE_HISTORY)
     t["dim_trade"] = _save(W.dim_trade(trades, history, t["dim_security"], t["dim_account"], t["status_type"],
                                        t["trade_type"]), batch, "dim_trade")
-    cash = R.read_delimited(spark, path("CashTransaction.txt"), S.CASH_TRANSACTION)
+    cash = files.read("CashTransaction.txt", S.CASH_TRANSACTION)
     t["fact_cash"] = _save(W.fact_cash(cash, t["dim_account"]), batch, "fact_cash")
-    holdings = R.read_delimited(spark, path("HoldingHistory.txt"), S.HOLDING_HISTORY)
+    holdings = files.read("HoldingHistory.txt", S.HOLDING_HISTORY)
     t["fact_holdings"] = _save(W.fact_holdings(holdings, t["dim_trade"]), batch, "fact_holdings")
-    market = R.read_delimited(spark, path("DailyMarket.txt"), S.DAILY_MARKET)
+    market = files.read("DailyMarket.txt", S.DAILY_MARKET)
     t["fact_market"] = _save(W.fact_market(market, t["dim_security"], t["dim_company"], t["financial"]), batch, "fact_market")
     # the raw rows that the windows of the next batch look back on
     _save(W.market_tail(market), batch, "raw_daily_market")
-    watches = R.read_delimited(spark, path("WatchHistory.txt"), S.WATCH_HISTORY)
+    watches = files.read("WatchHistory.txt", S.WATCH_HISTORY)
     t["fact_watches"] = _save(W.fact_watches(watches, t["dim_customer"], t["dim_security"]), batch, "fact_watches")
 
     # Every alert of the batch plus the validation snapshot (M1, M2), one append
     msgs = batch_alerts(actions, cmp_, trades, t["fact_market"], t["dim_security"], batch_date)
     msgs = msgs.unionByName(validation_snapshot(t, 1, "Historical load"))
+    t["rejects"] = _save(files.rejects().withColumn("batch_id", F.lit(batch.batch_id)), batch, "rejects")
+    msgs = msgs.unionByName(rejected_rows(t["rejects"], batch.batch_id))
     sinks.append_messages(msgs, os.path.join(out_root, "dimessages"))
     t["dimessages"] = spark.read.parquet(os.path.join(out_root, "dimessages"))
     batch.commit()
     return t
 
 
+def rejected_rows(rejects: DataFrame, batch_id: int) -> DataFrame:
+    """A message for each file of the batch with malformed rows, with their number."""
+    n = rejects.where(F.col("batch_id") == batch_id).groupBy("file").agg(F.count("*").alias("n"))
+    return n.select(F.lit(batch_id).alias("batch_id"), F.col("file").alias("message_source"), F.lit("Rejected rows").alias("message_text"),
+                    F.lit("Reject").alias("message_type"), F.col("n").cast("string").alias("message_data"))
+
+
 def no_earnings_alerts(market: DataFrame, security: DataFrame, batch_id: int) -> DataFrame:
     """Market rows without a P/E ratio, named by the security's symbol."""
     symbol = security.select(F.col("sk_securityid").alias("__sk"), F.col("symbol").alias("__symbol"))
@@ -155,7 +164,7 @@ def _change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: i
     def path(name):
         return os.path.join(batch_dir, name)
 
-    batch = sinks.Batch(spark, out_root, batch_id)
+    batch, files = sinks.Batch(spark, out_root, batch_id), R.BatchFiles(spark, batch_dir)
     latest = batch.previous
 
     batch_date = R.read_batch_date(spark, path("BatchDate.txt"))
@@ -163,14 +172,14 @@ def _change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: i
     statuses, types, broker = latest("status_type"), latest("trade_type"), latest("dim_broker")
 
     # the prospects of this file, for the person match and for the merge below
-    new_prospects = R.read_delimited(spark, path("Prospect.csv"), S.PROSPECT, sep=",")
-    cust_rows = R.read_cdc(spark, path("Customer.txt"), S.CUSTOMER_CDC)
+    new_prospects = files.read("Prospect.csv", S.PROSPECT, sep=",")
+    cust_rows = files.read("Customer.txt", S.CUSTOMER_CDC)
     prev_customer = latest("dim_customer")
     customer = W.dim_customer_cdc(prev_customer.where("is_current"), cust_rows, batch_date, latest("tax_rate"), latest("prospect"),
                                   W.prospect_rows(new_prospects), batch_id, batch.highest("dim_customer"))
     t["dim_customer"] = _save(customer, batch, "dim_customer")
 
-    acct_rows = R.read_cdc(spark, path("Account.txt"), S.ACCOUNT_CDC)
+    acct_rows = files.read("Account.txt", S.ACCOUNT_CDC)
     current_account = latest("dim_account").where("is_current")
     accounts = W.account_changes(current_account, prev_customer.where("is_current"), broker, acct_rows)
     account = W.dim_account_cdc(current_account, accounts, t["dim_customer"].where("is_current"), broker, batch_date, batch_id,
@@ -178,26 +187,26 @@ def _change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: i
     t["dim_account"] = _save(account, batch, "dim_account")
 
     # trades: lifecycle by K5, keys of new trades from the current versions
-    trade_rows = R.read_cdc(spark, path("Trade.txt"), S.TRADE_CDC)
+    trade_rows = files.read("Trade.txt", S.TRADE_CDC)
     security = latest("dim_security")
     trade = W.trade_change_batch(latest("dim_trade"), trade_rows, security, t["dim_account"], statuses, types,
                                  batch_id)
     t["dim_trade"] = _save(trade, batch, "dim_trade")
 
     # cash: continue from the last balance of each account
-    cash_rows = R.read_cdc(spark, path("CashTransaction.txt"), S.CASH_CDC).drop("CDC_FLAG", "CDC_DSN")
+    cash_rows = files.read("CashTransaction.txt", S.CASH_CDC).drop("CDC_FLAG", "CDC_DSN")
     prev_cash = latest("fact_cash")
     opening = W.opening_balances(prev_cash, t["dim_account"])
     cash = W.fact_cash(cash_rows, t["dim_account"], opening=opening).withColumn("batch_id", F.lit(batch_id))
     t["fact_cash"] = _save(cash, batch, "fact_cash")
 
     # holdings of the batch, enriched from the new trade version
-    hold_rows = R.read_cdc(spark, path("HoldingHistory.txt"), S.HOLDING_CDC).drop("CDC_FLAG", "CDC_DSN")
+    hold_rows = files.read("HoldingHistory.txt", S.HOLDING_CDC).drop("CDC_FLAG", "CDC_DSN")
     hold = W.fact_holdings(hold_rows, t["dim_trade"]).withColumn("batch_id", F.lit(batch_id))
     t["fact_holdings"] = _save(hold, batch, "fact_holdings")
 
     # market: rolling windows look back over earlier raw rows
-    mkt_new = R.read_cdc(spark, path("DailyMarket.txt"), S.MARKET_CDC).drop("CDC_FLAG", "CDC_DSN")
+    mkt_new = files.read("DailyMarket.txt", S.MARKET_CDC).drop("CDC_FLAG", "CDC_DSN")
     prev_raw = latest("raw_daily_market")
     both = W.market_with_lookback(prev_raw, mkt_new)
     mk = W.fact_market(both, security, latest("dim_company"), latest("financial")) \
@@ -207,7 +216,7 @@ def _change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: i
     _save(W.market_tail(raw), batch, "raw_daily_market")
 
     # watches merged on business keys across surrogate versions (K7)
-    watch_rows = R.read_cdc(spark, path("WatchHistory.txt"), S.WATCH_CDC).drop("CDC_FLAG", "CDC_DSN")
+    watch_rows = files.read("WatchHistory.txt", S.WATCH_CDC).drop("CDC_FLAG", "CDC_DSN")
     t["fact_watches"] = _save(W.watch_change_batch(latest("fact_watches"), watch_rows, prev_customer, t["dim_customer"], security, batch_id),
                               batch, "fact_watches")
 
@@ -226,6 +235,8 @@ def _change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: i
                  "financial", "dim_security"):
         t.setdefault(name, latest(name))  # unchanged by a change batch
     msgs = msgs.unionByName(validation_snapshot(t, batch_id, f"Incremental load {batch_id}"))
+    t["rejects"] = _save(files.rejects().withColumn("batch_id", F.lit(batch.batch_id)), batch, "rejects")
+    msgs = msgs.unionByName(rejected_rows(t["rejects"], batch.batch_id))
     sinks.append_messages(msgs, os.path.join(out_root, "dimessages"))
     t["dimessages"] = spark.read.parquet(os.path.join(out_root, "dimessages"))
     batch.commit()

@@ -7,9 +7,11 @@ the one-line batch date.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from histmart.sources import schemas as S
 
@@ -26,6 +28,44 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str
             .csv(path))
 
 
+CORRUPT = "_corrupt_record"
+
+
+class BatchFiles:
+    """The delimited files of a batch folder, with their malformed rows.
+
+    ``read`` gives the rows of a file that fit its schema; a row with another
+    number of fields, or a value that isn't of its field's type, is a reject.
+    ``rejects`` has the text of every reject with its file.  Both are told
+    apart by one condition on the same scan, so a row is in one of them.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self._rejects: list[DataFrame] = []
+
+    def read(self, name: str, schema: StructType, sep: str = "|") -> DataFrame:
+        text = StructType([StructField(f.name, StringType(), True) for f in schema.fields] + [StructField(CORRUPT, StringType(), True)])
+        rows = (self.spark.read.schema(text).option("sep", sep).option("header", "false").option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", CORRUPT).option("nullValue", "")
+                .option("columnPruning", "false")  # fields are counted whatever is selected
+                .csv(os.path.join(self.folder, name)))
+        typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+        wrong = F.col(CORRUPT).isNotNull()
+        for c, value in typed.items():
+            wrong = wrong | (F.col(c).isNotNull() & value.isNull())
+        as_read = F.concat_ws(sep, *[F.coalesce(c, F.lit("")) for c in typed])
+        self._rejects.append(rows.where(wrong).select(F.lit(name).alias("file"), F.coalesce(CORRUPT, as_read).alias("record")))
+        return rows.where(~wrong).select(*[value.alias(c) for c, value in typed.items()])
+
+    def rejects(self) -> DataFrame:
+        """(file, record) of all files read so far."""
+        out = self._rejects[0]
+        for r in self._rejects[1:]:
+            out = out.unionByName(r)
+        return out
+
+
 def parse_delimited(lines: DataFrame, col: str, schema: StructType, sep: str = "|") -> DataFrame:
     """Parse a text column with ``from_csv`` (same options as the file reader)."""
     opts = {"sep": sep, "timestampFormat": TS_FORMAT, "dateFormat": "yyyy-MM-dd", "nullValue": ""}

@@ -196,3 +196,20 @@ def test_cash_flag_is_a_number_in_the_file(spark, tmp_path):
     p = tmp_path / "Trade.txt"
     p.write_text("1|2020-01-01 09:00:00|CMPT|TMB|1|S|5|1.00|7|x|1.00|0|0|0\n2|2020-01-01 09:00:00|CMPT|TMB|0|S|5|1.00|7|x|1.00|0|0|0\n")
     assert rows(R.read_delimited(spark, str(p), S.TRADE), "T_ID", "T_IS_CASH") == [(1, 1), (2, 0)]
+
+
+def test_malformed_rows_are_rejects(spark, tmp_path):
+    from histmart.plans.pipeline import rejected_rows
+
+    (tmp_path / "TaxRate.txt").write_text("A|First|0.25\nB|Second|many\nC|short\n|Null id|0.5\nD|long|0.1|more\nE|Last|0.2\n")
+    (tmp_path / "HoldingHistory.txt").write_text("1|2|3|4\n1|2|x|4\n5|6||8\n")
+    (tmp_path / "StatusType.txt").write_text("")
+    files = R.BatchFiles(spark, str(tmp_path))
+    tax = files.read("TaxRate.txt", S.TAX_RATE)
+    held = files.read("HoldingHistory.txt", S.HOLDING_HISTORY)
+    assert files.read("StatusType.txt", S.STATUS_TYPE).collect() == []
+    assert rows(tax, "TX_ID", "TX_NAME") == [(None, "Null id"), ("A", "First"), ("E", "Last")]
+    assert rows(held) == [(1, 2, 3, 4), (5, 6, None, 8)]
+    rejects = files.rejects().withColumn("batch_id", F.lit(3))
+    assert rows(rejects, "file", "record") == [("HoldingHistory.txt", "1|2|x|4"), ("TaxRate.txt", "B|Second|many"), ("TaxRate.txt", "C|short"), ("TaxRate.txt", "D|long|0.1|more")]
+    assert rows(rejected_rows(rejects, 3), "message_source", "message_data") == [("HoldingHistory.txt", "1"), ("TaxRate.txt", "3")]
