@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from histmart.session import materialize
 from histmart.sources import schemas as S
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -36,8 +37,7 @@ class BatchFiles:
 
     ``read`` gives the rows of a file that fit its schema; a row with another
     number of fields, or a value that isn't of its field's type, is a reject.
-    ``rejects`` has the text of every reject with its file.  Both are told
-    apart by one condition on the same scan, so a row is in one of them.
+    ``rejects`` has the text of every reject with its file.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -55,8 +55,11 @@ class BatchFiles:
         for c, value in typed.items():
             wrong = wrong | (F.col(c).isNotNull() & value.isNull())
         as_read = F.concat_ws(sep, *[F.coalesce(c, F.lit("")) for c in typed])
-        self._rejects.append(rows.where(wrong).select(F.lit(name).alias("file"), F.coalesce(CORRUPT, as_read).alias("record")))
-        return rows.where(~wrong).select(*[value.alias(c) for c, value in typed.items()])
+        record = F.when(wrong, F.coalesce(CORRUPT, as_read))
+        # each file is parsed once: its typed rows and its rejects are read from the stage
+        staged = materialize(rows.select(*[value.alias(c) for c, value in typed.items()], record.alias(CORRUPT)), "file")
+        self._rejects.append(staged.where(F.col(CORRUPT).isNotNull()).select(F.lit(name).alias("file"), F.col(CORRUPT).alias("record")))
+        return staged.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
     def rejects(self) -> DataFrame:
         """(file, record) of all files read so far."""

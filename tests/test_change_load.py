@@ -181,11 +181,10 @@ def test_audit_after_batch2(spark, loaded):
     res = {(r.test, r.batch_id): r.result for r in audit_warehouse(v2).collect()}
     bad = sorted({k[0] for k, v in res.items() if v != "OK"})
     # The fixture's time model makes these findings true, and the audit must report them:
-    # tiers outside 1..3 by design; batch 2 carries no market rows; batch-1 cash and watch
-    # facts come from 2024 events, after the batch-2 versions start (2001); new batch-2
+    # tiers outside 1..3 by design; batch-1 cash and watch facts come from 2024 events, after the batch-2 versions start (2001); new batch-2
     # trades take the current account version (J7), which starts on the batch date.
     assert set(bad) == {
-        "dim_customer domain: Customer tier", "fact_market batches",
+        "dim_customer domain: Customer tier",
         "dim_trade.sk_createdateid inside dim_account version",
         "fact_cash.sk_dateid inside dim_account version",
         "fact_watches.sk_dateid_dateplaced inside dim_customer version"}, bad
