@@ -38,6 +38,50 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return child.where(F.col(child_key).isNotNull()).join(p, F.col(child_key) == F.col("__pk"), "left_anti")
 
 
+def reference_report(tables: dict[str, DataFrame], edges: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """Q6 for any number of edges ``(child, column, parent, parent_key)`` in one
+    grouped count: (child, column, parent, refs, orphans), a row an edge.
+
+    Each table is read once and gives its parent keys and its non-null
+    references, tagged with the key space they belong to; references of one
+    key are counted before the only shuffle, so a hot key is one row a task.
+    Keys are integers.  Null references count as none; empty tables give zeros.
+    """
+    spaces = list(dict.fromkeys((parent, key) for _, _, parent, key in edges))
+    place, taken = {}, dict.fromkeys(spaces, 0)  # edge -> (key space, place among the edges into it)
+    for child, column, parent, key in edges:
+        place[child, column, parent] = spaces.index((parent, key)), taken[parent, key]
+        taken[parent, key] += 1
+    width, is_key = max(taken.values()), -1
+
+    def tagged(space: int, slot: int, key: Column) -> Column:
+        return F.struct(F.lit(space).alias("space"), F.lit(slot).alias("slot"), key.cast("long").alias("key"))
+
+    parts: dict[str, list[Column]] = {}
+    for i, (parent, key) in enumerate(spaces):
+        parts.setdefault(parent, []).append(tagged(i, is_key, F.col(key)))
+    for child, column, parent, _ in edges:
+        parts.setdefault(child, []).append(tagged(*place[child, column, parent], F.col(column)))
+    spark = tables[edges[0][0]].sparkSession
+    # a row for each key space, so that edges between empty tables are reported as well
+    keys = spark.range(len(spaces)).select(F.col("id").cast("int").alias("space"), F.lit(is_key).alias("slot"), F.lit(None).cast("long").alias("key"))
+    for name, entries in parts.items():
+        e = tables[name].select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+        keys = keys.unionByName(e.where(F.col("key").isNotNull()))
+    counts = keys.groupBy("space", "key").agg(
+        F.max(F.col("slot") == is_key).alias("known"), *[F.count_if(F.col("slot") == i).alias(f"n{i}") for i in range(width)])
+    sums = counts.groupBy("space").agg(
+        *[F.sum(f"n{i}").alias(f"refs{i}") for i in range(width)],
+        *[F.sum(F.when(F.col("known"), 0).otherwise(F.col(f"n{i}"))).alias(f"orphans{i}") for i in range(width)])
+    rows = []
+    for child, column, parent, _ in edges:
+        space, slot = place[child, column, parent]
+        rows.append(F.struct(F.lit(space).alias("of"), F.lit(child).alias("child"), F.lit(column).alias("column"), F.lit(parent).alias("parent"),
+                             F.col(f"refs{slot}").alias("refs"), F.col(f"orphans{slot}").alias("orphans")))
+    return sums.select("space", F.explode(F.array(*rows)).alias("r")).where(F.col("space") == F.col("r.of")).select(
+        "r.child", "r.column", "r.parent", "r.refs", "r.orphans")
+
+
 def count_violations(df: DataFrame, checks: dict[str, Column], batch: Column | None = None) -> DataFrame:
     """Q5/Q8: ``count_if(not predicate)`` for each named predicate, one pass."""
     g = df.groupBy(batch.alias("batch_id")) if batch is not None else df.groupBy(

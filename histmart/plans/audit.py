@@ -1,15 +1,16 @@
-"""Audit of a loaded warehouse as one DataFrame.
+"""Audit of a loaded warehouse as one DataFrame.
 
 ``audit_warehouse`` takes the tables returned by ``historical_load`` /
 ``change_load`` and returns ``(test, batch_id, result, description)`` rows,
-sorted only for the report.  Every check is an aggregate, a left-anti
+sorted only for the report; ``audit_expected`` does the same for the counts
+that the audit files ask for.  Every check is an aggregate, a left-anti
 join, a key-equi join with a date range residual, or a single ``lead``
 pass over day-level versions: no quadratic self joins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from histmart.operators import checks as CK
@@ -19,19 +20,36 @@ VERSIONED = (("dim_company", "company_id", "sk_companyid"), ("dim_security", "sy
              ("dim_customer", "customer_id", "sk_customerid"), ("dim_account", "account_id", "sk_accountid"),
              ("dim_broker", "broker_id", "sk_brokerid"))
 
-# Surrogate references (child table, column, parent table, parent surrogate).
-REFERENCES = (("dim_account", "sk_customerid", "dim_customer", "sk_customerid"),
-              ("dim_account", "sk_brokerid", "dim_broker", "sk_brokerid"),
+# References of the warehouse (child table, column, parent table, parent key).
+REFERENCES = (("dim_account", "sk_brokerid", "dim_broker", "sk_brokerid"),
+              ("dim_account", "sk_customerid", "dim_customer", "sk_customerid"),
               ("dim_security", "sk_companyid", "dim_company", "sk_companyid"),
-              ("financial", "sk_companyid", "dim_company", "sk_companyid"),
+              ("dim_trade", "sk_brokerid", "dim_broker", "sk_brokerid"),
+              ("dim_trade", "sk_createdateid", "dim_date", "SK_DateID"),
+              ("dim_trade", "sk_createtimeid", "dim_time", "SK_TimeID"),
+              ("dim_trade", "sk_closedateid", "dim_date", "SK_DateID"),
+              ("dim_trade", "sk_closetimeid", "dim_time", "SK_TimeID"),
               ("dim_trade", "sk_securityid", "dim_security", "sk_securityid"),
-              ("dim_trade", "sk_accountid", "dim_account", "sk_accountid"),
+              ("dim_trade", "sk_companyid", "dim_company", "sk_companyid"),
               ("dim_trade", "sk_customerid", "dim_customer", "sk_customerid"),
+              ("dim_trade", "sk_accountid", "dim_account", "sk_accountid"),
+              ("fact_cash", "sk_customerid", "dim_customer", "sk_customerid"),
               ("fact_cash", "sk_accountid", "dim_account", "sk_accountid"),
+              ("fact_cash", "sk_dateid", "dim_date", "SK_DateID"),
+              ("fact_holdings", "sk_customerid", "dim_customer", "sk_customerid"),
+              ("fact_holdings", "sk_accountid", "dim_account", "sk_accountid"),
               ("fact_holdings", "sk_securityid", "dim_security", "sk_securityid"),
+              ("fact_holdings", "sk_companyid", "dim_company", "sk_companyid"),
+              ("fact_holdings", "sk_dateid", "dim_date", "SK_DateID"),
+              ("fact_holdings", "sk_timeid", "dim_time", "SK_TimeID"),
               ("fact_market", "sk_securityid", "dim_security", "sk_securityid"),
+              ("fact_market", "sk_companyid", "dim_company", "sk_companyid"),
+              ("fact_market", "sk_dateid", "dim_date", "SK_DateID"),
               ("fact_watches", "sk_customerid", "dim_customer", "sk_customerid"),
-              ("fact_watches", "sk_securityid", "dim_security", "sk_securityid"))
+              ("fact_watches", "sk_securityid", "dim_security", "sk_securityid"),
+              ("fact_watches", "sk_dateid_dateplaced", "dim_date", "SK_DateID"),
+              ("fact_watches", "sk_dateid_dateremoved", "dim_date", "SK_DateID"),
+              ("prospect", "sk_updatedateid", "dim_date", "SK_DateID"))
 
 # Fact date inside the referenced version (child, date key, surrogate, parent).
 CONTAINMENT = (("dim_trade", "sk_createdateid", "sk_accountid", "dim_account"),
@@ -63,10 +81,12 @@ def audit_warehouse(t: dict[str, DataFrame]) -> DataFrame:
               & (F.col("bad_current") == 0) & (F.col("not_reaching_end") == 0))
         frames.append(_row(r, f"{name} intervals", none, ok,
                            "Versions chain, do not overlap, are not empty, one current reaching end of time"))
-    # Q6: references resolve (left anti join counts)
-    for child, col, parent, psk in REFERENCES:
-        o = CK.orphans(t[child], t[parent], col, psk).agg(F.count(F.lit(1)).alias("n"))
-        frames.append(_row(o, f"{child}.{col} resolves", none, F.col("n") == 0, f"Every {col} exists in {parent}"))
+    # Q6: references resolve, all of them in one grouped count
+    edges = CK.reference_report(t, REFERENCES)
+    frames.append(edges.select(
+        F.concat("child", F.lit("."), "column", F.lit(" resolves")).alias("test"), none.alias("batch_id"),
+        CK.verdict(F.col("orphans") == 0).alias("result"),
+        F.concat(F.lit("Every "), "column", F.lit(" exists in "), "parent").alias("description")))
     # Q6 with dates: the fact date lies inside the referenced version
     for child, dkey, sk, parent in CONTAINMENT:
         p = t[parent].select(F.col(sk).alias("__sk"), "effective_date", "end_date")
@@ -114,33 +134,216 @@ def report(audit: DataFrame) -> DataFrame:
     return audit.orderBy("test", "batch_id")
 
 
-# Tables counted by the validation snapshot, and the fact-to-dimension
-# joins counted with them (fact, surrogate, dimension).
-SNAPSHOT_TABLES = ("dim_broker", "dim_company", "dim_security", "dim_customer", "dim_account", "dim_trade",
-                   "financial", "prospect", "fact_cash", "fact_holdings", "fact_market", "fact_watches",
-                   "dim_date", "dim_time", "industry", "status_type", "trade_type")
-SNAPSHOT_JOINS = (("fact_cash", "sk_accountid", "dim_account"), ("fact_holdings", "sk_securityid", "dim_security"),
-                  ("fact_market", "sk_securityid", "dim_security"), ("fact_watches", "sk_customerid", "dim_customer"))
+# Tables counted by a snapshot, and the joins of each fact with its
+# dimensions: (source, column of it or of a dimension joined before, dimension, key).
+SNAPSHOT_TABLES = ("dim_account", "dim_broker", "dim_company", "dim_customer", "dim_date", "dim_security", "dim_time",
+                   "dim_trade", "fact_cash", "fact_holdings", "fact_market", "fact_watches", "financial", "industry",
+                   "prospect", "status_type", "tax_rate", "trade_type")
+_ACCOUNT = (("sk_accountid", "dim_account", "sk_accountid"), ("sk_customerid", "dim_customer", "sk_customerid"),
+            ("__sk_brokerid", "dim_broker", "sk_brokerid"), ("sk_dateid", "dim_date", "SK_DateID"))
+_COMPANY = (("sk_companyid", "dim_company", "sk_companyid"), ("sk_securityid", "dim_security", "sk_securityid"))
+SNAPSHOT_JOINS = {"fact_cash": _ACCOUNT,
+                  "fact_holdings": (*_ACCOUNT, ("sk_timeid", "dim_time", "SK_TimeID"), *_COMPANY),
+                  "fact_market": (("sk_dateid", "dim_date", "SK_DateID"), *_COMPANY),
+                  "fact_watches": (("sk_customerid", "dim_customer", "sk_customerid"),
+                                   ("sk_dateid_dateplaced", "dim_date", "SK_DateID"), _COMPANY[1])}
+# message type of a snapshot -> whether it has the joined counts and the extra counts
+VALIDATION, FULL, LIGHT = "Validation", "Visibility_1", "Visibility_2"
+_PARTS = {VALIDATION: (True, True), FULL: (True, False), LIGHT: (False, False)}
+
+
+def _joined(t: dict[str, DataFrame], fact: str) -> DataFrame:
+    """The rows of a fact that meet all its dimensions."""
+    joins = SNAPSHOT_JOINS[fact]
+    out = t[fact].select(*[c for c, _, _ in joins if not c.startswith("__")])
+    for col, dim, key in joins:
+        keys = [F.col(key).alias("__key")]
+        if dim == "dim_account":  # an account's broker is joined through it
+            keys.append(F.col("sk_brokerid").alias("__sk_brokerid"))
+        out = out.join(t[dim].select(*keys), F.col(col) == F.col("__key")).drop("__key")
+    return out
+
 
+def snapshot(spark: SparkSession, t: dict[str, DataFrame], batch_id: int, kind: str = VALIDATION) -> DataFrame:
+    """Counts of the tables ``t`` as message-log rows (M1, M3, M4): a count for
+    each table, and, but for ``LIGHT``, the fact rows that meet all their
+    dimensions; ``VALIDATION`` adds inactive customers and watches.  A table
+    that isn't there yet counts 0."""
+    joined, extra = _PARTS[kind]
+    frames = []
 
-def validation_snapshot(t: dict[str, DataFrame], batch_id: int, phase: str) -> DataFrame:
-    """Validation rows of a phase (M1, M2): a row count per table, the joined
-    fact counts, two extra counts, and one phase-completion record; all in
-    the message-log schema, for one append."""
-    def row(df: DataFrame, source: str, text: str, mtype: str = "Validation") -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n")).select(
+    def row(source: str, text: str, df: DataFrame | None) -> None:
+        n = spark.range(1).select(F.lit(0).cast("long").alias("n")) if df is None else df.agg(F.count(F.lit(1)).alias("n"))
+        frames.append(n.select(
             F.lit(batch_id).alias("batch_id"), F.lit(source).alias("message_source"), F.lit(text).alias("message_text"),
-            F.lit(mtype).alias("message_type"), F.col("n").cast("string").alias("message_data"))
-    frames = [row(t[n], n, "Row count") for n in SNAPSHOT_TABLES if n in t]
-    for fact, sk, dim in SNAPSHOT_JOINS:
-        d = t[dim].select(F.col(sk).alias("__sk"))
-        frames.append(row(t[fact].join(d, F.col(sk) == F.col("__sk")), fact, f"Row count joined to {dim}"))
-    frames.append(row(t["dim_customer"].where(F.col("is_current") & (F.col("status") == "INACTIVE")),
-                      "dim_customer", "Inactive customers"))
-    frames.append(row(t["fact_watches"].where(F.col("sk_dateid_dateremoved").isNotNull()), "fact_watches",
-                      "Inactive watches"))
-    pcr = t["dim_customer"].sparkSession.range(1).select(
+            F.lit(kind).alias("message_type"), F.col("n").cast("string").alias("message_data")))
+
+    for name in SNAPSHOT_TABLES:
+        row(name, "Row count", t.get(name))
+    for fact, joins in SNAPSHOT_JOINS.items() if joined else ():
+        there = fact in t and all(dim in t for _, dim, _ in joins)
+        row(fact, "Row count joined", _joined(t, fact) if there else None)
+    if extra:
+        customer, watches = t.get("dim_customer"), t.get("fact_watches")
+        row("dim_customer", "Inactive customers", None if customer is None
+            else customer.where(F.col("is_current") & (F.upper("status") == "INACTIVE")))
+        row("fact_watches", "Inactive watches", None if watches is None
+            else watches.where(F.col("sk_dateid_dateremoved").isNotNull()))
+    return _union_all(frames)
+
+
+def phase_record(spark: SparkSession, batch_id: int, phase: str) -> DataFrame:
+    """The message that a phase is complete (M2)."""
+    return spark.range(1).select(
         F.lit(batch_id).alias("batch_id"), F.lit("Phase").alias("message_source"),
         F.lit(f"{phase} complete").alias("message_text"), F.lit("PCR").alias("message_type"),
         F.lit(None).cast("string").alias("message_data"))
-    return _union_all(frames + [pcr])
+
+
+def validation_snapshot(spark: SparkSession, t: dict[str, DataFrame], batch_id: int, phase: str) -> DataFrame:
+    """The 24 validation rows of a phase and its phase record, for one append."""
+    return snapshot(spark, t, batch_id).unionByName(phase_record(spark, batch_id, phase))
+
+
+# --- counts against the audit files (S14, Q1, Q9, Q11) ----------------------------------
+
+# Data sets that the audit files must hold.
+DATA_SETS = ("Batch", "DimAccount", "DimBroker", "DimCompany", "DimCustomer", "DimSecurity", "DimTrade", "FactHoldings",
+             "FactMarketHistory", "FactWatches", "Financial", "Generator", "Prospect")
+
+# What a test compares: the batch's own values (of the first, of later or of all
+# batches), those up to the batch, or all values in one row without a batch.
+OWN, FIRST, LATER, UP_TO, UP_TO_FIRST, ALL = "own", "first", "later", "up to", "up to first", "all"
+
+# Test -> (relation of the count to the expected value, which batches, signed attributes).
+_ACCOUNT_ROWS = (("DimAccount", "CA_ADDACCT", 1), ("DimAccount", "CA_CLOSEACCT", 1), ("DimAccount", "CA_UPDACCT", 1),
+                 ("DimAccount", "CA_ID_HIST", -1))
+_CUSTOMER_ROWS = (("DimCustomer", "C_NEW", 1), ("DimCustomer", "C_UPDCUST", 1), ("DimCustomer", "C_INACT", 1),
+                  ("DimCustomer", "C_ID_HIST", -1))
+EXPECTED = (
+    ("DimBroker row count", "=", ALL, (("DimBroker", "HR_BROKERS", 1),)),
+    ("DimAccount row count", ">", FIRST, (*_ACCOUNT_ROWS, *_CUSTOMER_ROWS)),
+    ("DimAccount row count", ">=", LATER, _ACCOUNT_ROWS),
+    ("DimCustomer row count", ">=", OWN, _CUSTOMER_ROWS),
+    ("DimCustomer inactive customers", "=", UP_TO, (("DimCustomer", "C_INACT", 1),)),
+    ("DimCustomer age range alerts", "=", OWN, (("DimCustomer", "C_DOB_TO", 1), ("DimCustomer", "C_DOB_TY", 1))),
+    ("DimCustomer customer tier alerts", "=", OWN, (("DimCustomer", "C_TIER_INV", 1),)),
+    ("DimSecurity row count", ">=", UP_TO_FIRST, (("DimSecurity", "FW_SEC", 1),)),
+    ("DimCompany row count", "<=", UP_TO, (("DimCompany", "FW_CMP", 1),)),
+    ("FactWatches row count", "=", OWN, (("FactWatches", "WH_ACTIVE", 1),)),
+    ("FactWatches active watches", "=", UP_TO, (("FactWatches", "WH_RECORDS", 1),)),
+    ("DimTrade row count", "=", UP_TO, (("DimTrade", "T_NEW", 1),)),
+    ("DimTrade canceled trades", "=", ALL, (("DimTrade", "T_CanceledTrades", 1),)),
+    ("DimTrade commission alerts", "=", ALL, (("DimTrade", "T_InvalidCommision", 1),)),
+    ("DimTrade charge alerts", "=", ALL, (("DimTrade", "T_InvalidCharge", 1),)),
+    ("Financial row count", "=", ALL, (("Financial", "FW_FIN", 1),)),
+    ("FactMarketHistory row count", "=", OWN, (("FactMarketHistory", "DM_RECORDS", 1),)),
+    ("FactHoldings row count", "=", OWN, (("FactHoldings", "HH_RECORDS", 1),)),
+)
+
+
+def expected_counts(audit: DataFrame) -> DataFrame:
+    """(test, batch_id, relation, expected): a row for each test and batch of the
+    audit files; the expected value is null where one of its attributes is missing."""
+    tests = F.array(*[F.struct(F.lit(test).alias("test"), F.lit(rel).alias("relation"), F.lit(which).alias("which"),
+                               F.lit(len(terms)).alias("terms")) for test, rel, which, terms in EXPECTED])
+    first = (F.col("which").isin(FIRST, UP_TO_FIRST, ALL)) & (F.col("batch") == 1)
+    wanted = (audit.where(F.col("BatchID") >= 1).select(F.col("BatchID").alias("batch")).distinct()
+              .select("batch", F.explode(tests).alias("t")).select("batch", "t.*")
+              .where(first | F.col("which").isin(OWN, UP_TO) | ((F.col("which") == LATER) & (F.col("batch") > 1))))
+    terms = F.array(*[F.struct(F.lit(test).alias("test"), F.lit(which).alias("which"), F.lit(ds).alias("ds"), F.lit(attr).alias("attr"),
+                               F.lit(sign).alias("sign")) for test, _, which, ts in EXPECTED for ds, attr, sign in ts])
+    values = (audit.where(F.col("Value").isNotNull()).select("DataSet", "BatchID", "Attribute", "Value", F.explode(terms).alias("t"))
+              .where((F.col("DataSet") == F.col("t.ds")) & (F.col("Attribute") == F.col("t.attr")))
+              .groupBy(F.col("t.test").alias("__test"), F.col("t.which").alias("__which"), F.col("t.attr").alias("attr"), "BatchID")
+              .agg(F.sum(F.col("Value") * F.col("t.sign")).alias("value")))
+    own = F.col("which").isin(OWN, FIRST, LATER) & (F.col("BatchID") == F.col("batch"))
+    up_to = F.col("which").isin(UP_TO, UP_TO_FIRST) & (F.col("BatchID") <= F.col("batch"))
+    hit = (F.col("test") == F.col("__test")) & (F.col("which") == F.col("__which")) & (own | up_to | (F.col("which") == ALL))
+    g = wanted.join(values, hit, "left").groupBy("test", "batch", "which", "relation", "terms").agg(
+        F.sum("value").alias("value"), F.countDistinct("attr").alias("found"))
+    return g.select("test", F.when(F.col("which") != ALL, F.col("batch")).alias("batch_id"), "relation",
+                    F.when(F.col("found") == F.col("terms"), F.col("value")).alias("expected"))
+
+
+def measured_counts(t: dict[str, DataFrame]) -> DataFrame:
+    """(test, batch_id, actual): the counts that ``EXPECTED`` asks for, from the
+    loaded tables and the message log."""
+    log = t["dimessages"]
+    none = F.lit(None).cast("int")
+    # logged counts by source, text and batch: some 24 rows a batch
+    logged = (log.where(F.col("message_type") == "Validation")
+              .select("batch_id", "message_source", "message_text", F.col("message_data").try_cast("long").alias("n")))
+    w = Window.partitionBy("message_source", "message_text").orderBy("batch_id")
+    logged = logged.withColumn("more", F.col("n") - F.lag("n").over(w))
+    frames = []
+
+    def measure(test: str, df: DataFrame, batch: Column, actual: Column) -> None:
+        frames.append(df.select(F.lit(test).alias("test"), batch.cast("int").alias("batch_id"), actual.cast("long").alias("actual")))
+
+    def from_log(test: str, source: str, column: str = "n") -> None:
+        rows = logged.where((F.col("message_source") == source) & (F.col("message_text") == "Row count"))
+        measure(test, rows, F.col("batch_id"), F.col(column))
+
+    def alerts(test: str, text: str, by_batch: bool) -> None:
+        found = (F.col("message_type") == "Alert") & (F.col("message_text") == text)
+        rows = log.groupBy("batch_id") if by_batch else log.groupBy()
+        measure(test, rows.agg(F.count_if(found).alias("n")), F.col("batch_id") if by_batch else none, F.col("n"))
+
+    total = F.count(F.lit(1)).alias("n")
+    measure("DimBroker row count", t["dim_broker"].agg(total), none, F.col("n"))
+    for test, name in (("DimAccount row count", "dim_account"), ("DimCustomer row count", "dim_customer")):
+        measure(test, t[name].groupBy("batch_id").agg(total), F.col("batch_id"), F.col("n"))
+    inactive = logged.where((F.col("message_source") == "dim_customer") & (F.col("message_text") == "Inactive customers"))
+    measure("DimCustomer inactive customers", inactive, F.col("batch_id"), F.col("n"))
+    alerts("DimCustomer age range alerts", "DOB out of range", True)
+    alerts("DimCustomer customer tier alerts", "Invalid customer tier", True)
+    from_log("DimSecurity row count", "dim_security")
+    from_log("DimCompany row count", "dim_company")
+    from_log("FactWatches row count", "fact_watches", "more")
+    both = logged.where((F.col("message_source") == "fact_watches") & F.col("message_text").isin("Row count", "Inactive watches"))
+    measure("FactWatches active watches", both.groupBy("batch_id").agg(F.sum("n").alias("n")), F.col("batch_id"), F.col("n"))
+    from_log("DimTrade row count", "dim_trade")
+    measure("DimTrade canceled trades", t["dim_trade"].agg(F.count_if(F.upper("status") == "CANCELED").alias("n")), none, F.col("n"))
+    alerts("DimTrade commission alerts", "Invalid trade commission", False)
+    alerts("DimTrade charge alerts", "Invalid trade fee", False)
+    first = logged.where((F.col("message_source") == "financial") & (F.col("message_text") == "Row count") & (F.col("batch_id") == 1))
+    measure("Financial row count", first, none, F.col("n"))
+    from_log("FactMarketHistory row count", "fact_market", "more")
+    from_log("FactHoldings row count", "fact_holdings", "more")
+    return _union_all(frames)
+
+
+def audit_expected(t: dict[str, DataFrame], audit: DataFrame, batches: int = 3) -> DataFrame:
+    """The loaded warehouse held against the audit files (``readers.read_audit``):
+    the files themselves (Q11), the message log (Q9) and every count (Q1), in
+    the columns of ``audit_warehouse``.  A count without an expected value, or
+    the other way round, is not OK."""
+    none = F.lit(None).cast("int")
+    log = t["dimessages"]
+    n_batches = audit.where(F.col("BatchID") >= 1).agg(F.countDistinct("BatchID").alias("n"), F.max("BatchID").alias("last"))
+    sets = audit.where(F.col("DataSet").isin(*DATA_SETS)).agg(F.countDistinct("DataSet").alias("n"))
+    whole = (F.col("n") == batches + 1) & (F.col("last") == batches)  # and batch 0, before the first
+    span = [F.countDistinct("batch_id").alias("n"), F.max("batch_id").alias("last")]
+    validation = F.col("message_type") == "Validation"
+    sources = log.where(validation & F.col("message_source").isin(*SNAPSHOT_TABLES)).agg(F.countDistinct("message_source").alias("n"))
+    frames = [
+        _row(n_batches, "Audit table batches", none, (F.col("n") == batches) & (F.col("last") == batches), "Audit data for every batch"),
+        _row(sets, "Audit table sources", none, F.col("n") == len(DATA_SETS), "Audit data for all data sets"),
+        _row(log.groupBy("batch_id").agg(F.count_if(validation).alias("n")), "Validation reports", F.col("batch_id"),
+             F.col("n") == len(SNAPSHOT_TABLES) + len(SNAPSHOT_JOINS) + 2, "A full set of validation rows in every batch"),
+        _row(log.agg(*span), "Message batches", none, whole, "Messages for every batch and the state before the first"),
+        _row(log.where(F.col("message_type") == "PCR").agg(*span), "Phase records", none, whole, "Every phase recorded as complete"),
+        _row(sources, "Message sources", none, F.col("n") == len(SNAPSHOT_TABLES), "Messages for all tables"),
+        _row(log.agg(F.count_if(validation & (F.col("batch_id") == 0) & (F.col("message_data") != "0")).alias("n")),
+             "Initial condition", none, F.col("n") == 0, "All tables empty before the first batch"),
+    ]
+    actual, want = measured_counts(t), expected_counts(audit)
+    hit = (want["test"] == actual["test"]) & want["batch_id"].eqNullSafe(actual["batch_id"])
+    a, e = F.col("actual"), F.col("expected")
+    ok = (F.when(F.col("relation") == "=", a == e).when(F.col("relation") == ">", a > e)
+          .when(F.col("relation") == ">=", a >= e).otherwise(a <= e))
+    rows = want.join(actual, hit, "left").select(
+        want["test"], want["batch_id"], CK.verdict(F.coalesce(ok, F.lit(False))).alias("result"),
+        F.concat(F.lit("Actual count "), "relation", F.lit(" expected value of the audit files")).alias("description"))
+    return _union_all([*frames, rows])

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from histmart.functions import clean as CL
 from histmart.operators import quality as Q
 from histmart.plans import warehouse as W
-from histmart.plans.audit import validation_snapshot
+from histmart.plans.audit import phase_record, snapshot, validation_snapshot
 from histmart.session import materialize, temporary_tables
 from histmart.sources import readers as R
 from histmart.sources import schemas as S
@@ -32,9 +32,16 @@ KINDS = {"dim_customer": (sinks.HISTORY, "sk_customerid"), "dim_account": (sinks
          "rejects": (sinks.APPEND, None), "fact_cash": (sinks.APPEND, None), "fact_holdings": (sinks.APPEND, None), "fact_market": (sinks.APPEND, None)}
 
 
+# The column rules that tables are created with (K10), as SQL conditions.
+RULES = {"trade_type": ("TT_IS_SELL IN (0, 1)", "TT_IS_MRKT IN (0, 1)"),
+         "financial": ("fi_qtr IN (1, 2, 3, 4)",),
+         "fact_holdings": ("current_price > 0",),
+         "prospect": ("gender IN ('M', 'F', 'U')", "marital_status IN ('S', 'M', 'D', 'W', 'U')", "own_or_rent IN ('O', 'R', 'U')")}
+
+
 def _save(df: DataFrame, batch: sinks.Batch, name: str) -> DataFrame:
     kind, key = KINDS.get(name, (sinks.REPLACE, None))
-    return batch.save(name, df, kind, key)
+    return batch.save(name, df, kind, key, RULES.get(name, ()))
 
 
 def historical_load(spark: SparkSession, batch_dir: str, out_root: str, action_tag: str = "Action") -> dict[str, DataFrame]:
@@ -99,7 +106,9 @@ def _historical_load(spark: SparkSession, batch_dir: str, out_root: str, action_
 
     # Every alert of the batch plus the validation snapshot (M1, M2), one append
     msgs = batch_alerts(actions, cmp_, trades, t["fact_market"], t["dim_security"], batch_date)
-    msgs = msgs.unionByName(validation_snapshot(t, 1, "Historical load"))
+    msgs = msgs.unionByName(validation_snapshot(spark, t, 1, "Historical load"))
+    # batch 0: what there was before the first
+    msgs = msgs.unionByName(snapshot(spark, sinks.read_batch(spark, out_root, 0), 0)).unionByName(phase_record(spark, 0, "Start"))
     t["rejects"] = _save(files.rejects().withColumn("batch_id", F.lit(batch.batch_id)), batch, "rejects")
     msgs = msgs.unionByName(rejected_rows(t["rejects"], batch.batch_id))
     sinks.append_messages(msgs, os.path.join(out_root, "dimessages"))
@@ -234,7 +243,7 @@ def _change_load(spark: SparkSession, batch_dir: str, out_root: str, batch_id: i
     for name in ("dim_date", "dim_time", "industry", "status_type", "trade_type", "tax_rate", "dim_broker", "dim_company",
                  "financial", "dim_security"):
         t.setdefault(name, latest(name))  # unchanged by a change batch
-    msgs = msgs.unionByName(validation_snapshot(t, batch_id, f"Incremental load {batch_id}"))
+    msgs = msgs.unionByName(validation_snapshot(spark, t, batch_id, f"Incremental load {batch_id}"))
     t["rejects"] = _save(files.rejects().withColumn("batch_id", F.lit(batch.batch_id)), batch, "rejects")
     msgs = msgs.unionByName(rejected_rows(t["rejects"], batch.batch_id))
     sinks.append_messages(msgs, os.path.join(out_root, "dimessages"))

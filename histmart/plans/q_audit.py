@@ -36,13 +36,10 @@ _EDGES = (
     f"AND {ck} NOT IN (SELECT {pk} FROM {pt} WHERE {pk} IS NOT NULL)"
     for e, ct, ck, pt, pk in _EDGES))
 def q_orphan_keys(spark, sf_dir):
-    """Each foreign-key edge as a left-anti join count (the re-aimed FK DDL)."""
-    out = None
-    for e, ct, ck, pt, pk in _EDGES:
-        o = CK.orphans(table(spark, sf_dir, ct), table(spark, sf_dir, pt), ck, pk) \
-            .agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(e).alias("edge"), "orphans")
-        out = o if out is None else out.unionByName(o)
-    return out
+    """Each foreign-key edge of the given tables, all in one grouped count."""
+    names = {n for _, child, _, parent, _ in _EDGES for n in (child, parent)}
+    report = CK.reference_report({n: table(spark, sf_dir, n) for n in sorted(names)}, [e[1:] for e in _EDGES])
+    return report.select(F.concat("child", F.lit("."), "column", F.lit("->"), "parent").alias("edge"), "orphans")
 
 
 # --- S14 / Q11 expectation table -------------------------------------------------------

@@ -21,8 +21,9 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -129,6 +130,10 @@ def read_batch(spark: SparkSession, root: str, batch_id: int | None = None) -> d
     return out
 
 
+class CheckFailed(ValueError):
+    """Rows of a table break a rule that it must keep."""
+
+
 class Batch:
     """The tables that one load writes and commits together."""
 
@@ -155,11 +160,23 @@ class Batch:
         """The highest surrogate key given out so far."""
         return int(self.tables.get(name, {}).get("highest", 0))
 
-    def save(self, name: str, df: DataFrame, kind: str = REPLACE, key: str | None = None) -> DataFrame:
+    def save(self, name: str, df: DataFrame, kind: str = REPLACE, key: str | None = None,
+             rules: Sequence[str] = ()) -> DataFrame:
         """Write a table's version of this batch; returns the table as of it.
-        ``key`` is its surrogate key, whose highest value goes to the manifest."""
+        ``key`` is its surrogate key, whose highest value goes to the manifest.
+        ``rules`` are SQL conditions that each row must keep, null counting
+        as kept; broken ones are counted by the writing job itself, and raise
+        ``CheckFailed``, so that the batch is never committed."""
         folder = os.path.join(self.root, name)
-        write_version(df, folder, self.batch_id, ["is_current"] if kind == HISTORY else None)
+        checked = Observation() if rules else None
+        observed = df
+        if checked is not None:
+            observed = df.observe(checked, *[F.count_if(~F.expr(rule)).alias(rule) for rule in rules])
+        write_version(observed, folder, self.batch_id, ["is_current"] if kind == HISTORY else None)
+        if checked is not None:
+            broken = {rule: n for rule, n in checked.get.items() if n}
+            if broken:
+                raise CheckFailed(f"{name}, batch {self.batch_id}: rows that break a rule: {broken}")
         entry = {"kind": kind, "batch": self.batch_id}
         if key:
             top = self.spark.read.parquet(version_path(folder, self.batch_id)).agg(F.max(key)).first()[0]
