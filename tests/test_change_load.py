@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from histmart.operators import facts as FX
 from histmart.plans import adapter as A
+from histmart.plans import audit as AU
 from histmart.plans import q_warehouse as QW
+from histmart.plans import visibility as VI
 from histmart.plans import warehouse as W
 from histmart.plans.pipeline import change_load, historical_load
 from histmart.sources import readers as R
@@ -20,6 +23,8 @@ SF = "/root/testdata/sf0.001"
 CASH_SPLIT = "2024-01-16"
 #: tables compared before and after a failed load
 SEEN = ("dim_customer", "dim_account", "dim_trade", "fact_cash", "fact_holdings", "fact_market", "fact_watches", "prospect")
+#: where the batches of ``loaded`` lie, and what was counted beside the load
+PLACE = {}
 
 
 @pytest.fixture(scope="module")
@@ -65,7 +70,17 @@ def loaded(spark, tmp_path_factory):
             change_load(spark, b2, wh, 2)
     seen = {n: rows(t) for n, t in sinks.read_batch(spark, wh).items() if n in SEEN}
     assert sinks.committed_batches(spark, wh) == [1] and seen == before
-    v2 = change_load(spark, b2, wh, 2)
+    # the tables are counted again and again while batch 2 is loaded
+    stop, seen = threading.Event(), []
+    beside = threading.Thread(target=lambda: seen.extend(VI.watch(spark, wh, lambda: stop.wait(2), AU.LIGHT)))
+    beside.start()
+    try:
+        v2 = change_load(spark, b2, wh, 2)
+    finally:
+        stop.set()
+        beside.join(300)
+    VI.record_snapshot(spark, wh, AU.FULL)
+    PLACE.update(raw=root, warehouse=wh, seen=seen)
     once = {n: rows(t) for n, t in v2.items() if n in SEEN}
     v2 = change_load(spark, b2, wh, 2)  # and once more: the same tables
     assert {n: rows(t) for n, t in v2.items() if n in SEEN} == once
@@ -188,3 +203,44 @@ def test_audit_after_batch2(spark, loaded):
         "dim_trade.sk_createdateid inside dim_account version",
         "fact_cash.sk_dateid inside dim_account version",
         "fact_watches.sk_dateid_dateplaced inside dim_customer version"}, bad
+
+
+def test_snapshots_beside_the_load_show_a_committed_batch(spark, loaded):
+    wh = PLACE["warehouse"]
+    assert PLACE["seen"] and PLACE["seen"] == sorted(PLACE["seen"]) and PLACE["seen"][0] == 1
+    counted = VI.read_log(spark, wh)
+    want = {b: {n: str(t.count()) for n, t in sinks.read_batch(spark, wh, b).items() if n in AU.SNAPSHOT_TABLES} for b in (1, 2)}
+    shots = {}
+    for r in counted.where("message_text = 'Row count'").collect():
+        shots.setdefault((r.snapshot_ts, r.batch_id), {})[r.message_source] = r.message_data
+    assert len(shots) == len(PLACE["seen"]) + 1 and {b for _, b in shots} == {1, 2}
+    assert all(shot == want[b] for (_, b), shot in shots.items())
+    assert counted.where(F.col("message_type") == AU.FULL).count() == 22
+
+
+def test_counts_against_audit_files_of_the_batches(spark, loaded, tmp_path):
+    # expected values counted from the raw files, some of them left out
+    _, v2 = loaded
+
+    def lines(batch, name, keep=lambda f: True, sep="|"):
+        folder = os.path.join(str(PLACE["raw"]), f"Batch{batch}", name)
+        parts = [os.path.join(folder, p) for p in os.listdir(folder) if p.startswith("part-")] if os.path.isdir(folder) else [folder]
+        return sum(keep(line.rstrip("\n").split(sep)) for p in parts for line in open(p))
+
+    values = {("DimBroker", 1, "HR_BROKERS"): lines(1, "HR.csv", lambda f: f[5] == "314", ","),
+              ("FactMarketHistory", 1, "DM_RECORDS"): lines(1, "DailyMarket.txt"),
+              ("FactMarketHistory", 2, "DM_RECORDS"): lines(2, "DailyMarket.txt"),
+              ("DimTrade", 1, "T_NEW"): lines(1, "Trade.txt"), ("DimTrade", 2, "T_NEW"): lines(2, "Trade.txt", lambda f: f[0] == "I"),
+              ("FactHoldings", 1, "HH_RECORDS"): lines(1, "HoldingHistory.txt"),
+              ("FactHoldings", 2, "HH_RECORDS"): lines(2, "HoldingHistory.txt") + 1}  # one too many
+    path = os.path.join(str(tmp_path), "Batch_audit.csv")
+    with open(path, "w") as fh:
+        fh.write("DataSet, BatchID, Date, Attribute, Value, DValue\n")
+        fh.writelines(f"{ds}, {b}, , {attr}, {v},\n" for (ds, b, attr), v in values.items())
+    res = {(r.test, r.batch_id): r.result for r in AU.audit_expected(v2, R.read_audit(spark, path), 2).collect()}
+    for test in [("DimBroker row count", None), ("FactMarketHistory row count", 1), ("FactMarketHistory row count", 2), ("DimTrade row count", 1),
+                 ("DimTrade row count", 2), ("FactHoldings row count", 1), ("Audit table batches", None), ("Validation reports", 0),
+                 ("Validation reports", 1), ("Validation reports", 2), ("Message batches", None), ("Phase records", None), ("Message sources", None),
+                 ("Initial condition", None)]:
+        assert res[test] == "OK", test
+    assert res["FactHoldings row count", 2] == res["Audit table sources", None] == res["Financial row count", None] == "Not OK"
