@@ -1,9 +1,11 @@
-"""Audit of a loaded warehouse as one DataFrame.
+"""Audit of a loaded warehouse as one DataFrame.
 
 ``audit_warehouse`` takes the tables returned by ``historical_load`` /
 ``change_load`` and returns ``(test, batch_id, result, description)`` rows,
-sorted only for the report; ``audit_expected`` does the same for the counts
-that the audit files ask for.  Every check is an aggregate, a left-anti
+sorted only for the report; ``audit_values``, ``audit_windows``, ``audit_expected``
+and ``audit_trends`` do the same for values, for the days and counts that the
+audit files give, and for counts over batches and snapshots; ``audit_all`` is
+all of them.  Every check is an aggregate, a left-anti
 join, a key-equi join with a date range residual, or a single ``lead``
 pass over day-level versions: no quadratic self joins.
 """
@@ -347,3 +349,134 @@ def audit_expected(t: dict[str, DataFrame], audit: DataFrame, batches: int = 3)
         want["test"], want["batch_id"], CK.verdict(F.coalesce(ok, F.lit(False))).alias("result"),
         F.concat(F.lit("Actual count "), "relation", F.lit(" expected value of the audit files")).alias("description"))
     return _union_all([*frames, rows])
+
+
+# --- values, windows and trends (Q5, Q7, Q8, Q10, Q12, Q13) -------------------------------
+
+_STATUS = "upper(status) IN ('ACTIVE', 'INACTIVE')"
+_PHONE = "{0} = '' OR {0} LIKE '+1 (___) ___-____%' OR {0} LIKE '(___) ___-____%' OR {0} LIKE '___-____%'"
+
+# Table -> test -> SQL condition that each row keeps, null counting as kept.
+VALUE_RULES = {
+    "dim_account": {"Status": _STATUS, "TaxStatus": "batch_id <> 1 OR tax_status IN (0, 1, 2)"},
+    "dim_customer": {"Status": _STATUS, "Gender": "gender IN ('M', 'F', 'U')", "TaxID": "tax_id LIKE '___-__-____'",
+                     **{f"Phone{n}": _PHONE.format(f"phone{n}") for n in (1, 2, 3)},
+                     "Email1": "email1 LIKE '_%.%@%.%'", "Email2": "email2 = '' OR email2 LIKE '_%.%@%.%'"},
+    "dim_security": {"Status": _STATUS, "ExchangeID": "exchange_id IN ('NYSE', 'NASDAQ', 'AMEX', 'PCX')",
+                     "Issue": "issue IN ('COMMON', 'PREF_A', 'PREF_B', 'PREF_C', 'PREF_D')"},
+    "dim_company": {"Status": _STATUS, "Country": "country IN ('Canada', 'United States of America', '')",
+                    "SPrating": "sp_rating IN ('AAA', 'AA', 'A', 'BBB', 'BB', 'B', 'CCC', 'CC', 'C', 'D', 'AA+', 'A+', 'BBB+', 'BB+', 'B+', "
+                                "'CCC+', 'AA-', 'A-', 'BBB-', 'BB-', 'B-', 'CCC-')"},
+    "dim_trade": {"Status": "status IN ('Canceled', 'Pending', 'Submitted', 'Active', 'Completed')",
+                  "Type": "type IN ('Market Buy', 'Market Sell', 'Stop Loss', 'Limit Sell', 'Limit Buy')"},
+    "financial": {"FI_QTR": "fi_qtr IN (1, 2, 3, 4)",
+                  "FI_QTR_START_DATE": "fi_qtr_start_date = make_date(fi_year, fi_qtr * 3 - 2, 1)",
+                  "EPS": "abs(round(try_divide(fi_net_earn, fi_out_basic), 2) - fi_basic_eps) <= 0.4 "
+                         "AND abs(round(try_divide(fi_net_earn, fi_out_dilut), 2) - fi_dilut_eps) <= 0.4 "
+                         "AND abs(round(try_divide(fi_net_earn, fi_revenue), 2) - fi_margin) <= 0.4"},
+    "prospect": {"Country": "country IN ('Canada', 'United States of America')", "SK_UpdateDateID": "sk_recorddateid >= sk_updatedateid",
+                 "MarketingNameplate": " AND ".join(f"(NOT coalesce({when}, false) OR marketing_nameplate LIKE '%{tag}%')" for tag, when in (
+                     ("HighValue", "net_worth > 1000000 OR income > 200000"), ("Expenses", "number_children > 3 OR number_credit_cards > 5"),
+                     ("Boomer", "age > 45"), ("MoneyAlert", "income < 50000 OR credit_rating < 600 OR net_worth < 100000"),
+                     ("Spender", "number_cars > 3 OR number_credit_cards > 7"), ("Inherited", "age < 25 AND net_worth > 1000000")))},
+}
+
+
+def audit_values(t: dict[str, DataFrame]) -> DataFrame:
+    """Every value rule (Q5, Q8), all those of a table in one pass, and the
+    rules between rows (Q10): names of one company each, known industries, no
+    open account of a customer who left."""
+    none = F.lit(None).cast("int")
+    frames = []
+    for name, rules in VALUE_RULES.items():
+        counts = t[name].agg(*[F.count_if(~F.expr(rule)).alias(test) for test, rule in rules.items()])
+        rows = counts.select(F.explode(F.array(*[F.struct(F.lit(test).alias("test"), F.col(f"`{test}`").alias("n")) for test in rules])).alias("r"))
+        frames.append(rows.select(F.concat(F.lit(f"{name} "), "r.test").alias("test"), none.alias("batch_id"),
+                                  CK.verdict(F.col("r.n") == 0).alias("result"), F.lit("All values are valid").alias("description")))
+    company = t["dim_company"]
+    # the smallest and the largest id of a name: no list of ids
+    names = company.where(F.col("name").isNotNull()).groupBy("name").agg(F.min("company_id").alias("lo"), F.max("company_id").alias("hi"))
+    shared = names.agg(F.count_if(F.col("lo") != F.col("hi")).alias("n"))
+    frames.append(_row(shared, "dim_company distinct names", none, F.col("n") == 0, "Every company has a name of its own"))
+    unknown = company.join(t["industry"].select(F.col("IN_NAME").alias("industry")), "industry", "left_anti").agg(F.count(F.lit(1)).alias("n"))
+    frames.append(_row(unknown, "dim_company Industry", none, F.col("n") == 0, "Industries are from the industry table"))
+    left = t["dim_customer"].where(F.col("is_current") & (F.upper("status") == "INACTIVE")).select("sk_customerid")
+    open_ = t["dim_account"].where(F.col("is_current") & (F.upper("status") != "INACTIVE")).join(left, "sk_customerid", "left_semi")
+    frames.append(_row(open_.agg(F.count(F.lit(1)).alias("n")), "dim_account inactive customers", none, F.col("n") == 0,
+                       "Accounts of an inactive customer are inactive"))
+    return _union_all(frames)
+
+
+def _day(column: str) -> str:
+    return f"to_date(cast({column} AS STRING), 'yyyyMMdd')"
+
+
+# Table -> SQL condition of a row on its batch's first and last day, and on the first day of all.
+_EFFECTIVE = "effective_date BETWEEN first_day AND last_day"
+WINDOW_RULES = {
+    "dim_account": _EFFECTIVE, "dim_customer": _EFFECTIVE, "dim_security": _EFFECTIVE, "dim_company": _EFFECTIVE,
+    "prospect": f"{_day('sk_recorddateid')} >= first_day",
+    "fact_market": f"{_day('sk_dateid')} >= date_sub(first_day, 1) AND {_day('sk_dateid')} < last_day",
+    "fact_watches": f"{_day('coalesce(sk_dateid_dateremoved, sk_dateid_dateplaced)')} BETWEEN first_day AND last_day "
+                    "AND sk_dateid_dateplaced <= coalesce(sk_dateid_dateremoved, sk_dateid_dateplaced)",
+    "dim_trade": f"{_day('coalesce(sk_closedateid, sk_createdateid)')} "
+                 "BETWEEN if(sk_closedateid IS NULL AND type LIKE 'Limit%', start, first_day) AND last_day "
+                 "AND sk_createdateid <= coalesce(sk_closedateid, sk_createdateid)",
+    "fact_holdings": f"{_day('sk_dateid')} BETWEEN first_day AND last_day",
+    "fact_cash": f"{_day('sk_dateid')} BETWEEN first_day AND last_day",
+}
+
+
+def audit_windows(t: dict[str, DataFrame], audit: DataFrame) -> DataFrame:
+    """Q7: the rows of a batch lie in its days, taken from the audit files; a row
+    a table and batch.  Rows of a batch without days there are not OK."""
+    days = audit.where((F.col("DataSet") == "Batch") & (F.col("BatchID") >= 1)).groupBy("BatchID").agg(
+        F.max(F.when(F.col("Attribute") == "FirstDay", F.col("Date"))).alias("first_day"),
+        F.max(F.when(F.col("Attribute") == "LastDay", F.col("Date"))).alias("last_day"))
+    days = days.withColumn("start", days.agg(F.min("first_day")).scalar())
+    frames = []
+    for name, rule in WINDOW_RULES.items():
+        rows = t[name].join(days, F.col("batch_id") == F.col("BatchID"), "left")
+        bad = F.col("first_day").isNull() | F.col("last_day").isNull() | ~F.expr(rule)
+        frames.append(_row(rows.groupBy("batch_id").agg(F.count_if(bad).alias("n")), f"{name} dates in batch", F.col("batch_id"),
+                           F.col("n") == 0, "All dates are in the batch's time window"))
+    return _union_all(frames)
+
+
+def audit_trends(log: DataFrame, visibility: DataFrame | None = None) -> DataFrame:
+    """Q12 over the validation rows of the message log, Q13 over the snapshots
+    taken beside the loads (``visibility.read_log``): counts never fall, and
+    facts meet all their dimensions.  Some twenty rows a batch or snapshot."""
+    def count(df: DataFrame, *keys: str) -> DataFrame:
+        def n(text):
+            return F.max(F.when(F.col("message_text") == text, F.col("message_data").try_cast("long")))
+        return df.groupBy("message_source", *keys).agg(n("Row count").alias("n"), n("Row count joined").alias("joined"))
+
+    def earlier(key: str):
+        # the largest count before: no pairs of snapshots
+        return F.max("n").over(Window.partitionBy("message_source").orderBy(key).rowsBetween(Window.unboundedPreceding, -1))
+
+    def rows(df: DataFrame, prefix: str, batch: Column, ok: Column, text: str) -> DataFrame:
+        return df.select(F.concat(F.lit(prefix), "message_source").alias("test"), batch.alias("batch_id"),
+                         CK.verdict(F.coalesce(ok, F.lit(False))).alias("result"), F.lit(text).alias("description"))
+
+    none = F.lit(None).cast("int")
+    falls, match = "Row counts do not decrease", "Row counts match when joined to dimensions"
+    by_batch = count(log.where(F.col("message_type") == VALIDATION), "batch_id").withColumn("before", earlier("batch_id")).where("batch_id >= 1")
+    frames = [rows(by_batch, "Batch row count: ", F.col("batch_id"), F.col("n") >= F.coalesce("before", F.lit(0)), falls),
+              rows(by_batch.where(F.col("message_source").isin(*SNAPSHOT_JOINS)), "Batch joined row count: ", F.col("batch_id"), F.col("n") == F.col("joined"), match)]
+    if visibility is not None:
+        shots = count(visibility.where(F.col("message_type").isin(FULL, LIGHT)), "message_type", "snapshot_ts").withColumn("before", earlier("snapshot_ts"))
+        fell = shots.groupBy("message_source").agg(F.count_if(F.col("n") < F.col("before")).alias("n"))
+        frames.append(rows(fell, "Data visibility row counts: ", none, F.col("n") == 0, falls))
+        full = shots.where((F.col("message_type") == FULL) & F.col("message_source").isin(*SNAPSHOT_JOINS))
+        differ = full.groupBy("message_source").agg(F.count_if(~F.col("n").eqNullSafe(F.col("joined"))).alias("n"))
+        frames.append(rows(differ, "Data visibility joined row counts: ", none, F.col("n") == 0, match))
+    return _union_all(frames)
+
+
+def audit_all(t: dict[str, DataFrame], audit: DataFrame, batches: int = 3, visibility: DataFrame | None = None) -> DataFrame:
+    """Every check of a loaded warehouse: its tables, their values, the audit
+    files, and the counts over batches and snapshots."""
+    return _union_all([audit_warehouse(t), audit_values(t), audit_windows(t, audit), audit_expected(t, audit, batches),
+                       audit_trends(t["dimessages"], visibility)])

@@ -209,3 +209,100 @@ def test_snapshots_beside_a_load_show_one_state_each(spark, tmp_path):
     by = log.groupBy("snapshot_ts").agg(F.collect_set("message_data").alias("n"), F.collect_set("batch_id").alias("b"), F.count("*").alias("rows")).collect()
     assert len(by) == len(seen) + 1 and all(r.n == [str(r.b[0])] and r.rows == 3 for r in by)
     assert max(r.b[0] for r in by) == 3
+
+
+# --- values, windows and trends (Q5, Q7, Q8, Q10, Q12, Q13) --------------------------------
+
+#: table -> columns and a row that keeps every rule
+GOOD = {
+    "dim_account": {"sk_customerid": "1L", "is_current": "true", "status": "'Active'", "batch_id": "1", "tax_status": "2"},
+    "dim_customer": {"sk_customerid": "1L", "is_current": "true", "status": "'ACTIVE'", "gender": "'U'", "tax_id": "'123-45-6789'",
+                     "phone1": "'+1 (123) 456-7890x1'", "phone2": "'(123) 456-7890'", "phone3": "''", "email1": "'a.b@c.d'", "email2": "''"},
+    "dim_security": {"status": "'Inactive'", "exchange_id": "'PCX'", "issue": "'PREF_B'"},
+    "dim_company": {"name": "'N'", "company_id": "1L", "industry": "'Mining'", "status": "'Active'", "country": "''", "sp_rating": "'BB+'"},
+    "dim_trade": {"status": "'Completed'", "type": "'Limit Buy'"},
+    "financial": {"fi_year": "2001", "fi_qtr": "2", "fi_qtr_start_date": "DATE'2001-04-01'", "fi_net_earn": "10.0BD", "fi_out_basic": "10L",
+                  "fi_basic_eps": "1.30BD", "fi_out_dilut": "20L", "fi_dilut_eps": "0.5BD", "fi_revenue": "0.0BD", "fi_margin": "0.1BD"},
+    "prospect": {"country": "'Canada'", "sk_recorddateid": "20010102", "sk_updatedateid": "20010101", "marketing_nameplate": "'HighValue+Boomer'",
+                 "net_worth": "2000000L", "income": "null", "number_children": "1", "number_credit_cards": "2", "age": "50",
+                 "credit_rating": "700", "number_cars": "1"},
+}
+#: table -> test -> what a row that breaks it alone holds
+BAD = {
+    "dim_account": {"Status": {"status": "'Gone'"}, "TaxStatus": {"tax_status": "3"}},
+    "dim_customer": {"Status": {"status": "'x'"}, "Gender": {"gender": "'m'"}, "TaxID": {"tax_id": "'12-345-6789'"}, "Phone1": {"phone1": "'12'"},
+                     "Phone2": {"phone2": "'x'"}, "Phone3": {"phone3": "' '"}, "Email1": {"email1": "''"}, "Email2": {"email2": "'a@b'"}},
+    "dim_security": {"Status": {"status": "'x'"}, "ExchangeID": {"exchange_id": "'LSE'"}, "Issue": {"issue": "'PREF_E'"}},
+    "dim_company": {"Status": {"status": "'x'"}, "Country": {"country": "'USA'"}, "SPrating": {"sp_rating": "'AAA+'"}},
+    "dim_trade": {"Status": {"status": "'x'"}, "Type": {"type": "'x'"}},
+    "financial": {"FI_QTR": {"fi_qtr": "5", "fi_qtr_start_date": "null"}, "FI_QTR_START_DATE": {"fi_qtr_start_date": "DATE'2001-04-02'"},
+                  "EPS": {"fi_basic_eps": "1.41BD"}},
+    "prospect": {"Country": {"country": "'USA'"}, "SK_UpdateDateID": {"sk_updatedateid": "20010103"}, "MarketingNameplate": {"number_cars": "4"}},
+}
+
+
+def _tables(spark, extra=None):
+    """The good rows, with one more for each of ``extra``."""
+    t = {"industry": spark.sql("SELECT 'Mining' AS IN_NAME")}
+    for name, cols in GOOD.items():
+        changes = [{}, *((extra or {}).get(name, {}).values())]
+        t[name] = spark.sql(" UNION ALL ".join("SELECT " + ", ".join(f"{v} AS {c}" for c, v in {**cols, **ch}.items()) for ch in changes))
+    return t
+
+
+def test_each_value_rule_is_broken_by_its_own_row(spark):
+    def results(t):
+        return {r.test: r.result for r in AU.audit_values(t).collect()}
+
+    rules = {f"{n} {test}" for n, tests in AU.VALUE_RULES.items() for test in tests}
+    between = {"dim_company distinct names", "dim_company Industry", "dim_account inactive customers"}
+    good = results(_tables(spark))
+    assert set(good) == rules | between and set(good.values()) == {"OK"}
+    assert {f"{n} {test}" for n, tests in BAD.items() for test in tests} == rules
+    for first in (True, False):  # one rule of a table broken, its others kept
+        part = {n: {k: v for i, (k, v) in enumerate(tests.items()) if (i == 0) == first} for n, tests in BAD.items()}
+        bad = {k for k, v in results(_tables(spark, part)).items() if v != "OK"}
+        assert bad == {f"{n} {test}" for n, tests in part.items() for test in tests}
+    rows_ = {"dim_company": {"a": {"company_id": "2L"}, "b": {"name": "'M'", "industry": "'Fishing'"}, "c": {"name": "null", "industry": "null"}},
+             "dim_customer": {"a": {"sk_customerid": "2L", "status": "'Inactive'"}}, "dim_account": {"a": {"sk_customerid": "2L"}}}
+    assert {k for k, v in results(_tables(spark, rows_)).items() if v != "OK"} == between
+
+
+def test_rows_lie_in_the_days_of_their_batch(spark):
+    audit = spark.sql("""SELECT * FROM VALUES ('Batch', 1, DATE'2001-01-01', 'FirstDay'), ('Batch', 1, DATE'2001-01-31', 'LastDay'),
+        ('Batch', 2, DATE'2001-02-01', 'FirstDay'), ('Batch', 2, DATE'2001-02-02', 'LastDay') AS a(DataSet, BatchID, Date, Attribute)""")
+
+    def day(name, column, *ok):
+        return spark.createDataFrame(list(ok), f"batch_id int, {column} int")
+
+    versions = spark.sql("SELECT 1 AS batch_id, DATE'2001-01-31' AS effective_date UNION ALL SELECT 2, DATE'2001-02-03'")
+    t = {n: versions for n in ("dim_account", "dim_customer", "dim_security", "dim_company")}
+    t["prospect"] = day("prospect", "sk_recorddateid", (1, 20010101), (2, 20010301), (2, 20010131))
+    t["fact_market"] = day("fact_market", "sk_dateid", (1, 20001231), (2, 20010202))
+    t["fact_cash"] = t["fact_holdings"] = day("fact", "sk_dateid", (1, 20010131), (2, 20010202), (3, 20010202), (1, None))
+    t["fact_watches"] = spark.createDataFrame([(1, 20010105, None), (2, 20001205, 20010201), (3, 20010201, None)],
+                                              "batch_id int, sk_dateid_dateplaced int, sk_dateid_dateremoved int")
+    t["dim_trade"] = spark.createDataFrame([(1, 20010105, None, "Stop Loss"), (2, 20010105, None, "Limit Buy"), (2, 20001205, 20010202, "x"),
+                                            (1, 20010120, 20010119, "x")],
+                                           "batch_id int, sk_createdateid int, sk_closedateid int, type string")
+    bad = {(r.test.split()[0], r.batch_id) for r in AU.audit_windows(t, audit).collect() if r.result != "OK"}
+    assert bad == {*((n, 2) for n in ("dim_account", "dim_customer", "dim_security", "dim_company", "prospect", "fact_market")),
+                   ("fact_cash", 3), ("fact_holdings", 3), ("fact_watches", 3), ("dim_trade", 1)}
+
+
+def test_counts_over_batches_and_snapshots(spark):
+    def log(kind, key, *r):
+        return spark.createDataFrame([(kind, *x) for x in r], f"message_type string, {key}, message_source string, message_text string, message_data string")
+
+    n, j = "Row count", "Row count joined"
+    batches = log("Validation", "batch_id int", *[(b, "fact_cash", n, str(v)) for b, v in ((0, 0), (1, 9), (2, 10), (3, 8))],
+                  *[(b, "fact_cash", j, str(v)) for b, v in ((0, 0), (1, 9), (2, 9), (3, 8))], (1, "industry", n, "4"))
+    got = {(r.test, r.batch_id): r.result for r in AU.audit_trends(batches).collect()}
+    a, b = "Batch row count: fact_cash", "Batch joined row count: fact_cash"
+    assert got == {(a, 1): "OK", (a, 2): "OK", (a, 3): "Not OK", ("Batch row count: industry", 1): "OK", (b, 1): "OK", (b, 2): "Not OK", (b, 3): "OK"}
+    shots = log("Visibility_1", "snapshot_ts int", (1, "fact_cash", n, "5"), (1, "fact_cash", j, "5"), (2, "fact_cash", n, "7"), (2, "fact_cash", j, "6"),
+                (1, "fact_watches", n, "10"), (1, "fact_watches", j, "10"), (2, "fact_watches", n, "9"), (2, "fact_watches", j, "9"), (3, "fact_watches", n, "10"),
+                (3, "fact_watches", j, "10"))
+    got = {r.test: r.result for r in AU.audit_trends(batches, shots).collect() if r.test.startswith("Data")}
+    v, w = "Data visibility row counts: ", "Data visibility joined row counts: "
+    assert got == {v + "fact_cash": "OK", w + "fact_cash": "Not OK", v + "fact_watches": "Not OK", w + "fact_watches": "OK"}
