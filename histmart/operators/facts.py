@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from histmart.session import tasks_for
+
 
 def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -82,7 +84,7 @@ def running_balance(daily: DataFrame, key, day_col: str = "day", amount: str = "
 
 
 def rolling_extremes(daily: DataFrame, key, day_col: str, high: str, low: str,
-                     days: int = 365, prefix: str = "") -> DataFrame:
+                     days: int = 365, prefix: str = "", tasks: int | None = None) -> DataFrame:
     """Rolling ``days``-day max of ``high`` and min of ``low``, with the latest
     date holding each extreme inside the frame (W4-W6, rule D13); null values
     hold none.
@@ -92,12 +94,14 @@ def rolling_extremes(daily: DataFrame, key, day_col: str, high: str, low: str,
     start is a running one in day order.  That over the end is a running one
     in reverse order, read at the frame's first day: each row puts a question
     there, after the values of that day.  So a row costs two running windows,
-    however many days a frame holds; both use one exchange by key.
+    however many days a frame holds; both use one exchange by key, into
+    ``tasks`` partitions (by default as many as the number of rows asks for).
     """
     key = _cols(key)
+    tasks = tasks or tasks_for(daily)
     dn = F.unix_date(F.col(day_col))
     # latest of equal extremes: the larger day for a high, the smaller negative day for a low
-    d = daily.repartition(*key).withColumns({
+    d = daily.repartition(tasks, *key).withColumns({
         "__dn": dn, "__block": F.floor(dn / days),
         "__h": F.when(F.col(high).isNotNull(), F.struct(F.col(high).alias("v"), F.col(day_col).alias("d"))),
         "__l": F.when(F.col(low).isNotNull(), F.struct(F.col(low).alias("v"), (-dn).alias("nd"), F.col(day_col).alias("d")))})

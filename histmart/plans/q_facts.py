@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from histmart.operators import facts as FX
 from histmart.operators.cdc import latest_per_key
 from histmart.plans.registry import query, table
+from histmart.session import tasks_for
 
 # --- G11 lifecycle collapse -------------------------------------------------
 
@@ -61,17 +62,22 @@ roll AS (
                RANGE BETWEEN INTERVAL 364 DAYS PRECEDING AND CURRENT ROW))"""
 
 
-def _market_daily(spark, sf_dir):
+def _market_extremes(spark, sf_dir):
+    """Lines are dealt by part and day before they are grouped, so neither a
+    task's groups nor its windows grow with the table."""
     li = table(spark, sf_dir, "lineitem")
+    tasks = tasks_for(li)
     price = F.col("l_extendedprice").cast("decimal(15,2)")
-    return li.groupBy("l_partkey", F.col("l_shipdate").cast("date").alias("day")).agg(
-        F.max(price).alias("day_high"), F.min(price).alias("day_low"))
+    day = F.col("l_shipdate").cast("date")
+    daily = li.select("l_partkey", day.alias("day"), price.alias("price")).repartition(tasks, "l_partkey", "day") \
+        .groupBy("l_partkey", "day").agg(F.max("price").alias("day_high"), F.min("price").alias("day_low"))
+    return FX.rolling_extremes(daily, "l_partkey", "day", "day_high", "day_low", tasks=tasks)
 
 
 @query("rolling_high_low", "WITH " + _MARKET_SQL + """
 SELECT l_partkey, day, day_high, day_low, high_365, low_365 FROM roll""")
 def q_rolling_high_low(spark, sf_dir):
-    r = FX.rolling_extremes(_market_daily(spark, sf_dir), "l_partkey", "day", "day_high", "day_low")
+    r = _market_extremes(spark, sf_dir)
     return r.select("l_partkey", "day", "day_high", "day_low", "high_365", "low_365")
 
 
@@ -85,7 +91,7 @@ SELECT r.l_partkey, r.day, r.high_365,
 FROM roll r""")
 def q_rolling_extreme_date(spark, sf_dir):
     """Latest date holding the rolling high / low inside the 365-day frame."""
-    r = FX.rolling_extremes(_market_daily(spark, sf_dir), "l_partkey", "day", "day_high", "day_low")
+    r = _market_extremes(spark, sf_dir)
     return r.select("l_partkey", "day", "high_365", F.col("high_365_date"),
                     "low_365", F.col("low_365_date"))
 

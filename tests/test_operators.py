@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -210,3 +211,32 @@ def test_rolling_extremes_equal_brute_force(spark):
             r = got[k, day]
             assert (r[f"high_{days}"], r[f"high_{days}_date"], r.other) == (*high, other)
             assert (r[f"low_{days}"], r[f"low_{days}_date"]) == (low[0], low[1] and dt.date.fromordinal(-low[1]))
+
+
+def _market_dir(spark, tmp_path):
+    """1200 lines of 30 parts in a table of their own."""
+    spark.range(1200).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 30).alias("l_partkey"), (F.col("id") % 4).alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        F.lit(2.0).alias("l_quantity"), (F.col("id") % 97 + 1).cast("double").alias("l_extendedprice"),
+        F.date_add(F.lit("1995-01-01").cast("date"), (F.col("id") % 700).cast("int")).cast("timestamp_ntz").alias("l_shipdate")) \
+        .write.parquet(str(tmp_path / "lineitem.parquet"))
+    return str(tmp_path)
+
+
+def _tasks(monkeypatch, rows):
+    from histmart import session
+    monkeypatch.setattr(session, "ROWS_A_TASK", rows)
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    from histmart.session import tasks_for
+    _tasks(monkeypatch, 100)
+    assert tasks_for(spark.range(1001)) == 11
+    assert tasks_for(spark.range(5)) == spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("name", ["rolling_high_low", "rolling_extreme_date"])
+def test_rolling_tasks_grow_with_the_lines(spark, tmp_path, monkeypatch, name):
+    import __spark_entry__ as E
+    _tasks(monkeypatch, 100)
+    assert E.queries()[name](spark, _market_dir(spark, tmp_path)).rdd.getNumPartitions() == 12
