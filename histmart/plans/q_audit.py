@@ -16,6 +16,7 @@ from histmart.plans.q_cdc import trade_batches
 from histmart.plans.q_history import _VER_SQL, priority_versions
 from histmart.plans.q_quality import _ALL_ALERTS_SQL, alerts_all_df
 from histmart.plans.registry import query, table
+from histmart.session import tasks_for
 
 # --- Q6 orphan references ------------------------------------------------------------
 
@@ -213,10 +214,13 @@ def q_check_price_order(spark, sf_dir):
     from histmart.operators.facts import rolling_extremes
     li = table(spark, sf_dir, "lineitem")
     price = F.col("l_extendedprice").cast("decimal(15,2)")
-    daily = li.groupBy("l_partkey", F.col("l_shipdate").cast("date").alias("day")).agg(
-        F.max(price).alias("day_high"), F.min(price).alias("day_low"),
-        F.max_by(price, F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("close"))
-    r = rolling_extremes(daily, "l_partkey", "day", "day_high", "day_low")
+    tasks = tasks_for(li)
+    lines = li.select("l_partkey", F.col("l_shipdate").cast("date").alias("day"), price.alias("price"),
+                      (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("line"))
+    # dealt before they are grouped: a task's groups don't grow with the table
+    daily = lines.repartition(tasks, "l_partkey", "day").groupBy("l_partkey", "day").agg(
+        F.max("price").alias("day_high"), F.min("price").alias("day_low"), F.max_by("price", "line").alias("close"))
+    r = rolling_extremes(daily, "l_partkey", "day", "day_high", "day_low", tasks=tasks)
     return CK.count_violations(r, {
         "low_le_daylow": F.col("low_365") <= F.col("day_low"),
         "daylow_le_close": F.col("day_low") <= F.col("close"),

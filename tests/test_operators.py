@@ -240,3 +240,10 @@ def test_rolling_tasks_grow_with_the_lines(spark, tmp_path, monkeypatch, name):
     import __spark_entry__ as E
     _tasks(monkeypatch, 100)
     assert E.queries()[name](spark, _market_dir(spark, tmp_path)).rdd.getNumPartitions() == 12
+
+
+def test_price_order_tasks_grow_with_the_lines(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as E
+    _tasks(monkeypatch, 100)
+    plan = E.queries()["check_price_order"](spark, _market_dir(spark, tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2 and "hashpartitioning(l_partkey#" in plan and ", 12), REPARTITION_BY_NUM" in plan
