@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from histmart.functions.clean import VALID_SP_RATINGS
 from histmart.plans.registry import table
+from histmart.session import tasks_for
 from histmart.sources import schemas as S
 
 # Three invalid ratings appended to the 22 valid ones so that
@@ -465,9 +466,11 @@ def market_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily market rows per part and ship day (DailyMarket.txt shape)."""
     li = table(spark, sf_dir, "lineitem")
     price = F.col("l_extendedprice").cast("decimal(15,2)")
-    d = li.groupBy("l_partkey", F.col("l_shipdate").cast("date").alias("DM_DATE")).agg(
-        F.max_by(price, F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("DM_CLOSE"),
-        F.max(price).alias("DM_HIGH"), F.min(price).alias("DM_LOW"),
+    lines = li.select("l_partkey", F.col("l_shipdate").cast("date").alias("DM_DATE"), price.alias("price"), "l_quantity",
+                      (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("line"))
+    # dealt before they are grouped: a task's groups don't grow with the table
+    d = lines.repartition(tasks_for(li), "l_partkey", "DM_DATE").groupBy("l_partkey", "DM_DATE").agg(
+        F.max_by("price", "line").alias("DM_CLOSE"), F.max("price").alias("DM_HIGH"), F.min("price").alias("DM_LOW"),
         F.sum("l_quantity").cast("long").alias("DM_VOL"))
     return d.select("DM_DATE", F.concat(F.lit("S"), padded(F.col("l_partkey"), 9))
                     .alias("DM_S_SYMB"), "DM_CLOSE", "DM_HIGH", "DM_LOW", "DM_VOL")

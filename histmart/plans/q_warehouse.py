@@ -14,7 +14,7 @@ from histmart.plans import adapter as A
 from histmart.plans import warehouse as W
 from histmart.plans.q_sources import _ACTIONS_SQL, _VALID_SQL, CMP_SQL, FIN_SQL, SEC_SQL
 from histmart.plans.registry import query, table
-from histmart.session import materialize
+from histmart.session import materialize, tasks_for
 from histmart.sources import readers as R
 
 BATCH_DATE = "2000-01-01"
@@ -500,7 +500,7 @@ def q_fact_market(spark, sf_dir):
     company = build_company(spark, sf_dir, parsed)
     security = build_security(spark, sf_dir, company, parsed)
     financial = build_financial(spark, sf_dir, company, parsed)
-    return W.fact_market(A.market_records(spark, sf_dir), security, company, financial)
+    return W.fact_market(A.market_records(spark, sf_dir), security, company, financial, tasks_for(table(spark, sf_dir, "lineitem")))
 
 
 # --- T17 watches ------------------------------------------------------------------------------

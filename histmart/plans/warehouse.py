@@ -378,21 +378,23 @@ def fact_holdings(holdings: DataFrame, trade: DataFrame) -> DataFrame:
 
 # --- T16 market history ------------------------------------------------------------------
 
-def fact_market(market: DataFrame, security: DataFrame, company: DataFrame, financial: DataFrame) -> DataFrame:
+def fact_market(market: DataFrame, security: DataFrame, company: DataFrame, financial: DataFrame,
+                tasks: int | None = None) -> DataFrame:
     """Daily market rows with 52-week (365-day) high/low and their dates
     (W4-W6), security/company versions of the day (J4), yield and P/E on
     the company's trailing four quarters of EPS (W7, J11 as equi key on the
-    prior quarter start, rule D19: joined on the company id)."""
-    r = FX.rolling_extremes(market, "DM_S_SYMB", "DM_DATE", "DM_HIGH", "DM_LOW", days=365)
+    prior quarter start, rule D19: joined on the company id).  ``tasks``: as
+    in ``rolling_extremes``."""
+    r = FX.rolling_extremes(market, "DM_S_SYMB", "DM_DATE", "DM_HIGH", "DM_LOW", days=365, tasks=tasks)
     if "__new" in market.columns:  # look-back rows of earlier batches only feed the windows (D9)
         r = r.where(F.col("__new")).drop("__new")
     sec = security.select("symbol", "sk_securityid", "sk_companyid", "dividend", "effective_date", "end_date")
+    # company id behind the security's company surrogate: one join of versions, none of the daily rows
+    cid = company.select(F.col("sk_companyid").alias("__csk"), F.col("company_id").alias("__cid"))
+    sec = sec.join(cid, sec.sk_companyid == cid.__csk, "left").drop("__csk")
     r = L.asof_lookup(r, sec, "DM_S_SYMB", "symbol", "DM_DATE",
-                      dim_cols=["sk_securityid", "sk_companyid", "dividend", "effective_date", "end_date"]) \
+                      dim_cols=["sk_securityid", "sk_companyid", "dividend", "__cid", "effective_date", "end_date"]) \
         .drop("effective_date", "end_date")
-    # company id behind the security's company surrogate
-    cid = company.select(F.col("sk_companyid").alias("__csk"), F.col("company_id").alias("__cid"))
-    r = r.join(cid, r.sk_companyid == cid.__csk, "left").drop("__csk")
     fin = financial.join(company.select("sk_companyid", "company_id"), "sk_companyid") \
         .groupBy("company_id", "fi_qtr_start_date").agg(F.sum("fi_basic_eps").alias("eps"))
     fin = FX.trailing_sum(fin, "company_id", ["fi_qtr_start_date"], "eps", rows=4, out="eps_4q")

@@ -247,3 +247,9 @@ def test_price_order_tasks_grow_with_the_lines(spark, tmp_path, monkeypatch):
     _tasks(monkeypatch, 100)
     plan = E.queries()["check_price_order"](spark, _market_dir(spark, tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_NUM") == 2 and "hashpartitioning(l_partkey#" in plan and ", 12), REPARTITION_BY_NUM" in plan
+
+
+def test_market_rows_tasks_grow_with_the_lines(spark, tmp_path, monkeypatch):
+    from histmart.plans import adapter as A
+    _tasks(monkeypatch, 100)
+    assert A.market_records(spark, _market_dir(spark, tmp_path)).rdd.getNumPartitions() == 12
