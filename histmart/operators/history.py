@@ -97,25 +97,39 @@ def _default_chunk(df: DataFrame, col: str) -> Column:
     return F.lit(0)
 
 
+# rows of one key that a task sorts whole; keys with more are filled in chunks
+HOT_ROWS = 100_000
+
+
 def carry_forward(df: DataFrame, key, order: Sequence[str], cols: Sequence[str],
-                  chunk: Column | None = None) -> DataFrame:
+                  chunk: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Fill each column with the latest non-null value seen so far for the key.
 
     An absent field (null) takes the running state; an empty string is a value
     and is kept (W8).  Turn '' to null *after* this step when needed.
 
-    A segmented prefix scan in chunks (default: the day of a temporal first
-    ordering column, or blocks of an integral one), so no task sorts all rows
-    of a hot key:
+    Keys of at most ``hot_rows`` rows cost one shuffle and one sort.  Others
+    take a segmented prefix scan in chunks (default: the day of a temporal
+    first ordering column, or blocks of an integral one), so no task sorts all
+    rows of a hot key:
     1. last non-null per (key, chunk) - a map-side aggregate;
     2. state before each chunk - a window over chunk-level rows per key;
     3. fill inside each (key, chunk), falling back to that state.
+    Rows whose key is null have no key to share a state by: they are filled
+    inside their chunk.
     """
     key = _cols(key)
     chunk = chunk if chunk is not None else _default_chunk(df, order[0])
-    d = df.withColumn("__chunk", chunk)
+    # at most one in hot_rows of the rows: bounded for a broadcast
+    hot = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows) \
+            .select(*[F.col(k).alias(f"__h_{k}") for k in key], F.lit(True).alias("__hot"))
+    d = df.join(F.broadcast(hot), [F.col(k) == F.col(f"__h_{k}") for k in key], "left").drop(*[f"__h_{k}" for k in key])
+    unkeyed = F.lit(False)
+    for k in key:
+        unkeyed = unkeyed | F.col(k).isNull()
+    d = d.withColumn("__chunk", F.when(F.col("__hot") | unkeyed, chunk))
     o = F.struct(*[F.col(c) for c in order])
-    per_chunk = d.groupBy(*key, "__chunk").agg(
+    per_chunk = d.where(F.col("__hot")).groupBy(*key, "__chunk").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), o)).alias(f"__l_{c}") for c in cols])
     before = Window.partitionBy(*key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     state = per_chunk.select(*[F.col(k).alias(f"__k_{k}") for k in key], F.col("__chunk").alias("__c"),

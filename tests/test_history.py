@@ -163,3 +163,29 @@ def test_asof_strategies_agree_on_long_version_lists(spark):
     for strategy in ("join", "carry"):
         out = L.asof_lookup(fact, dim, "k", "k", "d", strategy=strategy, dim_cols=["v", "effective_date", "end_date"])
         assert rows(out, "id", "v") == expected
+
+
+def test_carry_forward_hot_and_other_keys_agree(spark):
+    """Keys over the limit are filled in chunks, others in one window; both give the running state."""
+    n = 60
+    data = [(k, dt.datetime(2020, 1, 1) + dt.timedelta(hours=7 * i), f"v{i}" if i % 5 == 0 else None, i if (i + k) % 7 == 0 else None)
+            for k, rows_ in ((1, n), (2, 8)) for i in range(rows_)] + [(None, dt.datetime(2020, 1, 1), "x", None), (None, dt.datetime(2020, 1, 1, 1), None, 5)]
+    df = spark.createDataFrame(data, "k long, ts timestamp, v string, w long")
+    want, state = [], {}
+    for k, ts, v, w in data:
+        old = state.get(k, (None, None))
+        state[k] = (v if v is not None else old[0], w if w is not None else old[1])
+        want.append((k, ts, *state[k]))
+    order = lambda x: (x[0] is not None, x[0] or 0, x[1])
+    for limit in (1, 20, 1000):  # all keys hot, one of them, none
+        out = H.carry_forward(df, "k", ["ts"], ["v", "w"], hot_rows=limit)
+        assert sorted((tuple(r) for r in out.collect()), key=order) == sorted(want, key=order)
+
+
+def test_carry_forward_without_hot_keys_shuffles_the_rows_once(spark):
+    df = spark.range(500).select((F.col("id") % 50).alias("k"), F.col("id").alias("seq"), F.when(F.col("id") % 3 == 0, F.col("id")).alias("v"))
+    out = H.carry_forward(df, "k", ["seq"], ["v"])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # the count by key and the rows; no join with states of chunks is left
+    assert plan.count("+- Exchange hashpartitioning") <= 2 and "SortMergeJoin" not in plan
