@@ -70,15 +70,29 @@ def change_detect(df: DataFrame, key, order: Sequence[str], attrs: Sequence[str]
 def scd2_intervals(df: DataFrame, key, eff: str, order: Sequence[str] = (),
                    attrs: Sequence[str] | None = None,
                    eff_col: str = "effective_date", end_col: str = "end_date",
-                   current_col: str = "is_current") -> DataFrame:
+                   current_col: str = "is_current", whole: bool = False) -> DataFrame:
     """Turn records of a business key into half-open versions.
 
     1. last record of each day wins (D15);
     2. with ``attrs``, a record only opens a version when it differs from the
        previous kept one (W2, null-safe);
     3. ``end`` is the next version's start, else 9999-12-31; current = open.
+
+    ``whole`` says that a task may sort all records of a key (``whole_keys``).
+    Without ``attrs`` the record after tells then whether one is the last of
+    its day, and where its version ends: no aggregate, and the shuffle and
+    sort are those of a ``carry_forward`` in the same order.
     """
     key = _cols(key)
+    if whole and not attrs:
+        day = F.to_date(F.col(eff))
+        w = Window.partitionBy(*key).orderBy(eff, *order)
+        # a struct: the day after may be null, as may be the whole record after
+        out = df.withColumn("__next", F.lead(F.struct(day.alias("day"))).over(w))
+        out = out.where(F.col("__next").isNull() | ~F.col("__next.day").eqNullSafe(day))
+        out = out.withColumns({eff_col: day, end_col: F.coalesce("__next.day", _eot())}).drop("__next")
+        out = out.select(*key, *[c for c in out.columns if c not in key])
+        return out.withColumn(current_col, F.col(end_col) == _eot())
     out = consolidate_day(df, key, eff, order).withColumn(eff_col, F.to_date(F.col(eff)))
     if attrs:
         out = change_detect(out, key, [eff_col], attrs)
@@ -101,14 +115,29 @@ def _default_chunk(df: DataFrame, col: str) -> Column:
 HOT_ROWS = 100_000
 
 
+def whole_keys(df: DataFrame, key, hot_rows: int = HOT_ROWS) -> bool:
+    """True when every row of ``df`` has a key and no key more than ``hot_rows``
+    rows, so that a task may sort all rows of a key.  A job of its own, which
+    reads the key columns only."""
+    key = _cols(key)
+    unkeyed = F.lit(False)
+    for k in key:
+        unkeyed = unkeyed | F.col(k).isNull()
+    n = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    return n.where(unkeyed | (F.col("__n") > hot_rows)).isEmpty()
+
+
 def carry_forward(df: DataFrame, key, order: Sequence[str], cols: Sequence[str],
-                  chunk: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                  chunk: Column | None = None, hot_rows: int = HOT_ROWS, whole: bool | None = None) -> DataFrame:
     """Fill each column with the latest non-null value seen so far for the key.
 
     An absent field (null) takes the running state; an empty string is a value
     and is kept (W8).  Turn '' to null *after* this step when needed.
 
-    Keys of at most ``hot_rows`` rows cost one shuffle and one sort.  Others
+    If ``whole_keys`` (``whole``, if the caller has asked) rows take one
+    shuffle and one window by key, which leaves them dealt and sorted by key
+    for what follows.  Otherwise keys of at most ``hot_rows`` rows cost one
+    shuffle and one sort.  Others
     take a segmented prefix scan in chunks (default: the day of a temporal
     first ordering column, or blocks of an integral one), so no task sorts all
     rows of a hot key:
@@ -119,6 +148,10 @@ def carry_forward(df: DataFrame, key, order: Sequence[str], cols: Sequence[str],
     inside their chunk.
     """
     key = _cols(key)
+    if whole_keys(df, key, hot_rows) if whole is None else whole:
+        so_far = (Window.partitionBy(*key).orderBy(*[F.col(c) for c in order])
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(so_far) for c in cols})
     chunk = chunk if chunk is not None else _default_chunk(df, order[0])
     # at most one in hot_rows of the rows: bounded for a broadcast
     hot = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows) \

@@ -242,12 +242,11 @@ def action_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _attr(name: str, c: Column) -> Column:
-    return F.when(c.isNotNull(), F.concat(F.lit(f' {name}="'), c.cast("string"), F.lit('"'))).otherwise(F.lit(""))
+    return F.coalesce(F.concat(F.lit(f' {name}="'), c.cast("string"), F.lit('"')), F.lit(""))
 
 
 def _elem(name: str, c: Column) -> Column:
-    return F.when(c.isNotNull(), F.concat(F.lit(f"<{name}>"), c.cast("string"), F.lit(f"</{name}>"))) \
-            .otherwise(F.lit(""))
+    return F.coalesce(F.concat(F.lit(f"<{name}>"), c.cast("string"), F.lit(f"</{name}>")), F.lit(""))
 
 
 def _group(name: str, *elems: Column) -> Column:
@@ -302,9 +301,10 @@ def action_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         _account_elements(), F.lit("</Customer></Action>"))
     # XML parsing is CPU-bound per row while the text is small in bytes, so
     # AQE would coalesce it into very few tasks: spread it over the shuffle
-    # partitions (an explicit count is kept by AQE)
+    # partitions (an explicit count is kept by AQE), by hash: dealing them out
+    # in turn would sort the texts first
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return a.select(xml.alias("value"), col("o_orderkey").alias("seq")).repartition(n)
+    return a.select(xml.alias("value"), col("o_orderkey").alias("seq")).repartition(n, "seq", "value")
 
 
 # --- orders as delimited text -----------------------------------------------------

@@ -14,7 +14,7 @@ from histmart.plans import adapter as A
 from histmart.plans import warehouse as W
 from histmart.plans.q_sources import _ACTIONS_SQL, _VALID_SQL, CMP_SQL, FIN_SQL, SEC_SQL
 from histmart.plans.registry import query, table
-from histmart.session import materialize, tasks_for
+from histmart.session import compiled_methods, materialize, tasks_for
 from histmart.sources import readers as R
 
 BATCH_DATE = "2000-01-01"
@@ -50,7 +50,8 @@ def build_financial(spark, sf_dir, company=None, parsed=None):
 
 def _actions(spark, sf_dir):
     """Parsed customer actions feed customer and account: staged once."""
-    return materialize(R.parse_actions(A.action_xml(spark, sf_dir), "value", "seq"), "actions")
+    with compiled_methods(spark):
+        return materialize(R.parse_actions(A.action_xml(spark, sf_dir), "value", "seq"), "actions")
 
 
 def build_customer(spark, sf_dir, actions=None):

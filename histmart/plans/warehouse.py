@@ -17,6 +17,7 @@ from histmart.operators import facts as FX
 from histmart.operators import history as H
 from histmart.operators import lookup as L
 from histmart.operators.keys import assign_keys
+from histmart.session import compiled_methods
 
 EOT = H.END_OF_TIME
 
@@ -217,6 +218,11 @@ def _clean_customer(df: DataFrame) -> DataFrame:
 def customer_states(actions: DataFrame) -> DataFrame:
     """Customer actions in time order with absent fields filled from the
     running state (W8, rule D2); empty ones are values until after the fill."""
+    return _customer_states(actions)[0]
+
+
+def _customer_states(actions: DataFrame) -> tuple[DataFrame, bool]:
+    """The states, and whether a task may sort all of a customer's."""
     col = F.col
     sent = {
         "tax_id": col("Customer._C_TAX_ID"), "last_name": col("Customer.Name.C_L_NAME"), "first_name": col("Customer.Name.C_F_NAME"),
@@ -230,7 +236,8 @@ def customer_states(actions: DataFrame) -> DataFrame:
     a = actions.where(col("_ActionType").isin("NEW", "UPDCUST", "INACT")).select(
         col("Customer._C_ID").alias("customer_id"), col("_ActionTS").alias("ts"), col("_ActionType").alias("action"), "seq",
         *[c.alias(n) for n, c in sent.items()])
-    return _clean_customer(H.carry_forward(a, "customer_id", ["ts", "seq"], CUSTOMER_FILLED))
+    whole = H.whole_keys(a, "customer_id")
+    return _clean_customer(H.carry_forward(a, "customer_id", ["ts", "seq"], CUSTOMER_FILLED, whole=whole)), whole
 
 
 def tax_lookups(df: DataFrame, tax_rates: DataFrame) -> DataFrame:
@@ -262,12 +269,15 @@ def match_prospects(people: DataFrame, earlier: DataFrame, this_batch: DataFrame
 def dim_customer(actions: DataFrame, tax_rates: DataFrame, prospects: DataFrame) -> DataFrame:
     """One version per action day (last action of a day wins), no change test;
     ``prospects`` are ``prospect_rows``, matched by current versions only (D1)."""
-    s = customer_states(actions)
-    v = tax_lookups(H.scd2_intervals(s, "customer_id", "ts", order=["seq"]), tax_rates)
+    s, whole = _customer_states(actions)
+    v = tax_lookups(H.scd2_intervals(s, "customer_id", "ts", order=["seq"], whole=whole), tax_rates)
+    # numbered first: a person has one prospect, and both kinds of versions are read from the numbered stage
+    with compiled_methods(actions.sparkSession):
+        v = assign_keys(v, ["customer_id", "effective_date"], "sk_customerid")
     current = match_prospects(v.where("is_current"), prospects)
     closed = v.where("not is_current").select("*", *[F.lit(None).cast(current.schema[c].dataType).alias(c) for c in CUSTOMER_LOOKED_UP[4:]])
-    v = closed.unionByName(current).select("customer_id", *CUSTOMER_ATTRS, "is_current", F.lit(1).alias("batch_id"), "effective_date", "end_date")
-    return assign_keys(v, ["customer_id", "effective_date"], "sk_customerid")
+    return closed.unionByName(current).select("customer_id", *CUSTOMER_ATTRS, "is_current", F.lit(1).alias("batch_id"), "effective_date", "end_date",
+                                              "sk_customerid")
 
 
 # --- T10 account -----------------------------------------------------------------------
@@ -277,6 +287,10 @@ ACCOUNT_OWN = ("NEW", "ADDACCT", "UPDACCT", "CLOSEACCT")
 
 
 def account_states(actions: DataFrame) -> DataFrame:
+    return _account_states(actions)[0]
+
+
+def _account_states(actions: DataFrame) -> tuple[DataFrame, bool]:
     """The state of every account after each action that reaches it.
 
     Two streams are replayed as one.  An account's own actions (NEW, ADDACCT,
@@ -286,6 +300,9 @@ def account_states(actions: DataFrame) -> DataFrame:
     nothing but the status of INACT.  Fields that aren't sent come from the
     account's running state.  The customer stream meets its accounts by an
     equi join on the customer, a row for each version the account gets.
+
+    Also given: whether a task may sort all states of an account.  These are
+    at most its own actions and those on the one customer that opened it.
     """
     from histmart.sources.readers import explode_accounts
 
@@ -300,20 +317,23 @@ def account_states(actions: DataFrame) -> DataFrame:
         "account_id", "ts", "seq", "action", F.lit(None).cast("long").alias("customer_id"), F.lit(None).cast("string").alias("account_desc"),
         F.lit(None).cast("int").alias("tax_status"), F.lit(None).cast("long").alias("broker_id"),
         F.when(F.col("action") == "INACT", "INACTIVE").alias("status"))
-    filled = H.carry_forward(own.unionByName(reached), "account_id", ["ts", "seq"], ACCOUNT_FILLED)
-    return filled.withColumn("account_desc", CL.blank_to_null("account_desc"))
+    whole = all(H.whole_keys(df, key, H.HOT_ROWS // 2) for df, key in ((own, "account_id"), (of_customer, "customer_id")))
+    filled = H.carry_forward(own.unionByName(reached), "account_id", ["ts", "seq"], ACCOUNT_FILLED, whole=whole)
+    return filled.withColumn("account_desc", CL.blank_to_null("account_desc")), whole
 
 
 def dim_account(actions: DataFrame, customer: DataFrame, broker: DataFrame) -> DataFrame:
     """One version per account and day on which an action reaches it (the last
     of a day wins, D15), with the customer and the broker version in force."""
-    v = H.scd2_intervals(account_states(actions), "account_id", "ts", order=["seq"])
+    states, whole = _account_states(actions)
+    v = H.scd2_intervals(states, "account_id", "ts", order=["seq"], whole=whole)
     for dim, key, sk in ((customer, "customer_id", "sk_customerid"), (broker, "broker_id", "sk_brokerid")):
         d = dim.select(F.col(key).alias("__key"), sk, F.col("effective_date").alias("__eff"), F.col("end_date").alias("__end"))
         v = L.asof_lookup(v, d, key, "__key", "effective_date", eff="__eff", end="__end", how="left", dim_cols=[sk, "__eff", "__end"]).drop("__eff", "__end")
     v = v.select("account_id", "sk_brokerid", "sk_customerid", "status", "account_desc", "tax_status",
                  "is_current", F.lit(1).alias("batch_id"), "effective_date", "end_date")
-    return assign_keys(v, ["account_id", "effective_date"], "sk_accountid")
+    with compiled_methods(actions.sparkSession):
+        return assign_keys(v, ["account_id", "effective_date"], "sk_accountid")
 
 
 # --- T12 trade ----------------------------------------------------------------------------

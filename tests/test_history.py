@@ -189,3 +189,45 @@ def test_carry_forward_without_hot_keys_shuffles_the_rows_once(spark):
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     # the count by key and the rows; no join with states of chunks is left
     assert plan.count("+- Exchange hashpartitioning") <= 2 and "SortMergeJoin" not in plan
+
+
+def _filled_versions(spark, whole, hot_rows=None):
+    data = [(1, None, "b", None), (1, T(2020, 1, 1, 9), "a", None), (1, T(2020, 1, 1, 17), None, 3), (1, T(2020, 1, 1, 17), None, 3),
+            (1, T(2020, 1, 5, 8), None, None), (2, T(2020, 1, 3), "", 1), (2, T(2020, 1, 2), "x", None), (3, None, None, 7), (3, None, None, 7)]
+    df = spark.createDataFrame([(*x, i % 7) for i, x in enumerate(data)], "k long, ts timestamp, v string, w int, seq int").repartition(3)
+    filled = H.carry_forward(df, "k", ["ts", "seq"], ["v", "w"], whole=whole)
+    return H.scd2_intervals(filled, "k", "ts", order=["seq"], whole=whole)
+
+
+def test_filled_versions_of_whole_keys_take_one_shuffle(spark):
+    chunked, whole = _filled_versions(spark, False), _filled_versions(spark, True)
+    assert whole.columns == chunked.columns and whole.dtypes == chunked.dtypes
+    assert sorted(map(str, whole.collect())) == sorted(map(str, chunked.collect()))
+    assert whole.count() == 6  # a day that isn't known is a day; the last of each stays
+    plan = whole._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Aggregate" not in plan
+    assert plan.count("Sort [") == 1
+
+
+def test_whole_keys_are_those_that_a_task_may_sort(spark):
+    df = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (2, 2)], "k long, j long")
+    assert H.whole_keys(df, "k", 2) and not H.whole_keys(df, "k", 1)
+    assert not H.whole_keys(df, ["k", "j"], 1) and H.whole_keys(df, ["k", "j"], 2)
+    assert not H.whole_keys(df.unionByName(spark.createDataFrame([(None, 1)], "k long, j long")), ["j", "k"], 9)
+
+
+def test_large_methods_are_left_out_for_a_block(spark):
+    from histmart.session import compiled_methods
+
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    with compiled_methods(spark):
+        assert spark.conf.get(name) == "8000"
+    assert spark.conf.get(name) == before
+    spark.conf.set(name, "9000")
+    try:
+        with compiled_methods(spark):
+            assert spark.conf.get(name) == "9000"
+        assert spark.conf.get(name) == "9000"
+    finally:
+        spark.conf.unset(name)
