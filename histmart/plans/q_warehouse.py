@@ -619,9 +619,10 @@ def q_dim_account_cdc(spark, sf_dir):
     actions = _actions(spark, sf_dir)
     before, customer, first, second = _first_batch(spark, sf_dir, actions)
     broker = build_broker(spark, sf_dir)
-    base = materialize(W.dim_account(before, customer, broker), "accounts")
+    base = W.dim_account(before, customer, broker)  # read from its numbered stage
     customer2 = build_customer_cdc(spark, sf_dir, actions, customer, first, second).where("is_current")
-    rows = R.parse_delimited(A.account_cdc_text(W.account_states(actions), B2_LO, B2_HI), "value", S.ACCOUNT_CDC)
+    # the rows decide which accounts change, as the batch sends them and as they were: staged once
+    rows = materialize(R.parse_delimited(A.account_cdc_text(W.account_states(actions), B2_LO, B2_HI), "value", S.ACCOUNT_CDC), "account_rows")
     current = base.where("is_current")
     accounts = W.account_changes(current, customer.where("is_current"), broker, rows)
     merged = W.dim_account_cdc(current, accounts, customer2, broker, B2_DATE, 2, base.agg(F.max("sk_accountid")))
