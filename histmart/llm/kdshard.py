@@ -17,6 +17,9 @@ the largest point allows.
 A median is found by histograms: 4096 bins over the key range of every node,
 a grouped sum for all nodes at once, then again within the bin that holds the
 median.  The driver sees one row for each node, at most as many as shards.
+Every level's nodes are written with the points: a node's number refers to its
+parent's several times over, so a plan over all levels would grow by a factor
+with each of them, and with it the driver's memory.
 
 Null texts have no bytes, null sources and languages come first in their
 dimension, repeated rows are copies like any other.
@@ -27,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from histmart.llm.tables import release
 from histmart.operators.keys import assign_keys
 from histmart.session import materialize, temporary_tables
 
@@ -123,6 +127,7 @@ def _cuts(p: DataFrame, wanted: list[float], dims: list[int]) -> list[int]:
 
 def _kd_tree(rows: DataFrame, n_shards: int) -> tuple[DataFrame, int]:
     points, count = _points(rows, n_shards)
+    release(rows.sparkSession)
     p = points.withColumn("_node", F.lit(0))
     leaves = [n_shards]
     while max(leaves) > 1:
@@ -141,6 +146,9 @@ def _kd_tree(rows: DataFrame, n_shards: int) -> tuple[DataFrame, int]:
         second = (key > _pick(cuts, F.col("_node"), "long")) & _pick([m > 1 for m in leaves], F.col("_node"), "boolean")
         p = p.withColumn("_node", (_pick(first, F.col("_node"), "int") + second.cast("int")).cast("int"))
         leaves = children
+        if max(leaves) > 1:
+            p = materialize(p, "kd-level")
+        release(p.sparkSession)
     return p.select("_h", "_salt", F.col("_node").alias("shard")), count
 
 

@@ -304,6 +304,23 @@ def test_shard_bytes_equal_a_tree_by_sorting(spark):
         assert all(abs(size[i] - w) <= 2 * most for i, w in enumerate(want)), (size, want)
 
 
+def test_plans_do_not_grow_with_the_levels_of_the_tree(spark, monkeypatch):
+    sizes, cuts = [], kdshard._cuts
+
+    def seen(p, *a):
+        sizes.append(len(p.where("_node = 1")._jdf.queryExecution().optimizedPlan().toString()))
+        return cuts(p, *a)
+    monkeypatch.setattr(kdshard, "_cuts", seen)
+    rows = [(i, "x" * (40 + 3 * i), "en", "a", 0) for i in range(200)]
+    got = _shards(spark, rows, 16)
+    assert len(sizes) == 4 and max(sizes[1:]) <= 1.2 * sizes[1]
+    size = collections.Counter()
+    for r in got.collect():
+        size[r["shard"]] += r["size"]
+    want = _by_sorting([(len(r[1]) + 1, 0, 0, math.log(len(r[1]) + 1)) for r in rows], 16)
+    assert all(abs(size[i] - w) <= 2 * max(len(r[1]) + 1 for r in rows) for i, w in enumerate(want)), (size, want)
+
+
 def test_mix_of_rows_without_ids(spark):
     """Null and repeated ids, and rows that agree in everything, count as rows of their own."""
     rng = random.Random(6)

@@ -59,6 +59,19 @@ def test_components(spark):
     assert got == want
 
 
+def test_components_in_small_plans(spark, monkeypatch):
+    exchanges, write = [], graph.materialize
+
+    def seen(df, *a):
+        exchanges.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+        return write(df, *a)
+    monkeypatch.setattr(graph, "materialize", seen)
+    edges = [(i, i + 1) for i in range(40)]
+    got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == dict.fromkeys(range(41), 0)
+    assert len(exchanges) > 2 and max(exchanges) <= 5, exchanges
+
+
 def test_words_and_shingles_of_bytes():
     texts = ["", "One  two\tTHREE", None, "one", "  ", "a b a b", "één twee één"]
     for _, _, data, offsets in T.text_chunks(pa.array(texts)):
